@@ -169,3 +169,20 @@ def learn_merges(word_counts: DataFrame, kind: str = "wordpiece", vocab_size: in
     rows = [(i, p, 0.0 if i < n_base else -float(i - n_base + 1), roles.get(p) if i < len(specials) else None)
             for i, p in enumerate(pieces)]
     return MergeModel(kind, mdf, spark.createDataFrame(rows, V.VOCAB_SCHEMA), w)
+
+
+def word_vocab(word_counts: DataFrame, top: int = 500) -> DataFrame:
+    """A vocabulary with an exact SQL form: specials, the WordPiece
+    alphabet, then the ``top`` most frequent whole words (n desc, word)
+    not already present.  ``top`` is the vocabulary-size feature."""
+    spark = word_counts.sparkSession
+    base = learn_merges(word_counts, "wordpiece", max_merges=0)
+    rows = base.vocab.collect()
+    have = {r["piece"] for r in rows}
+    words = [r["word"] for r in word_counts.orderBy(F.desc("n"), "word").limit(top).collect()]
+    out = [tuple(r) for r in rows]
+    for w in words:
+        if w not in have:
+            have.add(w)
+            out.append((len(out), w, -float(len(out)), None))
+    return spark.createDataFrame(out, V.VOCAB_SCHEMA)

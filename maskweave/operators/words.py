@@ -26,7 +26,7 @@ def wordpiece_words(df: DataFrame, text: str = "text") -> DataFrame:
     return count_words(df, TX.whitespace_words(text))
 
 
-def sp_pieces(df: DataFrame, text: str = "text") -> Column:
+def sp_pieces(text: str | Column = "text") -> Column:
     """SentencePiece pre-tokenisation: normalise, mark words (C2-C4) and
     split digits (C5); returns an array of pieces per row."""
     marked = TX.marked_words(TX.sp_normalize(text))
@@ -34,7 +34,7 @@ def sp_pieces(df: DataFrame, text: str = "text") -> Column:
 
 
 def sp_words(df: DataFrame, text: str = "text") -> DataFrame:
-    return count_words(df, sp_pieces(df, text))
+    return count_words(df, sp_pieces(text))
 
 
 def byte_word_counts(df: DataFrame, text: str = "text") -> DataFrame:
