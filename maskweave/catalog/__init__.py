@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["sources_q", "text_q", "vocab_q", "encode_q"]
+_MODULES = ["sources_q", "text_q", "vocab_q", "encode_q", "curriculum_q"]
 FLAGSHIP = "global_position"
 
 

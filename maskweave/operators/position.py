@@ -74,3 +74,28 @@ def batch_lists(df: DataFrame, batch_size: int, value: str = "text", pos_col: st
              .agg(F.sort_array(F.collect_list(F.struct(F.col(pos_col).alias("p"), F.col(value).alias("v"))))
                   .alias("_items"))
              .select("batch_id", F.col("_items.v").alias(value)))
+
+
+def running_sum(df: DataFrame, order: list[str], value: str, out: str,
+                block_rows: int = 1 << 16, seq: str | None = None) -> DataFrame:
+    """Inclusive running sum of ``value`` over the total order ``order``
+    without a single-partition window over the data.
+
+    The last order column ``seq`` must be a dense-ish integer inside each
+    group of the leading columns; rows are cut into blocks of
+    ``block_rows`` consecutive ``seq`` values.  Block totals form a small
+    table (rows / block_rows), whose prefix is taken there; each block's
+    local running sum is a window over at most ``block_rows`` rows.
+    """
+    seq = seq or order[-1]
+    lead = [c for c in order if c != seq]
+    blk = F.floor(F.col(seq) / F.lit(block_rows)).cast("bigint")
+    b = df.withColumn("_blk", blk)
+    totals = b.groupBy(*lead, "_blk").agg(F.sum(value).alias("_bt"))
+    prior = Window.orderBy(*lead, "_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*lead, "_blk", F.coalesce(F.sum("_bt").over(prior), F.lit(0)).alias("_boff"))
+    local = Window.partitionBy(*lead, "_blk").orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
+    return (b.withColumn("_loc", F.sum(value).over(local))
+             .join(F.broadcast(offsets), [*lead, "_blk"])
+             .withColumn(out, (F.col("_boff") + F.col("_loc")).cast("bigint"))
+             .drop("_blk", "_loc", "_boff"))
