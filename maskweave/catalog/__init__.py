@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["sources_q", "text_q", "vocab_q", "encode_q", "curriculum_q"]
+_MODULES = ["sources_q", "text_q", "vocab_q", "encode_q", "curriculum_q", "batches_q"]
+FLAGSHIP = "flagship_batches"
 FLAGSHIP = "global_position"
 
 

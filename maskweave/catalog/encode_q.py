@@ -65,6 +65,9 @@ wids as (select wt.word,
                 coalesce((select string_agg(cast(id as varchar), ' ' order by k) from toks where toks.word = wt.word), '0') as ids,
                 coalesce((select count(*) from toks where toks.word = wt.word), 1) as n
            from wt),
+wtok as (select wt.word, coalesce(t.k, 0) as k, coalesce(t.id, 0) as id from wt left join toks t on t.word = wt.word),
+dtok as (select d.{key}, row_number() over (partition by d.{key} order by d.i, w.k) - 1 as t_idx, w.id
+           from dw d join wtok w on w.word = d.word),
 enc as (select s.{key}, cast(coalesce(sum(w.n), 0) as bigint) as n_tokens,
                coalesce(string_agg(w.ids, ' ' order by d.i), '') as ids
           from {src} s left join dw d on d.{key} = s.{key} left join wids w on w.word = d.word
