@@ -6,7 +6,6 @@ import importlib
 
 _MODULES = ["sources_q", "text_q", "vocab_q", "encode_q", "curriculum_q", "batches_q"]
 FLAGSHIP = "flagship_batches"
-FLAGSHIP = "global_position"
 
 
 def _collect():
