@@ -13,6 +13,8 @@ from maskweave.operators import encode as EN
 from maskweave.operators import evaluate as EV
 from maskweave.plans import curriculum as CU
 from maskweave.plans.batches import training_data
+from maskweave.session import scratch_path
+from maskweave.sources import sinks as S
 
 QUERIES = {}
 ORACLES = {}
@@ -181,6 +183,25 @@ def train_loss_log(spark, sf):
     return EV.train_loss_log(sc, gs).withColumn("loss", F.round("loss", 6))
 
 
+@q("metrics_log", f"""{MASK_SQL},
+ms as (select epoch, phase, micro_step, is_boundary, (phase * 1000 + micro_step) % 7 = 0 as failed
+         from mb where split = 'train' and seq % {CFG.batch_size} = 0),
+g as (select *, cast(sum(case when is_boundary and not failed then 1 else 0 end)
+                  over (order by epoch, phase, micro_step rows between unbounded preceding and current row) as bigint)
+               as global_step, is_boundary and not failed as stepped from ms)
+select '{CFG.run_name}' as run, g.global_step as step, 'loss' as name, round(s.loss, 6) as value
+  from g join scores s on s.epoch = g.epoch and s.phase = g.phase and s.micro_step = g.micro_step and s.split = 'train'
+ where g.stepped""")
+def metrics_log(spark, sf):
+    td, sc = scores(spark, sf)
+    gs = CU.global_steps(td.batches, CFG, CU.fixture_failures)
+    log = EV.train_loss_log(sc, gs).select(F.lit(CFG.run_name).alias("run"), F.col("global_step").alias("step"),
+                                          F.lit("loss").alias("name"), F.round("loss", 6).alias("value"))
+    path = scratch_path(spark, "metrics")
+    S.log_metrics(log, path)
+    return spark.read.parquet(path)
+
+
 def _masked_per_row(pdf):
     """A user score: mean count of masked labels per row; fails on the
     fixture's failed micro-steps to exercise the error path."""

@@ -118,3 +118,14 @@ def corpus_lines(spark, sf):
     t = C.resolve_text(docs(spark, sf), "truthy")
     path = S.write_corpus_lines(t)
     return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+@q("training_corpus_batches", f"""select pos // 64 as batch_id, count(*) as n_rows,
+       cast(sum(length(text)) as bigint) as n_chars
+  from (select doc_id, text, row_number() over (order by doc_id) - 1 as pos
+          from {EDGE_SQL} where text is not null and text <> '')
+ where pos < 500 group by 1""")
+def training_corpus_batches(spark, sf):
+    b = C.training_corpus(edge_rows(spark, sf), limit=500, batch_size=64)
+    return b.select("batch_id", F.size("text").cast("bigint").alias("n_rows"),
+                    F.aggregate("text", F.lit(0).cast("bigint"), lambda a, t: a + F.length(t)).alias("n_chars"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from maskweave.functions import text as TX
-from maskweave.operators.vocab import SPECIAL_TOKENS
+from maskweave.operators.vocab import CONTROL_IDS, SPECIAL_TOKENS
 
 O, C = TX.SYM_OPEN, TX.SYM_CLOSE
 
@@ -75,12 +75,12 @@ def pairs_sql(w: str) -> str:
 def merge_rounds_sql(word_counts_sql: str, kind: str, rounds: int, min_pair_n: int = 2) -> str:
     """CTE text (without the final select) for ``rounds`` one-at-a-time
     merges; defines m1..mR (l, r, merged, n) and w0..wR."""
-    parts = [f"w0 as materialized (select {symbol_sql(kind)} as sy, n from {word_counts_sql})"]
+    parts = [f"w0 as materialized (select word, {symbol_sql(kind)} as sy, n from {word_counts_sql})"]
     for k in range(1, rounds + 1):
         parts.append(f"""m{k} as materialized (select l, r, {merged_sql(kind)} as merged, n
   from {pairs_sql(f'w{k - 1}')} where n >= {min_pair_n} order by n desc, l, r limit 1)""")
         parts.append(f"""w{k} as materialized (select coalesce(replace(w.sy, '{O}' || m.l || '{C}{O}' || m.r || '{C}',
-  '{O}' || m.merged || '{C}'), w.sy) as sy, w.n as n from w{k - 1} as w left join m{k} as m on true)""")
+  '{O}' || m.merged || '{C}'), w.sy) as sy, w.n as n, w.word from w{k - 1} as w left join m{k} as m on true)""")
     return "with " + ",\n".join(parts)
 
 
@@ -91,8 +91,11 @@ def merges_sql(word_counts_sql: str, kind: str, rounds: int) -> str:
     return f"{ctes}\nselect * from ({union})"
 
 
-def specials_sql() -> str:
-    rows = ", ".join(f"({i}, '{tok}', '{role}')" for i, (role, tok) in enumerate(SPECIAL_TOKENS))
+def specials_sql(kind: str = "wordpiece") -> str:
+    if kind == "bpe":
+        rows = ", ".join(f"({i}, '{piece}', '{role}')" for role, i, piece in CONTROL_IDS)
+    else:
+        rows = ", ".join(f"({i}, '{tok}', '{role}')" for i, (role, tok) in enumerate(SPECIAL_TOKENS))
     return f"(select * from (values {rows}) as s(id, piece, role))"
 
 
@@ -112,7 +115,48 @@ def base_vocab_sql(word_counts_sql: str, kind: str) -> str:
         alpha = "(select upper(lpad(hex(i), 2, '0')) as piece, 0 as grp from range(256) t(i))"
     else:
         alpha = alphabet_sql(word_counts_sql, kind)
-    return f"""(select id, piece, role from {specials_sql()}
+    n_res = len(CONTROL_IDS) if kind == "bpe" else len(SPECIAL_TOKENS)
+    return f"""(select id, piece, role from {specials_sql(kind)}
   union all
-  select 4 + row_number() over (order by grp, piece) as id, piece, null as role
-    from {alpha} where piece not in (select piece from {specials_sql()}))"""
+  select {n_res - 1} + row_number() over (order by grp, piece) as id, piece, null as role
+    from {alpha} where piece not in (select piece from {specials_sql(kind)}))"""
+
+
+def sp_doc_pieces(src: str = "documents", key: str = "doc_id") -> str:
+    """(key, i, k, word): SentencePiece pieces per row in order."""
+    return f"""(select {key}, i, unnest(regexp_extract_all(word, '{TX.DIGIT_SPLIT}')) as word,
+         generate_subscripts(regexp_extract_all(word, '{TX.DIGIT_SPLIT}'), 1) as k
+    from {marked_words(src, 'text', key)})"""
+
+
+def byte_doc_words(src: str = "documents", key: str = "doc_id") -> str:
+    lst = f"regexp_extract_all({strip_delims('text')}, '{TX.BYTE_WORD_PATTERN}')"
+    return f"(select {key}, unnest({lst}) as word, generate_subscripts({lst}, 1) as i, 1 as k from {src})"
+
+
+def vocab_with_merges_sql(counts_sql: str, kind: str, rounds: int) -> str:
+    """CTE text: merge rounds, then base/learned/vocab (id, piece, role)."""
+    ctes = merge_rounds_sql(counts_sql, kind, rounds)
+    union = "\nunion all ".join(f"select {k} as rank, merged from m{k}" for k in range(1, rounds + 1))
+    return f"""{ctes},
+base as (select * from {base_vocab_sql(counts_sql, kind)}),
+learned as (select merged as piece, min(rank) as rank from ({union})
+             where merged not in (select piece from base) group by merged),
+vocab as (select id, piece, role from base
+          union all
+          select (select max(id) from base) + row_number() over (order by rank) as id, piece, null as role
+            from learned)"""
+
+
+def bpe_encode_sql(counts_sql: str, doc_words_sql: str, kind: str, rounds: int, key: str = "doc_id") -> str:
+    """Encode with merges applied in rank order: the last word table of the
+    merge chain holds each word type's final symbols."""
+    syms = symbols_sql("sy")
+    return f"""{vocab_with_merges_sql(counts_sql, kind, rounds)},
+dw as {doc_words_sql},
+wtok as (select word, unnest({syms}) as s, generate_subscripts({syms}, 1) as j from w{rounds}),
+dtok as (select d.{key}, d.i, d.k, t.j, coalesce(v.id, 0) as id
+           from dw d join wtok t on t.word = d.word left join vocab v on v.piece = t.s)
+select s.{key}, cast(count(t.id) as bigint) as n_tokens,
+       coalesce(string_agg(cast(t.id as varchar), ' ' order by t.i, t.k, t.j), '') as ids
+  from documents s left join dtok t on t.{key} = s.{key} group by s.{key}"""

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from maskweave.catalog import sqlparts as Q
 from maskweave.catalog.common import docs
+from maskweave.operators import encode as EN
 from maskweave.operators import merges as M
+from maskweave.operators import vocab as V
 from maskweave.operators import words as WD
+from maskweave.sources import corpus as C
 
 QUERIES = {}
 ORACLES = {}
@@ -86,3 +89,33 @@ def vocab_special_ids(spark, sf):
     wc = WD.wordpiece_words(docs(spark, sf))
     v = M.learn_merges(wc, "wordpiece", max_merges=5).vocab
     return v.filter(F.col("role").isNotNull()).select("id", "piece", "role")
+
+
+def _encoded(enc):
+    return enc.select("doc_id", F.size("input_ids").cast("bigint").alias("n_tokens"),
+                      EN.ids_string("input_ids").alias("ids"))
+
+
+@q("sp_bpe_encode", Q.bpe_encode_sql(SP_COUNTS, Q.sp_doc_pieces(), "bpe", 40))
+def sp_bpe_encode(spark, sf):
+    d = docs(spark, sf)
+    model = M.learn_merges(WD.sp_words(d), "bpe", max_merges=40)
+    return _encoded(EN.encode(d, model.vocab, "bpe", merges=model.merges))
+
+
+@q("byte_bpe_encode", Q.bpe_encode_sql(BYTE_COUNTS, Q.byte_doc_words(), "byte", 40))
+def byte_bpe_encode(spark, sf):
+    d = docs(spark, sf)
+    model = M.learn_merges(WD.byte_word_counts(d), "byte", max_merges=40)
+    return _encoded(EN.encode(d, model.vocab, "byte", merges=model.merges))
+
+
+@q("sp_vocab_roles", f"""{Q.vocab_with_merges_sql(SP_COUNTS, 'bpe', 5)}
+select id, piece, role from vocab where role is not null
+union all
+select (select max(id) from vocab) + row_number() over (order by o) as id, piece, role
+  from (values (1, '[SEP]', 'sep'), (2, '[CLS]', 'cls'), (3, '[MASK]', 'mask')) as t(o, piece, role)""")
+def sp_vocab_roles(spark, sf):
+    model = M.learn_merges(WD.sp_words(docs(spark, sf)), "bpe", max_merges=5)
+    v = V.to_encoder_vocab(model.vocab)
+    return v.filter(F.col("role").isNotNull()).select("id", "piece", "role")

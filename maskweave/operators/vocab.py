@@ -84,3 +84,20 @@ def attach_roles(vocab: DataFrame) -> DataFrame:
         "piece string, _role string")
     return (vocab.join(F.broadcast(roles), "piece", "left")
                  .select("id", "piece", "score", F.coalesce("role", "_role").alias("role")))
+
+
+def to_encoder_vocab(vocab: DataFrame) -> DataFrame:
+    """Make a learned vocabulary usable by the encoder and collator:
+    keep roles already set (SentencePiece control ids cover unk and pad)
+    and append the missing special roles as new pieces at the end, in the
+    special-token order.  Works for unigram and BPE alike (the reference
+    converts only unigram)."""
+    have = {r["role"] for r in vocab.filter(F.col("role").isNotNull()).select("role").collect()}
+    missing = [(tok, role) for role, tok in SPECIAL_TOKENS if role not in have]
+    if not missing:
+        return vocab
+    spark = vocab.sparkSession
+    nxt = vocab.agg(F.max("id")).first()[0] + 1
+    extra = spark.createDataFrame([(nxt + i, tok, 0.0, role) for i, (tok, role) in enumerate(missing)],
+                                  VOCAB_SCHEMA)
+    return vocab.unionByName(extra)

@@ -63,3 +63,14 @@ def resolve_text(df: DataFrame, mode: str = "schema", keys: tuple[str, ...] = ("
     if mode == "key":
         out = nonempty(out)
     return out
+
+
+def training_corpus(df: DataFrame, limit: int | None = None, batch_size: int = 1000,
+                    key: str = "doc_id") -> DataFrame:
+    """Text by ``key`` mode, empties dropped (B1), the first ``limit``
+    non-empty rows (B2), grouped into lists of ``batch_size`` (B5).
+    Returns (batch_id, text array) in stream order."""
+    from maskweave.operators import position as P
+
+    pos = P.with_position(resolve_text(df, "key", keys=(key,)), order=(key,))
+    return P.batch_lists(P.limit_positions(pos, limit), batch_size, "text")
