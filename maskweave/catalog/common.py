@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskweave.sources.corpus import read_table
+from maskweave.sources.corpus import read_corpus
 
 
 def docs(spark: SparkSession, sf: str) -> DataFrame:
-    return read_table(spark, sf, "documents")
+    return read_corpus(spark, sf, "documents")
 
 
 def edge_rows(spark: SparkSession, sf: str) -> DataFrame:

@@ -23,6 +23,8 @@ WORD_PATTERN = r"[\p{L}\p{N}\p{M}_]+|[^\t\n\x0B\f\r \p{Z}\p{L}\p{N}\p{M}_]+"
 SPACE_RUN = r"[\t\n\x0B\f\r ]+"
 # Digit splitting inside a word: each digit alone, other runs kept.
 DIGIT_SPLIT = r"\p{N}|[^\p{N}]+"
+# The same over a whole marked text: runs also stop at the word space.
+DIGIT_SPLIT_TEXT = r"\p{N}|[^\p{N} ]+"
 # Byte-level words: optional leading space, then letters, digits or other.
 BYTE_WORD_PATTERN = r" ?\p{L}+| ?\p{N}+| ?[^\t\n\x0B\f\r \p{L}\p{N}]+"
 # SentencePiece word-boundary marker (U+2581).
@@ -75,12 +77,15 @@ def whitespace_words(c: str | Column) -> Column:
     return F.regexp_extract_all(strip_symbol_delimiters(col_of(c)), F.lit(WORD_PATTERN), 0)
 
 
+def mark_words(normalized: str | Column) -> Column:
+    """C4 on a normalised string: the marker before every word except the
+    first (no dummy prefix).  Words are single-space separated after C3."""
+    return F.replace(col_of(normalized), F.lit(" "), F.lit(" " + SP_MARK))
+
+
 def marked_words(normalized: str | Column) -> Column:
-    """C4: split on spaces, put the marker on every word except the first
-    (no dummy prefix); empty words dropped."""
-    parts = F.split(col_of(normalized), " ")
-    marked = F.transform(parts, lambda w, i: F.when(i == 0, w).otherwise(F.concat(F.lit(SP_MARK), w)))
-    return F.filter(marked, lambda w: F.length(w) > 0)
+    """C4 as an array of words; empty words dropped."""
+    return F.filter(F.split(mark_words(normalized), " "), lambda w: F.length(w) > 0)
 
 
 def split_digits(word: str | Column) -> Column:
@@ -91,3 +96,29 @@ def split_digits(word: str | Column) -> Column:
 def byte_words(c: str | Column) -> Column:
     """Byte-level pre-tokenisation: words with their leading space."""
     return F.regexp_extract_all(strip_symbol_delimiters(col_of(c)), F.lit(BYTE_WORD_PATTERN), 0)
+
+
+# Python mirrors of the pre-tokenisers, used inside Arrow workers so the
+# text (not millions of tiny word strings) crosses the JVM boundary.  The
+# patterns are the same strings; tests pin the two sides to equal output.
+def python_pretokenizer(kind: str):
+    import regex
+
+    word = regex.compile(WORD_PATTERN)
+    space = regex.compile(SPACE_RUN)
+    digits = regex.compile(DIGIT_SPLIT_TEXT)
+    byte = regex.compile(BYTE_WORD_PATTERN)
+    strip = str.maketrans("", "", SYM_OPEN + SYM_CLOSE)
+
+    if kind == "wordpiece":
+        return lambda t: word.findall(t.translate(strip)) if t else []
+    if kind == "byte":
+        return lambda t: byte.findall(t.translate(strip)) if t else []
+
+    def sp(t):
+        if not t:
+            return []
+        n = space.sub(" ", _nfkc_cf(t).translate(strip)).strip(" ")
+        return digits.findall(n.replace(" ", " " + SP_MARK))
+
+    return sp

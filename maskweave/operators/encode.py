@@ -159,36 +159,57 @@ def pretokenize(text: Column, kind: str) -> Column:
     return WD.sp_pieces(text)
 
 
-def encode_words(df: DataFrame, words: str, model: TokenModel, keep: list[str],
+def encode_words(df: DataFrame, text: str, model: TokenModel, keep: list[str],
                  out: str = "input_ids") -> DataFrame:
-    """Map each row's word array to one id array (Arrow batches)."""
+    """Map each row's text to one id array.
+
+    Arrow batches in and out (``mapInArrow``).  The worker pre-tokenises
+    with the same patterns as the Spark expressions, dictionary-encodes the
+    batch's words, encodes only distinct words (through a bounded per-task
+    cache) and rebuilds the per-row id lists with numpy gathers."""
+    from pyspark.sql import types as T
+
     spark = df.sparkSession
     bc = spark.sparkContext.broadcast(model)
-    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields if f.name in keep]
-                       + [f"{out} array<bigint>"])
+    fields = [f for f in df.schema.fields if f.name in keep]
+    schema = T.StructType(fields + [T.StructField(out, T.ArrayType(T.LongType()))])
+    kind = model.kind
 
     def run(batches):
+        from itertools import chain
+
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
         m = bc.value
+        split = TX.python_pretokenizer("sp" if kind in ("bpe", "unigram") else kind)
         cache: dict = {}
-        for pdf in batches:
-            enc = []
-            for ws in pdf[words]:
-                ids: list[int] = []
-                if ws is not None:
-                    for w in ws:
-                        got = cache.get(w)
-                        if got is None:
-                            got = m.encode_word(w)
-                            if len(cache) >= CACHE_WORDS:
-                                cache.clear()
-                            cache[w] = got
-                        ids.extend(got)
-                enc.append(ids)
-            res = pdf[keep].copy()
-            res[out] = pd.Series(enc, index=pdf.index, dtype=object)
-            yield res
-
-    return df.select(*keep, words).mapInPandas(run, schema)
+        for rb in batches:
+            rows = [split(t) for t in rb.column(text).to_pylist()]
+            lens = np.fromiter((len(r) for r in rows), dtype=np.int64, count=len(rows))
+            enc = pc.dictionary_encode(pa.array(list(chain.from_iterable(rows)), pa.string()))
+            per = []
+            for w in enc.dictionary.to_pylist():
+                got = cache.get(w)
+                if got is None:
+                    got = m.encode_word(w)
+                    if len(cache) >= CACHE_WORDS:
+                        cache.clear()
+                    cache[w] = got
+                per.append(got)
+            u_lens = np.fromiter((len(x) for x in per), dtype=np.int64, count=len(per))
+            u_flat = np.fromiter(chain.from_iterable(per), dtype=np.int64, count=int(u_lens.sum()))
+            u_off = np.concatenate([[0], np.cumsum(u_lens)]).astype(np.int64)
+            idx = enc.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            w_lens = u_lens[idx]
+            w_cum = np.concatenate([[0], np.cumsum(w_lens)]).astype(np.int64)
+            gather = np.repeat(u_off[idx] - w_cum[:-1], w_lens) + np.arange(int(w_cum[-1]), dtype=np.int64)
+            row_off = w_cum[np.concatenate([[0], np.cumsum(lens)]).astype(np.int64)]
+            ids = pa.ListArray.from_arrays(pa.array(row_off, pa.int32()), pa.array(u_flat[gather], pa.int64()))
+            yield pa.RecordBatch.from_arrays([rb.column(k) for k in keep] + [ids], names=list(keep) + [out])
+
+    return df.select(*keep, text).mapInArrow(run, schema)
 
 
 def encode(df: DataFrame, vocab: DataFrame, kind: str = "wordpiece", text: str = "text",
@@ -201,8 +222,7 @@ def encode(df: DataFrame, vocab: DataFrame, kind: str = "wordpiece", text: str =
     default is off).  ``max_length`` optionally truncates (default none,
     as in the reference)."""
     model = token_model(vocab, kind, merges)
-    words = df.select(*keys, pretokenize(F.col(text), kind).alias("_words"))
-    enc = encode_words(words, "_words", model, list(keys))
+    enc = encode_words(df.select(*keys, F.col(text).alias("_text")), "_text", model, list(keys))
     ids = F.col("input_ids")
     if max_length:
         ids = F.slice(ids, 1, max_length - (2 if frame else 0))

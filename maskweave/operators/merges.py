@@ -23,7 +23,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maskweave.functions import text as TX
@@ -52,15 +52,59 @@ def word_table(word_counts: DataFrame, kind: str) -> DataFrame:
     return word_counts.select(WD.symbol_string(F.col("word"), kind).alias("sy"), "n")
 
 
-def pair_counts(w: DataFrame) -> DataFrame:
-    """Adjacent symbol pairs weighted by word count: one shuffle over W."""
-    p = w.select(F.explode(WD.adjacent_pairs(WD.symbols(F.col("sy")))).alias("p"), "n")
+def _marked_symbols(sy: Column) -> Column:
+    """Symbols still carrying their open marker: a split on the close
+    marker (a one-character literal split, cheaper than a regex)."""
+    arr = F.split(sy, TX.SYM_CLOSE)
+    return F.slice(arr, 1, F.size(arr) - 1)
+
+
+def marked_pair_counts(w: DataFrame) -> DataFrame:
+    """Adjacent symbol pairs weighted by word count: one shuffle over W.
+    Symbols keep their open marker, which sorts and groups the same."""
+    p = w.select(F.explode(WD.adjacent_pairs(_marked_symbols(F.col("sy")))).alias("p"), "n")
     return p.groupBy(F.col("p.l").alias("left"), F.col("p.r").alias("right")) \
             .agg(F.sum("n").cast("bigint").alias("n"))
 
 
-def top_pairs(w: DataFrame, k: int) -> list:
-    return pair_counts(w).orderBy(F.desc("n"), "left", "right").limit(k).collect()
+def pair_counts(w: DataFrame) -> DataFrame:
+    o = len(TX.SYM_OPEN)
+    return marked_pair_counts(w).select(F.expr(f"substring(left, {o + 1})").alias("left"),
+                                        F.expr(f"substring(right, {o + 1})").alias("right"), "n")
+
+
+def top_pairs(p: DataFrame, k: int) -> list:
+    """The best ``k`` pairs of a marked pair table (per-partition top-k,
+    then a merge of k rows per partition on the driver)."""
+    o = len(TX.SYM_OPEN)
+    got = p.orderBy(F.desc("n"), "left", "right").limit(k).collect()
+    return [{"left": r["left"][o:], "right": r["right"][o:], "n": r["n"]} for r in got]
+
+
+def _touched(chosen: list) -> Column:
+    o, c = TX.SYM_OPEN, TX.SYM_CLOSE
+    cond = None
+    for l, r, _, _, _ in chosen:
+        hit = F.col("sy").contains(f"{o}{l}{c}{o}{r}{c}")
+        cond = hit if cond is None else (cond | hit)
+    return cond
+
+
+def update_pairs(p: DataFrame, w: DataFrame, chosen: list) -> DataFrame:
+    """Incremental pair counts: only words containing a chosen pair are
+    re-exploded -- their old pairs count -n, their merged pairs +n -- and
+    the small delta is folded into P with one aggregate."""
+    aff = w.filter(_touched(chosen))
+    old = marked_pair_counts(aff).withColumn("n", -F.col("n"))
+    new = marked_pair_counts(apply_merges(aff, chosen))
+    return (p.unionByName(old).unionByName(new)
+             .groupBy("left", "right").agg(F.sum("n").cast("bigint").alias("n"))
+             .filter(F.col("n") > 0))
+
+
+def multi_symbol(w: DataFrame) -> DataFrame:
+    """Words with one symbol left can never form a pair again."""
+    return w.filter(F.size(F.split(F.col("sy"), TX.SYM_CLOSE)) > 2)
 
 
 def choose_round(ranked: list, k: int, kind: str, known: set, budget: int | None,
@@ -121,7 +165,7 @@ def _cp(p: str) -> tuple:
 
 def learn_merges(word_counts: DataFrame, kind: str = "wordpiece", vocab_size: int | None = 32768,
                  max_merges: int | None = None, min_pair_n: int = 2, per_round: int = 64,
-                 checkpoint_every: int = 10) -> MergeModel:
+                 checkpoint_every: int = 4) -> MergeModel:
     """D6 (wordpiece), D7 (bpe over SentencePiece pieces), D9 (byte).
 
     ``word_counts``: (word, n).  Stops when the vocabulary reaches
@@ -132,42 +176,54 @@ def learn_merges(word_counts: DataFrame, kind: str = "wordpiece", vocab_size: in
     if kind not in KINDS:
         raise ValueError(kind)
     spark = word_counts.sparkSession
-    w = word_table(word_counts, kind).persist(StorageLevel.MEMORY_AND_DISK)
+    base = word_table(word_counts, kind).persist(StorageLevel.MEMORY_AND_DISK)
+    alphabet = alphabet_pieces(base, kind)
+    w = multi_symbol(base)
+    p = marked_pair_counts(w).persist(StorageLevel.MEMORY_AND_DISK)
+    # p_k is computed from w_(k-1), which is first materialised while p_k
+    # is; so after reading p_k, frames older than w_(k-1) and p_k can go.
+    ws, ps = [base], [p]
     specials = V.reserved_pieces("sentencepiece" if kind == "bpe" else "wordpiece")
-    pieces = [p for p, _ in specials]
-    pieces += [p for p in alphabet_pieces(w, kind) if p not in set(pieces)]
-    n_base = len(pieces)
+    pieces = [q for q, _ in specials]
+    pieces += [q for q in alphabet if q not in set(pieces)]
     known = set(pieces)
     merges = []
     rounds = 0
-    prev = None
     while True:
         budget = None if vocab_size is None else vocab_size - len(pieces)
         left = None if max_merges is None else max_merges - len(merges)
         if (budget is not None and budget <= 0) or (left is not None and left <= 0):
             break
         k = per_round if left is None else min(per_round, left)
-        ranked = top_pairs(w, k + 1)
-        if prev is not None:  # w is cached now; its parent can go
-            prev.unpersist()
-            prev = None
+        ranked = top_pairs(p, k + 1)
+        for x in ws[:-2] + ps[:-1]:
+            x.unpersist()
+        ws, ps = ws[-2:], ps[-1:]
         chosen = choose_round(ranked, k, kind, known, budget, min_pair_n)
         if not chosen:
             break
         rounds += 1
-        nxt = apply_merges(w, chosen)
-        if rounds % checkpoint_every == 0:
-            nxt = materialize(nxt, "merge-words")
-        prev, w = w, nxt.persist(StorageLevel.MEMORY_AND_DISK)
+        p_next = update_pairs(p, w, chosen)
+        w_next = apply_merges(w, chosen)
+        if rounds % checkpoint_every == 0:  # cut lineage of both tables
+            p_next = materialize(p_next, "merge-pairs")
+            w_next = materialize(multi_symbol(w_next), "merge-words")
+        p = p_next.persist(StorageLevel.MEMORY_AND_DISK)
+        w = w_next.persist(StorageLevel.MEMORY_AND_DISK)
+        ws.append(w)
+        ps.append(p)
         for l, r, m, n, is_new in chosen:
             merges.append((len(merges) + 1, l, r, m, int(n)))
             if is_new:
                 known.add(m)
                 pieces.append(m)
+    for x in ws[:-1] + ps:
+        x.unpersist()
     mdf = spark.createDataFrame(merges, "rank int, left string, right string, merged string, n bigint")
     roles = dict(specials)
-    rows = [(i, p, 0.0 if i < n_base else -float(i - n_base + 1), roles.get(p) if i < len(specials) else None)
-            for i, p in enumerate(pieces)]
+    n_base = len(specials) + len([q for q in alphabet if q not in roles])
+    rows = [(i, q, 0.0 if i < n_base else -float(i - n_base + 1), roles.get(q) if i < len(specials) else None)
+            for i, q in enumerate(pieces)]
     return MergeModel(kind, mdf, spark.createDataFrame(rows, V.VOCAB_SCHEMA), w)
 
 
@@ -176,6 +232,7 @@ def word_vocab(word_counts: DataFrame, top: int = 500) -> DataFrame:
     alphabet, then the ``top`` most frequent whole words (n desc, word)
     not already present.  ``top`` is the vocabulary-size feature."""
     spark = word_counts.sparkSession
+    word_counts = word_counts.persist(StorageLevel.MEMORY_AND_DISK)
     base = learn_merges(word_counts, "wordpiece", max_merges=0)
     rows = base.vocab.collect()
     have = {r["piece"] for r in rows}
@@ -185,4 +242,6 @@ def word_vocab(word_counts: DataFrame, top: int = 500) -> DataFrame:
         if w not in have:
             have.add(w)
             out.append((len(out), w, -float(len(out)), None))
+    base.words.unpersist()
+    word_counts.unpersist()
     return spark.createDataFrame(out, V.VOCAB_SCHEMA)

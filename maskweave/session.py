@@ -21,7 +21,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
           .config("spark.sql.session.timeZone", "UTC")
           .config("spark.sql.execution.arrow.pyspark.enabled", "true")
           .config("spark.ui.enabled", "false")
-          .config("spark.ui.showConsoleProgress", "false"))
+          .config("spark.ui.showConsoleProgress", "false")
+          # iterative jobs (merge rounds) keep plans of cached parents;
+          # never let their description strings grow without bound
+          .config("spark.sql.maxPlanStringLength", str(1 << 20)))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
@@ -63,3 +66,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition only when a source has fewer partitions than
+    the cluster's parallelism (a small file on many cores).  On a large
+    input this is a no-op, so no shuffle is added at scale."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)

@@ -18,8 +18,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def read_corpus(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     """A1: the corpus as a lazy DataFrame (Parquet scan; filters and
-    projections applied later are pushed into it)."""
-    return read_table(spark, sf_dir, name)
+    projections applied later are pushed into it).  A source with fewer
+    splits than cores is spread round-robin (no-op at scale)."""
+    from maskweave.session import spread
+
+    return spread(read_table(spark, sf_dir, name))
 
 
 def text_column(df: DataFrame, mode: str = "schema", strict: bool = True) -> Column:

@@ -68,3 +68,19 @@ def test_log_metrics_appends(spark):
     S.log_metrics(m, path)
     S.log_metrics(m, path)
     assert spark.read.parquet(path).count() == 2
+
+
+@pytest.mark.parametrize("kind,spark_words", [
+    ("wordpiece", lambda c: TX.whitespace_words(c)),
+    ("byte", lambda c: TX.byte_words(c)),
+    ("sp", None),
+])
+def test_python_pretokenizer_equals_spark(spark, kind, spark_words):
+    from maskweave.operators import words as WD
+
+    d = C.read_corpus(spark, "/root/testdata/sf0.01")
+    expr = WD.sp_pieces("text") if spark_words is None else spark_words(F.col("text"))
+    got = {r["doc_id"]: list(r["w"]) for r in d.select("doc_id", expr.alias("w")).collect()}
+    split = TX.python_pretokenizer(kind)
+    for r in d.select("doc_id", "text").collect():
+        assert split(r["text"]) == got[r["doc_id"]], r["doc_id"]
