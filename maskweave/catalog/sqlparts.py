@@ -100,7 +100,7 @@ def specials_sql(kind: str = "wordpiece") -> str:
 
 
 def alphabet_sql(word_counts_sql: str, kind: str) -> str:
-    """(piece, grp) like operators.words.initial_alphabet."""
+    """(piece, grp): characters, then continuation forms (as operators.merges.alphabet_pieces)."""
     chars = f"(select unnest(regexp_extract_all(word, '(?s).')) as c, generate_subscripts(regexp_extract_all(word, '(?s).'), 1) as i from {word_counts_sql})"
     bare = f"select distinct c as piece, 0 as grp from {chars}"
     if kind != "wordpiece":

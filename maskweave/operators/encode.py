@@ -152,6 +152,8 @@ def token_model(vocab: DataFrame, kind: str, merges: DataFrame | None = None) ->
 
 
 def pretokenize(text: Column, kind: str) -> Column:
+    """Spark-side pre-tokeniser for ``kind`` (word counts use it); the
+    encoder's Arrow worker runs the Python mirror of the same patterns."""
     if kind == "wordpiece":
         return TX.whitespace_words(text)
     if kind == "byte":

@@ -46,25 +46,6 @@ def special_rows(spark: SparkSession, kind: str = "wordpiece") -> DataFrame:
     return spark.createDataFrame(rows, VOCAB_SCHEMA)
 
 
-def append_pieces(base: DataFrame, pieces: DataFrame, order: list) -> DataFrame:
-    """Give ``pieces`` ids after ``base`` in ``order``; pieces already in
-    base are skipped.  ``pieces`` is bounded by the target vocabulary size
-    (the window runs over that small table only)."""
-    from pyspark.sql import Window
-
-    start = base.agg(F.coalesce(F.max("id") + 1, F.lit(0)).alias("_start"))
-    new = pieces.join(base.select("piece"), "piece", "left_anti")
-    w = Window.orderBy(*order)
-    numbered = new.withColumn("_rk", F.row_number().over(w) - 1).crossJoin(start)
-    cols = [c for c in ("score", "role") if c in pieces.columns]
-    out = numbered.select((F.col("_start") + F.col("_rk")).cast("bigint").alias("id"), "piece",
-                          *(cols or []))
-    for c, t in (("score", "double"), ("role", "string")):
-        if c not in out.columns:
-            out = out.withColumn(c, F.lit(None).cast(t))
-    return base.unionByName(out.select("id", "piece", F.col("score").cast("double"), "role"))
-
-
 def ensure_pad(vocab: DataFrame) -> tuple[DataFrame, bool]:
     """If no row has role 'pad', append [PAD] at max(id)+1; the flag
     says the embedding table must be resized."""

@@ -43,20 +43,6 @@ def byte_word_counts(df: DataFrame, text: str = "text") -> DataFrame:
     return count_words(df, TX.byte_words(text))
 
 
-def initial_alphabet(words: DataFrame, continuation: str | None = TX.CONT) -> DataFrame:
-    """D3: every character (code-point order), then the continuation forms
-    of characters seen after the first position.  Columns: piece, grp
-    (0 = bare, 1 = continuation)."""
-    cs = words.select(F.posexplode(chars("word")).alias("i", "c"))
-    bare = cs.select(F.col("c").alias("piece")).distinct().withColumn("grp", F.lit(0))
-    if continuation is None:
-        return bare
-    cont = (cs.filter(F.col("i") > 0)
-              .select(F.concat(F.lit(continuation), "c").alias("piece")).distinct()
-              .withColumn("grp", F.lit(1)))
-    return bare.unionByName(cont)
-
-
 def symbol_string(word: Column, kind: str) -> Column:
     """Delimited symbols of a word: <c> per character (WordPiece: <##c>
     after the first; byte-level: one symbol per UTF-8 byte as hex)."""

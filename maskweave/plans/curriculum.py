@@ -63,18 +63,19 @@ def shuffle_draw(cfg: RunConfig, key: str = "doc_id") -> Column:
     return bits_from_hex(hash_key(cfg.shuffle_seed, "shuffle", F.col("phase"), F.col(key)))
 
 
-def shuffled(sl: DataFrame, cfg: RunConfig, key: str = "doc_id", mode: str = "buffer") -> DataFrame:
+def shuffled(sl: DataFrame, cfg: RunConfig, key: str = "doc_id") -> DataFrame:
     """seeded shuffle of train slices; eval keeps slice order.
 
-    ``buffer`` mode orders rows by draw inside consecutive blocks of
-    ``shuffle_buffer`` rows (bounded windows, parallel over blocks);
-    ``global`` mode drops the block (one window per phase)."""
+    Rows are ordered by draw inside consecutive blocks of
+    ``shuffle_buffer`` rows: every window holds at most one buffer, and
+    blocks run in parallel.  (A whole-phase shuffle would put a fifth of
+    the corpus into one task, so it is not offered.)"""
     buf = cfg.shuffle_buffer
-    block = F.floor(F.col("phase_rank") / buf).cast("bigint") if mode == "buffer" else F.lit(0).cast("bigint")
+    block = F.floor(F.col("phase_rank") / buf).cast("bigint")
     s = sl.withColumn("block", block).withColumn("_draw", shuffle_draw(cfg, key))
     w = Window.partitionBy("epoch", "phase", "split", "block").orderBy("_draw", key)
     rank = F.row_number().over(w) - 1
-    order = F.when(F.col("split") == "train", F.col("block") * (buf if mode == "buffer" else 0) + rank) \
+    order = F.when(F.col("split") == "train", F.col("block") * buf + rank) \
              .otherwise(F.col("phase_rank"))
     return s.withColumn("seq", order.cast("bigint")).drop("_draw")
 
