@@ -9,6 +9,8 @@ straddle shuffle blocks (buffer a multiple of the batch size).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +25,27 @@ def _u(h: Column, slot: int) -> Column:
     return F.conv(F.substring(h, 1 + 8 * slot, 8), 16, 10).cast("bigint").cast("double") / F.lit(TWO_32)
 
 
+def _hex8(h: Column, slot: int) -> Column:
+    return F.substring(h, 1 + 8 * slot, 8)
+
+
+def hex_threshold(q: float) -> str:
+    """For k from 8 hex digits: k / 2**32 < q  <=>  k < ceil(q * 2**32), and
+    fixed-width lowercase hex orders like the number, so the draw test is a
+    string comparison (no base conversion per token)."""
+    if q >= 1:
+        return "g"          # above every hex digit: always true
+    if q <= 0:
+        return "00000000"   # never true
+    return f"{math.ceil(q * TWO_32):08x}"
+
+
+def hex_threshold_col(q: Column) -> Column:
+    k = F.ceil(q * F.lit(TWO_32)).cast("bigint")
+    return (F.when(q >= 1, F.lit("g")).when(q <= 0, F.lit("00000000"))
+             .otherwise(F.lpad(F.lower(F.hex(k)), 8, "0")))
+
+
 def draw_prefix(seed: int, keys: list[str]) -> Column:
     return F.concat_ws(":", F.lit(str(seed)), F.lit("mlm"), *[F.col(k).cast("string") for k in keys])
 
@@ -36,25 +59,29 @@ def mlm_mask(df: DataFrame, specials: list[int], mask_id: int, vocab_size: int,
     the vocabulary roles (G1)."""
     sp = F.array(*[F.lit(i).cast("bigint") for i in specials])
     prefix = draw_prefix(seed, list(keys))
-    tok = F.transform("input_ids", lambda t, i: F.struct(
-        t.alias("t"), F.md5(F.concat_ws(":", prefix, i.cast("string"))).alias("h")))
-
-    def one(x):
-        t, h = x["t"], x["h"]
-        sel = (_u(h, 0) < F.col(p)) & ~F.array_contains(sp, t)
-        u2 = _u(h, 1)
-        new = (F.when(~sel, t)
-                .when(u2 < MASK_SHARE, F.lit(mask_id).cast("bigint"))
-                .when(u2 < RANDOM_CUT, F.floor(_u(h, 2) * vocab_size).cast("bigint"))
-                .otherwise(t))
-        lab = F.when(sel, t).otherwise(F.lit(IGNORE).cast("bigint"))
-        return F.struct(new.alias("id"), lab.alias("label"))
-
-    res = df.withColumn("_tok", tok).withColumn("_res", F.transform("_tok", one))
-    return (res.withColumn("input_ids", F.col("_res.id"))
-               .withColumn("labels", F.col("_res.label"))
-               .withColumn("attention_mask", F.transform("input_ids", lambda x: F.lit(1).cast("bigint")))
-               .drop("_tok", "_res"))
+    mask_hex, rand_hex = hex_threshold(MASK_SHARE), hex_threshold(RANDOM_CUT)
+    # one md5 per token, kept as its own column so both passes below read it
+    hashed = (df.withColumn("_p_hex", hex_threshold_col(F.col(p)))
+                .withColumn("_h", F.transform("input_ids", lambda t, i: F.md5(
+                    F.concat_ws(":", prefix, i.cast("string"))))))
+
+    def sel(t, h):
+        return (_hex8(h, 0) < F.col("_p_hex")) & ~F.array_contains(sp, t)
+
+    def new_id(t, h):
+        a = _hex8(h, 1)
+        return (F.when(~sel(t, h), t)
+                 .when(a < F.lit(mask_hex), F.lit(mask_id).cast("bigint"))
+                 .when(a < F.lit(rand_hex), F.floor(_u(h, 2) * vocab_size).cast("bigint"))
+                 .otherwise(t))
+
+    def label(t, h):
+        return F.when(sel(t, h), t).otherwise(F.lit(IGNORE).cast("bigint"))
+
+    return (hashed.withColumn("labels", F.zip_with("input_ids", "_h", label))
+                  .withColumn("input_ids", F.zip_with("input_ids", "_h", new_id))
+                  .withColumn("attention_mask", F.array_repeat(F.lit(1).cast("bigint"), F.size("input_ids")))
+                  .drop("_h", "_p_hex"))
 
 
 def pad_batches(df: DataFrame, pad_id: int, batch_keys: list[str]) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from maskweave.operators.collate import IGNORE
 
 BATCH_KEYS = ["epoch", "phase", "split", "micro_step"]
+ROW_MARK = -1   # never a token id
 
 
 def token_logp(encoded: DataFrame, ids: str = "input_ids") -> DataFrame:
@@ -34,12 +35,15 @@ def score_batches(masked: DataFrame, nll: DataFrame, keys: list[str] = BATCH_KEY
     """H1/H2: (keys, n_rows, n_masked, loss, error).  A batch with no
     masked token, or one the ``failed`` rule marks, has a null loss and
     an error text; callers skip those (H2)."""
-    per = masked.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-    toks = (masked.select(*keys, F.explode("labels").alias("id"))
-                  .filter(F.col("id") != IGNORE)
-                  .join(F.broadcast(nll), "id")
-                  .groupBy(*keys).agg(F.count(F.lit(1)).alias("n_masked"), F.avg("nll").alias("_loss")))
-    out = per.join(toks, keys, "left").withColumn("n_masked", F.coalesce("n_masked", F.lit(0)))
+    # one pass: a sentinel element per row counts rows; the rest are the
+    # masked labels (partial aggregation before the shuffle on the keys)
+    marked = F.concat(F.array(F.lit(ROW_MARK).cast("bigint")), F.filter("labels", lambda x: x != IGNORE))
+    toks = (masked.select(*keys, F.explode(marked).alias("id"))
+                  .join(F.broadcast(nll), "id", "left")
+                  .groupBy(*keys).agg(F.count_if(F.col("id") == ROW_MARK).alias("n_rows"),
+                                      F.count_if(F.col("id") != ROW_MARK).alias("n_masked"),
+                                      F.avg("nll").alias("_loss")))
+    out = toks
     bad = failed(F.col("phase"), F.col("micro_step")) if failed else F.lit(False)
     err = F.when(bad, F.lit("injected failure")).when(F.col("n_masked") == 0, F.lit("no masked tokens"))
     return (out.withColumn("error", err)

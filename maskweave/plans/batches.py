@@ -19,6 +19,7 @@ from maskweave.operators import position as P
 from maskweave.operators import vocab as V
 from maskweave.plans import curriculum as CU
 from maskweave.plans.config import RunConfig
+from maskweave.session import materialize
 from maskweave.sources import corpus as C
 
 
@@ -48,7 +49,9 @@ def training_data(corpus: DataFrame, vocab: DataFrame, cfg: RunConfig, kind: str
     t = C.resolve_text(corpus, text_mode, keys=(key,))
     pos = P.with_position(t, order=(key,))
     n = pos.count()
-    enc = EN.encode(pos, vocab, kind, keys=(key, "pos"), merges=merges)
+    # the positioned, encoded corpus is written once: later steps (slices,
+    # frequencies, scores) read it instead of encoding again
+    enc = materialize(EN.encode(pos, vocab, kind, keys=(key, "pos"), merges=merges), "encoded")
     mb = CU.micro_batches(CU.shuffled(CU.slices(enc, cfg, n), cfg, key), cfg)
     specials = EN.special_ids(vocab)
     masked = CO.mlm_mask(mb.select(*[c for c in mb.columns if c != "special_tokens_mask"]),

@@ -21,12 +21,12 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
           .config("spark.sql.session.timeZone", "UTC")
           .config("spark.sql.execution.arrow.pyspark.enabled", "true")
           .config("spark.ui.enabled", "false")
-          .config("spark.ui.showConsoleProgress", "false")
-          # iterative jobs (merge rounds) keep plans of cached parents;
-          # never let their description strings grow without bound
-          .config("spark.sql.maxPlanStringLength", str(1 << 20)))
+          .config("spark.ui.showConsoleProgress", "false"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        b = b.config("spark.driver.memory", os.environ.get("MASKWEAVE_DRIVER_MEMORY", "16g"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_root(spark)
@@ -39,6 +39,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     Read from the session; only when it is unset (local tests) is a folder
     chosen here, so a cluster's shared location always wins.
     """
+    _session_defaults(spark)
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
@@ -53,6 +54,28 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+# SQL settings this library relies on, applied only where the session has
+# not set them: rows carry token arrays of up to tens of thousands of ids, so
+# the vectorized Parquet reader gets smaller batches; iterative jobs must not
+# build unbounded plan strings.
+_DEFAULTS = {
+    "spark.sql.parquet.columnarReaderBatchSize": "512",
+    "spark.sql.maxPlanStringLength": str(1 << 20),
+}
+
+
+def _session_defaults(spark: SparkSession) -> None:
+    conf = spark.sparkContext.getConf()
+    for k, v in _DEFAULTS.items():
+        if not conf.contains(k) and spark.conf.get(k, None) in (None, _builtin_default(spark, k)):
+            spark.conf.set(k, v)
+
+
+def _builtin_default(spark: SparkSession, key: str):
+    return {"spark.sql.parquet.columnarReaderBatchSize": "4096",
+            "spark.sql.maxPlanStringLength": str(2147483632)}.get(key)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
