@@ -27,7 +27,7 @@ def q(name, sql=None):
 @q("stream_encode", ENC_SQL["wordpiece_encode"])
 def stream_encode(spark, sf):
     src = ST.stream_table(spark, sf, "documents")
-    out = spark.read.parquet(ST.stream_encode(src, test_vocab(spark, sf)))
+    out = spark.read.parquet(ST.stream_encode(src, test_vocab(spark, sf))).drop("batch_id")
     return out.select("doc_id", F.size("input_ids").cast("bigint").alias("n_tokens"),
                       EN.ids_string("input_ids").alias("ids"))
 

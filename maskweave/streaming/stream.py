@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from maskweave.operators import encode as EN
 from maskweave.operators import words as WD
-from maskweave.session import scratch_path
+from maskweave.session import scratch_path, spread
 from maskweave.sources import corpus as C
 
 
@@ -41,14 +41,25 @@ def _run(writer, until_done: bool = True):
 def stream_encode(stream: DataFrame, vocab: DataFrame, kind: str = "wordpiece", text_mode: str = "key",
                   sink: str | None = None, checkpoint: str | None = None, merges: DataFrame | None = None,
                   key: str = "doc_id") -> str:
-    """K1: stream -> text choice -> encode (mapInPandas) -> append Parquet.
-    Returns the sink folder."""
+    """K1: stream -> text choice -> encode -> Parquet.  Returns the sink.
+
+    Each micro-batch is encoded as a batch DataFrame (so a small batch is
+    spread over the cores before the Python step) and written with an
+    idempotent overwrite into ``batch_id=<n>``: a replayed batch after a
+    failure replaces its own output, so the sink stays exactly-once."""
     spark = stream.sparkSession
     sink = sink or scratch_path(spark, "stream-encode")
     checkpoint = checkpoint or scratch_path(spark, "stream-encode-ckpt")
-    enc = EN.encode(C.resolve_text(stream, text_mode, keys=(key,)), vocab, kind, keys=(key,), merges=merges)
-    _run(enc.writeStream.format("parquet").option("path", sink)
-            .option("checkpointLocation", checkpoint).outputMode("append"))
+    model = EN.token_model(vocab, kind, merges)   # collected once, broadcast per batch
+    specials = EN.special_ids(vocab)
+    text = C.resolve_text(stream, text_mode, keys=(key,))
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        words = spread(batch).select(key, F.col("text").alias("_text"))
+        enc = EN.with_masks(EN.encode_words(words, "_text", model, [key]), specials)
+        enc.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+
+    _run(text.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint))
     return sink
 
 
