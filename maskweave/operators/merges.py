@@ -1,10 +1,14 @@
 """Pair-merge vocabulary learning.
 
 The word-type table W (one row per distinct word: delimited symbol string
-``sy`` and count ``n``) stays distributed.  Each round counts adjacent
-symbol pairs with one hash aggregate over W, brings only the top K+1
-pairs to the driver, and applies the chosen merges with nested literal
-``replace`` calls (left to right, non-overlapping, codegen'd).
+``sy`` and count ``n``) stays distributed and cached.  Each round counts
+adjacent symbol pairs with one hash aggregate over W (partial aggregation
+before the shuffle), brings only the top K+1 pairs to the driver, and
+applies the chosen merges with nested literal ``replace`` calls (left to
+right, non-overlapping, codegen'd).  Words left with one symbol are
+dropped when lineage is cut.  (Incremental pair-count maintenance was
+measured too: three aggregates and a write per round made it slower than
+one aggregate over the cached W at every size we could run.)
 
 Several merges per round give exactly the one-at-a-time result: walking
 down the ranked pairs, stop at the first pair that shares a symbol with a
@@ -81,27 +85,6 @@ def top_pairs(p: DataFrame, k: int) -> list:
     return [{"left": r["left"][o:], "right": r["right"][o:], "n": r["n"]} for r in got]
 
 
-def _touched(chosen: list) -> Column:
-    o, c = TX.SYM_OPEN, TX.SYM_CLOSE
-    cond = None
-    for l, r, _, _, _ in chosen:
-        hit = F.col("sy").contains(f"{o}{l}{c}{o}{r}{c}")
-        cond = hit if cond is None else (cond | hit)
-    return cond
-
-
-def update_pairs(p: DataFrame, w: DataFrame, chosen: list) -> DataFrame:
-    """Incremental pair counts: only words containing a chosen pair are
-    re-exploded -- their old pairs count -n, their merged pairs +n -- and
-    the small delta is folded into P with one aggregate."""
-    aff = w.filter(_touched(chosen))
-    old = marked_pair_counts(aff).withColumn("n", -F.col("n"))
-    new = marked_pair_counts(apply_merges(aff, chosen))
-    return (p.unionByName(old).unionByName(new)
-             .groupBy("left", "right").agg(F.sum("n").cast("bigint").alias("n"))
-             .filter(F.col("n") > 0))
-
-
 def multi_symbol(w: DataFrame) -> DataFrame:
     """Words with one symbol left can never form a pair again."""
     return w.filter(F.size(F.split(F.col("sy"), TX.SYM_CLOSE)) > 2)
@@ -141,7 +124,7 @@ def apply_merges(w: DataFrame, chosen: list) -> DataFrame:
     sy = F.col("sy")
     for l, r, m, _, _ in chosen:
         sy = F.replace(sy, F.lit(f"{o}{l}{c}{o}{r}{c}"), F.lit(f"{o}{m}{c}"))
-    return w.select(sy.alias("sy"), "n")
+    return w.withColumn("sy", sy)
 
 
 def alphabet_pieces(w: DataFrame, kind: str) -> list[str]:
@@ -165,7 +148,7 @@ def _cp(p: str) -> tuple:
 
 def learn_merges(word_counts: DataFrame, kind: str = "wordpiece", vocab_size: int | None = 32768,
                  max_merges: int | None = None, min_pair_n: int = 2, per_round: int = 64,
-                 checkpoint_every: int = 4) -> MergeModel:
+                 checkpoint_every: int = 8) -> MergeModel:
     """D6 (wordpiece), D7 (bpe over SentencePiece pieces), D9 (byte).
 
     ``word_counts``: (word, n).  Stops when the vocabulary reaches
@@ -179,10 +162,7 @@ def learn_merges(word_counts: DataFrame, kind: str = "wordpiece", vocab_size: in
     base = word_table(word_counts, kind).persist(StorageLevel.MEMORY_AND_DISK)
     alphabet = alphabet_pieces(base, kind)
     w = multi_symbol(base)
-    p = marked_pair_counts(w).persist(StorageLevel.MEMORY_AND_DISK)
-    # p_k is computed from w_(k-1), which is first materialised while p_k
-    # is; so after reading p_k, frames older than w_(k-1) and p_k can go.
-    ws, ps = [base], [p]
+    held = [base]   # persisted word tables; the newest is materialised by the next count
     specials = V.reserved_pieces("sentencepiece" if kind == "bpe" else "wordpiece")
     pieces = [q for q, _ in specials]
     pieces += [q for q in alphabet if q not in set(pieces)]
@@ -195,29 +175,25 @@ def learn_merges(word_counts: DataFrame, kind: str = "wordpiece", vocab_size: in
         if (budget is not None and budget <= 0) or (left is not None and left <= 0):
             break
         k = per_round if left is None else min(per_round, left)
-        ranked = top_pairs(p, k + 1)
-        for x in ws[:-2] + ps[:-1]:
+        ranked = top_pairs(marked_pair_counts(w), k + 1)
+        for x in held[:-1]:  # the newest table is cached now; its parents can go
             x.unpersist()
-        ws, ps = ws[-2:], ps[-1:]
+        held = held[-1:]
         chosen = choose_round(ranked, k, kind, known, budget, min_pair_n)
         if not chosen:
             break
         rounds += 1
-        p_next = update_pairs(p, w, chosen)
-        w_next = apply_merges(w, chosen)
-        if rounds % checkpoint_every == 0:  # cut lineage of both tables
-            p_next = materialize(p_next, "merge-pairs")
-            w_next = materialize(multi_symbol(w_next), "merge-words")
-        p = p_next.persist(StorageLevel.MEMORY_AND_DISK)
-        w = w_next.persist(StorageLevel.MEMORY_AND_DISK)
-        ws.append(w)
-        ps.append(p)
+        nxt = apply_merges(w, chosen)
+        if rounds % checkpoint_every == 0:  # cut lineage; drop finished words
+            nxt = materialize(multi_symbol(nxt), "merge-words")
+        w = nxt.persist(StorageLevel.MEMORY_AND_DISK)
+        held.append(w)
         for l, r, m, n, is_new in chosen:
             merges.append((len(merges) + 1, l, r, m, int(n)))
             if is_new:
                 known.add(m)
                 pieces.append(m)
-    for x in ws[:-1] + ps:
+    for x in held[:-1]:
         x.unpersist()
     mdf = spark.createDataFrame(merges, "rank int, left string, right string, merged string, n bigint")
     roles = dict(specials)
