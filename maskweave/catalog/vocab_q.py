@@ -11,7 +11,6 @@ from maskweave.operators import encode as EN
 from maskweave.operators import merges as M
 from maskweave.operators import vocab as V
 from maskweave.operators import words as WD
-from maskweave.sources import corpus as C
 
 QUERIES = {}
 ORACLES = {}

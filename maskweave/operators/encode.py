@@ -12,12 +12,10 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maskweave.functions import text as TX
-from maskweave.operators import vocab as V
 from maskweave.operators import words as WD
 
 MAX_BROADCAST_PIECES = 1_000_000   # a vocabulary beyond this is not broadcast
