@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,10 +30,39 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         b = b.config("spark.driver.memory", os.environ.get("MASKWEAVE_DRIVER_MEMORY", "16g"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    prepare(spark)
+    return spark
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Everything a query needs from a session it did not create: the
+    shared checkpoint folder and this package on the Python workers."""
     checkpoint_root(spark)
+    ship_code(spark)
     return spark
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Zip this package and register it with ``addPyFile`` so Python
+    workers (local or on executors) import the same code; once per
+    context."""
+    sc = spark.sparkContext
+    if getattr(sc, "_maskweave_shipped", False):
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(os.path.dirname(pkg), "build")
+    os.makedirs(out, exist_ok=True)
+    path = os.path.join(out, f"maskweave-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(path)
+    sc._maskweave_shipped = True
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
