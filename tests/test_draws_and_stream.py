@@ -41,3 +41,18 @@ def test_spread_is_noop_when_split_enough(spark):
     assert spread(wide) is wide
     narrow = spark.range(0, 1000, numPartitions=1)
     assert spread(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_stream_word_counts_resume_from_checkpoint(spark, tmp_path):
+    from maskweave.operators import words as WD
+
+    src, sink, ckpt = str(tmp_path / "src"), str(tmp_path / "sink"), str(tmp_path / "ckpt")
+    d = docs(spark, SF_SMALL).select("doc_id", "text")
+    d.filter("doc_id < 100").write.parquet(src)
+    ST.stream_word_counts(ST.stream_table(spark, src, "part-*"), sink=sink, checkpoint=ckpt)
+    d.filter("doc_id >= 100").write.mode("append").parquet(src)   # new files arrive
+    ST.stream_word_counts(ST.stream_table(spark, src, "part-*"), sink=sink, checkpoint=ckpt)
+    got = spark.read.parquet(sink)
+    want = WD.wordpiece_words(d)
+    assert got.count() == want.count()
+    assert got.exceptAll(want).count() == 0
