@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 import zipfile
 
@@ -27,7 +28,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if master and master.startswith("local"):
         # local mode: the driver JVM is the only executor
-        b = b.config("spark.driver.memory", os.environ.get("MASKWEAVE_DRIVER_MEMORY", "16g"))
+        b = b.config("spark.driver.memory", os.environ.get("MASKWEAVE_DRIVER_MEMORY", "8g"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     prepare(spark)
@@ -50,9 +51,8 @@ def ship_code(spark: SparkSession) -> None:
     if getattr(sc, "_maskweave_shipped", False):
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
-    out = os.path.join(os.path.dirname(pkg), "build")
-    os.makedirs(out, exist_ok=True)
-    path = os.path.join(out, f"maskweave-{uuid.uuid4().hex[:8]}.zip")
+    out = tempfile.TemporaryDirectory(prefix="maskweave-code-")
+    path = os.path.join(out.name, "maskweave_code.zip")
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
         for root, _, files in os.walk(pkg):
             for f in files:
@@ -60,52 +60,32 @@ def ship_code(spark: SparkSession) -> None:
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     sc.addPyFile(path)
-    sc._maskweave_shipped = True
+    sc._maskweave_shipped = out  # the folder lives as long as the context
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) is a folder
-    chosen here, so a cluster's shared location always wins.
+    Read from the session.  Only a local master, where the driver is the
+    only executor, gets a folder of its own when the setting is unset; on a
+    cluster that is an error, because executors do not share local disks.
     """
-    _session_defaults(spark)
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+        "spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        current = sc.getCheckpointDir()
-        if current:
-            return current
-        root = os.environ.get("MASKWEAVE_LOCAL_CHECKPOINT", "/tmp/maskweave-checkpoints")
+        master = sc.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir is unset and the master is {master!r}: "
+                             "name a folder that the driver and all executors share")
+        root = os.environ.get("MASKWEAVE_LOCAL_CHECKPOINT") or tempfile.mkdtemp(
+            prefix="maskweave-checkpoints-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root
 
 
-# SQL settings this library relies on, applied only where the session has
-# not set them: rows carry token arrays of up to tens of thousands of ids, so
-# the vectorized Parquet reader gets smaller batches; iterative jobs must not
-# build unbounded plan strings.
-_DEFAULTS = {
-    "spark.sql.parquet.columnarReaderBatchSize": "512",
-    "spark.sql.maxPlanStringLength": str(1 << 20),
-}
-
-
-def _session_defaults(spark: SparkSession) -> None:
-    conf = spark.sparkContext.getConf()
-    for k, v in _DEFAULTS.items():
-        if not conf.contains(k) and spark.conf.get(k, None) in (None, _builtin_default(spark, k)):
-            spark.conf.set(k, v)
-
-
-def _builtin_default(spark: SparkSession, key: str):
-    return {"spark.sql.parquet.columnarReaderBatchSize": "4096",
-            "spark.sql.maxPlanStringLength": str(2147483632)}.get(key)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
