@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from maskweave.llm import exact_dedup, near_dedup
+from maskweave.llm import bpe, exact_dedup, language_id, near_dedup
 from maskweave.llm.common import table
 from maskweave.session import prepare
 
@@ -58,7 +58,32 @@ from words w join reach using (doc_id) left join size using (doc_id)
 group by w.doc_id
 """
 
-QUERIES = {"op5_exact_dedup": op5_exact_dedup, "op9_near_dedup": op9_near_dedup}
+def remainder(n: int):
+    """crc32 of doc_id as text, modulo n; null for a null doc_id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op4_byte_bpe(spark, sf):
+    """Digests of the ids of every document and of their decoded bytes."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ids = bpe.encode(table(spark, sf, "documents"), path, public_tokenizers.PATTERN)
+    return bpe.decode(ids, path).select(
+        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op10_language_id(spark, sf):
+    """The language of every document, learned from the rows of remainder 0 and 2."""
+    docs = table(spark, sf, "documents")
+    model = language_id.fit(docs.where(remainder(3) != 1))
+    return language_id.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+QUERIES = {"op5_exact_dedup": op5_exact_dedup, "op4_byte_bpe": op4_byte_bpe, "op9_near_dedup": op9_near_dedup,
+           "op10_language_id": op10_language_id}
 ORACLES = {"op5_exact_dedup": OP5_SQL, "op9_near_dedup": OP9_SQL}
 
 
