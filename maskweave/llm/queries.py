@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from maskweave.llm import bpe, exact_dedup, language_id, near_dedup
+from maskweave.llm import bpe, decontaminate, exact_dedup, language_id, near_dedup
 from maskweave.llm.common import table
 from maskweave.session import prepare
 
@@ -74,6 +74,11 @@ def op4_byte_bpe(spark, sf):
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_decontamination(spark, sf):
+    """Every document that aligns with a test item, with that item."""
+    return decontaminate.matches(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op10_language_id(spark, sf):
     """The language of every document, learned from the rows of remainder 0 and 2."""
     docs = table(spark, sf, "documents")
@@ -82,8 +87,8 @@ def op10_language_id(spark, sf):
         "doc_id", F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
-QUERIES = {"op5_exact_dedup": op5_exact_dedup, "op4_byte_bpe": op4_byte_bpe, "op9_near_dedup": op9_near_dedup,
-           "op10_language_id": op10_language_id}
+QUERIES = {"op5_exact_dedup": op5_exact_dedup, "op4_byte_bpe": op4_byte_bpe, "op8_decontamination": op8_decontamination,
+           "op9_near_dedup": op9_near_dedup,            "op10_language_id": op10_language_id}
 ORACLES = {"op5_exact_dedup": OP5_SQL, "op9_near_dedup": OP9_SQL}
 
 
