@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from maskweave.llm import bpe, decontaminate, exact_dedup, language_id, near_dedup
+from maskweave.llm import bpe, decontaminate, exact_dedup, language_id, near_dedup, warc
 from maskweave.llm.common import table
 from maskweave.session import prepare
 
@@ -74,6 +74,27 @@ def op4_byte_bpe(spark, sf):
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_warc(spark, sf):
+    """Every page written to WARC archives and read back."""
+    return warc.round_trip(table(spark, sf, "pages")).select(
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP7_SQL = """
+with d as (select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as hex from pages),
+g as (select *, min(page_id) over (partition by hex) as first from d)
+select page_id, payload_bytes,
+  array_to_string(list_transform(range(0, 8), lambda k:
+    array_to_string(list_transform(range(0, 4), lambda j:
+      substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+             1 + (((('0x' || substr(hex, 5 * k + 1, 5))::bigint) >> (15 - 5 * j)) & 31)::int, 1)), '')), '')
+    as payload_digest,
+  case when page_id = first then 'response' else 'revisit' end as record_type,
+  case when page_id != first then first end as refers_to
+from g
+"""
+
+
 def op8_decontamination(spark, sf):
     """Every document that aligns with a test item, with that item."""
     return decontaminate.matches(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
@@ -87,9 +108,9 @@ def op10_language_id(spark, sf):
         "doc_id", F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
-QUERIES = {"op5_exact_dedup": op5_exact_dedup, "op4_byte_bpe": op4_byte_bpe, "op8_decontamination": op8_decontamination,
+QUERIES = {"op5_exact_dedup": op5_exact_dedup, "op4_byte_bpe": op4_byte_bpe, "op7_warc": op7_warc, "op8_decontamination": op8_decontamination,
            "op9_near_dedup": op9_near_dedup,            "op10_language_id": op10_language_id}
-ORACLES = {"op5_exact_dedup": OP5_SQL, "op9_near_dedup": OP9_SQL}
+ORACLES = {"op5_exact_dedup": OP5_SQL, "op7_warc": OP7_SQL, "op9_near_dedup": OP9_SQL}
 
 
 def _prepared(fn):
