@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from maskweave.llm import bpe, decontaminate, exact_dedup, html_extract, language_id, near_dedup, warc
+from maskweave.llm import bpe, brown, decontaminate, exact_dedup, html_extract, language_id, near_dedup, warc
 from maskweave.llm.common import table
 from maskweave.session import prepare
 
@@ -14,6 +14,13 @@ def op1_html_extraction(spark, sf):
     return html_extract.extract(table(spark, sf, "pages"))
 
 
+def op2_lm_scoring(spark, sf):
+    """Brown-class and unigram scores of every document, learned from the
+    rows of a remainder other than 0."""
+    docs = table(spark, sf, "documents")
+    return brown.train_and_score(docs, remainder(10) != 0)
+
+
 def op5_exact_dedup(spark, sf):
     """The group of every document, by a digest index that starts empty."""
     return exact_dedup.classify(table(spark, sf, "documents")).select(
@@ -113,7 +120,8 @@ def op10_language_id(spark, sf):
         "doc_id", F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
-QUERIES = {"op1_html_extraction": op1_html_extraction, "op5_exact_dedup": op5_exact_dedup, "op4_byte_bpe": op4_byte_bpe, "op7_warc": op7_warc, "op8_decontamination": op8_decontamination,
+QUERIES = {"op1_html_extraction": op1_html_extraction, "op2_lm_scoring": op2_lm_scoring,
+           "op5_exact_dedup": op5_exact_dedup, "op4_byte_bpe": op4_byte_bpe, "op7_warc": op7_warc, "op8_decontamination": op8_decontamination,
            "op9_near_dedup": op9_near_dedup,            "op10_language_id": op10_language_id}
 ORACLES = {"op5_exact_dedup": OP5_SQL, "op7_warc": OP7_SQL, "op9_near_dedup": OP9_SQL}
 
