@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from maskweave.llm import bpe, brown, decontaminate, exact_dedup, html_extract, language_id, near_dedup, warc
+from maskweave.llm import bpe, brown, decontaminate, exact_dedup, html_extract, language_id, licenses, near_dedup, warc
 from maskweave.llm.common import table
 from maskweave.session import prepare
 
@@ -75,6 +75,11 @@ def remainder(n: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
 
 
+def op3_license_scan(spark, sf):
+    """The licences that documents state or contain, with their spans."""
+    return licenses.scan(table(spark, sf, "documents"))
+
+
 def op4_byte_bpe(spark, sf):
     """Digests of the ids of every document and of their decoded bytes."""
     import public_tokenizers
@@ -121,7 +126,7 @@ def op10_language_id(spark, sf):
 
 
 QUERIES = {"op1_html_extraction": op1_html_extraction, "op2_lm_scoring": op2_lm_scoring,
-           "op5_exact_dedup": op5_exact_dedup, "op4_byte_bpe": op4_byte_bpe, "op7_warc": op7_warc, "op8_decontamination": op8_decontamination,
+           "op5_exact_dedup": op5_exact_dedup, "op3_license_scan": op3_license_scan, "op4_byte_bpe": op4_byte_bpe, "op7_warc": op7_warc, "op8_decontamination": op8_decontamination,
            "op9_near_dedup": op9_near_dedup,            "op10_language_id": op10_language_id}
 ORACLES = {"op5_exact_dedup": OP5_SQL, "op7_warc": OP7_SQL, "op9_near_dedup": OP9_SQL}
 
