@@ -97,8 +97,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     back.  Cuts lineage, fixes non-deterministic columns (ids, draws) once,
     and survives executor loss because the files live on shared storage."""
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out._maskweave_path = path
+    return out
+
+
+def discard(*dfs: DataFrame) -> None:
+    """Deletes the files of materialised tables that nothing reads any more."""
+    for df in dfs:
+        path = getattr(df, "_maskweave_path", None)
+        if path:
+            spark = df.sparkSession
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
