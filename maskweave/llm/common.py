@@ -3,13 +3,15 @@ tasks, attaching group results without a hot task, connected components."""
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskweave.session import materialize
+from maskweave.session import materialize, scratch_path
 
 #: A group is hot when it holds more than one row in HOT_SHARE; there are at
 #: most HOT_SHARE such groups, whatever the size of the table.
@@ -41,6 +43,21 @@ def attach_group(rows: DataFrame, groups: DataFrame, key: str, size: str) -> Dat
     return in_hot.unionByName(rest.select(*in_hot.columns))
 
 
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """``df`` written to the shared folder as a table in buckets of ``key``:
+    joins and groups on ``key`` do not move its rows.  Each task writes its
+    own rows, nothing is shuffled for it."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    known = f"mw_{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.write.mode("errorifexists").format("parquet").option("compression", "zstd").option("path", path)
+     .bucketBy(n, key).sortBy(key).saveAsTable(known))
+    out = spark.table(known)
+    out._maskweave_path = path
+    return out
+
+
 # ---------------------------------------------------------------- words
 
 _MASK = (1 << 64) - 1

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from maskweave.llm import bpe, brown, decontaminate, exact_dedup, html_extract, language_id, licenses, near_dedup, warc
+from maskweave.llm import bpe, brown, decontaminate, exact_dedup, html_extract, language_id, licenses, near_dedup, suffix_dedup, warc
 from maskweave.llm.common import table
 from maskweave.session import prepare
 
@@ -91,6 +91,39 @@ def op4_byte_bpe(spark, sf):
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_suffix_dedup(spark, sf):
+    """What is left of every document without 50-byte strings that a document
+    with a smaller doc_id has."""
+    return suffix_dedup.report(table(spark, sf, "documents"))
+
+
+OP6_SQL = """
+with h as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+w as materialized (
+  select doc_id, s, substr(h, 2 * s + 1, 100) as w
+  from (select doc_id, h, unnest(range(0, greatest(length(h) // 2 - 49, 0))) as s from h)),
+low as (select w, min(doc_id) as least from w group by w),
+hit as (select doc_id, s from w join low using (w) where least < doc_id),
+marked as (
+  select doc_id, s, case when s <= lag(s) over (partition by doc_id order by s) + 50 then 0 else 1 end as opens
+  from hit),
+numbered as (select doc_id, s, sum(opens) over (partition by doc_id order by s) as k from marked),
+span as (select doc_id, k, min(s) as a, max(s) + 50 as z from numbered group by doc_id, k),
+gap as (
+  select doc_id, a, z, coalesce(lag(z) over (partition by doc_id order by a), 0) as from_, 0 as last from span
+  union all
+  select doc_id, null, null, coalesce(max(z), 0), 1 from (select doc_id from h) left join span using (doc_id)
+  group by doc_id),
+left_ as (
+  select doc_id, count(a) as n_spans, coalesce(sum(z - a), 0) as n_removed,
+         string_agg(substr(h, 2 * from_ + 1, 2 * (coalesce(a, length(h) // 2) - from_)), '' order by from_, last) as kept
+  from gap join h using (doc_id) group by doc_id)
+select doc_id, (length(h) // 2)::bigint as n_bytes, n_removed::bigint as n_removed, n_spans::bigint as n_spans,
+       sha256(unhex(kept)) as kept_sha256
+from left_ join h using (doc_id)
+"""
+
+
 def op7_warc(spark, sf):
     """Every page written to WARC archives and read back."""
     return warc.round_trip(table(spark, sf, "pages")).select(
@@ -126,9 +159,9 @@ def op10_language_id(spark, sf):
 
 
 QUERIES = {"op1_html_extraction": op1_html_extraction, "op2_lm_scoring": op2_lm_scoring,
-           "op5_exact_dedup": op5_exact_dedup, "op3_license_scan": op3_license_scan, "op4_byte_bpe": op4_byte_bpe, "op7_warc": op7_warc, "op8_decontamination": op8_decontamination,
+           "op5_exact_dedup": op5_exact_dedup, "op3_license_scan": op3_license_scan, "op4_byte_bpe": op4_byte_bpe, "op6_suffix_dedup": op6_suffix_dedup, "op7_warc": op7_warc, "op8_decontamination": op8_decontamination,
            "op9_near_dedup": op9_near_dedup,            "op10_language_id": op10_language_id}
-ORACLES = {"op5_exact_dedup": OP5_SQL, "op7_warc": OP7_SQL, "op9_near_dedup": OP9_SQL}
+ORACLES = {"op5_exact_dedup": OP5_SQL, "op6_suffix_dedup": OP6_SQL, "op7_warc": OP7_SQL, "op9_near_dedup": OP9_SQL}
 
 
 def _prepared(fn):
