@@ -31,23 +31,28 @@ ORACLE_SQL = None
 
 
 def identify_language(spark, docs, sf_dir):
+    prepare(spark)
     found = language_id.predict(docs, language_id.fit(docs))
     return found.where("lang_pred != 'und' and not ambiguous").select(*docs.columns)
 
 
 def drop_exact_copies(spark, docs, sf_dir):
+    prepare(spark)
     return exact_dedup.deduplicate(docs)
 
 
 def drop_near_copies(spark, docs, sf_dir):
+    prepare(spark)
     return near_dedup.deduplicate(docs, size=5, percent=80)
 
 
 def drop_benchmark_passages(spark, docs, sf_dir):
+    prepare(spark)
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def encode_and_decode(spark, docs, sf_dir):
+    prepare(spark)
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path).select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
