@@ -32,12 +32,11 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskweave.llm.common import mix, word_slices
-from maskweave.session import materialize
+from maskweave.llm.common import bucketed, mix, text_bytes, word_slices
+from maskweave.session import discard, materialize
 
 CORE, CLASSES, SWEEPS = 1024, 64, 8
 #: Tokens in a block.
@@ -47,15 +46,19 @@ MIXED = 0.8
 ADD = 0.1
 
 END = mix(np.array([0xE0D], np.uint64))[0]
-_BLOCK = ("block string, doc_ids array<long>, rows array<long>, train array<boolean>, more array<boolean>, "
+_BLOCK = ("block long, task long, doc_ids array<long>, rows array<long>, train array<boolean>, more array<boolean>, "
           "sizes array<int>, tokens binary, words array<long>, counts array<int>")
 
 
+def _draw() -> int:
+    return uuid.uuid4().int >> 65
+
+
 class _Blocks:
     """Gathers texts into blocks."""
 
     def __init__(self):
-        self.name, self.parts = uuid.uuid4().hex, 0
+        self.task = _draw()
         self.clear()
 
     def clear(self):
@@ -81,18 +84,24 @@ class _Blocks:
 
     def flush(self):
         tokens = np.concatenate(self.held)
-        words, local = np.unique(tokens, return_inverse=True)
+        words, local, n = np.unique(tokens, return_inverse=True, return_counts=True)
+        # frequent words get small numbers, and each byte of the numbers is
+        # stored apart from the others: both pack well
+        order = np.argsort(-n, kind="stable")
+        place = np.empty(len(words), np.uint32)
+        place[order] = np.arange(len(words))
+        words, local = words[order], place[local]
+        packed = np.ascontiguousarray(local.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
         # context tokens and held-out texts are not counted
         counted = np.repeat(np.array(self.train), self.sizes)
         begin = np.cumsum(self.sizes) - self.sizes
         counted[begin[np.array(self.more)]] = False
         counts = np.bincount(local[counted], minlength=len(words))
-        self.parts += 1
         out = pa.RecordBatch.from_arrays([
-            pa.array([f"{self.name}-{self.parts}"]), pa.array([self.ids], pa.list_(pa.int64())),
+            pa.array([_draw()]), pa.array([self.task]), pa.array([self.ids], pa.list_(pa.int64())),
             pa.array([self.rows], pa.list_(pa.int64())), pa.array([self.train], pa.list_(pa.bool_())),
             pa.array([self.more], pa.list_(pa.bool_())), pa.array([self.sizes], pa.list_(pa.int32())),
-            pa.array([local.astype("<u4").tobytes()], pa.binary()),
+            pa.array([packed], pa.binary()),
             pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pa.array(words.view(np.int64))),
             pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pa.array(counts.astype(np.int32)))],
             [c.split()[0] for c in _BLOCK.split(", ")])
@@ -117,7 +126,8 @@ def _block(batches):
 def _open(b, k):
     """Arrays of the k-th block of a batch."""
     sizes = b.column("sizes")[k].values.to_numpy()
-    tokens = np.frombuffer(b.column("tokens")[k].as_buffer(), "<u4")
+    planes = np.frombuffer(b.column("tokens")[k].as_buffer(), np.uint8).reshape(4, -1)
+    tokens = np.ascontiguousarray(planes.T).view("<u4").ravel()
     train = np.array(b.column("train")[k].as_py(), bool)
     more = np.array(b.column("more")[k].as_py(), bool)
     begin = np.cumsum(sizes) - sizes
@@ -191,8 +201,8 @@ def exchange(pairs: np.ndarray, counts: np.ndarray, classes: int = CLASSES, swee
 
 
 def _events(core, cls, classes):
-    """Per block and word outside the core: classes of the neighbours; codes
-    0..classes-1 follow the word, classes.. come before it."""
+    """Per block and word outside the core: a code for each neighbour of the
+    core, two bytes each; 0..classes-1 follow the word, classes.. precede it."""
     def run(batches):
         names = np.append(cls.value, -1)
         for b in batches:
@@ -207,13 +217,14 @@ def _events(core, cls, classes):
                 after, before = (ka < 0) & (kz >= 0), (kz < 0) & (ka >= 0)
                 event = np.concatenate([a[after] * 2 * classes + kz[after],
                                         z[before] * 2 * classes + classes + ka[before]])
-                event, n = np.unique(event, return_counts=True)
+                event.sort()
                 word, start = np.unique(event // (2 * classes), return_index=True)
-                off = pa.array(np.append(start, len(event)).astype(np.int32))
+                off = np.append(start, len(event)).astype(np.int32) * 2
+                codes = (event % (2 * classes)).astype("<u2").tobytes()
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(words[word]),
-                    pa.ListArray.from_arrays(off, pa.array((event % (2 * classes)).astype(np.int16))),
-                    pa.ListArray.from_arrays(off, pa.array(n.astype(np.int32)))], ["word", "codes", "ns"])
+                    pa.array(words[word]), pa.Array.from_buffers(
+                        pa.binary(), len(word), [None, pa.py_buffer(off.tobytes()), pa.py_buffer(codes)])],
+                    ["word", "codes"])
     return run
 
 
@@ -225,12 +236,18 @@ def _assign(log_p):
         for b in batches:
             if not b.num_rows:
                 continue
-            codes, ns = b.column(1), b.column(2)
-            off = codes.offsets.to_numpy() - codes.offsets[0].as_py()
-            values = table[codes.flatten().to_numpy()] * ns.flatten().to_numpy()[:, None]
+            off, codes = text_bytes(b.column(1))
+            codes, off = codes[off[0]:off[-1]].view("<u2"), (off - off[0]) // 2
+            # codes may be many: count them per row, then weigh the counts
+            at = np.repeat(np.arange(b.num_rows), np.diff(off))
+            kinds = len(table)
+            found, n = np.unique(at * kinds + codes, return_counts=True)
+            rows = found // kinds
+            values = table[found % kinds] * n[:, None]
+            off = np.searchsorted(rows, np.arange(b.num_rows))
             words = b.column(0).to_numpy()
             new = np.flatnonzero(np.append(True, words[1:] != words[:-1]))
-            sums = np.add.reduceat(values, off[:-1][new])
+            sums = np.add.reduceat(values, off[new])
             names = words[new]
             if word is not None:
                 if names[0] == word:
@@ -254,8 +271,8 @@ def _known(b, k):
     n = b.column("n_words")[k].as_py()
     c, cls = np.zeros(n, np.int64), np.full(n, -1, np.int64)
     at = b.column("place")[k].values.to_numpy()
-    c[at] = b.column("c")[k].values.to_numpy()
-    cls[at] = b.column("class")[k].values.to_numpy()
+    known = b.column("known")[k].values.to_numpy()
+    c[at], cls[at] = known >> 15, known & 0x7FFF
     return c, cls
 
 
@@ -302,13 +319,13 @@ def _score(model):
                 own = np.ones(len(tokens))
                 own[begin[more]] = 0  # context only
                 yield pa.RecordBatch.from_arrays([
-                    b.column("block").take(pa.array([k] * len(sizes))).cast(pa.string()),
+                    b.column("task").take(pa.array([k] * len(sizes))),
                     b.column("rows")[k].values, b.column("doc_ids")[k].values, pa.array(~train),
                     pa.array(np.add.reduceat(own, begin).astype(np.int64)),
                     pa.array(np.add.reduceat(own * seen, begin).astype(np.int64)),
                     pa.array(np.add.reduceat(own * np.log10(base), begin)),
                     pa.array(np.add.reduceat(own * score, begin))],
-                    ["block", "row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+                    ["task", "row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
     return run
 
 
@@ -326,9 +343,9 @@ def train_and_score(docs: DataFrame, train, core_words: int = CORE, classes: int
     train_tokens, base_score, score."""
     spark = docs.sparkSession
     share = spark.sparkContext.broadcast
-    blocks = materialize(
+    blocks = bucketed(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(train, F.lit(False)).alias("train"),
-                    F.col("text").cast("string").alias("text")).mapInArrow(_block, _BLOCK), "blocks")
+                    F.col("text").cast("string").alias("text")).mapInArrow(_block, _BLOCK), "token-blocks", "block")
     by_word = blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "x")).select(
         "block", "place", F.col("x.words").alias("word"), F.col("x.counts").alias("n"))
     counts = materialize(by_word.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "word-counts")
@@ -349,7 +366,7 @@ def train_and_score(docs: DataFrame, train, core_words: int = CORE, classes: int
     # row: code, column: class of the word
     log_p = np.log(np.vstack([p_next.T, p_before]))
     others = (blocks.mapInArrow(_events(share(core), share(cls), classes),
-                                "word long, codes array<short>, ns array<int>")
+                                "word long, codes binary")
               .repartition("word").sortWithinPartitions("word")
               .mapInArrow(_assign(share(log_p)), "word long, class short"))
     known_core = spark.createDataFrame(pa.table({
@@ -359,14 +376,14 @@ def train_and_score(docs: DataFrame, train, core_words: int = CORE, classes: int
              .select("word", "c", F.coalesce("class", F.lit(classes - 1)).cast("short").alias("class")))
     words = materialize(words, "word-classes")
     placed = (by_word.select("block", "place", "word").join(words, "word")
-              .groupBy("block").agg(F.collect_list(F.struct("place", "c", "class")).alias("x"))
-              .select("block", F.col("x.place").alias("place"), F.col("x.c").alias("c"),
-                      F.col("x.class").alias("class")))
+              .groupBy("block")
+              .agg(F.collect_list(F.shiftleft("c", 15).bitwiseOR(F.col("class").cast("long"))).alias("known"),
+                   F.collect_list("place").alias("place")))
     full = (blocks.withColumn("n_words", F.size("words")).drop("words", "counts").join(placed, "block", "left")
             .withColumn("place", F.coalesce("place", F.array().cast("array<int>")))
-            .withColumn("c", F.coalesce("c", F.array().cast("array<long>")))
-            .withColumn("class", F.coalesce("class", F.array().cast("array<short>"))))
+            .withColumn("known", F.coalesce("known", F.array().cast("array<long>"))))
     full = materialize(full, "blocks-known")
+    discard(blocks, counts, words)
     seen = _sum_pairs(full.mapInArrow(_transitions(classes), "pair long, n long"), (classes + 2) * classes)
     seen = seen.reshape(classes + 2, classes)
     in_class = seen.sum(axis=0)
@@ -374,10 +391,10 @@ def train_and_score(docs: DataFrame, train, core_words: int = CORE, classes: int
     transition = (seen + prior) / (seen.sum(axis=1, keepdims=True) + 1)
     parts = full.mapInArrow(
         _score(share((n, v, transition, np.append(in_class, 0), mixed))),
-        "block string, row long, doc_id long, held_out boolean, n_tokens long, n_known long, "
+        "task long, row long, doc_id long, held_out boolean, n_tokens long, n_known long, "
         "base_score double, score double")
     # a long text's parts meet again: same task, same row
-    return (parts.groupBy(F.substring_index("block", "-", 1).alias("task"), "row")
+    return (parts.groupBy("task", "row")
             .agg(F.first("doc_id").alias("doc_id"), F.first("held_out").alias("held_out"),
                  F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"),
                  F.sum("base_score").alias("base_score"), F.sum("score").alias("score"))
