@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["sources_q", "text_q", "vocab_q", "encode_q", "curriculum_q", "batches_q", "stream_q", "unigram_q"]
+_MODULES = ["sources_q", "text_q", "vocab_q", "encode_q", "curriculum_q", "batches_q", "stream_q", "unigram_q", "chains_q"]
 FLAGSHIP = "flagship_batches"
 
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from maskweave.catalog.common import docs
-from maskweave.catalog.curriculum_q import CFG, plan_sql
+from maskweave.catalog.curriculum_q import CFG, RUN, TWO, plan_sql
 from maskweave.catalog.encode_q import VOCAB_CTES, greedy_ctes, test_vocab
 from maskweave.operators import collate as CO
 from maskweave.operators import encode as EN
@@ -31,21 +31,21 @@ def q(name, sql=None):
     return deco
 
 
-def data(spark, sf):
-    return training_data(docs(spark, sf), test_vocab(spark, sf), CFG)
+def data(spark, sf, cfg=CFG):
+    return training_data(docs(spark, sf), test_vocab(spark, sf), cfg)
 
 
-def scores(spark, sf):
+def scores(spark, sf, failed=None):
     td = data(spark, sf)
     nll = EV.token_logp(td.encoded)
-    return td, EV.score_batches(td.masked, nll, KEYS, CU.fixture_failures)
+    return td, EV.score_batches(td.masked, nll, KEYS, failed)
 
 
 MASK_SQL = f"""with recursive {VOCAB_CTES},
 {greedy_ctes('documents', 'doc_id')},
 {plan_sql(CFG)},
 mt as (select mb.epoch, mb.phase, mb.split, mb.p, mb.doc_id, mb.micro_step, d.t_idx, d.id as t,
-              md5('{CFG.mask_seed}:mlm:' || mb.epoch || ':' || mb.phase || ':' || mb.split || ':' || mb.doc_id || ':' || d.t_idx) as h
+              md5('{CFG.seed}:mlm:' || mb.epoch || ':' || mb.phase || ':' || mb.split || ':' || mb.doc_id || ':' || d.t_idx) as h
          from mb join dtok d on d.doc_id = mb.doc_id),
 mu as (select *, cast(cast('0x' || substr(h, 1, 8) as bigint) as double) / 4294967296.0::double as u1,
               cast(cast('0x' || substr(h, 9, 8) as bigint) as double) / 4294967296.0::double as u2,
@@ -71,9 +71,7 @@ bs as (select b.epoch, b.phase, b.split, b.micro_step, cast(count(distinct b.doc
          from mb b left join mr m on m.doc_id = b.doc_id and m.epoch = b.epoch and m.phase = b.phase and m.split = b.split
               left join nll n on n.id = m.t
         group by all),
-sc as (select *, case when (phase * 1000 + micro_step) % 7 = 0 then 'injected failure'
-                      when n_masked = 0 then 'no masked tokens' end as error
-         from bs),
+sc as (select *, case when n_masked = 0 then 'no masked tokens' end as error from bs),
 scores as (select epoch, phase, split, micro_step, n_rows, n_masked, error,
                   case when error is null then raw_loss end as loss from sc)"""
 
@@ -87,6 +85,16 @@ def mlm_mask(spark, sf):
                     EN.ids_string("input_ids").alias("ids"), EN.ids_string("labels").alias("labels"))
 
 
+@q("two_epoch_masks", f"""{MASK_SQL.replace(plan_sql(CFG), plan_sql(TWO))}
+select epoch, phase, split, doc_id, n_selected, labels from rows_""")
+def two_epoch_masks(spark, sf):
+    """Draws differ between epochs."""
+    m = data(spark, sf, TWO).masked
+    return m.select("epoch", "phase", "split", "doc_id",
+                    F.size(F.filter("labels", lambda x: x != CO.IGNORE)).cast("bigint").alias("n_selected"),
+                    EN.ids_string("labels").alias("labels"))
+
+
 @q("mask_rate_by_phase", f"""{MASK_SQL}
 select phase, p, cast(sum(n_tokens) as bigint) as n_tokens, cast(sum(n_selected) as bigint) as n_selected,
        round(sum(n_selected) / sum(n_tokens), 6) as rate
@@ -150,71 +158,75 @@ def eval_mean(spark, sf):
 @q("eval_mean_empty", f"""{MASK_SQL}
 select cast(count(*) as bigint) as n_batches, cast(coalesce(count_if(error is not null), 0) as bigint) as n_failed,
        coalesce(avg(loss), 'Infinity'::double) as mean_loss
-  from scores where split = 'eval' and phase >= {len(CFG.mlm_probabilities)}""")
+  from scores where split = 'eval' and phase >= {len(CFG.shares)}""")
 def eval_mean_empty(spark, sf):
     _, sc = scores(spark, sf)
-    none = sc.filter((F.col("split") == "eval") & (F.col("phase") >= len(CFG.mlm_probabilities)))
+    none = sc.filter((F.col("split") == "eval") & (F.col("phase") >= len(CFG.shares)))
     return EV.overall_mean(none)
 
 
 @q("failed_batches", f"""{MASK_SQL}
 select epoch, phase, split, cast(count(*) as bigint) as n_batches,
-       cast(count_if(error is not null) as bigint) as n_failed
+       cast(count_if(error is not null or (phase * 1000 + micro_step) % 7 = 0) as bigint) as n_failed
   from scores group by epoch, phase, split""")
 def failed_batches(spark, sf):
-    _, sc = scores(spark, sf)
+    """H2: some micro-steps are made to fail."""
+    _, sc = scores(spark, sf, CU.fixture_failures)
     return sc.groupBy("epoch", "phase", "split").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_batches"),
         F.count_if(F.col("error").isNotNull()).cast("bigint").alias("n_failed"))
 
 
 @q("train_loss_log", f"""{MASK_SQL},
-ms as (select epoch, phase, micro_step, is_boundary, (phase * 1000 + micro_step) % 7 = 0 as failed
-         from mb where split = 'train' and seq % {CFG.batch_size} = 0),
-g as (select *, cast(sum(case when is_boundary and not failed then 1 else 0 end)
+ms as (select epoch, phase, micro_step, is_boundary from mb where split = 'train' and seq % {CFG.batch} = 0),
+g as (select *, cast(sum(is_boundary::int)
                   over (order by epoch, phase, micro_step rows between unbounded preceding and current row) as bigint)
-               as global_step, is_boundary and not failed as stepped from ms)
+               as global_step, is_boundary as stepped from ms)
 select g.global_step, round(s.loss, 6) as loss
   from g join scores s on s.epoch = g.epoch and s.phase = g.phase and s.micro_step = g.micro_step and s.split = 'train'
  where g.stepped""")
 def train_loss_log(spark, sf):
     td, sc = scores(spark, sf)
-    gs = CU.global_steps(td.batches, CFG, CU.fixture_failures)
+    gs = CU.global_steps(td.batches, CFG)
     return EV.train_loss_log(sc, gs).withColumn("loss", F.round("loss", 6))
 
 
 @q("metrics_log", f"""{MASK_SQL},
-ms as (select epoch, phase, micro_step, is_boundary, (phase * 1000 + micro_step) % 7 = 0 as failed
-         from mb where split = 'train' and seq % {CFG.batch_size} = 0),
-g as (select *, cast(sum(case when is_boundary and not failed then 1 else 0 end)
+ms as (select epoch, phase, micro_step, is_boundary from mb where split = 'train' and seq % {CFG.batch} = 0),
+g as (select *, cast(sum(is_boundary::int)
                   over (order by epoch, phase, micro_step rows between unbounded preceding and current row) as bigint)
-               as global_step, is_boundary and not failed as stepped from ms)
-select '{CFG.run_name}' as run, g.global_step as step, 'loss' as name, round(s.loss, 6) as value
+               as global_step, is_boundary as stepped from ms)
+select '{RUN}' as run, g.global_step as step, 'loss' as name, round(s.loss, 6) as value
   from g join scores s on s.epoch = g.epoch and s.phase = g.phase and s.micro_step = g.micro_step and s.split = 'train'
- where g.stepped""")
+ where g.stepped
+union all
+select '{RUN}', coalesce((select max(global_step) from g where g.epoch = e.epoch and g.phase = e.phase), 0), 'eval_loss',
+       round(coalesce(avg(e.loss), 'Infinity'::double), 6)
+  from scores e where e.split = 'eval' group by e.epoch, e.phase""")
 def metrics_log(spark, sf):
     td, sc = scores(spark, sf)
-    gs = CU.global_steps(td.batches, CFG, CU.fixture_failures)
-    log = EV.train_loss_log(sc, gs).select(F.lit(CFG.run_name).alias("run"), F.col("global_step").alias("step"),
+    gs = CU.global_steps(td.batches, CFG)
+    log = EV.train_loss_log(sc, gs).select(F.lit(RUN).alias("run"), F.col("global_step").alias("step"),
                                           F.lit("loss").alias("name"), F.round("loss", 6).alias("value"))
+    # the evaluation of a phase is logged at the step that the phase ends with
+    ends = gs.groupBy("epoch", "phase").agg(F.max("global_step").alias("step"))
+    evals = EV.eval_mean(sc).join(ends, ["epoch", "phase"], "left").select(
+        F.lit(RUN).alias("run"), F.coalesce("step", F.lit(0)).alias("step"), F.lit("eval_loss").alias("name"),
+        F.round("mean_loss", 6).alias("value"))
+    log = log.unionByName(evals)
     path = scratch_path(spark, "metrics")
     S.log_metrics(log, path)
     return spark.read.parquet(path)
 
 
 def _masked_per_row(pdf):
-    """A user score: mean count of masked labels per row; fails on the
-    fixture's failed micro-steps to exercise the error path."""
-    ph, ms = int(pdf["phase"].iloc[0]), int(pdf["micro_step"].iloc[0])
-    if (ph * 1000 + ms) % 7 == 0:
-        raise RuntimeError("injected failure")
+    """A user score: mean count of masked labels per row."""
     return float(sum(int((pdf_l != CO.IGNORE).sum()) for pdf_l in pdf["labels"]) / len(pdf))
 
 
 @q("batch_scores_udf", f"""{MASK_SQL}
 select epoch, phase, split, micro_step,
-       case when (phase * 1000 + micro_step) % 7 = 0 then null else round(avg(n_selected), 6) end as loss,
-       (phase * 1000 + micro_step) % 7 = 0 as failed
+       round(avg(n_selected), 6) as loss, false as failed
   from rows_ group by epoch, phase, split, micro_step""")
 def batch_scores_udf(spark, sf):
     m = data(spark, sf).masked.select(*KEYS, "labels")
@@ -222,8 +234,16 @@ def batch_scores_udf(spark, sf):
     return sc.select(*KEYS, F.round("loss", 6).alias("loss"), F.col("error").isNotNull().alias("failed"))
 
 
-@q("flagship_batches")
+@q("flagship_batches", f"""{MASK_SQL},
+w as (select *, max(n_tokens) over (partition by epoch, phase, split, micro_step) as width from rows_)
+select epoch, phase, split, micro_step, doc_id, p_ as p, cast(width as bigint) as width,
+       trim(ids || repeat(' ' || (select id from vocab where role = 'pad'), (width - n_tokens)::bigint)) as input_ids,
+       trim(repeat('1 ', n_tokens) || repeat('0 ', (width - n_tokens)::bigint)) as attention_mask,
+       trim(labels || repeat(' -100', (width - n_tokens)::bigint)) as labels
+  from w join (select distinct phase as ph_, p as p_ from mb) on ph_ = phase""")
 def flagship_batches(spark, sf):
-    """Masked, padded phase batches: the whole training-data plan."""
+    """Masked, padded phase batches: the whole training-data plan; token
+    lists as strings."""
     td = data(spark, sf)
-    return td.padded.select(*KEYS, "doc_id", "p", "input_ids", "attention_mask", "labels")
+    return td.padded.select(*KEYS, "doc_id", "p", F.size("input_ids").cast("bigint").alias("width"),
+                            *[EN.ids_string(c).alias(c) for c in ("input_ids", "attention_mask", "labels")])

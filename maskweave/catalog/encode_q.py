@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from maskweave.catalog import sqlparts as Q
 from maskweave.catalog.common import docs
-from maskweave.functions import text as TX
 from maskweave.operators import encode as EN
 from maskweave.operators import merges as M
 from maskweave.operators import vocab as V
@@ -50,16 +49,16 @@ def greedy_ctes(src: str, key: str) -> str:
          from (select {key}, {Q.wp_word_list('text')} as l from {src})),
 wt as (select distinct word from dw),
 cand as (select word, st, unnest(range(1, least(length(word) - st, 100) + 1)) as len
-           from (select word, unnest(range(0, length(word))) as st from wt where length(word) <= {EN.MAX_WORD_CHARS})),
+           from (select word, unnest(range(0, length(word))) as st from wt where length(word) <= 100)),
 best as (select c.word, c.st, max(c.len) as len from cand c join vocab v
-           on v.piece = (case when c.st = 0 then '' else '{TX.CONT}' end) || substr(c.word, c.st + 1, c.len)
+           on v.piece = (case when c.st = 0 then '' else '{Q.CONT}' end) || substr(c.word, c.st + 1, c.len)
           group by c.word, c.st),
-chain(word, st, k) as (select word, 0, 0 from wt where length(word) <= {EN.MAX_WORD_CHARS}
+chain(word, st, k) as (select word, 0, 0 from wt where length(word) <= 100
                        union all
                        select c.word, c.st + b.len, c.k + 1 from chain c join best b on b.word = c.word and b.st = c.st),
 done as (select distinct word from chain where st = length(word)),
 toks as (select c.word, c.k, v.id from chain c join best b on b.word = c.word and b.st = c.st
-           join vocab v on v.piece = (case when c.st = 0 then '' else '{TX.CONT}' end) || substr(c.word, c.st + 1, b.len)
+           join vocab v on v.piece = (case when c.st = 0 then '' else '{Q.CONT}' end) || substr(c.word, c.st + 1, b.len)
           where c.word in (select word from done)),
 wids as (select wt.word,
                 coalesce((select string_agg(cast(id as varchar), ' ' order by k) from toks where toks.word = wt.word), '0') as ids,
@@ -104,7 +103,7 @@ union all
 select (select max(id) + 1 from base), '[PAD]', 'pad'""")
 def ensure_pad(spark, sf):
     wc = WD.wordpiece_words(docs(spark, sf))
-    plain = M.learn_merges(wc, "wordpiece", max_merges=0).vocab.filter(F.col("role").isNull())
+    plain = M.learn_merges(wc, "wordpiece", max_merges=0).release().vocab.filter(F.col("role").isNull())
     v, resized = V.ensure_pad(plain)
     assert resized
     return v.select("id", "piece", "role")

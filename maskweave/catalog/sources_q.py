@@ -70,8 +70,7 @@ def nonempty_limit(spark, sf):
 @q("raw_limit", f"""select doc_id, coalesce(nullif(text, ''), nullif(content, '')) as text
   from (select *, row_number() over (order by doc_id) - 1 as pos from {EDGE_SQL}) where pos < 300""")
 def raw_limit(spark, sf):
-    raw = P.with_position(edge_rows(spark, sf))
-    return C.resolve_text(P.limit_positions(raw, 300), "truthy")
+    return C.resolve_text(P.first_rows(edge_rows(spark, sf), 300), "truthy")
 
 
 @q("batch_rounded_limit", f"""select doc_id, pos
@@ -117,7 +116,7 @@ def batch_lists(spark, sf):
 def corpus_lines(spark, sf):
     t = C.resolve_text(docs(spark, sf), "truthy")
     path = S.write_corpus_lines(t)
-    return spark.read.text(path).select(F.col("value").alias("line"))
+    return S.read_corpus_lines(spark, path)
 
 
 @q("training_corpus_batches", f"""select pos // 64 as batch_id, count(*) as n_rows,

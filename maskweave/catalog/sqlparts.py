@@ -1,25 +1,41 @@
-"""DuckDB SQL fragments mirroring the Spark expressions (for oracles)."""
+"""DuckDB SQL fragments mirroring the Spark expressions (for oracles).
+
+Patterns and delimiters are written here on their own, in RE2's spelling, so
+that a fault in the engine's patterns shows as a difference.
+"""
 
 from __future__ import annotations
 
-from maskweave.functions import text as TX
 from maskweave.operators.vocab import CONTROL_IDS, SPECIAL_TOKENS
 
-O, C = TX.SYM_OPEN, TX.SYM_CLOSE
-
-
-def strip_delims(x: str) -> str:
-    return f"translate({x}, '{O}{C}', '')"
+O, C = chr(9), chr(10)
+MARK, CONT = chr(0x2581), "##"
+SPACE = (r"\x09-\x0D\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
+WORD = (r"\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}\x{24B6}-\x{24E9}\x{1F130}-\x{1F149}\x{1F150}-\x{1F169}"
+        r"\x{1F170}-\x{1F189}\x{200C}-\x{200D}")
+WORDS = f"[{WORD}]+|[^{WORD}{SPACE}]+"
+DIGITS = r"\p{N}|[^\p{N}]+"
+# RE2 has no look-ahead: CUT is put before the last white space of a run that a
+# word follows, which splits the run where the look-ahead would
+CUT = chr(0x10FFFE)
+BYTE_WORDS = (r"''s|''t|''re|''ve|''m|''ll|''d| ?\p{L}+| ?\p{N}+"
+              rf"| ?[^\p{{L}}\p{{N}}{SPACE}{CUT}]+|[{SPACE}]+")
 
 
 def sp_norm(x: str) -> str:
-    # NFKC changes no fixture text; casefold differs from lower only by sharp s.
+    # no text of the tables needs NFKC (normalize_edges has what does);
+    # casefold differs from lower only by sharp s
     lowered = f"replace(lower({x}), '\u00df', 'ss')"
-    return f"trim(regexp_replace({strip_delims(lowered)}, '{TX.SPACE_RUN}', ' ', 'g'))"
+    return f"trim(regexp_replace({lowered}, '[{SPACE}]+', ' ', 'g'))"
 
 
 def wp_word_list(x: str) -> str:
-    return f"regexp_extract_all({strip_delims(x)}, '{TX.WORD_PATTERN}')"
+    return f"regexp_extract_all({x}, '{WORDS}')"
+
+
+def byte_word_list(x: str) -> str:
+    cut = f"regexp_replace({x}, '([{SPACE}])([{SPACE}][^{SPACE}])', '\\1{CUT}\\2', 'g')"
+    return f"regexp_extract_all({cut}, '{BYTE_WORDS}')"
 
 
 def wp_words(src: str = "documents", text: str = "text") -> str:
@@ -27,19 +43,19 @@ def wp_words(src: str = "documents", text: str = "text") -> str:
 
 
 def marked_words(src: str = "documents", text: str = "text", key: str = "doc_id") -> str:
-    return f"""(select {key}, i, case when i = 1 then w else '{TX.SP_MARK}' || w end as word
+    return f"""(select {key}, i, case when i = 1 then w else '{MARK}' || w end as word
   from (select {key}, unnest(l) as w, generate_subscripts(l, 1) as i
           from (select {key}, string_split({sp_norm(text)}, ' ') as l from {src}))
  where length(w) > 0)"""
 
 
 def sp_pieces(src: str = "documents", text: str = "text") -> str:
-    return f"""(select unnest(regexp_extract_all(word, '{TX.DIGIT_SPLIT}')) as word
+    return f"""(select unnest(regexp_extract_all(word, '{DIGITS}')) as word
   from {marked_words(src, text)})"""
 
 
 def byte_words(src: str = "documents", text: str = "text") -> str:
-    return f"(select unnest(regexp_extract_all({strip_delims(text)}, '{TX.BYTE_WORD_PATTERN}')) as word from {src})"
+    return f"(select unnest({byte_word_list(text)}) as word from {src})"
 
 
 def counts(words_sql: str) -> str:
@@ -48,8 +64,8 @@ def counts(words_sql: str) -> str:
 
 def symbol_sql(kind: str, w: str = "word") -> str:
     if kind == "wordpiece":
-        s = f"regexp_replace({w}, '(.)', '{O}{TX.CONT}\\1{C}', 'gs')"
-        return f"regexp_replace({s}, '^{O}{TX.CONT}', '{O}')"
+        s = f"regexp_replace({w}, '(.)', '{O}{CONT}\\1{C}', 'gs')"
+        return f"regexp_replace({s}, '^{O}{CONT}', '{O}')"
     if kind == "bpe":
         return f"regexp_replace({w}, '(.)', '{O}\\1{C}', 'gs')"
     return f"regexp_replace(hex(encode({w})), '(..)', '{O}\\1{C}', 'g')"
@@ -57,7 +73,7 @@ def symbol_sql(kind: str, w: str = "word") -> str:
 
 def merged_sql(kind: str, l: str = "l", r: str = "r") -> str:
     if kind == "wordpiece":
-        return f"{l} || case when starts_with({r}, '{TX.CONT}') then substr({r}, 3) else {r} end"
+        return f"{l} || case when starts_with({r}, '{CONT}') then substr({r}, 3) else {r} end"
     return f"{l} || {r}"
 
 
@@ -105,7 +121,7 @@ def alphabet_sql(word_counts_sql: str, kind: str) -> str:
     bare = f"select distinct c as piece, 0 as grp from {chars}"
     if kind != "wordpiece":
         return f"({bare})"
-    cont = f"select distinct '{TX.CONT}' || c as piece, 1 as grp from {chars} where i > 1"
+    cont = f"select distinct '{CONT}' || c as piece, 1 as grp from {chars} where i > 1"
     return f"({bare} union all {cont})"
 
 
@@ -124,13 +140,13 @@ def base_vocab_sql(word_counts_sql: str, kind: str) -> str:
 
 def sp_doc_pieces(src: str = "documents", key: str = "doc_id") -> str:
     """(key, i, k, word): SentencePiece pieces per row in order."""
-    return f"""(select {key}, i, unnest(regexp_extract_all(word, '{TX.DIGIT_SPLIT}')) as word,
-         generate_subscripts(regexp_extract_all(word, '{TX.DIGIT_SPLIT}'), 1) as k
+    return f"""(select {key}, i, unnest(regexp_extract_all(word, '{DIGITS}')) as word,
+         generate_subscripts(regexp_extract_all(word, '{DIGITS}'), 1) as k
     from {marked_words(src, 'text', key)})"""
 
 
 def byte_doc_words(src: str = "documents", key: str = "doc_id") -> str:
-    lst = f"regexp_extract_all({strip_delims('text')}, '{TX.BYTE_WORD_PATTERN}')"
+    lst = byte_word_list("text")
     return f"(select {key}, unnest({lst}) as word, generate_subscripts({lst}, 1) as i, 1 as k from {src})"
 
 

@@ -35,4 +35,4 @@ def stream_encode(spark, sf):
 @q("stream_word_counts", f"select word, n from {Q.counts(Q.wp_words())}")
 def stream_word_counts(spark, sf):
     src = ST.stream_table(spark, sf, "documents")
-    return spark.read.parquet(ST.stream_word_counts(src))
+    return ST.read_word_counts(spark, ST.stream_word_counts(src))

@@ -27,7 +27,7 @@ def q(name, sql=None):
     return deco
 
 
-@q("unigram_seed", f"""with w as (select word, n from {SP_COUNTS} where length(word) <= 200),
+@q("unigram_seed", f"""with w as (select word, n from {SP_COUNTS}),
 s as (select n, substr(word, st + 1, len) as piece
         from (select word, n, st, unnest(range(1, least(16, length(word) - st) + 1)) as len
                 from (select word, n, unnest(range(0, length(word))) as st from w)))

@@ -43,25 +43,25 @@ def pair_counts(spark, sf):
 @q("wordpiece_merges", Q.merges_sql(WP_COUNTS, "wordpiece", 5))
 def wordpiece_merges(spark, sf):
     wc = WD.wordpiece_words(docs(spark, sf))
-    return _merges(M.learn_merges(wc, "wordpiece", max_merges=5))
+    return _merges(M.learn_merges(wc, "wordpiece", max_merges=5).release())
 
 
 @q("wordpiece_merges_batched", Q.merges_sql(WP_COUNTS, "wordpiece", 40))
 def wordpiece_merges_batched(spark, sf):
     wc = WD.wordpiece_words(docs(spark, sf))
-    return _merges(M.learn_merges(wc, "wordpiece", max_merges=40, per_round=16))
+    return _merges(M.learn_merges(wc, "wordpiece", max_merges=40, per_round=16).release())
 
 
 @q("sp_bpe_merges", Q.merges_sql(SP_COUNTS, "bpe", 5))
 def sp_bpe_merges(spark, sf):
     wc = WD.sp_words(docs(spark, sf))
-    return _merges(M.learn_merges(wc, "bpe", max_merges=5))
+    return _merges(M.learn_merges(wc, "bpe", max_merges=5).release())
 
 
 @q("byte_bpe_merges", Q.merges_sql(BYTE_COUNTS, "byte", 5))
 def byte_bpe_merges(spark, sf):
     wc = WD.byte_word_counts(docs(spark, sf))
-    return _merges(M.learn_merges(wc, "byte", max_merges=5))
+    return _merges(M.learn_merges(wc, "byte", max_merges=5).release())
 
 
 def _vocab_sql(counts_sql, kind, rounds):
@@ -79,14 +79,14 @@ select (select max(id) from base) + row_number() over (order by rank) as id, pie
 @q("wordpiece_vocab", _vocab_sql(WP_COUNTS, "wordpiece", 40))
 def wordpiece_vocab(spark, sf):
     wc = WD.wordpiece_words(docs(spark, sf))
-    return M.learn_merges(wc, "wordpiece", max_merges=40).vocab.select("id", "piece", "role")
+    return M.learn_merges(wc, "wordpiece", max_merges=40).release().vocab.select("id", "piece", "role")
 
 
 @q("vocab_special_ids", f"""select id, piece, role from ({_vocab_sql(WP_COUNTS, 'wordpiece', 5)})
  where role is not null""")
 def vocab_special_ids(spark, sf):
     wc = WD.wordpiece_words(docs(spark, sf))
-    v = M.learn_merges(wc, "wordpiece", max_merges=5).vocab
+    v = M.learn_merges(wc, "wordpiece", max_merges=5).release().vocab
     return v.filter(F.col("role").isNotNull()).select("id", "piece", "role")
 
 
@@ -98,14 +98,14 @@ def _encoded(enc):
 @q("sp_bpe_encode", Q.bpe_encode_sql(SP_COUNTS, Q.sp_doc_pieces(), "bpe", 40))
 def sp_bpe_encode(spark, sf):
     d = docs(spark, sf)
-    model = M.learn_merges(WD.sp_words(d), "bpe", max_merges=40)
+    model = M.learn_merges(WD.sp_words(d), "bpe", max_merges=40).release()
     return _encoded(EN.encode(d, model.vocab, "bpe", merges=model.merges))
 
 
 @q("byte_bpe_encode", Q.bpe_encode_sql(BYTE_COUNTS, Q.byte_doc_words(), "byte", 40))
 def byte_bpe_encode(spark, sf):
     d = docs(spark, sf)
-    model = M.learn_merges(WD.byte_word_counts(d), "byte", max_merges=40)
+    model = M.learn_merges(WD.byte_word_counts(d), "byte", max_merges=40).release()
     return _encoded(EN.encode(d, model.vocab, "byte", merges=model.merges))
 
 
@@ -115,6 +115,6 @@ union all
 select (select max(id) from vocab) + row_number() over (order by o) as id, piece, role
   from (values (1, '[SEP]', 'sep'), (2, '[CLS]', 'cls'), (3, '[MASK]', 'mask')) as t(o, piece, role)""")
 def sp_vocab_roles(spark, sf):
-    model = M.learn_merges(WD.sp_words(docs(spark, sf)), "bpe", max_merges=5)
+    model = M.learn_merges(WD.sp_words(docs(spark, sf)), "bpe", max_merges=5).release()
     v = V.to_encoder_vocab(model.vocab)
     return v.filter(F.col("role").isNotNull()).select("id", "piece", "role")

@@ -19,16 +19,6 @@ def hash_key(*parts) -> Column:
     return F.md5(F.concat_ws(":", *[c.cast("string") for c in cols]))
 
 
-def draw_from_hex(h: Column, slot: int = 0) -> Column:
-    """Uniform double in [0, 1) from 32 bits of an md5 hex string."""
-    start = 1 + 8 * slot
-    return F.conv(F.substring(h, start, 8), 16, 10).cast("bigint") / F.lit(TWO_32)
-
-
 def bits_from_hex(h: Column, slot: int = 0) -> Column:
     start = 1 + 8 * slot
     return F.conv(F.substring(h, start, 8), 16, 10).cast("bigint")
-
-
-def uniform(*parts, slot: int = 0) -> Column:
-    return draw_from_hex(hash_key(*parts), slot)

@@ -1,12 +1,13 @@
 """Text normalisation and pre-tokenisation as Spark column expressions.
 
 All of these run JVM-side inside whole-stage codegen except
-``nfkc_casefold``, which needs Unicode NFKC (no Spark built-in) and so is
-an Arrow-batched pandas UDF.
+``nfkc_casefold``, which needs Unicode NFKC (no Spark built-in) and so goes
+through an Arrow-batched pandas UDF where a text is not ASCII.
 """
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -14,27 +15,38 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Patterns and markers whose exact text defines the results.
-# Words for WordPiece: runs of letters/digits/marks/underscore, or runs of
-# anything else that is not whitespace.  Plain \w is ASCII-only in Java,
-# so the classes are spelled out (same meaning in RE2 for the SQL oracle).
-WORD_PATTERN = r"[\p{L}\p{N}\p{M}_]+|[^\t\n\x0B\f\r \p{Z}\p{L}\p{N}\p{M}_]+"
-# Whitespace run (ASCII whitespace, as Java and RE2 agree on it).
-SPACE_RUN = r"[\t\n\x0B\f\r ]+"
+# Patterns and markers whose exact text defines the results,
+# spelled with explicit classes so that Java and Python read them alike.
+# Unicode white space (the White_Space property).
+SPACE = r"\t-\r \x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+# Unicode word characters: letters and other alphabetics, marks, decimal
+# digits, connectors, joiners.
+WORD = (r"\p{L}\p{Nl}\p{M}\p{Nd}\p{Pc}\x{200C}\x{200D}\x{24B6}-\x{24E9}"
+        r"\x{1F130}-\x{1F149}\x{1F150}-\x{1F169}\x{1F170}-\x{1F189}")
+# Words for WordPiece: runs of word characters, or of anything else that is
+# not white space.
+WORD_PATTERN = f"[{WORD}]+|[^{WORD}{SPACE}]+"
+SPACE_RUN = f"[{SPACE}]+"
 # Digit splitting inside a word: each digit alone, other runs kept.
 DIGIT_SPLIT = r"\p{N}|[^\p{N}]+"
 # The same over a whole marked text: runs also stop at the word space.
 DIGIT_SPLIT_TEXT = r"\p{N}|[^\p{N} ]+"
-# Byte-level words: optional leading space, then letters, digits or other.
-BYTE_WORD_PATTERN = r" ?\p{L}+| ?\p{N}+| ?[^\t\n\x0B\f\r \p{L}\p{N}]+"
+# Byte-level words, lossless: contractions, letters, digits or other signs
+# with one space before them, and runs of white space (all but the last of a
+# run that a word follows).
+BYTE_WORD_PATTERN = ("'s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+"
+                     f"| ?[^{SPACE}\\p{{L}}\\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+# Characters that normalisation removes, and those it reads as a space.
+DROPPED = r"[\x00-\x08\x0B\x0E-\x1F\x7F\x8F\x9F]"
+SPACED = (r"[\t\n\f\r\x{1680}\x{200B}-\x{200F}\x{2028}\x{2029}\x{2581}\x{FEFF}\x{FFFD}]")
 # SentencePiece word-boundary marker (U+2581).
 SP_MARK = "\u2581"
 # WordPiece continuation prefix.
 CONT = "##"
-# Symbol delimiters for merge strings (private-use code points, removed
-# from text before symbols are built).
-SYM_OPEN = "\ue000"
-SYM_CLOSE = "\ue001"
+# Symbol delimiters for merge strings.  Words hold no white space (byte-level
+# symbols are hex), so tab and line feed never meet text.
+SYM_OPEN = "\t"
+SYM_CLOSE = "\n"
 
 
 def col_of(c: str | Column) -> Column:
@@ -47,34 +59,40 @@ def flatten_newlines(c: str | Column) -> Column:
 
 
 def collapse_whitespace(c: str | Column) -> Column:
-    """Collapse whitespace runs to one space and trim."""
+    """Collapse Unicode white space to one space and trim."""
     return F.trim(F.regexp_replace(col_of(c), SPACE_RUN, " "))
 
 
-def strip_symbol_delimiters(c: str | Column) -> Column:
-    return F.translate(col_of(c), SYM_OPEN + SYM_CLOSE, "")
+@F.pandas_udf(T.StringType())
+def _nfkc_cf(s: pd.Series) -> pd.Series:
+    """NFKC and full case folding of a batch; only values that need NFKC
+    (quick check) are normalised, nulls stay."""
+    folded = s.map(_fold, na_action="ignore")
+    return folded.astype(object).where(folded.notna(), None)
 
 
-def _nfkc_cf(s: str | None) -> str | None:
-    if s is None:
-        return None
-    return unicodedata.normalize("NFKC", s).casefold()
+def _fold(t: str) -> str:
+    if not unicodedata.is_normalized("NFKC", t):
+        t = unicodedata.normalize("NFKC", t)
+    t = t.casefold()
+    return t if unicodedata.is_normalized("NFKC", t) else unicodedata.normalize("NFKC", t)
 
 
-@F.pandas_udf(T.StringType())
-def nfkc_casefold(s: pd.Series) -> pd.Series:
-    """Unicode NFKC followed by full case folding (vectorised per batch)."""
-    return s.map(_nfkc_cf)
+def nfkc_casefold(c: str | Column) -> Column:
+    """Control characters go, odd and zero-width spaces become spaces,
+    then NFKC and full case folding.  ASCII text needs only ``lower``."""
+    x = F.regexp_replace(F.regexp_replace(col_of(c), DROPPED, ""), SPACED, " ")
+    return F.when(x.rlike(r"^[\x00-\x7F]*$"), F.lower(x)).otherwise(_nfkc_cf(x))
 
 
 def sp_normalize(c: str | Column) -> Column:
-    """SentencePiece-style normalisation: NFKC + casefold, then C3."""
-    return collapse_whitespace(strip_symbol_delimiters(nfkc_casefold(col_of(c))))
+    """SentencePiece-style normalisation: C2, then C3."""
+    return collapse_whitespace(nfkc_casefold(c))
 
 
 def whitespace_words(c: str | Column) -> Column:
     """Array of words, case kept."""
-    return F.regexp_extract_all(strip_symbol_delimiters(col_of(c)), F.lit(WORD_PATTERN), 0)
+    return F.regexp_extract_all(col_of(c), F.lit(WORD_PATTERN), 0)
 
 
 def mark_words(normalized: str | Column) -> Column:
@@ -95,7 +113,7 @@ def split_digits(word: str | Column) -> Column:
 
 def byte_words(c: str | Column) -> Column:
     """Byte-level pre-tokenisation: words with their leading space."""
-    return F.regexp_extract_all(strip_symbol_delimiters(col_of(c)), F.lit(BYTE_WORD_PATTERN), 0)
+    return F.regexp_extract_all(col_of(c), F.lit(BYTE_WORD_PATTERN), 0)
 
 
 # Python mirrors of the pre-tokenisers, used inside Arrow workers so the
@@ -104,21 +122,32 @@ def byte_words(c: str | Column) -> Column:
 def python_pretokenizer(kind: str):
     import regex
 
-    word = regex.compile(WORD_PATTERN)
-    space = regex.compile(SPACE_RUN)
-    digits = regex.compile(DIGIT_SPLIT_TEXT)
-    byte = regex.compile(BYTE_WORD_PATTERN)
-    strip = str.maketrans("", "", SYM_OPEN + SYM_CLOSE)
+    word = regex.compile(_python(WORD_PATTERN))
+    space, digits, byte = (regex.compile(_python(p)) for p in (SPACE_RUN, DIGIT_SPLIT_TEXT, BYTE_WORD_PATTERN))
 
     if kind == "wordpiece":
-        return lambda t: word.findall(t.translate(strip)) if t else []
+        return lambda t: word.findall(t) if t else []
     if kind == "byte":
-        return lambda t: byte.findall(t.translate(strip)) if t else []
+        return lambda t: byte.findall(t) if t else []
 
     def sp(t):
         if not t:
             return []
-        n = space.sub(" ", _nfkc_cf(t).translate(strip)).strip(" ")
+        n = space.sub(" ", python_normalize(t)).strip(" ")
         return digits.findall(n.replace(" ", " " + SP_MARK))
 
     return sp
+
+
+def _python(pattern: str) -> str:
+    """Java's \\x{...} in Python's spelling."""
+    return re.sub(r"\\x\{([0-9A-F]+)\}", lambda m: "\\U" + m[1].zfill(8), pattern)
+
+
+_DROPPED, _SPACED = re.compile(DROPPED), re.compile(_python(SPACED))
+
+
+def python_normalize(t: str) -> str:
+    """C2 inside a worker."""
+    t = _SPACED.sub(" ", _DROPPED.sub("", t))
+    return t.lower() if t.isascii() else _fold(t)

@@ -106,7 +106,7 @@ def squeeze_leading(nested: Column, name: str = "input_ids") -> Column:
     """A [1, n] value becomes [n]; any other leading size is an error
     (the reference rejects rank > 2 unless the leading dimension is 1)."""
     return F.when(F.size(nested) == 1, F.element_at(nested, 1)).otherwise(
-        F.raise_error(F.concat(F.lit(f"Unexpected tensor shape for {name}: leading size "),
+        F.raise_error(F.concat(F.lit(f"{name}: one inner list expected, found "),
                                F.size(nested).cast("string"))))
 
 

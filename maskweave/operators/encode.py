@@ -16,11 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maskweave.functions import text as TX
-from maskweave.operators import words as WD
 
-MAX_BROADCAST_PIECES = 1_000_000   # a vocabulary beyond this is not broadcast
-MAX_WORD_CHARS = 100               # longer words encode to [UNK] (WordPiece)
+MAX_BROADCAST_PIECES = 1_000_000   # pieces, and merges, beyond this are refused
+WORDPIECE_MAX_CHARS = 100          # default of a model's max_word_chars
 CACHE_WORDS = 200_000              # per-task word cache size
+SLICE_CHARS = 4 << 20              # characters a task encodes at a time
 
 
 @dataclass
@@ -32,6 +32,7 @@ class TokenModel:
     ranks: dict = field(default_factory=dict)  # (left, right) -> rank (bpe, byte)
     scores: dict = field(default_factory=dict)  # piece -> log prob (unigram)
     max_piece: int = 0
+    max_word_chars: int | None = WORDPIECE_MAX_CHARS  # wordpiece: longer words are [UNK]; None: no limit
 
     def encode_word(self, w: str) -> list[int]:
         if self.kind == "wordpiece":
@@ -44,7 +45,7 @@ class TokenModel:
 def _wordpiece(m: TokenModel, w: str) -> list[int]:
     """Greedy longest match from the left, '##' on continuations; the
     whole word becomes [UNK] when no piece matches or it is too long."""
-    if len(w) > MAX_WORD_CHARS:
+    if m.max_word_chars is not None and len(w) > m.max_word_chars:
         return [m.unk_id]
     out, start, n = [], 0, len(w)
     while start < n:
@@ -129,18 +130,22 @@ def _viterbi(m: TokenModel, w: str) -> list[int]:
     return out[::-1]
 
 
-def token_model(vocab: DataFrame, kind: str, merges: DataFrame | None = None) -> TokenModel:
-    """Collect the vocabulary (bounded by its size, checked here)."""
+def token_model(vocab: DataFrame, kind: str, merges: DataFrame | None = None,
+                max_word_chars: int | None = WORDPIECE_MAX_CHARS) -> TokenModel:
+    """Collect the vocabulary and merges (bounded by their sizes, checked here)."""
     n = vocab.count()
     if n > MAX_BROADCAST_PIECES:
         raise ValueError(f"vocabulary of {n} pieces is too large to broadcast")
     rows = vocab.select("id", "piece", "score", "role").collect()
     ids = {r["piece"]: int(r["id"]) for r in rows}
     unk = next((int(r["id"]) for r in rows if r["role"] == "unk"), 0)
-    m = TokenModel(kind=kind, ids=ids, unk_id=unk, max_piece=max((len(p) for p in ids), default=1))
+    m = TokenModel(kind=kind, ids=ids, unk_id=unk, max_piece=max((len(p) for p in ids), default=1),
+                   max_word_chars=max_word_chars)
     if kind in ("bpe", "byte"):
         if merges is None:
             raise ValueError("bpe encoding needs the merge table")
+        if merges.count() > MAX_BROADCAST_PIECES:
+            raise ValueError(f"more than {MAX_BROADCAST_PIECES} merges are too large to broadcast")
         m.ranks = {(r["left"], r["right"]): int(r["rank"])
                    for r in merges.select("rank", "left", "right").collect()}
     if kind == "unigram":
@@ -149,16 +154,6 @@ def token_model(vocab: DataFrame, kind: str, merges: DataFrame | None = None) ->
     return m
 
 
-def pretokenize(text: Column, kind: str) -> Column:
-    """Spark-side pre-tokeniser for ``kind`` (word counts use it); the
-    encoder's Arrow worker runs the Python mirror of the same patterns."""
-    if kind == "wordpiece":
-        return TX.whitespace_words(text)
-    if kind == "byte":
-        return TX.byte_words(text)
-    return WD.sp_pieces(text)
-
-
 def encode_words(df: DataFrame, text: str, model: TokenModel, keep: list[str],
                  out: str = "input_ids") -> DataFrame:
     """Map each row's text to one id array.
@@ -182,10 +177,20 @@ def encode_words(df: DataFrame, text: str, model: TokenModel, keep: list[str],
         import pyarrow as pa
         import pyarrow.compute as pc
 
+        def parts(rb):
+            """Pieces of a batch of at most about SLICE_CHARS characters of text."""
+            size = pc.cumulative_sum(pc.fill_null(pc.utf8_length(rb.column(text)), 0).cast(pa.int64()))
+            size, lo = size.to_numpy(), 0
+            while lo < rb.num_rows:
+                base = size[lo - 1] if lo else 0
+                hi = max(lo + 1, int(np.searchsorted(size, base + SLICE_CHARS, "right")))
+                yield rb.slice(lo, hi - lo)
+                lo = hi
+
         m = bc.value
         split = TX.python_pretokenizer("sp" if kind in ("bpe", "unigram") else kind)
         cache: dict = {}
-        for rb in batches:
+        for rb in chain.from_iterable(map(parts, batches)):
             rows = [split(t) for t in rb.column(text).to_pylist()]
             lens = np.fromiter((len(r) for r in rows), dtype=np.int64, count=len(rows))
             enc = pc.dictionary_encode(pa.array(list(chain.from_iterable(rows)), pa.string()))
@@ -214,14 +219,15 @@ def encode_words(df: DataFrame, text: str, model: TokenModel, keep: list[str],
 
 def encode(df: DataFrame, vocab: DataFrame, kind: str = "wordpiece", text: str = "text",
            keys: tuple[str, ...] = ("doc_id",), merges: DataFrame | None = None,
-           frame: bool = False, max_length: int | None = None) -> DataFrame:
+           frame: bool = False, max_length: int | None = None,
+           max_word_chars: int | None = WORDPIECE_MAX_CHARS) -> DataFrame:
     """(keys, input_ids, attention_mask, special_tokens_mask).
 
     ``frame`` wraps each row in [CLS] ... [SEP] (the base tokenizer does;
     learned WordPiece/SentencePiece files set no post-processor, so the
-    default is off).  ``max_length`` optionally truncates (default none,
-    as in the reference)."""
-    model = token_model(vocab, kind, merges)
+    default is off).  ``max_length`` optionally truncates (default none).
+    ``max_word_chars`` is WordPiece's limit beyond which a word is [UNK]."""
+    model = token_model(vocab, kind, merges, max_word_chars)
     enc = encode_words(df.select(*keys, F.col(text).alias("_text")), "_text", model, list(keys))
     ids = F.col("input_ids")
     if max_length:
@@ -252,6 +258,17 @@ def ids_string(c: str | Column) -> Column:
     return F.array_join(F.transform(TX.col_of(c), lambda x: x.cast("string")), " ")
 
 
+def decode_bytes(enc: DataFrame, vocab: DataFrame, ids: str = "input_ids") -> DataFrame:
+    """``enc`` with ``text``: the text of byte-level ids.  The vocabulary
+    (bounded, checked) is one broadcast map from id to hex bytes."""
+    if vocab.count() > MAX_BROADCAST_PIECES:
+        raise ValueError(f"more than {MAX_BROADCAST_PIECES} pieces are too large to broadcast")
+    table = vocab.where("role is null").agg(
+        F.map_from_entries(F.collect_list(F.struct("id", "piece"))).alias("_pieces"))
+    raw = F.unhex(F.array_join(F.transform(ids, lambda x: F.element_at("_pieces", x)), ""))
+    return enc.crossJoin(F.broadcast(table)).withColumn("text", F.decode(raw, "UTF-8")).drop("_pieces")
+
+
 def resize_embeddings(vocab: DataFrame, old: DataFrame, id_col: str = "vec_id",
                       emb_col: str = "embedding") -> DataFrame:
     """One embedding row per vocabulary id.  Existing rows are kept;

@@ -63,7 +63,7 @@ def score_with(masked: DataFrame, fn, keys: list[str] = BATCH_KEYS) -> DataFrame
         try:
             loss = fn(pdf)
             if loss is None:
-                raise ValueError("Model forward pass returned no loss")
+                raise ValueError("the score function gave None")
             return pd.DataFrame({**head, "loss": [float(loss)], "error": [None]})
         except Exception as exc:  # noqa: BLE001 - reported per batch (H2)
             return pd.DataFrame({**head, "loss": [None], "error": [f"{type(exc).__name__}: {exc}"]})

@@ -45,6 +45,11 @@ class MergeModel:
     vocab: DataFrame    # id, piece, score, role
     words: DataFrame    # sy, n after all merges
 
+    def release(self) -> "MergeModel":
+        """Frees the cached word table; merges and vocabulary stay."""
+        self.words.unpersist()
+        return self
+
 
 def merged_name(left: str, right: str, kind: str) -> str:
     if kind == "wordpiece" and right.startswith(TX.CONT):
@@ -161,7 +166,7 @@ def learn_merges(word_counts: DataFrame, kind: str = "wordpiece", vocab_size: in
     spark = word_counts.sparkSession
     base = word_table(word_counts, kind).persist(StorageLevel.MEMORY_AND_DISK)
     alphabet = alphabet_pieces(base, kind)
-    w = multi_symbol(base)
+    w = base
     held = [base]   # persisted word tables; the newest is materialised by the next count
     specials = V.reserved_pieces("sentencepiece" if kind == "bpe" else "wordpiece")
     pieces = [q for q, _ in specials]
@@ -193,8 +198,9 @@ def learn_merges(word_counts: DataFrame, kind: str = "wordpiece", vocab_size: in
             if is_new:
                 known.add(m)
                 pieces.append(m)
-    for x in held[:-1]:
-        x.unpersist()
+    for x in held:
+        if x is not w:
+            x.unpersist()
     mdf = spark.createDataFrame(merges, "rank int, left string, right string, merged string, n bigint")
     roles = dict(specials)
     n_base = len(specials) + len([q for q in alphabet if q not in roles])
@@ -218,6 +224,6 @@ def word_vocab(word_counts: DataFrame, top: int = 500) -> DataFrame:
         if w not in have:
             have.add(w)
             out.append((len(out), w, -float(len(out)), None))
-    base.words.unpersist()
+    base.release()
     word_counts.unpersist()
     return spark.createDataFrame(out, V.VOCAB_SCHEMA)

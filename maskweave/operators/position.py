@@ -37,7 +37,7 @@ def with_position(df: DataFrame, order: tuple[str, ...] = ("doc_id",), pos_col:
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     return (tagged.withColumn("_part", part).withColumn("_local", local)
-            .join(F.broadcast(offsets), "_part")
+            .join(F.broadcast(offsets), "_part")  # one row per sort partition
             .select(*cols, (F.col("_off") + F.col("_local")).alias(pos_col)))
 
 
@@ -48,6 +48,14 @@ def limit_positions(df: DataFrame, n: int | None, pos_col: str = "pos") -> DataF
     return df.filter(F.col(pos_col) < F.lit(n))
 
 
+def first_rows(df: DataFrame, n: int, key: str = "doc_id") -> DataFrame:
+    """The first ``n`` rows by a unique ``key``.  Only the keys are
+    positioned; the rows are then cut by ``key <= cut``, which reaches the
+    Parquet scan, so no other column is sorted or written."""
+    last = with_position(df.select(key), (key,), name="keys").where(F.col("pos") == n - 1).first()
+    return df if last is None else df.filter(F.col(key) <= F.lit(last[key]))
+
+
 def rounded_limit(n: int, batch_size: int) -> int:
     """The reference reads whole batches until the start passes n."""
     return -(-n // batch_size) * batch_size

@@ -24,11 +24,12 @@ import math
 from dataclasses import dataclass
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from maskweave.operators import vocab as V
-from maskweave.operators import words as WD
+from maskweave.session import discard, materialize
 
 NEG = -math.inf
 
@@ -102,11 +103,11 @@ def best_segmentation(w: str, lp: dict, max_piece: int, exclude: str | None = No
     return best[n]
 
 
-def seed_pieces(word_counts: DataFrame, max_piece: int = 16, max_word: int = 200) -> DataFrame:
-    """(piece, freq, score): substring frequencies; distributed explode and
-    a partial + final hash aggregate."""
-    w = word_counts.filter(F.length("word") <= max_word)
-    starts = w.select("word", "n", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("st"))
+def seed_pieces(word_counts: DataFrame, max_piece: int = 16) -> DataFrame:
+    """(piece, freq, score): frequencies of the substrings of up to
+    ``max_piece`` characters of all words; distributed explode and a
+    partial + final hash aggregate."""
+    starts = word_counts.filter(F.length("word") > 0).select("word", "n", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("st"))
     subs = starts.select(
         "n", F.explode(F.transform(
             F.sequence(F.lit(1), F.least(F.lit(max_piece), F.length("word") - F.col("st"))),
@@ -133,7 +134,7 @@ def _estep(words: DataFrame, lp: dict, max_piece: int) -> dict:
             for w, n in zip(pdf["word"], pdf["n"]):
                 cnt, z = forward_backward(w, table, max_piece)
                 if z == NEG:
-                    continue
+                    raise ValueError(f"no segmentation of a word of {len(w)} characters: {w[:50]!r}")
                 ll += n * z
                 for p, c in cnt.items():
                     acc[p] = acc.get(p, 0.0) + n * c
@@ -174,18 +175,19 @@ def _prune_costs(spark, lp: dict, counts: dict, chars: set, max_piece: int) -> d
 
 
 def train_unigram(word_counts: DataFrame, vocab_size: int = 32768, seed_size: int = 1_000_000,
-                  max_piece: int = 16, max_word: int = 200, em_steps: int = 2, shrink: float = 0.75,
+                  max_piece: int = 16, em_steps: int = 2, shrink: float = 0.75,
                   overshoot: float = 1.1, min_count: float = 0.5, max_rounds: int = 64) -> UnigramModel:
     """Learn a unigram vocabulary of ``vocab_size`` pieces including
     the four control ids."""
     spark = word_counts.sparkSession
-    words = word_counts.filter(F.length("word") <= max_word).select("word", "n").cache()
-    seed = seed_pieces(words, max_piece, max_word)
-    chars = {r["piece"] for r in seed.filter(F.length("piece") == 1).select("piece").collect()}
+    words = word_counts.filter(F.length("word") > 0).select("word", "n").persist(StorageLevel.MEMORY_AND_DISK)
+    seed = materialize(seed_pieces(words, max_piece), "unigram-seed")
+    single = seed.filter(F.length("piece") == 1).collect()
+    chars = {r["piece"] for r in single}
     top = seed.filter(F.length("piece") > 1).orderBy(F.desc("score"), "piece").limit(seed_size)
     freq = {r["piece"]: float(r["freq"]) for r in top.collect()}
-    for r in seed.filter(F.length("piece") == 1).collect():
-        freq[r["piece"]] = float(r["freq"])
+    freq.update((r["piece"], float(r["freq"])) for r in single)
+    discard(seed)
     total = sum(freq.values())
     lp = {p: math.log(c / total) for p, c in freq.items()}
     target = vocab_size - len(V.CONTROL_IDS)
@@ -203,6 +205,8 @@ def train_unigram(word_counts: DataFrame, vocab_size: int = 32768, seed_size: in
         ranked = sorted(cost, key=lambda p: (-cost[p], p))
         keep = set(ranked[:max(0, goal - len(chars))]) | chars
         lp = {p: v for p, v in lp.items() if p in keep}
+    else:
+        raise RuntimeError(f"unigram training: {len(lp)} pieces left after {max_rounds} rounds, {target} wanted")
     counts = _estep(words, lp, max_piece)
     history.append(counts.get(None, 0.0))
     lp = _normalise(counts, chars, min_count)
@@ -217,7 +221,3 @@ def train_unigram(word_counts: DataFrame, vocab_size: int = 32768, seed_size: in
     for piece in sorted(lp, key=lambda p: (-lp[p], p)):
         rows.append((len(rows), piece, lp[piece], None))
     return UnigramModel(spark.createDataFrame(rows, V.VOCAB_SCHEMA), history)
-
-
-def sp_word_counts(df: DataFrame, text: str = "text") -> DataFrame:
-    return WD.sp_words(df, text)

@@ -37,15 +37,6 @@ def reserved_pieces(kind: str = "wordpiece") -> list[tuple[str, str]]:
     return [(tok, role) for role, tok in SPECIAL_TOKENS]
 
 
-def special_rows(spark: SparkSession, kind: str = "wordpiece") -> DataFrame:
-    """The reserved rows that take the first ids."""
-    if kind == "sentencepiece":
-        rows = [(i, piece, 0.0, role) for role, i, piece in CONTROL_IDS]
-    else:
-        rows = [(i, tok, 0.0, role) for i, (role, tok) in enumerate(SPECIAL_TOKENS)]
-    return spark.createDataFrame(rows, VOCAB_SCHEMA)
-
-
 def ensure_pad(vocab: DataFrame) -> tuple[DataFrame, bool]:
     """If no row has role 'pad', append [PAD] at max(id)+1; the flag
     says the embedding table must be resized."""
@@ -58,15 +49,6 @@ def ensure_pad(vocab: DataFrame) -> tuple[DataFrame, bool]:
     return vocab.unionByName(pad.crossJoin(nxt).select("id", "piece", "score", "role")), True
 
 
-def attach_roles(vocab: DataFrame) -> DataFrame:
-    """Mark special pieces with their role so encoders can find them."""
-    roles = vocab.sparkSession.createDataFrame(
-        [(tok, role) for role, tok in SPECIAL_TOKENS] + [(p, r) for r, _, p in CONTROL_IDS],
-        "piece string, _role string")
-    return (vocab.join(F.broadcast(roles), "piece", "left")
-                 .select("id", "piece", "score", F.coalesce("role", "_role").alias("role")))
-
-
 def to_encoder_vocab(vocab: DataFrame) -> DataFrame:
     """Make a learned vocabulary usable by the encoder and collator:
     keep roles already set (SentencePiece control ids cover unk and pad)

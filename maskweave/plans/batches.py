@@ -18,7 +18,7 @@ from maskweave.operators import encode as EN
 from maskweave.operators import position as P
 from maskweave.operators import vocab as V
 from maskweave.plans import curriculum as CU
-from maskweave.plans.config import RunConfig
+from maskweave.plans.config import Curriculum
 from maskweave.session import materialize
 from maskweave.sources import corpus as C
 
@@ -33,14 +33,14 @@ class TrainingData:
     batch_keys: list
 
 
-def batch_keys(cfg: RunConfig) -> list[str]:
+def batch_keys(cfg: Curriculum) -> list[str]:
     keys = ["epoch", "phase", "split", "micro_step"]
-    if cfg.shuffle_buffer % cfg.batch_size == 0:
+    if cfg.block % cfg.batch == 0:
         keys.insert(3, "block")  # batches never straddle blocks: no new exchange
     return keys
 
 
-def training_data(corpus: DataFrame, vocab: DataFrame, cfg: RunConfig, kind: str = "wordpiece",
+def training_data(corpus: DataFrame, vocab: DataFrame, cfg: Curriculum, kind: str = "wordpiece",
                   merges: DataFrame | None = None, text_mode: str = "key",
                   key: str = "doc_id") -> TrainingData:
     vocab, _ = V.ensure_pad(vocab)
@@ -52,10 +52,10 @@ def training_data(corpus: DataFrame, vocab: DataFrame, cfg: RunConfig, kind: str
     # the positioned, encoded corpus is written once: later steps (slices,
     # frequencies, scores) read it instead of encoding again
     enc = materialize(EN.encode(pos, vocab, kind, keys=(key, "pos"), merges=merges), "encoded")
-    mb = CU.micro_batches(CU.shuffled(CU.slices(enc, cfg, n), cfg, key), cfg)
+    mb = CU.with_epochs(CU.micro_batches(CU.shuffled(CU.slices(enc, cfg, n), cfg, key), cfg), cfg)
     specials = EN.special_ids(vocab)
     masked = CO.mlm_mask(mb.select(*[c for c in mb.columns if c != "special_tokens_mask"]),
-                         specials, roles["mask"], n_vocab, cfg.mask_seed,
+                         specials, roles["mask"], n_vocab, cfg.seed,
                          keys=("epoch", "phase", "split", key))
     keys = batch_keys(cfg)
     padded = CO.pad_batches(masked, roles["pad"], keys)

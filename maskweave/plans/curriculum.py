@@ -2,10 +2,10 @@
 schedule tables (F2-F9, A11).
 
 Slices are arithmetic on the global position: phase i's eval slice is
-[iC, iC+E) and its train slice [iC+E, iC+E+C) (``reference`` mode, which
-overlaps the next eval slice, Q1) or [iC+E, (i+1)C) (``disjoint``).  A row
-finds its phase by division, then joins the phase table (epochs x phases
-rows, broadcast) by key: O(N), no range join, no shuffle.
+[iC, iC+E) and its train slice [iC+E, iC+E+C) (with ``overlap``, into
+the next eval slice, Q1) or [iC+E, (i+1)C) (without).  A row
+finds its phase by division, then joins the phase table (one row per phase
+and split, broadcast) by key: O(N), no range join, no shuffle.
 """
 
 from __future__ import annotations
@@ -15,30 +15,30 @@ from pyspark.sql import functions as F
 
 from maskweave.functions.draws import bits_from_hex, hash_key
 from maskweave.operators.position import running_sum
-from maskweave.plans.config import RunConfig
+from maskweave.plans.config import Curriculum, numbers
 
 SPLITS = ("train", "eval")
 
 
-def phase_table(spark: SparkSession, cfg: RunConfig, n_rows: int) -> DataFrame:
+def phase_table(spark: SparkSession, cfg: Curriculum, n_rows: int) -> DataFrame:
     """F2 + plan bounds: one row per (epoch, phase, split)."""
-    c, e, p = cfg.chunk_size(n_rows), cfg.eval_size, len(cfg.mlm_probabilities)
+    c, e, p = numbers(cfg, n_rows).chunk, cfg.eval_rows, len(cfg.shares)
     rows = []
     for epoch in range(cfg.epochs):
-        for i, prob in enumerate(cfg.mlm_probabilities):
-            t_hi = i * c + e + c if cfg.slice_mode == "reference" else (i + 1) * c
+        for i, prob in enumerate(cfg.shares):
+            t_hi = i * c + e + c if cfg.overlap else (i + 1) * c
             rows.append((epoch, i, float(prob), epoch * p + i, "train", i * c + e, t_hi))
             rows.append((epoch, i, float(prob), epoch * p + i, "eval", i * c, i * c + e))
     return spark.createDataFrame(
         rows, "epoch int, phase int, p double, run_index int, split string, lo bigint, hi bigint")
 
 
-def slices(positioned: DataFrame, cfg: RunConfig, n_rows: int, pos: str = "pos") -> DataFrame:
+def slices(positioned: DataFrame, cfg: Curriculum, n_rows: int, pos: str = "pos") -> DataFrame:
     """rows of each phase's train and eval slice, with
     ``phase_rank`` = position inside the slice."""
-    c, e, p = cfg.chunk_size(n_rows), cfg.eval_size, len(cfg.mlm_probabilities)
+    c, e, p = numbers(cfg, n_rows).chunk, cfg.eval_rows, len(cfg.shares)
     x = F.col(pos)
-    if cfg.slice_mode == "reference":
+    if cfg.overlap:
         ti = F.floor((x - e) / c)
         t_ok = (x >= e) & (ti < p)
     else:
@@ -52,40 +52,49 @@ def slices(positioned: DataFrame, cfg: RunConfig, n_rows: int, pos: str = "pos")
     hits = (positioned.withColumn("_c", F.explode(F.filter(cands, lambda s: s.isNotNull())))
                       .withColumn("split", F.col("_c.split")).withColumn("phase", F.col("_c.phase"))
                       .drop("_c"))
-    ph = phase_table(positioned.sparkSession, cfg, n_rows)
+    ph = phase_table(positioned.sparkSession, cfg._replace(epochs=1), n_rows).drop("epoch", "run_index")
     return (hits.join(F.broadcast(ph), ["phase", "split"])
                 .withColumn("phase_rank", F.col(pos) - F.col("lo"))
                 .drop("lo", "hi"))
 
 
-def shuffle_draw(cfg: RunConfig, key: str = "doc_id") -> Column:
+def with_epochs(df: DataFrame, cfg: Curriculum) -> DataFrame:
+    """Every row once per epoch, with ``epoch`` and ``run_index``.  Epochs
+    share slices and order (Q5), so they are added after the shuffle."""
+    p = len(cfg.shares)
+    epochs = F.array(*[F.lit(k) for k in range(cfg.epochs)])
+    return (df.withColumn("epoch", F.explode(epochs))
+              .withColumn("run_index", F.col("epoch") * p + F.col("phase")))
+
+
+def shuffle_draw(cfg: Curriculum, key: str = "doc_id") -> Column:
     """Q5: the draw depends on seed, phase and row, not on the epoch."""
-    return bits_from_hex(hash_key(cfg.shuffle_seed, "shuffle", F.col("phase"), F.col(key)))
+    return bits_from_hex(hash_key(cfg.seed, "shuffle", F.col("phase"), F.col(key)))
 
 
-def shuffled(sl: DataFrame, cfg: RunConfig, key: str = "doc_id") -> DataFrame:
+def shuffled(sl: DataFrame, cfg: Curriculum, key: str = "doc_id") -> DataFrame:
     """seeded shuffle of train slices; eval keeps slice order.
 
     Rows are ordered by draw inside consecutive blocks of
-    ``shuffle_buffer`` rows: every window holds at most one buffer, and
+    ``block`` rows: every window holds at most one buffer, and
     blocks run in parallel.  (A whole-phase shuffle would put a fifth of
     the corpus into one task, so it is not offered.)"""
-    buf = cfg.shuffle_buffer
+    buf = cfg.block
     block = F.floor(F.col("phase_rank") / buf).cast("bigint")
     s = sl.withColumn("block", block).withColumn("_draw", shuffle_draw(cfg, key))
-    w = Window.partitionBy("epoch", "phase", "split", "block").orderBy("_draw", key)
+    w = Window.partitionBy("phase", "split", "block").orderBy("_draw", key)
     rank = F.row_number().over(w) - 1
     order = F.when(F.col("split") == "train", F.col("block") * buf + rank) \
              .otherwise(F.col("phase_rank"))
     return s.withColumn("seq", order.cast("bigint")).drop("_draw")
 
 
-def micro_batches(sh: DataFrame, cfg: RunConfig) -> DataFrame:
-    """micro-steps of ``batch_size`` rows, counted from 1 in each
+def micro_batches(sh: DataFrame, cfg: Curriculum) -> DataFrame:
+    """micro-steps of ``batch`` rows, counted from 1 in each
     phase and split; the last one may be partial."""
-    ms = (F.floor(F.col("seq") / cfg.batch_size) + 1).cast("bigint")
+    ms = (F.floor(F.col("seq") / cfg.batch) + 1).cast("bigint")
     return sh.withColumn("micro_step", ms) \
-             .withColumn("is_boundary", (ms % cfg.grad_accum) == 0)
+             .withColumn("is_boundary", (ms % cfg.accumulate) == 0)
 
 
 def fixture_failures(phase: Column, micro_step: Column) -> Column:
@@ -93,7 +102,7 @@ def fixture_failures(phase: Column, micro_step: Column) -> Column:
     return ((phase * 1000 + micro_step) % 7) == 0
 
 
-def global_steps(mb: DataFrame, cfg: RunConfig, failed=None) -> DataFrame:
+def global_steps(mb: DataFrame, cfg: Curriculum, failed=None) -> DataFrame:
     """one row per train micro-step with the optimizer-step counter.
 
     ``global_step``: counter after the micro-step (a step happens at a
@@ -101,8 +110,8 @@ def global_steps(mb: DataFrame, cfg: RunConfig, failed=None) -> DataFrame:
     update includes this micro-batch's gradients -- the next successful
     boundary, possibly in the next phase (Q4); null for a failed
     micro-step or leftovers never applied at the end of the run."""
-    p = len(cfg.mlm_probabilities)
-    steps = (mb.filter((F.col("split") == "train") & (F.col("seq") % cfg.batch_size == 0))
+    p = len(cfg.shares)
+    steps = (mb.filter((F.col("split") == "train") & (F.col("seq") % cfg.batch == 0))
                .select("epoch", "phase", "p", "micro_step", "is_boundary")
                .withColumn("run_index", F.col("epoch") * p + F.col("phase")))
     bad = failed(F.col("phase"), F.col("micro_step")) if failed else F.lit(False)
@@ -119,13 +128,12 @@ def global_steps(mb: DataFrame, cfg: RunConfig, failed=None) -> DataFrame:
                  .drop("_sb", "_total"))
 
 
-def event_markers(gs: DataFrame, cfg: RunConfig, n_rows: int) -> DataFrame:
+def event_markers(gs: DataFrame, cfg: Curriculum, n_rows: int, save_every: int) -> DataFrame:
     """F8: eval and save events at optimizer steps, plus one final save."""
-    ev = cfg.eval_interval(n_rows)
-    push = cfg.resolved_push_interval
+    ev = numbers(cfg, n_rows).eval_every
     st = gs.filter("stepped")
     evals = st.filter(F.col("global_step") % ev == 0).withColumn("event", F.lit("eval"))
-    saves = st.filter(F.col("global_step") % push == 0).withColumn("event", F.lit("save"))
+    saves = st.filter(F.col("global_step") % save_every == 0).withColumn("event", F.lit("save"))
     cols = ["global_step", "event", "epoch", "phase", "p"]
     final = gs.sparkSession.createDataFrame(
         [(None, "final", cfg.epochs - 1, None, 0.0)],
@@ -133,7 +141,7 @@ def event_markers(gs: DataFrame, cfg: RunConfig, n_rows: int) -> DataFrame:
     return evals.select(*cols).unionByName(saves.select(*cols)).unionByName(final)
 
 
-def checkpoint_manifest(events: DataFrame, cfg: RunConfig) -> DataFrame:
+def checkpoint_manifest(events: DataFrame, cfg: Curriculum, run: str) -> DataFrame:
     """Checkpoint names and messages for every save."""
     saves = events.filter(F.col("event").isin("save", "final"))
     step = F.col("global_step")
@@ -142,13 +150,13 @@ def checkpoint_manifest(events: DataFrame, cfg: RunConfig) -> DataFrame:
     message = F.when(step.isNull(), F.lit(f"Final model - Epoch {cfg.epochs}")) \
                .otherwise(F.format_string("Step %d - Epoch %d (MLM %.2f)", step, F.col("epoch") + 1, F.col("p")))
     return saves.select("global_step", suffix.alias("suffix"), message.alias("message"),
-                        F.lit(cfg.run_name).alias("run"))
+                        F.lit(run).alias("run"))
 
 
-def lr_schedule(spark: SparkSession, cfg: RunConfig, n_rows: int) -> DataFrame:
+def lr_schedule(spark: SparkSession, cfg: Curriculum, n_rows: int, peak: float = 5e-4) -> DataFrame:
     """linear decay, zero warm-up; the rate used by optimizer step g
     is lr * max(0, (T - (g - 1)) / T)."""
-    t = cfg.total_steps(n_rows)
+    t = numbers(cfg, n_rows).all_steps
     g = F.col("id")
-    lr = F.lit(cfg.learning_rate) * F.greatest(F.lit(0.0), (F.lit(t) - (g - 1)) / F.lit(float(t)))
+    lr = F.lit(peak) * F.greatest(F.lit(0.0), (F.lit(t) - (g - 1)) / F.lit(float(t)))
     return spark.range(1, t + 1).select(g.alias("global_step"), lr.alias("lr"))

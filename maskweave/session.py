@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app: str = "maskweave") -> SparkSession:
+              app: str = "maskweave", source_partitions: int | None = None) -> SparkSession:
     """A session with AQE on.  On a cluster pass nothing: master and sizes
-    come from the submit configuration."""
+    come from the submit configuration.  ``source_partitions`` deals the rows
+    of small source files to more tasks (benchmarks on one file)."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
@@ -24,6 +25,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
           .config("spark.sql.execution.arrow.pyspark.enabled", "true")
           .config("spark.ui.enabled", "false")
           .config("spark.ui.showConsoleProgress", "false"))
+    if source_partitions:
+        b = b.config("maskweave.sourcePartitions", str(source_partitions))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if master and master.startswith("local"):
@@ -111,13 +114,3 @@ def discard(*dfs: DataFrame) -> None:
             spark = df.sparkSession
             where = spark._jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition only when a source has fewer partitions than
-    the cluster's parallelism (a small file on many cores).  On a large
-    input this is a no-op, so no shuffle is added at scale."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want)

@@ -18,11 +18,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def read_corpus(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     """A1: the corpus as a lazy DataFrame (Parquet scan; filters and
-    projections applied later are pushed into it).  A source with fewer
-    splits than cores is spread round-robin (no-op at scale)."""
-    from maskweave.session import spread
-
-    return spread(read_table(spark, sf_dir, name))
+    projections applied later are pushed into it).  Its partitions are the
+    scan's; ``spark.sql.files.maxPartitionBytes`` sizes them.  A caller on a
+    few small files with many cores may ask for more partitions with the
+    setting ``maskweave.sourcePartitions``."""
+    df = read_table(spark, sf_dir, name)
+    want = spark.conf.get("maskweave.sourcePartitions", None)
+    return df.repartition(int(want)) if want else df
 
 
 def text_column(df: DataFrame, mode: str = "schema", strict: bool = True) -> Column:
@@ -32,7 +34,8 @@ def text_column(df: DataFrame, mode: str = "schema", strict: bool = True) -> Col
     ``key``:    ``text`` if present (even when empty), else ``content``,
                 else the empty string; rows are dropped later by B1.
     ``truthy``: first non-empty of ``text`` and ``content``; with
-                ``strict`` a row with neither raises an error at run time.
+                ``strict`` a row with neither raises an error at run time,
+                otherwise its text is null.
     """
     cols = set(df.columns)
     if mode == "schema":
@@ -46,8 +49,8 @@ def text_column(df: DataFrame, mode: str = "schema", strict: bool = True) -> Col
     if mode == "truthy":
         options = [F.nullif(F.col(c), F.lit("")) for c in ("text", "content") if c in cols]
         if strict:
-            options.append(F.raise_error(F.lit("Expected 'text' or 'content' field in dataset example")))
-        return F.coalesce(*options) if len(options) > 1 else options[0]
+            options.append(F.raise_error(F.lit("row without a value in 'text' and in 'content'")))
+        return F.coalesce(*options, F.lit(None).cast("string"))
     raise ValueError(f"unknown text mode {mode!r}; expected one of {TEXT_MODES}")
 
 

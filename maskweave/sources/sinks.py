@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import json
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from maskweave.functions.text import flatten_newlines
 from maskweave.session import scratch_path
 
+log = logging.getLogger(__name__)
+
 
 def write_corpus_lines(df: DataFrame, path: str | None = None, text: str = "text") -> str:
     """One document per line, newlines flattened to spaces.  Written in
     parallel (one file per partition); returns the folder."""
     path = path or scratch_path(df.sparkSession, "corpus-lines")
-    df.select(flatten_newlines(text).alias("value")).write.mode("overwrite").text(path)
+    df.select(flatten_newlines(text).alias("value")).write.mode("overwrite").option("lineSep", "\n").text(path)
     return path
 
 
@@ -33,7 +37,7 @@ def prepare_output_dir(spark: SparkSession, path: str, overwrite: bool = False)
         if overwrite:
             fs.delete(p, True)
         elif len(fs.listStatus(p)) > 0:
-            raise FileExistsError(f"Directory '{path}' already exists; use overwrite to replace it")
+            raise FileExistsError(f"{path} is not empty (pass overwrite=True to empty it)")
     fs.mkdirs(p)
 
 
@@ -60,16 +64,38 @@ def read_vocab(spark: SparkSession, out_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out_dir}/vocab")
 
 
+def read_corpus_lines(spark: SparkSession, path: str) -> DataFrame:
+    """A6 read back: only the line feed ends a line, a document's carriage
+    returns stay in it."""
+    return spark.read.option("lineSep", "\n").text(path).select(F.col("value").alias("line"))
+
+
+def read_vocab_text(spark: SparkSession, out_dir: str) -> DataFrame:
+    """(piece, score) from the text form."""
+    parts = F.split(F.col("line"), "\t")
+    return read_corpus_lines(spark, f"{out_dir}/vocab_text").select(
+        parts[0].alias("piece"), parts[1].cast("double").alias("score"))
+
+
+def read_special_tokens(spark: SparkSession, out_dir: str) -> dict[str, str]:
+    """The special-token map from its JSON form."""
+    return json.loads(spark.read.text(f"{out_dir}/special_tokens").first()[0])
+
+
 def load_vocab(spark: SparkSession, path: str | None, default: DataFrame) -> tuple[DataFrame, bool]:
-    """A10: the vocabulary saved at ``path`` if it exists and loads, else
-    ``default``.  Returns (vocab, loaded_custom)."""
+    """A10: the vocabulary saved at ``path`` if it loads and has the columns
+    of one, else ``default``.  Whatever reading raises is logged.  Returns
+    (vocab, loaded_custom)."""
     if path:
         try:
             v = read_vocab(spark, path)
-            v.schema  # noqa: B018 - resolves the files now
+            missing = {"id", "piece", "score", "role"} - set(v.columns)
+            if missing:
+                raise ValueError(f"no column {sorted(missing)}")
+            v.agg(F.max("id"), F.max("piece")).collect()  # reads every file: a corrupt one fails here
             return v, True
-        except AnalysisException:
-            pass
+        except Exception as exc:  # noqa: BLE001 - any fault means the default (A10)
+            log.warning("vocabulary at %s does not load, using the default: %s", path, str(exc)[:200])
     return default, False
 
 

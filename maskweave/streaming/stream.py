@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from maskweave.operators import encode as EN
 from maskweave.operators import words as WD
-from maskweave.session import scratch_path, spread
+from maskweave.session import scratch_path
 from maskweave.sources import corpus as C
 
 
@@ -43,8 +43,7 @@ def stream_encode(stream: DataFrame, vocab: DataFrame, kind: str = "wordpiece",
                   key: str = "doc_id") -> str:
     """K1: stream -> text choice -> encode -> Parquet.  Returns the sink.
 
-    Each micro-batch is encoded as a batch DataFrame (so a small batch is
-    spread over the cores before the Python step) and written with an
+    Each micro-batch is encoded as a batch DataFrame and written with an
     idempotent overwrite into ``batch_id=<n>``: a replayed batch after a
     failure replaces its own output, so the sink stays exactly-once."""
     spark = stream.sparkSession
@@ -55,7 +54,7 @@ def stream_encode(stream: DataFrame, vocab: DataFrame, kind: str = "wordpiece",
     text = C.resolve_text(stream, text_mode, keys=(key,))
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        words = spread(batch).select(key, F.col("text").alias("_text"))
+        words = batch.select(key, F.col("text").alias("_text"))
         enc = EN.with_masks(EN.encode_words(words, "_text", model, [key]), specials)
         enc.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
@@ -65,16 +64,23 @@ def stream_encode(stream: DataFrame, vocab: DataFrame, kind: str = "wordpiece",
 
 def stream_word_counts(stream: DataFrame, text_mode: str = "key", sink: str | None = None,
                        checkpoint: str | None = None) -> str:
-    """K2: running word counts (state in the distributed state store);
-    each trigger rewrites the complete table to Parquet."""
+    """K2: running word counts (state in the distributed state store).  Each
+    trigger writes the words it changed into ``epoch=<n>``; a replayed epoch
+    replaces its own output, and earlier epochs stay readable meanwhile.
+    ``read_word_counts`` merges them."""
     spark = stream.sparkSession
     sink = sink or scratch_path(spark, "stream-words")
     checkpoint = checkpoint or scratch_path(spark, "stream-words-ckpt")
     counts = WD.wordpiece_words(C.resolve_text(stream, text_mode))
 
-    def publish(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(sink)
+    def publish(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink}/epoch={epoch}")
 
-    _run(counts.writeStream.outputMode("complete").foreachBatch(publish)
+    _run(counts.writeStream.outputMode("update").foreachBatch(publish)
                .option("checkpointLocation", checkpoint))
     return sink
+
+
+def read_word_counts(spark: SparkSession, sink: str) -> DataFrame:
+    """K2 read: the latest count of every word."""
+    return spark.read.parquet(sink).groupBy("word").agg(F.max_by("n", "epoch").alias("n"))

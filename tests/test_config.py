@@ -1,28 +1,24 @@
-"""Plan numbers (F1, F10, A13) against the reference defaults' values."""
+"""Plan numbers."""
 
-from maskweave.plans.config import RunConfig, fixture_config
+from maskweave.plans.config import Curriculum, eval_rows, numbers, run_label, save_interval
 
 
-def test_reference_defaults_with_the_estimate():
-    cfg = RunConfig(estimated_rows=86_500_000)
-    n = 123  # the estimate wins over the real count when given (Q2)
-    assert cfg.effective_batch == 8
-    assert cfg.steps_per_epoch(n) == 10_812_500
-    assert cfg.total_steps(n) == 10_812_500
-    assert cfg.eval_size == 5_000
-    assert cfg.chunk_size(n) == 17_300_000
-    assert cfg.eval_interval(n) == 2_703_125   # Q11: divided by epochs and 4
+def test_numbers_of_a_large_corpus():
+    n = numbers(Curriculum(), 86_500_000)
+    assert (n.epoch_steps, n.all_steps, n.chunk) == (10_812_500, 10_812_500, 17_300_000)
+    assert n.eval_every == 2_703_125
+    assert numbers(Curriculum(epochs=3), 86_500_000)[1:] == (10_812_500, 32_437_500, 901_041)  # Q11
+    assert eval_rows(0.05) == 5_000 and eval_rows(0.0) == 1
 
 
-def test_real_count_by_default_and_fixture_plan():
-    cfg = fixture_config()
-    assert (cfg.eval_size, cfg.chunk_size(1_000)) == (10, 200)
-    assert cfg.chunk_size(200) == 40 and cfg.chunk_size(10_000) == 2_000
-    assert cfg.chunk_size(30) == cfg.eval_size + 1   # never shorter than E + 1
+def test_numbers_of_small_tables():
+    c = Curriculum(eval_rows=10)
+    assert [numbers(c, n).chunk for n in (1_000, 200, 10_000)] == [200, 40, 2_000]
+    assert numbers(c, 30).chunk == c.eval_rows + 1   # never shorter than E + 1
+    assert numbers(c, 0)[1:] == (1, 1, 1)
 
 
-def test_push_interval_and_run_name():
-    assert RunConfig(push_interval=7).resolved_push_interval == 7
-    assert RunConfig(push_interval=7, testing=True).resolved_push_interval == 10_000   # Q7
-    assert RunConfig(model_checkpoint="org/some-model").run_name == "some-model-dutch-full"
-    assert RunConfig(model_checkpoint="m", testing=True).run_name == "m-dutch-test"
+def test_save_interval_and_label():
+    assert save_interval(7) == 7 and save_interval(7, trial=True) == 10_000   # Q7
+    assert run_label("org/some-model", "nl") == "some-model-nl-full"
+    assert run_label("m", "nl", trial=True) == "m-nl-test"

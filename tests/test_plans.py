@@ -10,7 +10,7 @@ from maskweave.catalog.encode_q import test_vocab as build_vocab
 from maskweave.operators import position as P
 from maskweave.operators import words as WD
 from maskweave.plans.batches import training_data
-from maskweave.plans.config import fixture_config
+from maskweave.catalog.curriculum_q import CFG
 from maskweave.sources import corpus as C
 
 
@@ -33,7 +33,7 @@ def test_position_broadcasts_only_the_offsets(spark):
 
 
 def test_aligned_buffer_has_one_shuffle_above_positions(spark):
-    cfg = fixture_config(shuffle_buffer=48)  # multiple of the batch size
+    cfg = CFG  # the block is a multiple of the batch
     td = training_data(docs(spark, SF_SMALL), build_vocab(spark, SF_SMALL), cfg)
     p = plan(td.padded)
     hashed = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)

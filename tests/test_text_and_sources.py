@@ -23,7 +23,7 @@ def test_nfkc_casefold_literals(spark):
 
 def test_truthy_strict_raises_without_text(spark):
     df = spark.createDataFrame([(1, "", None)], "doc_id long, text string, content string")
-    with pytest.raises(Exception, match="Expected 'text' or 'content'"):
+    with pytest.raises(Exception, match="row without a value"):
         C.resolve_text(df, "truthy").collect()
 
 
