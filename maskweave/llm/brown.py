@@ -18,8 +18,10 @@ so that words, and not tokens, are shuffled.
 
 A token's probability mixes ``p(class | class before) * p(word | class)`` with
 the smoothed unigram estimate ``(c + 0.1) / (N + 0.1 (V + 1))``, which alone
-holds for words that training did not see.  A text's score is the sum of
-log10 over its tokens, perplexity is ``10 ** (-score / n_tokens)``.
+holds for words that training did not see.  The weight of the mixture is the
+one of WEIGHTS under which the training tokens are most likely when each is
+left out of the counts that predict it.  A text's score is the sum of log10
+over its tokens, perplexity is ``10 ** (-score / n_tokens)``.
 
 Null and empty texts are one end token.  A text longer than a block continues
 in further blocks and its parts are summed.  Repeated rows are scored each; an
@@ -41,8 +43,8 @@ from maskweave.session import discard, materialize
 CORE, CLASSES, SWEEPS = 1024, 64, 8
 #: Tokens in a block.
 BLOCK = 1_000_000
-#: Weight of the class bigram beside the unigram.
-MIXED = 0.8
+#: Weights of the class bigram beside the unigram to choose from.
+WEIGHTS = tuple(k / 20 for k in range(20))
 ADD = 0.1
 
 END = mix(np.array([0xE0D], np.uint64))[0]
@@ -301,6 +303,32 @@ def _transitions(classes):
     return run
 
 
+def _left_out(model):
+    """Sum of log10 over training tokens for each weight, every token left out
+    of its own counts."""
+    def run(batches):
+        n, v, seen, prior = model.value
+        classes = seen.shape[1]
+        size, after = np.append(seen.sum(axis=0), 0), seen.sum(axis=1)
+        total = np.zeros(len(WEIGHTS))
+        for b in batches:
+            for k in range(b.num_rows):
+                sizes, tokens, train, more, begin, first = _open(b, k)
+                c, cls = _known(b, k)
+                token_cls = cls[tokens]
+                before = _context(token_cls, first, more, begin, classes)
+                ok = np.repeat(train, sizes) & (token_cls >= 0)
+                ok[begin[more]] = False
+                c, cls, before = c[tokens][ok], token_cls[ok], before[ok]
+                base = (c - 1 + ADD) / max(n - 1 + ADD * (v + 1), ADD)
+                follow = (seen[before, cls] - 1 + prior[cls]) / after[before]
+                follow *= (c - 1) / np.maximum(size[cls] - 1, 1)
+                for i, w in enumerate(WEIGHTS):
+                    total[i] += np.log10(w * follow + (1 - w) * base).sum()
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(WEIGHTS))), pa.array(total)], ["weight", "sum"])
+    return run
+
+
 def _score(model):
     def run(batches):
         n, v, transition, size, mixed = model.value
@@ -337,10 +365,10 @@ def _sum_pairs(df: DataFrame, n: int) -> np.ndarray:
 
 
 def train_and_score(docs: DataFrame, train, core_words: int = CORE, classes: int = CLASSES,
-                    mixed: float = MIXED) -> DataFrame:
+                    mixed: float | None = None) -> DataFrame:
     """Scores of all rows of ``docs`` by the model of the rows for which the
     column ``train`` is true: doc_id, held_out, n_tokens, n_known,
-    train_tokens, base_score, score."""
+    train_tokens, base_score, score.  ``mixed`` fixes the mixture's weight."""
     spark = docs.sparkSession
     share = spark.sparkContext.broadcast
     blocks = bucketed(
@@ -389,6 +417,10 @@ def train_and_score(docs: DataFrame, train, core_words: int = CORE, classes: int
     in_class = seen.sum(axis=0)
     prior = (in_class + ADD) / (in_class.sum() + ADD * classes)
     transition = (seen + prior) / (seen.sum(axis=1, keepdims=True) + 1)
+    if mixed is None:
+        sums = (full.mapInArrow(_left_out(share((n, v, seen, prior))), "weight long, sum double")
+                .groupBy("weight").agg(F.sum("sum").alias("sum")).collect())
+        mixed = WEIGHTS[max(sums, key=lambda r: (r["sum"], -r["weight"]))["weight"]] if sums else 0.0
     parts = full.mapInArrow(
         _score(share((n, v, transition, np.append(in_class, 0), mixed))),
         "task long, row long, doc_id long, held_out boolean, n_tokens long, n_known long, "
