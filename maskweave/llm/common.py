@@ -228,8 +228,9 @@ def _compress(batches):
 
 
 def components(edges: DataFrame, name: str = "components", max_rounds: int = 60) -> DataFrame:
-    """(node, comp): each node of the links ``edges(u, v)`` with the smallest
-    node that it reaches.  Nodes without links are not in the result.
+    """(node, comp): each node of the links ``edges(u, v)`` that reaches a
+    smaller one, with the smallest that it reaches.  Nodes that are the
+    smallest themselves, or have no links, are not in the result.
 
     Each partition first shrinks its links with union-find; then alternating
     large-star and small-star rounds run on the cluster, each written to the

@@ -79,7 +79,7 @@ RULES = [
 WORDS = "licen[sc]e|permission|redistribut|warrant|copyright|public domain|as[ -]is|spdx|free software|liable|mozilla"
 
 _PATTERNS = [(name, re.compile(p.replace("(v)", r"(?P<v>\d+(?:\.\d+)*)"), re.S)) for name, p in SENTENCES.items()]
-_CUT = re.compile(r"[.!?;:]+(?=\s|$)|\n[\s#*/%;-]*\n"
+_CUT = re.compile(r"[.!?]+(?=\s|$)|\n[\s#*/%;-]*\n"
                   r"|\n(?=[\s#*/%;-]*(?:SPDX|Licensed|Released|Permission|Redistribution|This)\b)|(?<=[.!?;:])\n")
 _HINT = re.compile(WORDS, re.I)
 _SIGN = re.compile(r"(?<=\d)\.(?=\d)|[^\w]+|_+")
