@@ -11,12 +11,15 @@ measured too: three aggregates and a write per round made it slower than
 one aggregate over the cached W at every size we could run.)
 
 Several merges per round give exactly the one-at-a-time result: walking
-down the ranked pairs, stop at the first pair that shares a symbol with a
-taken one, is a self-pair, would make a symbol that exists or was made
-this round, exceeds the budget, or is the K+1-th.  With ``s`` the count of
-that pair, keep taken pairs with n > s (always the first): every pair
-whose count a taken merge can change touches a taken symbol, so ranks at
-or below the stop, and pairs touching nothing taken keep their counts.
+down the ranked pairs, stop at the first pair that can stand next to a taken
+one (its left symbol is a taken right one, or its right a taken left one), is
+a self-pair, would make a symbol that exists or was made this round, exceeds
+the budget, or is the K+1-th.  With ``s`` the count of that pair, keep taken
+pairs with n > s (always the first).  Taken pairs never overlap in a word, so
+none changes another's count.  A merge of (l, r) makes new pairs (x, lr) and
+(lr, y), which occur at most as often as (x, l) and (r, y) did; those can
+stand next to a taken pair, so they were not taken and have n <= s, as has
+every other pair.
 
 Contract for ties (ours): higher n first, then left, then right, by code
 point.
@@ -98,7 +101,7 @@ def multi_symbol(w: DataFrame) -> DataFrame:
 def choose_round(ranked: list, k: int, kind: str, known: set, budget: int | None,
                  min_pair_n: int) -> list:
     """The exact multi-merge rule; returns [(left, right, merged, n, is_new)]."""
-    taken, used, made = [], set(), set()
+    taken, lefts, rights, made = [], set(), set(), set()
     stop_n = None
     new_count = 0
     for idx, row in enumerate(ranked):
@@ -109,14 +112,15 @@ def choose_round(ranked: list, k: int, kind: str, known: set, budget: int | None
         m = merged_name(l, r, kind)
         is_new = m not in known and m not in made
         if taken:
-            if (idx >= k or l in used or r in used or l == r or not is_new
+            if (idx >= k or l in rights or r in lefts or l == r or taken[0][0] == taken[0][1] or not is_new
                     or (budget is not None and new_count + 1 > budget)):
                 stop_n = n
                 break
         elif budget is not None and is_new and budget <= 0:
             break
         taken.append((l, r, m, n, is_new))
-        used.update((l, r))
+        lefts.add(l)
+        rights.add(r)
         made.add(m)
         new_count += int(is_new)
     if stop_n is None:

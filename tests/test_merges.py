@@ -48,13 +48,13 @@ def brute_merges(word_counts, kind, n_merges, min_n=2):
     return out
 
 
-@pytest.mark.parametrize("kind,per_round", [("wordpiece", 64), ("bpe", 8)])
+@pytest.mark.parametrize("kind,per_round", [("wordpiece", 128), ("bpe", 48)])
 def test_batched_equals_one_at_a_time(spark, kind, per_round):
     d = docs(spark, SF_SMALL)
     wc = WD.wordpiece_words(d) if kind == "wordpiece" else WD.sp_words(d)
     local = [(r["word"], r["n"]) for r in wc.collect()]
-    want = brute_merges(local, kind, 120)
-    got = M.learn_merges(wc, kind, max_merges=120, per_round=per_round, checkpoint_every=3)
+    want = brute_merges(local, kind, 400)
+    got = M.learn_merges(wc, kind, max_merges=400, per_round=per_round, checkpoint_every=3)
     rows = [tuple(r) for r in got.merges.orderBy("rank").collect()]
     assert rows == want
 
@@ -76,8 +76,12 @@ def test_choose_round_rule():
     rows = [{"left": "a", "right": "b", "n": 10}, {"left": "c", "right": "d", "n": 9},
             {"left": "b", "right": "e", "n": 8}, {"left": "f", "right": "g", "n": 7}]
     got = M.choose_round(rows, 8, "bpe", set("abcdefg"), None, 2)
-    # (b, e) touches a taken symbol: stop with s = 8, keep n > 8
+    # (b, e) can follow (a, b): stop with s = 8, keep n > 8
     assert [(t[0], t[1]) for t in got] == [("a", "b"), ("c", "d")]
+    fan = [{"left": "a", "right": "b", "n": 10}, {"left": "a", "right": "c", "n": 9},
+           {"left": "d", "right": "c", "n": 8}, {"left": "x", "right": "a", "n": 7}, {"left": "y", "right": "z", "n": 6}]
+    # pairs that share a side never overlap in a word; (x, a) can stand before (a, b)
+    assert [t[:2] for t in M.choose_round(fan, 8, "bpe", set("abcdxyz"), None, 2)] == [("a", "b"), ("a", "c"), ("d", "c")]
     tie = [{"left": "a", "right": "b", "n": 5}, {"left": "c", "right": "d", "n": 5},
            {"left": "b", "right": "x", "n": 5}]
     got = M.choose_round(tie, 8, "bpe", set("abcdx"), None, 2)
