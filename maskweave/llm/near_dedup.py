@@ -15,13 +15,16 @@ group is everything that links reach.  Steps, all as Spark jobs:
 3. Band keys of the representatives meet in buckets.  In each bucket every
    member is paired with the bucket's smallest member only; pairs are
    verified on full sets, and the links found are grouped.
-4. Members of one bucket that still are in different groups are paired and
-   verified too.  Buckets whose members already are one group, however
-   large, make no pairs, and no link inside a bucket is lost.
+4. Buckets whose members already are one group, however large, are done.
+   In the others all members are compared by longer signatures, block
+   against block of MEMBERS members, so that no task holds more than two
+   blocks; pairs of different groups whose signatures agree within four
+   standard deviations of the threshold are verified too.
 
 With 128 registers in 32 bands of 4, a pair at similarity 0.8 shares no
-bucket with probability 5e-8.  Rows with a null doc_id take part in no link
-and stay; rows that repeat a doc_id are one node of the graph.
+bucket with probability 5e-8, and fails the comparison of signatures with at
+most 3e-5.  Rows with a null doc_id take part in no link and stay; rows that
+repeat a doc_id are one node of the graph.
 """
 
 from __future__ import annotations
@@ -35,6 +38,10 @@ from maskweave.llm.common import (components, distinct_per_text, mix, shingles,
 from maskweave.session import materialize
 
 REGISTERS, BANDS = 128, 32
+#: Registers of the second comparison, a byte of each.
+LONG = 512
+#: Members of a bucket that are compared with each other at a time.
+MEMBERS = 1000
 EMPTY = np.int32(np.iinfo(np.int32).max)
 
 
@@ -84,7 +91,7 @@ def _sketch(size: int, bands: int):
                 step = 0
                 while step < len(n):
                     base = ends[step] - n[step]
-                    to = max(step + 1, int(np.searchsorted(ends, base + 200_000, "right")))
+                    to = max(step + 1, int(np.searchsorted(ends, base + 100_000, "right")))
                     part = e[base:ends[to - 1]]
                     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(part))])
                     also = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(part ^ np.uint64(0x5BD1E995)))])
@@ -113,12 +120,57 @@ def _sets(size: int):
     return run
 
 
-def _verify(docs: DataFrame, pairs: DataFrame, size: int, percent: int, name: str) -> DataFrame:
+def _compare(percent: int):
+    """Pairs of two blocks of a bucket that may hold.  A pair that shares
+    several buckets is given by the one of its first shared band only."""
+    share = percent / 100
+    least = LONG * share - 4 * (LONG * share * (1 - share)) ** 0.5
+
+    def run(batches):
+        for b in batches:
+            for band, i, j, members in zip(*(b.column(k).to_pylist() for k in range(3)), b.column(3)):
+                x = members.values.field("x")
+                own = members.values.field("own").to_numpy()
+                rep, comp, n = (x.field(k).to_numpy() for k in ("rep", "comp", "n"))
+                keys = x.field("keys").flatten().to_numpy().reshape(len(rep), -1)
+                sig = np.frombuffer(b"".join(x.field("signature").to_pylist()), np.uint8).reshape(len(rep), -1)
+                left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+                us, vs = [], []
+                for k in range(0, len(left), 16):
+                    q = left[k:k + 16]
+                    near = (sig[q][:, None] == sig[right][None]).sum(axis=2) >= least
+                    near &= comp[q][:, None] != comp[right][None]
+                    near &= 100 * np.minimum(n[q][:, None], n[right]) >= percent * np.maximum(n[q][:, None], n[right])
+                    f, g = np.nonzero(near)
+                    first = (keys[q[f]] == keys[right[g]]).argmax(axis=1) == band
+                    f, g = f[first], g[first]
+                    us.append(rep[q[f]]), vs.append(rep[right[g]])
+                u, v = np.concatenate(us or [rep[:0]]), np.concatenate(vs or [rep[:0]])
+                if len(u):
+                    both = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)]), axis=1)
+                    yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["u", "v"])
+    return run
+
+
+def _long_signatures(batches):
+    """(rep, signature) of sets; steps keep the permutations small."""
+    for b in batches:
+        off = b.column(1).offsets.to_numpy().astype(np.int64)
+        e = b.column(1).flatten().to_numpy().view(np.uint64)
+        off -= off[0]
+        at = 0
+        while at < b.num_rows:
+            to = min(b.num_rows, max(at + 1, int(np.searchsorted(off, off[at] + 50_000, "right")) - 1))
+            got = superminhash(e[off[at]:off[to]], np.diff(off[at:to + 1]), LONG)
+            raw = pa.py_buffer(got.astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).slice(at, to - at),
+                 pa.Array.from_buffers(pa.binary(LONG), to - at, [None, raw]).cast(pa.binary())], ["rep", "signature"])
+            at = to
+
+
+def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) that hold on full sets."""
-    ids = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    sets = materialize(texts.join(ids, "id", "left_semi").mapInArrow(_sets(size), "id long, elements array<long>"),
-                       f"{name}-sets")
     both = F.size(F.array_intersect("a", "b")).cast("long")
     return (pairs.join(sets.select(F.col("id").alias("u"), F.col("elements").alias("a")), "u")
             .join(sets.select(F.col("id").alias("v"), F.col("elements").alias("b")), "v")
@@ -139,28 +191,38 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, bands: int =
     copies = full.join(reps.select(*same, "rep"), same).where("doc_id != rep").select(
         F.col("rep").alias("u"), F.col("doc_id").alias("v"))
 
-    rows = reps.select(F.explode("keys").alias("key"), "rep", F.col("n_shingles").alias("n"))
+    rows = reps.select(F.posexplode("keys").alias("band", "key"), "rep", F.col("n_shingles").alias("n"))
     shared = rows.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("low"), F.max("rep").alias("high")) \
         .where("low.rep < high").select("key", F.col("low.rep").alias("u"), F.col("low.n").alias("un"))
     members = materialize(rows.join(shared, "key"), "members")
     fits = f"100 * least(n, un) >= {percent} * greatest(n, un)"
     stars = materialize(members.where("rep != u").where(fits).select("u", F.col("rep").alias("v")).distinct(), "stars")
-    links = materialize(_verify(texts, stars, size, percent, "stars"), "links")
+    ids = members.select(F.col("rep").alias("id")).distinct()
+    sets = materialize(texts.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi")
+                       .mapInArrow(_sets(size), "id long, elements array<long>"), "sets")
+    links = materialize(_verify(stars, sets, percent), "links")
 
     groups = components(links.union(copies), "groups-1")
-    placed = (members.select("key", "rep", "n")
+    placed = (members.select("key", "band", "rep", "n")
               .join(groups.withColumnRenamed("node", "rep"), "rep", "left")
               .withColumn("comp", F.coalesce("comp", "rep")))
     placed = materialize(placed, "placed")
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("key")
-    left = placed.join(mixed, "key")
-    right = left.select("key", F.col("rep").alias("rep2"), F.col("n").alias("un"), F.col("comp").alias("comp2"))
-    rest = (left.join(right, (left["key"] == right["key"]) & (F.col("comp") < F.col("comp2"))
-                      & F.expr(fits))
-            .select(F.least("rep", "rep2").alias("u"), F.greatest("rep", "rep2").alias("v")).distinct()
-            .join(stars, ["u", "v"], "left_anti"))
+    mixed = (placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("size"))
+             .where("x != y").select("key", F.ceil(F.col("size") / MEMBERS).cast("int").alias("blocks")))
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    placed = materialize(placed.join(mixed, "key"), "mixed")
+    signed = (sets.join(placed.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
+              .mapInArrow(_long_signatures, "rep long, signature binary"))
+    rows = (placed.join(signed, "rep").join(reps.select("rep", "keys"), "rep")
+            .select("key", "band", own.alias("own"), other.alias("other"),
+                    F.struct("rep", "comp", "n", "signature", "keys").alias("x"))
+            .groupBy("key", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+            .agg(F.collect_list(F.struct("own", "x")).alias("members"))
+            .select("band", "i", "j", "members"))
+    rest = (rows.mapInArrow(_compare(percent), "u long, v long").distinct().join(stars, ["u", "v"], "left_anti"))
     rest = materialize(rest, "rest")
-    more = materialize(_verify(texts, rest, size, percent, "rest"), "more-links")
+    more = materialize(_verify(rest, sets, percent), "more-links")
     groups = components(links.union(copies).union(more), "groups-2")
     return (sketch.select("doc_id", "n_shingles")
             .join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left")
