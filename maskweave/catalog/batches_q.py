@@ -44,17 +44,22 @@ def scores(spark, sf, failed=None):
 MASK_SQL = f"""with recursive {VOCAB_CTES},
 {greedy_ctes('documents', 'doc_id')},
 {plan_sql(CFG)},
-mt as (select mb.epoch, mb.phase, mb.split, mb.p, mb.doc_id, mb.micro_step, d.t_idx, d.id as t,
-              md5('{CFG.seed}:mlm:' || mb.epoch || ':' || mb.phase || ':' || mb.split || ':' || mb.doc_id || ':' || d.t_idx) as h
-         from mb join dtok d on d.doc_id = mb.doc_id),
-mu as (select *, cast(cast('0x' || substr(h, 1, 8) as bigint) as double) / 4294967296.0::double as u1,
-              cast(cast('0x' || substr(h, 9, 8) as bigint) as double) / 4294967296.0::double as u2,
-              cast(cast('0x' || substr(h, 17, 8) as bigint) as double) / 4294967296.0::double as u3
-         from mt),
-msel as (select *, (u1 < p and t not in (select id from vocab where role is not null)) as sel from mu),
+mrow as (select *, md5('{CFG.seed}:mlm:' || epoch || ':' || phase || ':' || split || ':' || doc_id) as h from mb),
+mseed as (select *, cast('0x' || substr(h, 1, 7) as bigint) * 8 as s0, cast('0x' || substr(h, 8, 7) as bigint) * 8 as s1,
+                 cast('0x' || substr(h, 15, 7) as bigint) * 8 as s2 from mrow),
+mt as (select mb.epoch, mb.phase, mb.split, mb.p, mb.doc_id, mb.micro_step, d.t_idx, d.id as t, s1, s2,
+              (s0 + (d.t_idx + 1) * 1630279) % 2147483647 as x
+         from mseed mb join dtok d on d.doc_id = mb.doc_id),
+m1 as (select *, x * x % 2147483647 as y, y * y % 2147483647 as y2, (y2 * x % 2147483647 * 48271 + 11) % 2147483647 as z from mt),
+m2 as (select *, (z + s1) % 2147483647 as x, x * x % 2147483647 as y, y * y % 2147483647 as y2,
+              (y2 * x % 2147483647 * 48271 + 11) % 2147483647 as act from (select * exclude (x, y, y2) from m1)),
+mu as (select *, (act + s2) % 2147483647 as x, x * x % 2147483647 as y, y * y % 2147483647 as y2,
+              (y2 * x % 2147483647 * 48271 + 11) % 2147483647 as pick from (select * exclude (x, y, y2) from m2)),
+msel as (select *, (z < ceil(p * 2147483647.0::double) and t not in (select id from vocab where role is not null)) as sel from mu),
 mr as (select *, case when not sel then t
-                      when u2 < {CO.MASK_SHARE}::double then (select id from vocab where role = 'mask')
-                      when u2 < {CO.RANDOM_CUT}::double then cast(floor(u3 * (select count(*) from vocab)) as bigint)
+                      when act < ceil(0.8::double * 2147483647.0::double) then (select id from vocab where role = 'mask')
+                      when act < ceil(0.9::double * 2147483647.0::double)
+                        then cast(pick * (select count(*) from vocab) // 2147483647 as bigint)
                       else t end as new_id,
               case when sel then t else -100 end as label
          from msel),

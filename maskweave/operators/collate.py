@@ -1,49 +1,43 @@
 """Collation and masking as array expressions.
 
-Masking runs inside ``transform`` over each row's ids: one md5 per token
-gives the three draws (select, action, random id), so there is no explode
-and no shuffle.  Padding needs the batch's longest row: a window over the
+Masking runs inside ``transform`` over each row's ids: one md5 per row seeds
+the three draws of every token (select, action, random id), which are integer
+arithmetic on its position, so there is no explode and no shuffle.  Padding needs the batch's longest row: a window over the
 batch key, which rides on the shuffle's partitioning when batches never
 straddle shuffle blocks (buffer a multiple of the batch size).
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from maskweave.functions.draws import TWO_32
-
 IGNORE = -100
 MASK_SHARE = 0.8     # selected tokens replaced by [MASK]
 RANDOM_CUT = 0.9    # draws in [0.8, 0.9) take a random id; the rest stay
 
 
-def _u(h: Column, slot: int) -> Column:
-    return F.conv(F.substring(h, 1 + 8 * slot, 8), 16, 10).cast("bigint").cast("double") / F.lit(TWO_32)
+STEP = 1630279
+PRIME = 2147483647   # draws are whole numbers below it
 
 
-def _hex8(h: Column, slot: int) -> Column:
-    return F.substring(h, 1 + 8 * slot, 8)
+def turn(x):
+    """A one-to-one map of 0..PRIME-1 (fifth power, then a line), whose
+    products fit in 64 bits; the same formula in SQL and numpy."""
+    y = x * x % PRIME
+    y = y * y % PRIME
+    return (y * x % PRIME * 48271 + 11) % PRIME
 
 
-def hex_threshold(q: float) -> str:
-    """For k from 8 hex digits: k / 2**32 < q  <=>  k < ceil(q * 2**32), and
-    fixed-width lowercase hex orders like the number, so the draw test is a
-    string comparison (no base conversion per token)."""
-    if q >= 1:
-        return "g"          # above every hex digit: always true
-    if q <= 0:
-        return "00000000"   # never true
-    return f"{math.ceil(q * TWO_32):08x}"
+def cut(share):
+    """Draws below it make up ``share`` of all."""
+    return F.ceil(share * F.lit(float(PRIME))).cast("bigint")
 
 
-def hex_threshold_col(q: Column) -> Column:
-    k = F.ceil(q * F.lit(TWO_32)).cast("bigint")
-    return (F.when(q >= 1, F.lit("g")).when(q <= 0, F.lit("00000000"))
-             .otherwise(F.lpad(F.lower(F.hex(k)), 8, "0")))
+def _scaled(draw: Column, n: int) -> Column:
+    """0..n-1 from a draw, in whole numbers."""
+    product = draw * n
+    return ((product - product % PRIME) / PRIME).cast("bigint")
 
 
 def draw_prefix(seed: int, keys: list[str]) -> Column:
@@ -58,35 +52,37 @@ def mlm_mask(df: DataFrame, specials: list[int], mask_id: int, vocab_size: int,
     where selected, else -100.  The special-token mask is recomputed from
     the vocabulary roles (G1)."""
     sp = F.array(*[F.lit(i).cast("bigint") for i in specials])
-    prefix = draw_prefix(seed, list(keys))
-    mask_hex, rand_hex = hex_threshold(MASK_SHARE), hex_threshold(RANDOM_CUT)
-    # one md5 per token, kept as its own column so both passes below read it
-    hashed = (df.withColumn("_p_hex", hex_threshold_col(F.col(p)))
-                .withColumn("_h", F.transform("input_ids", lambda t, i: F.md5(
-                    F.concat_ws(":", prefix, i.cast("string"))))))
-
-    def sel(t, h):
-        return (_hex8(h, 0) < F.col("_p_hex")) & ~F.array_contains(sp, t)
-
-    def new_id(t, h):
-        a = _hex8(h, 1)
-        return (F.when(~sel(t, h), t)
-                 .when(a < F.lit(mask_hex), F.lit(mask_id).cast("bigint"))
-                 .when(a < F.lit(rand_hex), F.floor(_u(h, 2) * vocab_size).cast("bigint"))
+    h = F.md5(draw_prefix(seed, list(keys)))
+    rows = df.withColumn("_cut", cut(F.col(p)))
+    for k in range(3):  # 28 bits each
+        rows = rows.withColumn(f"_s{k}", F.conv(F.substring(h, 1 + 7 * k, 7), 16, 10).cast("bigint") * 8)
+    mask_cut, rand_cut = cut(F.lit(MASK_SHARE)), cut(F.lit(RANDOM_CUT))
+    # the draw that selects, kept as its own column so both passes below read it
+    drawn = rows.withColumn("_z", F.transform(
+        "input_ids", lambda t, i: turn((F.col("_s0") + (i.cast("bigint") + 1) * STEP) % PRIME)))
+
+    def sel(t, z):
+        return (z < F.col("_cut")) & ~F.array_contains(sp, t)
+
+    def new_id(t, z):
+        act = turn((z + F.col("_s1")) % PRIME)
+        return (F.when(~sel(t, z), t)
+                 .when(act < mask_cut, F.lit(mask_id).cast("bigint"))
+                 .when(act < rand_cut, _scaled(turn((act + F.col("_s2")) % PRIME), vocab_size))
                  .otherwise(t))
 
-    def label(t, h):
-        return F.when(sel(t, h), t).otherwise(F.lit(IGNORE).cast("bigint"))
+    def label(t, z):
+        return F.when(sel(t, z), t).otherwise(F.lit(IGNORE).cast("bigint"))
 
-    return (hashed.withColumn("labels", F.zip_with("input_ids", "_h", label))
-                  .withColumn("input_ids", F.zip_with("input_ids", "_h", new_id))
-                  .withColumn("attention_mask", F.array_repeat(F.lit(1).cast("bigint"), F.size("input_ids")))
-                  .drop("_h", "_p_hex"))
+    return (drawn.withColumn("labels", F.zip_with("input_ids", "_z", label))
+                 .withColumn("input_ids", F.zip_with("input_ids", "_z", new_id))
+                 .withColumn("attention_mask", F.array_repeat(F.lit(1).cast("bigint"), F.size("input_ids")))
+                 .drop("_z", "_cut", "_s0", "_s1", "_s2"))
 
 
 def pad_batches(df: DataFrame, pad_id: int, batch_keys: list[str]) -> DataFrame:
-    """Pad ids with [PAD], the attention mask with 0 and labels with
-    -100 up to the longest row of the batch."""
+    """Pad ids with [PAD], the attention mask and token types with 0 and
+    labels with -100 up to the longest row of the batch."""
     w = Window.partitionBy(*batch_keys)
     longest = F.max(F.size("input_ids")).over(w)
     b = df.withColumn("_len", F.size("input_ids")).withColumn("_max", longest)
@@ -97,11 +93,21 @@ def pad_batches(df: DataFrame, pad_id: int, batch_keys: list[str]) -> DataFrame:
 
     out = b.withColumn("input_ids", pad("input_ids", pad_id)) \
            .withColumn("attention_mask", pad("attention_mask", 0))
-    if "labels" in df.columns:
-        out = out.withColumn("labels", pad("labels", IGNORE))
+    for column, filler in (("labels", IGNORE), ("token_type_ids", 0)):
+        if column in df.columns:
+            out = out.withColumn(column, pad(column, filler))
     return out.drop("_len", "_max")
 
 
+def shape_batch(df: DataFrame, columns: tuple[str, ...] = ("input_ids", "attention_mask", "token_type_ids")) -> DataFrame:
+    """G4/G5 over a batch: every nested column of ``columns`` that is there
+    becomes a list of 64-bit integers."""
+    for c in columns:
+        if c in df.columns:
+            df = df.withColumn(c, as_int64(squeeze_leading(F.col(c), c)))
+    return df
+
+
 def squeeze_leading(nested: Column, name: str = "input_ids") -> Column:
     """A [1, n] value becomes [n]; any other leading size is an error
     (the reference rejects rank > 2 unless the leading dimension is 1)."""

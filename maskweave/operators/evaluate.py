@@ -2,10 +2,10 @@
 
 The built-in score is SQL: the mean negative log corpus frequency of the
 original token at masked positions.  It explodes only masked labels,
-joins the frequency table (bounded by the vocabulary size, broadcast)
-and aggregates partially before the shuffle on the batch key.  A user
-score function runs per batch with ``applyInPandas``; a batch holds at
-most ``batch_size`` rows.
+joins the frequency table (bounded by the vocabulary size, which the
+encoder checked; broadcast) and aggregates partially before the shuffle on the batch key.  A user
+score function runs per batch, many batches to a Python call; a batch holds
+at most ``batch`` rows.
 """
 
 from __future__ import annotations
@@ -51,14 +51,15 @@ def score_batches(masked: DataFrame, nll: DataFrame, keys: list[str] = BATCH_KEY
                .drop("_loss"))
 
 
-def score_with(masked: DataFrame, fn, keys: list[str] = BATCH_KEYS) -> DataFrame:
+def score_with(masked: DataFrame, fn, keys: list[str] = BATCH_KEYS, per_call: int = 256) -> DataFrame:
     """H1 user surface: ``fn(pandas batch) -> float`` per batch.  An
     exception becomes (loss null, error text) instead of failing the job;
-    a None loss is an error too, as in the reference."""
+    a None loss is an error too.  One Python call takes ``per_call``
+    consecutive micro-steps of a phase and split."""
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in masked.schema.fields if f.name in keys)
     schema += ", loss double, error string"
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def score(pdf: pd.DataFrame) -> pd.DataFrame:
         head = {k: [pdf[k].iloc[0]] for k in keys}
         try:
             loss = fn(pdf)
@@ -68,7 +69,12 @@ def score_with(masked: DataFrame, fn, keys: list[str] = BATCH_KEYS) -> DataFrame
         except Exception as exc:  # noqa: BLE001 - reported per batch (H2)
             return pd.DataFrame({**head, "loss": [None], "error": [f"{type(exc).__name__}: {exc}"]})
 
-    return masked.groupBy(*keys).applyInPandas(run, schema)
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.concat([score(batch) for _, batch in pdf.groupby(keys, sort=False)])
+
+    lead = [k for k in keys if k != "micro_step"]
+    call = F.floor(F.col("micro_step") / per_call)
+    return masked.withColumn("_call", call).groupBy(*lead, "_call").applyInPandas(run, schema)
 
 
 def eval_mean(scores: DataFrame, by: list[str] = ("epoch", "phase")) -> DataFrame:

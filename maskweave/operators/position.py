@@ -91,8 +91,8 @@ def running_sum(df: DataFrame, order: list[str], value: str, out: str,
 
     The last order column ``seq`` must be a dense-ish integer inside each
     group of the leading columns; rows are cut into blocks of
-    ``block_rows`` consecutive ``seq`` values.  Block totals form a small
-    table (rows / block_rows), whose prefix is taken there; each block's
+    ``block_rows`` consecutive ``seq`` values.  Block totals form a table of
+    rows / block_rows, whose prefix one task takes; each block's
     local running sum is a window over at most ``block_rows`` rows.
     """
     seq = seq or order[-1]
@@ -104,6 +104,6 @@ def running_sum(df: DataFrame, order: list[str], value: str, out: str,
     offsets = totals.select(*lead, "_blk", F.coalesce(F.sum("_bt").over(prior), F.lit(0)).alias("_boff"))
     local = Window.partitionBy(*lead, "_blk").orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
     return (b.withColumn("_loc", F.sum(value).over(local))
-             .join(F.broadcast(offsets), [*lead, "_blk"])
+             .join(offsets, [*lead, "_blk"])
              .withColumn(out, (F.col("_boff") + F.col("_loc")).cast("bigint"))
              .drop("_blk", "_loc", "_boff"))

@@ -1,8 +1,8 @@
 """The training-data plan end to end: corpus -> positioned, encoded rows
 -> curriculum slices -> shuffled micro-batches -> masked, padded batches.
 
-Shuffles: the position sort (carries the text once), the shuffle window
-(carries the ids once).  Encoding, slicing and masking are narrow; the
+Shuffles: the position sort (keys only), the join of ids and positions, the
+shuffle window (carries the ids once); the text is not shuffled.  Encoding, slicing and masking are narrow; the
 padding window reuses the shuffle partitioning when the buffer is a
 multiple of the batch size.
 """
@@ -47,11 +47,12 @@ def training_data(corpus: DataFrame, vocab: DataFrame, cfg: Curriculum, kind: st
     roles = {r["role"]: int(r["id"]) for r in vocab.filter("role is not null").collect()}
     n_vocab = vocab.count()
     t = C.resolve_text(corpus, text_mode, keys=(key,))
-    pos = P.with_position(t, order=(key,))
-    n = pos.count()
-    # the positioned, encoded corpus is written once: later steps (slices,
+    # only the keys are sorted; the text goes from the scan to the encoder and
+    # no further.  The encoded corpus is written once: later steps (slices,
     # frequencies, scores) read it instead of encoding again
-    enc = materialize(EN.encode(pos, vocab, kind, keys=(key, "pos"), merges=merges), "encoded")
+    pos = materialize(P.with_position(t.select(key), order=(key,)), "positions")
+    n = pos.count()
+    enc = materialize(EN.encode(t, vocab, kind, keys=(key,), merges=merges).join(pos, key), "encoded")
     mb = CU.with_epochs(CU.micro_batches(CU.shuffled(CU.slices(enc, cfg, n), cfg, key), cfg), cfg)
     specials = EN.special_ids(vocab)
     masked = CO.mlm_mask(mb.select(*[c for c in mb.columns if c != "special_tokens_mask"]),

@@ -111,9 +111,12 @@ def global_steps(mb: DataFrame, cfg: Curriculum, failed=None) -> DataFrame:
     boundary, possibly in the next phase (Q4); null for a failed
     micro-step or leftovers never applied at the end of the run."""
     p = len(cfg.shares)
-    steps = (mb.filter((F.col("split") == "train") & (F.col("seq") % cfg.batch == 0))
-               .select("epoch", "phase", "p", "micro_step", "is_boundary")
-               .withColumn("run_index", F.col("epoch") * p + F.col("phase")))
+    # micro-steps follow from how many each phase has: no row of data is sorted
+    ends = (mb.filter(F.col("split") == "train").groupBy("epoch", "phase", "p")
+              .agg(F.max("micro_step").alias("_last")))
+    steps = (ends.withColumn("micro_step", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_last"))))
+                 .withColumn("is_boundary", F.col("micro_step") % cfg.accumulate == 0)
+                 .withColumn("run_index", F.col("epoch") * p + F.col("phase")).drop("_last"))
     bad = failed(F.col("phase"), F.col("micro_step")) if failed else F.lit(False)
     steps = steps.withColumn("failed", bad) \
                  .withColumn("_sb", (F.col("is_boundary") & ~F.col("failed")).cast("bigint"))

@@ -83,3 +83,34 @@ def test_squeeze_rejects_leading_size_two(spark):
     bad = spark.createDataFrame([([[1], [2]],)], "x array<array<bigint>>")
     with pytest.raises(Exception, match="one inner list expected"):
         bad.select(CO.squeeze_leading(F.col("x"))).collect()
+
+
+def test_token_types_are_padded_and_shaped(spark):
+    df = spark.createDataFrame([(1, [5, 6, 7], [1, 1, 1], [0, 0, 1]), (1, [8], [1], [0])],
+                               "b int, input_ids array<bigint>, attention_mask array<bigint>, token_type_ids array<bigint>")
+    rows = CO.pad_batches(df, 0, ["b"]).collect()
+    assert sorted(r.token_type_ids for r in rows) == [[0, 0, 0], [0, 0, 1]]
+    nested = spark.createDataFrame([([[5, 6]], [[0, 1]])], "input_ids array<array<int>>, token_type_ids array<array<int>>")
+    out = CO.shape_batch(nested)
+    assert out.dtypes == [("input_ids", "array<bigint>"), ("token_type_ids", "array<bigint>")]
+    assert tuple(out.first()) == ([5, 6], [0, 1])
+    bad = spark.createDataFrame([([[5], [6]],)], "token_type_ids array<array<int>>")
+    with pytest.raises(Exception, match="token_type_ids: one inner list expected, found 2"):
+        CO.shape_batch(bad).collect()
+
+
+def test_scores_take_many_batches_a_call_and_keep_failures_apart(spark):
+    from maskweave.operators import evaluate as EV
+
+    df = spark.createDataFrame([(0, 0, "train", k // 2, float(k)) for k in range(20)],
+                               "epoch int, phase int, split string, micro_step bigint, x double")
+
+    def mean(batch):
+        if batch["micro_step"].iloc[0] == 3:
+            raise RuntimeError("no")
+        return None if batch["micro_step"].iloc[0] == 4 else batch["x"].mean()
+
+    for per_call in (1, 4, 256):
+        rows = {r.micro_step: (r.loss, r.error) for r in EV.score_with(df, mean, per_call=per_call).collect()}
+        assert len(rows) == 10 and rows[0] == (0.5, None) and rows[9] == (18.5, None)
+        assert rows[3] == (None, "RuntimeError: no") and rows[4][0] is None and rows[4][1]

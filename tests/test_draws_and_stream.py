@@ -1,29 +1,36 @@
 """Draw thresholds; streaming equals batch."""
 
+from math import gcd
+
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from maskweave.catalog.common import docs
 from maskweave.catalog.encode_q import test_vocab as build_vocab
-from maskweave.functions.draws import TWO_32
 from maskweave.operators import encode as EN
-from maskweave.operators.collate import hex_threshold
+from maskweave.operators.collate import PRIME, STEP, turn
 from maskweave.streaming import stream as ST
 
 
-@settings(max_examples=2000, deadline=None)
-@given(k=st.integers(min_value=0, max_value=2**32 - 1),
-       p=st.floats(min_value=-0.5, max_value=1.5, allow_nan=False))
-def test_hex_threshold_equals_numeric_draw(k, p):
-    assert (f"{k:08x}" < hex_threshold(p)) == (k / TWO_32 < p)
+@settings(max_examples=300, deadline=None)
+@given(x=st.integers(min_value=0, max_value=PRIME - 1))
+def test_turn_stays_in_range_and_in_64_bits(x):
+    assert 0 <= turn(x) < PRIME
+    y = x * x % PRIME
+    assert max(x * x, y * y, (PRIME - 1) ** 2, (PRIME - 1) * 48271 + 11) < 2 ** 63
 
 
-def test_hex_threshold_edges():
-    for p in (0.3, 0.2, 0.18, 0.16, 0.14, 0.8, 0.9):
-        t = int(hex_threshold(p), 16)
-        assert (t - 1) / TWO_32 < p <= t / TWO_32
+def test_turn_is_one_to_one_and_draws_are_even():
+    assert gcd(5, PRIME - 1) == 1  # so x -> x**5 permutes the residues
+    x = (np.arange(1, 200_001, dtype=np.int64) * STEP + 8 * 123456789) % PRIME
+    u = turn(x) / PRIME
+    assert len(set(turn(x).tolist())) == len(x)
+    assert abs(u.mean() - 0.5) < 0.005 and abs(u.var() - 1 / 12) < 0.002
+    assert abs(np.corrcoef(u[:-1], u[1:])[0, 1]) < 0.01
+    for p in (0.14, 0.3, 0.8, 0.9):
+        assert abs((u < p).mean() - p) < 0.005
 
 
 def test_stream_encode_equals_batch(spark):

@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from maskweave.catalog.common import docs
+from maskweave.catalog.curriculum_q import CFG
 from maskweave.catalog.encode_q import test_vocab as build_vocab
+from maskweave.operators import encode as EN
 from maskweave.operators import position as P
 from maskweave.operators import words as WD
+from maskweave.plans import curriculum as CU
 from maskweave.plans.batches import training_data
-from maskweave.catalog.curriculum_q import CFG
 from maskweave.sources import corpus as C
 
 
@@ -41,6 +43,25 @@ def test_aligned_buffer_has_one_shuffle_above_positions(spark):
     assert len(data_shuffles) == 1 and "block" in data_shuffles[0]
 
 
+def test_no_text_is_shuffled_and_epochs_add_no_shuffled_rows(spark):
+    cfg = CFG._replace(epochs=3)
+    t = C.resolve_text(docs(spark, SF_SMALL), "key")
+    keys = P.with_position(t.select("doc_id"))
+    p = plan(EN.encode(t, build_vocab(spark, SF_SMALL)).join(keys, "doc_id"))
+    for exchange in re.finditer(r"Exchange[^\n]*\n([^\n]*)", p):
+        assert "text" not in exchange[1]
+    sl = CU.slices(keys, cfg, keys.count())
+    once, all_ = CU.shuffled(sl, cfg), CU.with_epochs(CU.shuffled(sl, cfg), cfg)
+    assert all_.count() == 3 * once.count()
+    p = plan(all_)
+    assert p.index("Generate explode") < p.index("Exchange")  # epochs stand above the shuffle
+
+
+def test_limits_cut_by_key_in_the_scan(spark):
+    p = plan(P.first_rows(docs(spark, SF_SMALL), 30))
+    assert "LessThanOrEqual(doc_id," in p and "Exchange" not in p
+
+
 def test_word_counts_aggregate_partially_without_python(spark):
     p = plan(WD.wordpiece_words(docs(spark, SF_SMALL)))
     assert "partial_count" in p
