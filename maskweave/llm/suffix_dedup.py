@@ -299,7 +299,7 @@ def _remove(length: int):
         for b in batches:
             for k in range(b.num_rows):
                 block, shared = Block(b, k, length), _grams(b, k)
-                cover = np.zeros(len(block.data) + 1, np.int32)
+                hit = np.zeros(len(block.data), bool)  # where a removed string starts
                 if len(shared):
                     at, _, doc, matrix, of, least = block.contexts(shared)
                     bits = np.zeros(len(least), np.uint64)
@@ -310,9 +310,10 @@ def _remove(length: int):
                         s = at - before + column
                         ok = (s >= block.begins[doc]) & (s + length <= block.ends[doc])
                         ok &= all_ | (bits[of] >> np.uint64(column) & np.uint64(1) > 0)
-                        cover += np.bincount(s[ok], minlength=len(cover)).astype(np.int32)
-                        cover -= np.bincount(s[ok] + length, minlength=len(cover)).astype(np.int32)
-                gone = np.cumsum(cover[:-1]) > 0
+                        hit[s[ok]] = True
+                seen = np.cumsum(hit, dtype=np.int32)
+                seen[length:] -= seen[:-length].copy()
+                gone = seen > 0
                 starts, ends, kept = [], [], []
                 for x, y in zip(block.begins, block.ends):
                     g = np.diff(np.concatenate([[False], gone[x:y], [False]]).astype(np.int8))
