@@ -32,8 +32,11 @@ ORACLE_SQL = None
 
 def identify_language(spark, docs, sf_dir):
     prepare(spark)
-    found = language_id.predict(docs, language_id.fit(docs))
-    return found.where("lang_pred != 'und' and not ambiguous").select(*docs.columns)
+    # columns of documents that are named like the prediction's keep their values
+    aside = {c: f"_mw_{c}" for c in ("lang_pred", "score", "ambiguous") if c in docs.columns}
+    found = language_id.predict(docs.withColumnsRenamed(aside), language_id.fit(docs))
+    kept = found.where("lang_pred != 'und' and not ambiguous").drop("lang_pred", "score", "ambiguous")
+    return kept.withColumnsRenamed({new: old for old, new in aside.items()}).select(*docs.columns)
 
 
 def drop_exact_copies(spark, docs, sf_dir):
