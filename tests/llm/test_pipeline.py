@@ -58,3 +58,14 @@ def test_stages_keep_the_columns(spark):
         assert stage(spark, docs, SF_SMALL).columns == docs.columns, name
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), SF_SMALL).count() == 0, name
+
+
+def test_stages_leave_columns_with_their_names_alone(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(30)
+    extra = docs.selectExpr("*", "doc_id * 2 as score", "'x' as lang_pred", "true as ambiguous", "'d' as digest",
+                            "1L as keep_id", "false as kept", "2L as component_id", "'k' as key", "array(1) as ids")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, extra, SF_SMALL)
+        assert out.columns == extra.columns, name
+        assert out.where("score != doc_id * 2 or lang_pred != 'x' or not ambiguous or kept or keep_id != 1").count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, extra, SF_SMALL).count() == 30
