@@ -45,11 +45,11 @@ from maskweave.session import materialize
 LENGTH, GRAM = 50, 16
 #: Bytes of text in a block, and of a step inside it.
 BLOCK, STEP = 1 << 22, 1 << 20
-#: Bytes of text whose anchors share a bucket.
-BUCKET = 16 << 20
+#: Bytes of text whose anchors share a bucket; several buckets make a task.
+BUCKET = 4 << 20
 #: Up to so many copies (40 bytes each) are broadcast to drop them; more are
 #: dropped by a shuffle join.
-FEW_COPIES = 1_000_000
+FEW_COPIES = 200_000
 NOBODY = np.int64(np.iinfo(np.int64).max)
 PAD = 0xFF  # never a byte of UTF-8
 
@@ -351,7 +351,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     judged = rows.join(copies, (rows["digest"] == copies["d"]) & rows["doc_id"].eqNullSafe(copies["i"]), "left_anti")
     blocks = bucketed(judged.select("doc_id", "text", "digest").mapInArrow(_blocks, _BLOCK_COLUMNS), "blocks", "block")
     total = blocks.agg(F.sum(F.length("body"))).first()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET)
+    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET)
 
     anchors = (blocks.mapInArrow(_anchor_rows(length, buckets), "bucket long, block long, once binary, often binary")
                .groupBy("bucket").agg(F.collect_list(F.struct("block", "once", "often")).alias("parts"))
