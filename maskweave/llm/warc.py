@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from maskweave.llm.common import attach_group
-from maskweave.session import materialize, scratch_path
+from maskweave.session import discard, materialize, scratch_path
 
 #: An archive file is closed beyond this size; ranges of one read end here.
 FILE_BYTES, READ_BYTES, GAP_BYTES = 256 << 20, 8 << 20, 64 << 10
@@ -133,6 +133,7 @@ def write(rows: DataFrame, folder: str, key: str = "page_id", url: str = "url",
                            revisit.alias("revisit"))
     index = f"{folder.rstrip('/')}/index"
     marked.mapInArrow(_write(folder), INDEX).write.mode("errorifexists").parquet(index)
+    discard(groups)
     return rows.sparkSession.read.parquet(index)
 
 
