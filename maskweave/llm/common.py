@@ -3,6 +3,8 @@ tasks, attaching group results without a hot task, connected components."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 
 import numpy as np
@@ -11,14 +13,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskweave.session import materialize, scratch_path
+from maskweave.session import discard, materialize, scratch_path
 
 #: A group is hot when it holds more than one row in HOT_SHARE; there are at
 #: most HOT_SHARE such groups, whatever the size of the table.
 HOT_SHARE = 10_000
 
 #: Text bytes that one step of a Python task holds at a time.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +60,19 @@ def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
     return out
 
 
+def trimmed(run):
+    """``run`` for ``mapInArrow``; when a task ends, its Python worker, which
+    goes on to other tasks, gives freed memory back to the system."""
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(AttributeError, OSError):
+                ctypes.CDLL(None).malloc_trim(0)
+    return task
+
+
 # ---------------------------------------------------------------- words
 
 _MASK = (1 << 64) - 1
@@ -259,8 +274,9 @@ def components(edges: DataFrame, name: str = "components", max_rounds: int = 60)
                  .union(least.select("u", F.col("m").alias("v")))
                  .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                  .where("u != v").distinct())
-        e = materialize(small, name)
-        now = print_of(e)
+        after = materialize(small, name)
+        discard(e, large)
+        e, now = after, print_of(after)
         if now == last:
             return e.select(F.col("u").alias("node"), F.col("v").alias("comp"))
         last = now

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskweave.llm.common import shingles, word_slices
+from maskweave.llm.common import shingles, trimmed, word_slices
 
 SEED, FEWEST = 3, 8
 MATCH, OTHER, GAP = 2, -1, -1
@@ -208,7 +208,7 @@ def blocks(docs: DataFrame, items: DataFrame, chance: float = 1.0, block_words:
         if not len(block.vocabulary):
             continue
         counted = (docs.select(F.col("text").cast("string"))
-                   .mapInArrow(_counted(spark.sparkContext.broadcast(block.vocabulary)), "word long, n long")
+                   .mapInArrow(trimmed(_counted(spark.sparkContext.broadcast(block.vocabulary))), "word long, n long")
                    .groupBy("word").agg(F.sum("n").alias("n")).toArrow())
         at, n = counted.column(0).to_numpy(), counted.column(1).to_numpy()
         seen = np.zeros(len(block.vocabulary), np.int64)
@@ -225,7 +225,7 @@ def matches(docs: DataFrame, items: DataFrame, least: float = 0.5, chance: float
     out = docs.sparkSession.createDataFrame([], schema)
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     for block in blocks(docs, items, chance):
-        out = out.union(src.mapInArrow(_matches(block, least), schema))
+        out = out.union(src.mapInArrow(trimmed(_matches(block, least)), schema))
     return out
 
 
@@ -233,5 +233,5 @@ def decontaminate(docs: DataFrame, items: DataFrame, least: float = 0.5, chance:
     """The documents, with all their columns, that align with no item."""
     out = docs
     for block in blocks(docs, items, chance):
-        out = out.mapInArrow(_clean(block, least, docs.columns.index("text")), docs.schema)
+        out = out.mapInArrow(trimmed(_clean(block, least, docs.columns.index("text"))), docs.schema)
     return out

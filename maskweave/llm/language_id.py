@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from maskweave.llm.common import slices, text_bytes
+from maskweave.llm.common import slices, text_bytes, trimmed
 
 BITS = 15
 BUCKETS = 1 << BITS
@@ -143,7 +143,7 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     most = F.create_map(*[x for name in langs for x in
                           (F.lit(name), F.lit(math.ceil(min(1.0, per_language / sizes[name]) * (1 << 30))))])
     counts = (rows.where(F.col("draw") < most[F.col("lang")]).select("lang", "text")
-              .mapInArrow(_count, "lang string, bucket int, n long")
+              .mapInArrow(trimmed(_count), "lang string, bucket int, n long")
               .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
     freq = np.zeros((len(langs), BUCKETS))
     place = {name: i for i, name in enumerate(langs)}
@@ -193,4 +193,4 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
                                               T.StructField("score", T.DoubleType()),
                                               T.StructField("ambiguous", T.BooleanType())])
     shared = df.sparkSession.sparkContext.broadcast(model)
-    return df.mapInArrow(_predict(shared, df.columns.index(text)), schema)
+    return df.mapInArrow(trimmed(_predict(shared, df.columns.index(text))), schema)

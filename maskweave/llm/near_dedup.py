@@ -34,8 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskweave.llm.common import (components, distinct_per_text, mix, shingles, word_slices)
-from maskweave.session import materialize
+from maskweave.llm.common import components, distinct_per_text, mix, shingles, trimmed, word_slices
+from maskweave.session import discard, materialize
 
 REGISTERS, BANDS = 128, 32
 #: Registers of the second comparison, a byte of each.
@@ -183,7 +183,7 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, bands: int =
     doc_id that links reach, itself included) and ``kept``."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketch = materialize(texts.mapInArrow(
-        _sketch(size, bands), "doc_id long, n_shingles long, s1 long, s2 long, keys array<long>"), "sketch")
+        trimmed(_sketch(size, bands)), "doc_id long, n_shingles long, s1 long, s2 long, keys array<long>"), "sketch")
     full = sketch.where("n_shingles > 0 and doc_id is not null")
     same = ["n_shingles", "s1", "s2"]
     reps = materialize(full.groupBy(*same).agg(F.min_by("keys", "doc_id").alias("keys"),
@@ -199,7 +199,7 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, bands: int =
     stars = materialize(members.where("rep != u").where(fits).select("u", F.col("rep").alias("v")).distinct(), "stars")
     ids = members.select(F.col("rep").alias("id")).distinct()
     sets = materialize(texts.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi")
-                       .mapInArrow(_sets(size), "id long, elements array<long>"), "sets")
+                       .mapInArrow(trimmed(_sets(size)), "id long, elements array<long>"), "sets")
     links = materialize(_verify(stars, sets, percent), "links")
 
     groups = components(links.union(copies), "groups-1")
@@ -211,19 +211,23 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, bands: int =
              .where("x != y").select("key", F.ceil(F.col("size") / MEMBERS).cast("int").alias("blocks")))
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    placed = materialize(placed.join(mixed, "key"), "mixed")
+    mixed = materialize(placed.join(mixed, "key"), "mixed")
+    discard(members, placed)
+    placed = mixed
     signed = (sets.join(placed.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
-              .mapInArrow(_long_signatures, "rep long, signature binary"))
+              .mapInArrow(trimmed(_long_signatures), "rep long, signature binary"))
     rows = (placed.join(signed, "rep").join(reps.select("rep", "keys"), "rep")
             .select("key", "band", own.alias("own"), other.alias("other"),
                     F.struct("rep", "comp", "n", "signature", "keys").alias("x"))
             .groupBy("key", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
             .agg(F.collect_list(F.struct("own", "x")).alias("members"))
             .select("band", "i", "j", "members"))
-    rest = (rows.mapInArrow(_compare(percent), "u long, v long").distinct().join(stars, ["u", "v"], "left_anti"))
+    rest = (rows.mapInArrow(trimmed(_compare(percent)), "u long, v long").distinct().join(stars, ["u", "v"], "left_anti"))
     rest = materialize(rest, "rest")
     more = materialize(_verify(rest, sets, percent), "more-links")
+    discard(mixed, rest, stars, sets)
     groups = components(links.union(copies).union(more), "groups-2")
+    discard(links, more, reps)
     return (sketch.select("doc_id", "n_shingles")
             .join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("comp", "doc_id").alias("component_id"),
