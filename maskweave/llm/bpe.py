@@ -23,12 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskweave.llm.common import slices, text_bytes
+from maskweave.llm.common import slices, text_bytes, trimmed
 
 #: Words that a task remembers; when full it starts afresh, with equal results.
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 200_000
 #: New words in one recursive query, and ids in one decoding query.
-QUERY_BYTES, QUERY_IDS = 1 << 19, 1 << 20
+QUERY_BYTES, QUERY_IDS = 1 << 18, 1 << 18
 
 # A row is a token with the position and id of the token after it; ``done``
 # rows belong to words that have no pair in the merge table any more.
@@ -100,7 +100,7 @@ def _connect():
 
     con = duckdb.connect()
     con.execute("set threads = 1")
-    con.execute("set memory_limit = '400MB'")
+    con.execute("set memory_limit = '250MB'")
     con.execute("set temp_directory = ''")
     return con
 
@@ -157,17 +157,11 @@ class Encoder:
             a = z
 
 
-_encoder: dict[int, Encoder] = {}  # of this Python worker, for the next task
-
-
 def _encode(lines, pattern: str):
     def run(batches):
         import regex
 
-        if hash(lines.value) not in _encoder:
-            _encoder.clear()
-            _encoder[hash(lines.value)] = Encoder(Vocabulary(lines.value))
-        coder, find = _encoder[hash(lines.value)], regex.compile(pattern).findall
+        coder, find = Encoder(Vocabulary(lines.value)), regex.compile(pattern).findall
         for b in batches:
             off, _ = text_bytes(b.column(1))
             for lo, hi in slices(off):
@@ -179,9 +173,11 @@ def _encode(lines, pattern: str):
                 if len(coder.known) + len(new) > KNOWN_WORDS:
                     coder.known.clear()
                 coder.learn(new.difference(coder.known))
+                new.clear()
                 ids = [b"".join(map(coder.known.__getitem__, w)) for w in words]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, hi - lo), pa.array(ids, pa.binary())], ["key", "ids"])
+        coder.con.close()
     return run
 
 
@@ -205,6 +201,7 @@ def _decode(lines):
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo),
                      pa.array([b"".join(x) for x in out], pa.binary())], ["key", "ids", "decoded"])
+        con.close()
     return run
 
 
@@ -219,12 +216,25 @@ def encode(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: st
     """(key, ids): packed ids of each whole text by the rank file ``path``,
     every match of ``pattern`` encoded by itself."""
     src = df.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
-    return (src.mapInArrow(_encode(_lines(df, path), pattern), "key long, ids binary")
+    return (src.mapInArrow(trimmed(_encode(_lines(df, path), pattern)), "key long, ids binary")
             .withColumnRenamed("key", key))
 
 
 def decode(df: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """(key, ids, decoded): the bytes of packed ids."""
     src = df.select(F.col(key).cast("long").alias("key"), F.col(ids).cast("binary").alias("ids"))
-    return (src.mapInArrow(_decode(_lines(df, path)), "key long, ids binary, decoded binary")
+    return (src.mapInArrow(trimmed(_decode(_lines(df, path))), "key long, ids binary, decoded binary")
+            .withColumnRenamed("key", key))
+
+
+def round_trip(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, ids, decoded): ``decode(encode(df))`` with both steps in one
+    Python worker of a task, so that ids cross to it and back once."""
+    lines = _lines(df, path)
+    src = df.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
+
+    def both(batches):
+        yield from _decode(lines)(_encode(lines, pattern)(batches))
+
+    return (src.mapInArrow(trimmed(both), "key long, ids binary, decoded binary")
             .withColumnRenamed("key", key))

@@ -85,8 +85,7 @@ def op4_byte_bpe(spark, sf):
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = bpe.encode(table(spark, sf, "documents"), path, public_tokenizers.PATTERN)
-    return bpe.decode(ids, path).select(
+    return bpe.round_trip(table(spark, sf, "documents"), path, public_tokenizers.PATTERN).select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -23,6 +23,8 @@ def test_bpe_like_tiktoken(spark):
     for k, t in enumerate(TEXTS):
         assert np.frombuffer(got[k].ids, "<u4").tolist() == own.encode_ordinary(t or "")
         assert bytes(got[k].decoded) == (t or "").encode()
+    both = {r.doc_id: r for r in bpe.round_trip(df, PATH, public_tokenizers.PATTERN).collect()}
+    assert {k: (r.ids, r.decoded) for k, r in both.items()} == {k: (r.ids, r.decoded) for k, r in got.items()}
     assert bpe.encode(df.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
 
 
