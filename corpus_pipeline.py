@@ -57,7 +57,7 @@ def drop_benchmark_passages(spark, docs, sf_dir):
 def encode_and_decode(spark, docs, sf_dir):
     prepare(spark)
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path).select(
+    return bpe.round_trip(docs, path, public_tokenizers.PATTERN).select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
