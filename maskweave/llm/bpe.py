@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from maskweave.llm.common import slices, text_bytes, trimmed
 
 #: Words that a task remembers; when full it starts afresh, with equal results.
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 500_000
 #: New words in one recursive query, and ids in one decoding query.
-QUERY_BYTES, QUERY_IDS = 1 << 18, 1 << 18
+QUERY_BYTES, QUERY_IDS = 1 << 19, 1 << 19
 
 # A row is a token with the position and id of the token after it; ``done``
 # rows belong to words that have no pair in the merge table any more.
@@ -100,7 +100,7 @@ def _connect():
 
     con = duckdb.connect()
     con.execute("set threads = 1")
-    con.execute("set memory_limit = '250MB'")
+    con.execute("set memory_limit = '400MB'")
     con.execute("set temp_directory = ''")
     return con
 
