@@ -47,7 +47,9 @@ EMPTY = np.int32(np.iinfo(np.int32).max)
 
 def superminhash(elements: np.ndarray, counts: np.ndarray, m: int = REGISTERS) -> np.ndarray:
     """Signatures (texts x m) of sets given as distinct 64-bit elements, text
-    after text.  A register holds rank << 24 | draw; EMPTY for empty sets."""
+    after text.  A register holds the rank above as many bits of the draw as
+    31 bits leave for ranks below m; EMPTY for empty sets."""
+    bits = 31 - (m - 1).bit_length()
     out = np.full((len(counts), m), EMPTY, np.int32)
     flat = out.ravel()
     doc = np.repeat(np.arange(len(counts)), counts)
@@ -62,7 +64,7 @@ def superminhash(elements: np.ndarray, counts: np.ndarray, m: int = REGISTERS) -
         got = perm[live, k]
         perm[live, k] = perm[live, j]
         perm[live, j] = got
-        value = (np.int64(j) << 24 | (x >> np.uint64(40)).astype(np.int64)).astype(np.int32)
+        value = (np.int64(j) << bits | (x >> np.uint64(64 - bits)).astype(np.int64)).astype(np.int32)
         np.minimum.at(flat, doc[live] * m + got, value)
         open_ = (out == EMPTY).any(axis=1)
         live = live[open_[doc[live]]]

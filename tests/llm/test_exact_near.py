@@ -117,6 +117,25 @@ def test_superminhash_estimates_similarity():
     assert (sig[2] == near_dedup.EMPTY).all()
 
 
+def test_superminhash_of_small_sets_like_plain_ranks():
+    rng = np.random.default_rng(8)
+    counts = np.array([1, 2, 10, 16, 20, 28])
+    elements = np.concatenate([np.sort(rng.integers(1, 2 ** 63, n, dtype=np.uint64)) for n in counts])
+    m, bits = near_dedup.LONG, 22
+    got, at = near_dedup.superminhash(elements, counts, m), 0
+    for k, n in enumerate(counts):
+        want = [1 << 40] * m
+        for e in elements[at:at + n]:
+            perm = list(range(m))
+            for j in range(m):
+                x = int(near_dedup.mix(np.array([e]) + np.uint64((j + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1))[0])
+                i = j + ((x & 0xFFFFFFFF) * (m - j) >> 32)
+                perm[i], perm[j] = perm[j], perm[i]
+                want[perm[j]] = min(want[perm[j]], j << bits | x >> 64 - bits)
+        assert got[k].tolist() == want
+        at += n
+
+
 def test_components_brute_force(spark):
     rnd = random.Random(1)
     edges = [(rnd.randrange(200), rnd.randrange(200)) for _ in range(150)] + [(k, k + 1) for k in range(300, 360)]
