@@ -2,7 +2,8 @@
 
 A text is cut into sentences: at stops followed by white space, at blank
 lines, and before lines that begin like a licence sentence; comment signs at
-line starts are skipped.
+line starts are skipped.  A sentence that is not known as a whole is read in
+parts, and a clause may follow the name of a licence.
 A sentence is normalised: lower case, "licence" as "license", signs other than
 a stop between digits as spaces.  Known licence sentences map a normalised
 sentence to an identifier, and to a version where it names one.  The sequence
@@ -32,11 +33,12 @@ GAP = 2
 SENTENCES = {
     "spdx": r"spdx license identifier (?P<name>.+)",
     "name-mit": r"(?:.* )?(?:released|licensed|distributed|available|provided) under (?:the )?(?:terms of )?(?:the )?mit license",
-    "name-apache": r"(?:.* )?(?:released|licensed|distributed|available|provided) under (?:the )?(?:terms of )?(?:the )?apache license(?: version)?(?: v)? ?(v)?(?: the license)?",
-    "name-gpl": r"(?:.* )?(?:released|licensed|distributed|available|provided) under (?:the )?(?:terms of )?(?:the )?(?:gnu )?(?:general public license|gpl)(?: version)?(?: v)? ?(v)?(?: or later| or any later version)?",
-    "name-lgpl": r"(?:.* )?(?:released|licensed|distributed|available|provided) under (?:the )?(?:terms of )?(?:the )?(?:gnu )?(?:lesser general public license|lgpl)(?: version)?(?: v)? ?(v)?(?: or later| or any later version)?",
-    "name-agpl": r"(?:.* )?(?:released|licensed|distributed|available|provided) under (?:the )?(?:terms of )?(?:the )?(?:gnu )?(?:affero general public license|agpl)(?: version)?(?: v)? ?(v)?(?: or later| or any later version)?",
-    "name-mpl": r"(?:.* )?(?:subject to|released under|licensed under|distributed under) (?:the )?(?:terms of )?(?:the )?mozilla public license(?: version)?(?: v)? ?(v)?",
+    "name-apache": r"(?:.* )?(?:released|licensed|distributed|available|provided) under (?:the )?(?:terms of )?(?:the )?apache license(?: version)?(?: ?v)? ?(v)?(?: the license)?",
+    "name-gpl": r"(?:.* )?(?:released|licensed|distributed|available|provided) under (?:the )?(?:terms of )?(?:the )?(?:gnu )?(?:general public license|gpl)(?: version)?(?: ?v)? ?(v)?(?: or later| or any later version)?",
+    "name-lgpl": r"(?:.* )?(?:released|licensed|distributed|available|provided) under (?:the )?(?:terms of )?(?:the )?(?:gnu )?(?:lesser general public license|lgpl)(?: version)?(?: ?v)? ?(v)?(?: or later| or any later version)?",
+    "name-agpl": r"(?:.* )?(?:released|licensed|distributed|available|provided) under (?:the )?(?:terms of )?(?:the )?(?:gnu )?(?:affero general public license|agpl)(?: version)?(?: ?v)? ?(v)?(?: or later| or any later version)?",
+    "mpl-form": r"this source code form is subject to the terms of the mozilla public license v (v)",
+    "name-mpl": r"(?:.* )?(?:subject to|released under|licensed under|distributed under) (?:the )?(?:terms of )?(?:the )?mozilla public license(?: version)?(?: ?v)? ?(v)?",
     "name-bsd": r"(?:.* )?(?:released|licensed|distributed|available|provided) under (?:the )?(?:terms of )?(?:the )?(?P<clauses>[234])? ?(?:clause )?bsd(?: (?P<after>[234]) clause)? license",
     "name-cc": r"(?:.* )?(?:released|licensed|distributed|available|provided) under (?:the )?(?:a )?(?:cc|creative commons) (?P<name>0|zero|(?:by|attribution)(?: (?:nc|sa|nd|noncommercial|non commercial|sharealike|share alike|noderivatives))*)(?: license)?(?: version)? ?(v)?(?: international| unported)?(?: license)?",
     "mit-grant": r"permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files.*",
@@ -56,7 +58,6 @@ SENTENCES = {
     "gpl-hope": r"(?:this program|.*) is distributed in the hope that it will be useful.*",
     "gpl-more": r"see the gnu (?:general|lesser general|affero general) public license for more details",
     "gpl-copy": r"you should have received a copy of the gnu (?:general|lesser general|affero general) public license.*",
-    "mpl-form": r"this source code form is subject to the terms of the mozilla public license v (v)",
     "mpl-copy": r"if a copy of the mpl was not distributed with this file you can obtain one at.*",
     "unlicense": r"this is free and unencumbered software released into the public domain",
     "public-domain": r"(?:this|the) .* (?:is|are) (?:hereby )?(?:placed |released |dedicated )?(?:in|into|to) the public domain",
@@ -75,12 +76,22 @@ RULES = [
     ("GPL", ["name-gpl"]), ("MPL", ["name-mpl"]), ("BSD", ["name-bsd"]), ("CC", ["name-cc"]),
     ("SPDX", ["spdx"]), ("public domain", ["public-domain"]),
 ]
-# A text without any of these words has no known sentence.
-WORDS = "licen[sc]e|permission|redistribut|warrant|copyright|public domain|as[ -]is|spdx|free software|liable|mozilla"
-
-_PATTERNS = [(name, re.compile(p.replace("(v)", r"(?P<v>\d+(?:\.\d+)*)"), re.S)) for name, p in SENTENCES.items()]
-_CUT = re.compile(r"[.!?]+(?=\s|$)|\n[\s#*/%;-]*\n"
-                  r"|\n(?=[\s#*/%;-]*(?:SPDX|Licensed|Released|Permission|Redistribution|This)\b)|(?<=[.!?;:])\n")
+# A text without any of these words has no known sentence: each way through a
+# pattern has one of them.  Single words, as signs and line ends between words
+# are free; short ones stand alone.
+WORDS = ("licen[sc]e|permission|redistribut|copyright|domain|provided|spdx|liable|endorse|hope|gpl|creative"
+         "|(?<![^\\W_])(?:cc|mpl)(?![^\\W_])")
+
+_VERSION = r"(?P<v>\d+(?:\.\d+)*)"
+_PATTERNS = [(name, re.compile(p.replace("(v)", _VERSION), re.S)) for name, p in SENTENCES.items()]
+# A clause may follow the name of a licence.
+_NAMES = [(name, re.compile(f"(?:{p.replace('(v)', _VERSION)})(?: .*)?", re.S))
+          for name, p in SENTENCES.items() if name.startswith("name-")]
+_NEXT = re.compile(r" (?=(?:(?:released|licensed|distributed|available|provided) under|subject to) )")
+_CUT = re.compile(r"(?!(?<=\b[vV])\.\s+\d)[.!?]+(?=\s|$)|\n[\s#*/%;-]*\n"
+                  r"|\n(?=[\s#*/%;-]*(?:SPDX|Licensed|Released|Permission|Redistribution|This)\b)"
+                  r"|(?<=[.!?;:])\n(?![\s#*/%;-]*(?:you can redistribute|either version)\b)")
+_PART = re.compile(r";\s")
 _HINT = re.compile(WORDS, re.I)
 _SIGN = re.compile(r"(?<=\d)\.(?=\d)|[^\w]+|_+")
 
@@ -110,6 +121,27 @@ def identify(sentence: str):
     return None
 
 
+def identify_all(sentence: str):
+    """(begin, end, found) of all that a sentence as it stands names.  A
+    sentence that is no known one as a whole is read in parts, cut at semicolons
+    and, where several licences are named, before each of them."""
+    whole = identify(normalise(sentence))
+    if whole and not whole[0].startswith("name-"):
+        return [(0, len(sentence), whole)]
+    out, at = [], 0
+    for m in [*_PART.finditer(sentence), None]:
+        end = m.start() if m else len(sentence)
+        text = normalise(sentence[at:end])
+        cuts = [0, *(c.end() for c in _NEXT.finditer(text)), len(text)]
+        found = [(name, f.groupdict().get("v"), f) for a, z in zip(cuts, cuts[1:])
+                 for name, pattern in _NAMES if (f := pattern.fullmatch(text[a:z].rstrip()))]
+        if not found:
+            found = [f for f in [identify(text)] if f]
+        out += [(at, end, f) for f in found]
+        at = m.end() if m else end
+    return out
+
+
 def _named(license_: str, found) -> str:
     name, _, m = found
     got = m.groupdict()
@@ -133,10 +165,10 @@ def findings(text: str):
     for k, a, z in sentences(text):
         piece = text[a:z]
         if _HINT.search(piece):
-            found = identify(normalise(piece))
-            if found:
-                a += len(piece) - len(piece.lstrip())
-                known.append((k, a, a + len(piece.strip()), found))
+            for b, e, found in identify_all(piece):
+                part = piece[b:e]
+                b += a + len(part) - len(part.lstrip())
+                known.append((k, b, b + len(part.strip()), found))
     at = 0
     while at < len(known):
         for license_, rule in RULES:

@@ -134,3 +134,59 @@ def test_license_edges(spark):
                                "doc_id long, text string, license string")
     assert sorted(((r.doc_id, r.license) for r in licenses.scan(df).collect()), key=str) == [(3, "MIT"), (3, "MIT"), (None, "MIT")]
     assert licenses.scan(df.limit(0)).count() == 0
+
+
+SAMPLES = {
+    "spdx": "SPDX-License-Identifier: MIT", "name-mit": "Released under the MIT License",
+    "name-apache": "Provided under the Apache License v2.0", "name-gpl": "Released under the GPL v3",
+    "name-lgpl": "Distributed under the GNU LGPL version 2.1 or later", "name-agpl": "Available under AGPLv3",
+    "name-mpl": "Subject to the Mozilla Public License 2.0", "name-bsd": "Licensed under the BSD 2-clause license",
+    "name-cc": "Released under CC BY-SA 4.0",
+    "mit-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+                 "associated documentation files",
+    "mit-notice": "The above copyright notice and this permission notice shall be included in all copies or "
+                  "substantial portions of the Software",
+    "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without "
+                 "fee is hereby granted",
+    "as-is": "This software is provided as\n# is", "bsd-grant": "Redistribution and use in source and binary forms, "
+    "with or without modification, are permitted", "bsd-source": "Redistributions of source code must retain the "
+    "above copyright notice", "bsd-binary": "Redistributions in binary form must reproduce the above copyright notice",
+    "bsd-names": "Neither the name of X may be used to endorse or promote products",
+    "no-liability": "In no event shall X be liable for any loss",
+    "apache-use": "you may not use this file except in compliance with the License",
+    "apache-copy": "You may obtain a copy of the License at x",
+    "apache-as-is": "Unless required by applicable law or agreed to in writing, software distributed under the "
+                    "License is distributed on an AS IS BASIS",
+    "apache-limits": "See the License for the specific language governing permissions and limitations under the License",
+    "gpl-free": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                "General Public License; either version 2 of the License",
+    "gpl-hope": "This program is distributed in the hope that it will be useful",
+    "gpl-more": "See the GNU General Public License for more details",
+    "gpl-copy": "You should have received a copy of the GNU General Public License",
+    "mpl-form": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+    "mpl-copy": "If a copy of the MPL was not distributed with this file, You can obtain one at x",
+    "unlicense": "This is free and unencumbered software released into the public\n domain",
+    "public-domain": "This file is in the public\ndomain",
+}
+
+
+def test_every_license_sentence_is_found_by_the_scan(spark):
+    assert set(SAMPLES) == set(licenses.SENTENCES)
+    df = spark.createDataFrame(list(enumerate(f"{t}." for t in SAMPLES.values())), "doc_id long, text string")
+    assert {r.doc_id: r.sentences for r in licenses.scan(df).collect()} == {i: [n] for i, n in enumerate(SAMPLES)}
+
+
+def test_license_names_inside_sentences():
+    def names(t):
+        return [(f[0], f[1]) for f in licenses.findings(t)]
+
+    assert names("This is released under the MIT License and may be copied.") == [("MIT", None)]
+    assert names("Released under the GPL v3 (see LICENSE).") == [("GPL", "3")]
+    assert names("Code released under the MIT License and text released under CC BY 4.0.") == [
+        ("MIT", None), ("CC-BY", "4.0")]
+    header = ('Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
+              "compliance with the License. You may obtain a copy of the License at x.")
+    (found,) = licenses.findings(header)
+    assert found[:3] == ("Apache", "2.0", ["name-apache", "apache-use", "apache-copy"])
+    assert names("This program is free software;\nyou can redistribute it and/or modify it under the terms of the "
+                 "GNU General Public License;\neither version 2 of the License, or later.") == [("GPL", "2")]
