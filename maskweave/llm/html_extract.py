@@ -9,7 +9,9 @@
    container at that path uses the container that is best in itself.
 
 The text of a container leaves out menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles, markup and reader comments; character
+adverts, forms, scripts, styles, markup and reader comments; a form or an
+element that is only named so is kept where it wraps the page's main or nearly
+all of its text (``Page._wrapper``).  Character
 references are decoded, white space in a block becomes one space, blocks are
 trimmed and joined by two line feeds.  Nothing else is dropped, whole pages
 are read.  A null page or one without text gives an empty string; a null URL
@@ -53,8 +55,9 @@ NOT_TEXT = frozenset("ad ads advert adverts advertisement advertising adsense ba
                      "login form widget widgets toolbar pager pagination skip hidden complementary contentinfo "
                      "search dialog".split())
 
-# Classes that tell a state of the whole, as in "has-sidebar".
-STATES = ("has-", "no-", "with-", "without-", "not-", "is-")
+# Names below which other texts than the article are long.
+OTHERS = frozenset("comment comments reply replies disqus respond related recommended recommendations cookie cookies "
+                   "consent gdpr hidden".split())
 
 _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)"
@@ -63,6 +66,21 @@ _TOKEN = re.compile(
     r"|([^<]+|<)", re.S)
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORD = re.compile(r"[A-Za-z]+")
+# The part of a class that tells a state of the whole, as in "has-sidebar" and
+# "page-with-sidebar".
+_STATE = re.compile(r"(?:^|(?<=[-_]))(?:has|no|with|without|not|is)-.*")
+
+
+class Mark:
+    """An element dropped by its name: where it begins, the marked element
+    around it, if it is a form or the word only describes its name, if it is of
+    OTHERS, and what it holds outside of marked elements in it."""
+
+    __slots__ = ("at", "outer", "weak", "others", "text", "main", "article")
+
+    def __init__(self, at, outer, weak, others):
+        self.at, self.outer, self.weak, self.others = at, outer, weak, others
+        self.text, self.main, self.article = 0, False, False
 
 
 class Page:
@@ -70,12 +88,31 @@ class Page:
     order, best(path) picks text."""
 
     def __init__(self, source: str):
-        self.root = ["", 0.0, [], None]
-        self.containers = [self.root]
-        self._parse(source)
-
-    def _parse(self, source: str) -> None:
+        spared: set[int] = set()
+        while True:
+            self.root = ["", 0.0, [], None, False]
+            self.containers = [self.root]
+            self.whole = Mark(0, None, False, False)  # what is kept
+            mark = self._wrapper(self._parse(source, spared))
+            if mark is None:
+                break
+            while mark is not None:
+                spared.add(mark.at)
+                mark = mark.outer
+
+    def _wrapper(self, marks):
+        """The marked element with the most text that is no part of the page
+        but wraps it: it holds the only main, or the only article and more text
+        than is kept, or, named weakly, three times the text that is kept."""
+        kept = self.whole
+        found = [m for m in marks if (m.main and not kept.main) or not m.others and (
+            m.article and not (kept.main or kept.article) and m.text > kept.text
+            or m.weak and m.text > 3 * max(kept.text, 0))]
+        return max(found, key=lambda m: (m.main, m.text), default=None)
+
+    def _parse(self, source: str, spared: set[int]) -> list[Mark]:
         # stack entry: tag, container, dropped, in a link
+        marks: list[Mark] = []
         stack = [("", self.root, False, False)]
         words: list[str] = []     # of the open block
         linked = 0                # characters of it that are in links
@@ -100,9 +137,12 @@ class Page:
                 at, raw = (end.start() if end else n), None
                 continue
             m = _TOKEN.match(source, at)
-            at = m.end()
+            begin, at = at, m.end()
             text = m[7]
             if text is not None:
+                holder = stack[-1][2] or self.whole
+                if holder is not True:
+                    holder.text += -len(text.strip()) if stack[-1][3] else len(text.strip())
                 if not stack[-1][2]:
                     text = html.unescape(text) if "&" in text else text
                     words.append(text)
@@ -131,29 +171,46 @@ class Page:
             if name in VOID:
                 continue
             attrs = m[3] if m[2] else m[6]
-            own, dropped = "", stack[-1][2] or name in DROPPED
-            if attrs and not dropped:
+            own, dropped = "", stack[-1][2]
+            if name in DROPPED and name != "form":
+                dropped = True
+            if dropped is not True:
                 got = {}
-                for a in _ATTR.finditer(attrs):
+                for a in _ATTR.finditer(attrs or ""):
                     got.setdefault(a[1].lower(), html.unescape(a[2] or a[3] or a[4] or ""))
                 own = got.get("class", "")
+                if name in ("main", "article"):
+                    setattr(dropped or self.whole, name, True)
                 if name not in ("html", "body", "main", "article"):
                     named = f"{own} {got.get('id', '')} {got.get('role', '')}".lower().split()
-                    marks = _WORD.findall(" ".join(x for x in named if not x.startswith(STATES)))
-                    dropped = "hidden" in got or not NOT_TEXT.isdisjoint(marks)
+                    parts = [_WORD.findall(_STATE.sub("", x)) for x in named]
+                    if name == "form":
+                        parts = [[w for w in x if w != "form"] for x in parts]
+                    words_in = {w for x in parts for w in x}
+                    if "hidden" in got:
+                        dropped = True
+                    elif begin not in spared and (name == "form" or not NOT_TEXT.isdisjoint(words_in)):
+                        weak = not any(x and x[-1] in NOT_TEXT for x in parts)
+                        dropped = Mark(begin, dropped or None, weak, not OTHERS.isdisjoint(words_in))
+                        marks.append(dropped)
             if dropped and not stack[-1][2] and name not in INLINE:
                 flush()
             box = stack[-1][1]
             if name in CONTAINERS and not dropped:
                 step = ".".join([name, *sorted(set(re.sub(r"\d+", "N", own).lower().split()))])
-                box = [f"{box[0]}/{step}", 0.0, [], box]
+                box = [f"{box[0]}/{step}", 0.0, [], box, False]
                 self.containers.append(box)
                 # a container's place among the blocks of the one around it
                 box[3][2].append(box)
+            if name == "h1" and not dropped:
+                around = box
+                while around is not None and not around[4]:
+                    around[4], around = True, around[3]
             if name in RAW:
                 raw = re.escape(name)
             stack.append((name, box, dropped, stack[-1][3] or name == "a"))
         flush()
+        return marks
 
     @staticmethod
     def _pop_to(stack, names, scope, flush) -> None:
@@ -178,12 +235,18 @@ class Page:
 
     def best(self):
         """The container with the highest score; article and main count
-        double, the first of equals wins."""
+        double, the first of equals wins.  One without the title gives way to
+        the next around it that has an h1, below body, so that the parts of an
+        article stay together."""
         def score(box):
             step = box[0].rpartition("/")[2].split(".")[0]
             return box[1] * (2 if step in ("article", "main") and box[1] > 0 else 1)
 
-        return max(self.containers, key=score)
+        top = max(self.containers, key=score)
+        whole = top
+        while whole is not None and not whole[4]:
+            whole = whole[3]
+        return top if whole is None or whole[0].rpartition("/")[2].split(".")[0] in ("", "body") else whole
 
     def text(self, path: str | None) -> str:
         """The text at ``path``, or of the best container if there is none."""

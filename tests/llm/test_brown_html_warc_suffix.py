@@ -101,6 +101,31 @@ def test_page_text():
     assert html_extract.Page("<p>open <i>tags").text(None) == "open tags"
 
 
+def test_wrappers_named_like_menus_keep_the_page():
+    inner = "<p>" + "words of the article " * 9 + "</p>"
+    text = " ".join(inner[3:-4].split())
+    side = "<div class='sidebar'><p>no</p></div><form><p>no</p></form>"
+    for wrapper in ("<div class='page-with-sidebar'>", "<div class='main-content sidebar-left'>",
+                    "<div class='layout header-fixed'>", "<form id='form1'>", "<form class='aspnet'><div id='nav-top'>"):
+        for entry in (f"<div class='entry'>{inner}</div>", f"<article>{inner}</article>"):
+            page = f"<body><p>few words</p>{wrapper}{entry}{side}"
+            assert html_extract.Page(page).text(None) == text, (wrapper, entry)
+    assert html_extract.Page(f"<body><div class='widget'><main>{inner}</main></div>").text(None) == text
+    # what is not the article stays out, however long
+    long = "<p>" + "no " * 999 + "</p>"
+    for other in ("<div class='comments'>", "<div id='cookie-notice'>", "<div class='comments-area'><article>",
+                  "<div class='sidebar'>", "<nav>", "<aside>", "<div hidden>"):
+        page = f"<body><div class='post'>{inner}</div>{other}{long}"
+        assert html_extract.Page(page).text(None) == text, other
+    assert html_extract.Page(f"<body><nav>{long}</nav>").text(None) == ""
+
+
+def test_parts_of_an_article_stay_with_its_title():
+    page = ("<body><div class='post'><h1>Title</h1><div class='lead'><p>lead</p></div><div class='entry'><p>"
+            + "entry " * 99 + "</p></div></div><div class='other'><p>no</p></div>")
+    assert html_extract.Page(page).text(None) == "Title\n\nlead\n\n" + ("entry " * 99).strip()
+
+
 def test_html_query_brute_force(spark):
     import html
 
