@@ -33,18 +33,20 @@ SEED, FEWEST = 3, 8
 MATCH, OTHER, GAP = 2, -1, -1
 #: Words of test items that are held at a time, on the driver and in a task.
 BLOCK_WORDS = 2_000_000
+#: Parts of a block that are counted before items are collected.
+PARTS = 256
 _SIEVE = 1 << 22
 
 
 class Block:
     """Items with their words; ``seeds`` sorted by hash."""
 
-    def __init__(self, ids: list[int], texts: list[str]):
+    def __init__(self, ids: list[int], texts: list[str], times: list[int]):
         words, counts = [], []
         for _, _, h, n in word_slices(pa.array(texts, pa.large_string())):
             words.append(h)
             counts.append(n)
-        self.ids = ids
+        self.ids, self.times = ids, times
         self.words = np.concatenate(words) if words else np.empty(0, np.uint64)
         self.counts = np.concatenate(counts) if counts else np.empty(0, np.int64)
         self.first = np.cumsum(self.counts) - self.counts
@@ -166,8 +168,9 @@ def _matches(shared, least):
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).take(pa.array([r for (r, _), _ in found])).cast(pa.int64()),
                      pa.array([block.ids[i] for (_, i), _ in found], pa.int64()),
-                     pa.array([s for _, (s, _) in found]), pa.array([e for _, (_, e) in found], pa.int64())],
-                    ["doc_id", "item_id", "score", "last_word"])
+                     pa.array([s for _, (s, _) in found]), pa.array([e for _, (_, e) in found], pa.int64()),
+                     pa.array([block.times[i] for (_, i), _ in found], pa.int64())],
+                    ["doc_id", "item_id", "score", "last_word", "times"])
     return run
 
 
@@ -198,13 +201,25 @@ def _counted(vocabulary):
 def blocks(docs: DataFrame, items: DataFrame, chance: float = 1.0, block_words: int = BLOCK_WORDS):
     """The items in blocks, with seeds chosen by all of ``docs``."""
     spark = docs.sparkSession
-    items = items.where(F.col("text").isNotNull()).select(
-        F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    size = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
-    many = max(1, math.ceil(size / block_words))
-    for k in range(many):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(many)) == k).collect()
-        block = Block([r[0] for r in rows], [r[1] for r in rows])
+    # a repeated item is held and aligned once
+    items = (items.where(F.col("text").isNotNull())
+             .select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+             .groupBy("item_id", "text").agg(F.count("*").alias("times")))
+    words = F.size(F.split("text", r"\s+"))
+    total = items.agg(F.sum(words)).first()[0] or 0
+    # a block ends where the running count of its parts' words is full
+    parts = PARTS * max(1, math.ceil(total / block_words))
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
+    ranges, held = [], 0
+    for k, n in items.groupBy(part.alias("part")).agg(F.sum(words).alias("n")).orderBy("part").collect():
+        if not ranges or held + n > block_words:
+            ranges.append([k, k])
+            held = 0
+        ranges[-1][1] = k
+        held += n
+    for lo, hi in ranges:
+        rows = items.where(part.between(lo, hi)).collect()
+        block = Block([r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows])
         if not len(block.vocabulary):
             continue
         counted = (docs.select(F.col("text").cast("string"))
@@ -225,7 +240,8 @@ def matches(docs: DataFrame, items: DataFrame, least: float = 0.5, chance: float
     out = docs.sparkSession.createDataFrame([], schema)
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     for block in blocks(docs, items, chance):
-        out = out.union(src.mapInArrow(trimmed(_matches(block, least)), schema))
+        found = src.mapInArrow(trimmed(_matches(block, least)), schema + ", times long")
+        out = out.union(found.withColumn("times", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).drop("times"))
     return out
 
 

@@ -101,6 +101,17 @@ MIT = """// Permission is hereby granted, free of charge, to any person obtainin
 // THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND."""
 
 
+def test_repeated_items_are_held_once_and_blocks_are_bounded(spark):
+    text = "one two three four five six seven eight nine ten"
+    items = spark.createDataFrame([(1, text)] * 300 + [(k, f"{text} item{k}") for k in range(2, 40)],
+                                  "item_id long, text string")
+    docs = spark.createDataFrame([(7, f"before {text} after")], "doc_id long, text string")
+    held = [b.value for b in decontaminate.blocks(docs, items, block_words=60)]
+    assert sum(len(b.ids) for b in held) == 39 and all(len(b.words) <= 60 for b in held)
+    rows = decontaminate.matches(docs, items).where("item_id = 1").collect()
+    assert len(rows) == 300 and len(set(rows)) == 1
+
+
 def test_license_rules():
     def names(t):
         return [(f[0], f[1]) for f in licenses.findings(t)]
