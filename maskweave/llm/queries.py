@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from maskweave.llm import bpe, brown, decontaminate, exact_dedup, html_extract, language_id, licenses, near_dedup, suffix_dedup, warc
+from maskweave.llm import (
+    bpe, brown, decontaminate, exact_dedup, fill_middle, html_extract, language_id, licenses, near_dedup, prefix_trie,
+    suffix_dedup, vector_dedup, warc,
+)
 from maskweave.llm.common import table
 from maskweave.session import prepare
 
@@ -157,10 +160,113 @@ def op10_language_id(spark, sf):
         "doc_id", F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
-QUERIES = {"op1_html_extraction": op1_html_extraction, "op2_lm_scoring": op2_lm_scoring,
-           "op5_exact_dedup": op5_exact_dedup, "op3_license_scan": op3_license_scan, "op4_byte_bpe": op4_byte_bpe, "op6_suffix_dedup": op6_suffix_dedup, "op7_warc": op7_warc, "op8_decontamination": op8_decontamination,
-           "op9_near_dedup": op9_near_dedup,            "op10_language_id": op10_language_id}
-ORACLES = {"op5_exact_dedup": OP5_SQL, "op6_suffix_dedup": OP6_SQL, "op7_warc": OP7_SQL, "op9_near_dedup": OP9_SQL}
+def op11_embedding_dedup(spark, sf):
+    """The links and the group of every vector at a cosine of 0.95 or more."""
+    return vector_dedup.groups(table(spark, sf, "embeddings"), threshold=0.95)
+
+
+OP11_SQL = """
+with recursive v as materialized (select vec_id, embedding::double[] as e from embeddings),
+ok as materialized (
+  select vec_id, e from v where e is not null and len(e) > 0
+    and list_sum(list_transform(e, lambda x: case when x is null or not isfinite(x) then 1 else 0 end)) = 0
+    and list_max(list_transform(e, lambda x: abs(x))) > 0),
+link as materialized (
+  select a.vec_id as x, b.vec_id as y from ok a join ok b on a.vec_id != b.vec_id and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= 0.95),
+reach(vec_id, r) as (
+  select vec_id, vec_id from v
+  union
+  select l.y, reach.r from reach join link l on l.x = reach.vec_id),
+low as (select vec_id, min(r) as component_id from reach group by vec_id),
+n as (select x, count(*) as n from link group by x)
+select vec_id, coalesce(n, 0)::bigint as n_links, component_id, vec_id = component_id as kept
+from v join low using (vec_id) left join n on x = vec_id
+"""
+
+
+def op12_conversation_trie(spark, sf):
+    """The nodes of the prefix trie of the rebuilt conversations."""
+    return prefix_trie.conversation_trie(table(spark, sf, "conversations"), every=20, most=4)
+
+
+OP12_SQL = r"""
+with o as materialized (
+  select conv_id, x.d, len(regexp_extract_all(x.text, '[^\x20\x09-\x0D]+')) as w,
+         row_number() over (partition by conv_id order by turn nulls first, x.d) as i
+  from (select conv_id, turn, {'text': coalesce(text, ''), 'd':
+          md5(strlen(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, ''))} as x
+        from conversations where conv_id is not null)),
+c as materialized (
+  select conv_id, xor(list_reduce(list_concat([4294967295::bigint], flatten(list_transform(
+    string_split(conv_id::varchar, ''), lambda ch: [ascii(ch)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda s, x: case when x >= 0 then xor(s, x) else xor(s >> 1, (s & 1) * 3988292384) end), 4294967295) % 4 as h
+  from (select distinct conv_id from o)),
+built as materialized (
+  select conv_id, list(d order by part, i) as p, list(w order by part, i) as w from (
+    select c.conv_id, 0 as part, i, d, w from c join o on o.conv_id = c.conv_id - c.conv_id % 20 and i <= h
+    union all
+    select c.conv_id, 1, i, d, w from c join o on o.conv_id = c.conv_id and i > h)
+  group by conv_id
+  union all
+  select conv_id, [], [] from c where not exists (
+    select 1 from o where (o.conv_id = c.conv_id - c.conv_id % 20 and i <= h) or (o.conv_id = c.conv_id and i > h))),
+member as (select conv_id, p[1:depth] as p, depth, w[depth] as w, len(p) = depth as at_end
+           from (select *, unnest(range(0, len(p) + 1)) as depth from built)),
+node as materialized (
+  select p, depth, min(conv_id) as conv_id, count(*) as n, coalesce(any_value(w), 0) as w,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (at_end), '')) as ends_sha256
+  from member group by p, depth),
+child as materialized (select p[1:depth - 1] as p, count(*) as n from node where depth > 0 group by 1),
+below as (
+  select p[1:k] as p, count(*) filter (not has) as leaves, sum((n - 1) * w) as saved from (
+    select node.*, child.n is not null as has, unnest(range(0, depth + 1)) as k from node left join child using (p))
+  group by 1)
+select node.conv_id, node.depth, up.conv_id as parent_conv_id, node.n as n_convs,
+       coalesce(child.n, 0) as n_children, leaves as n_leaves, saved::bigint as saved_tokens, node.ends_sha256
+from node join below using (p) left join child using (p)
+left join node up on node.depth > 0 and up.p = node.p[1:node.depth - 1]
+"""
+
+
+def op13_fill_in_middle(spark, sf):
+    """Every document arranged for fill-in-middle, and its text again."""
+    out = fill_middle.transform(table(spark, sf, "documents"), separator="\n", rate=100, spm=50, seed=7)
+    return fill_middle.restore(out).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"))
+
+
+OP13_SQL = r"""
+with t as (
+  select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as u,
+         sha256('7:' || coalesce(doc_id::varchar, '')) as d
+  from documents),
+h as (
+  select *, len(u) as n, ('0x' || substr(d, 1, 8))::bigint as h1, ('0x' || substr(d, 9, 8))::bigint as h2,
+         ('0x' || substr(d, 17, 8))::bigint as h3, ('0x' || substr(d, 25, 8))::bigint as h4 from t),
+cut as (
+  select doc_id, text, n, array_to_string(u[1:least(h1 % (n + 1), h2 % (n + 1))], '') as p,
+         array_to_string(u[least(h1 % (n + 1), h2 % (n + 1)) + 1:greatest(h1 % (n + 1), h2 % (n + 1))], '') as m,
+         array_to_string(u[greatest(h1 % (n + 1), h2 % (n + 1)) + 1:], '') as s,
+         case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>')
+                or h3 % 100 >= 100 then 'plain' when h4 % 100 < 50 then 'spm' else 'psm' end as form
+  from h)
+select doc_id, n::bigint as n, form, case when form != 'plain' then length(p) end as prefix_chars,
+       case when form != 'plain' then length(m) end as middle_chars,
+       sha256(case form when 'plain' then text when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+              else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+       sha256(text) as restored_sha256
+from cut
+"""
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_html_extraction, op2_lm_scoring, op3_license_scan, op4_byte_bpe, op5_exact_dedup, op6_suffix_dedup, op7_warc,
+    op8_decontamination, op9_near_dedup, op10_language_id, op11_embedding_dedup, op12_conversation_trie,
+    op13_fill_in_middle)}
+ORACLES = {"op5_exact_dedup": OP5_SQL, "op6_suffix_dedup": OP6_SQL, "op7_warc": OP7_SQL, "op9_near_dedup": OP9_SQL,
+           "op11_embedding_dedup": OP11_SQL, "op12_conversation_trie": OP12_SQL, "op13_fill_in_middle": OP13_SQL}
 
 
 def _prepared(fn):
