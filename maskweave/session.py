@@ -107,8 +107,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def discard(*dfs: DataFrame) -> None:
-    """Deletes the files of materialised tables that nothing reads any more."""
+    """Deletes the files of materialised tables that nothing reads any more,
+    and their entry in the catalog if they have one."""
     for df in dfs:
+        known = getattr(df, "_maskweave_table", None)
+        if known:
+            df.sparkSession.sql(f"drop table if exists {known}")
         path = getattr(df, "_maskweave_path", None)
         if path:
             spark = df.sparkSession
