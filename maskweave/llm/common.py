@@ -45,18 +45,21 @@ def attach_group(rows: DataFrame, groups: DataFrame, key: str, size: str) -> Dat
     return in_hot.unionByName(rest.select(*in_hot.columns))
 
 
-def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+def bucketed(df: DataFrame, name: str, key: str, dealt: bool = False) -> DataFrame:
     """``df`` written to the shared folder as a table in buckets of ``key``:
     joins and groups on ``key`` do not move its rows.  Each task writes its
-    own rows, nothing is shuffled for it."""
+    own rows and nothing is shuffled for it; ``dealt`` rows are shuffled once
+    before, which leaves one file for each bucket."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     known = f"mw_{name.replace('-', '_')}_{uuid.uuid4().hex}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if dealt:
+        df = df.repartition(n, key)
     (df.write.mode("errorifexists").format("parquet").option("compression", "zstd").option("path", path)
      .bucketBy(n, key).sortBy(key).saveAsTable(known))
     out = spark.table(known)
-    out._maskweave_path = path
+    out._maskweave_path, out._maskweave_table = path, known
     return out
 
 

@@ -13,18 +13,28 @@ group is everything that links reach.  Steps, all as Spark jobs:
 2. Documents with equal sets collapse to the smallest doc_id before any
    pair is made, so exact copies never meet.
 3. Band keys of the representatives meet in buckets.  In each bucket every
-   member is paired with the bucket's smallest member only; pairs are
-   verified on full sets, and the links found are grouped.
-4. Buckets whose members already are one group, however large, are done.
-   In the others all members are compared by longer signatures, block
-   against block of MEMBERS members, so that no task holds more than two
-   blocks; pairs of different groups whose signatures agree within four
-   standard deviations of the threshold are verified too.
+   member is paired with one pivot only; pairs are verified on full sets, and
+   the links found are grouped.  The first pivot is the bucket's smallest
+   member; in the rounds after it, where a bucket still holds several groups,
+   the smallest member outside the group that has the smallest one.
+4. Buckets whose members then are one group, however large, are done.  In the
+   others all members are compared by longer signatures, block against block
+   of MEMBERS members, so that no task holds more than two blocks.  A task
+   names the members that have a partner in another group whose signature
+   agrees within four standard deviations of the threshold, not the pairs.
+5. Named members of a bucket meet again with their full sets, block against
+   block.  A task counts the common elements of members of different groups
+   and gives a spanning forest of the links, so that what leaves it grows with
+   the members, whatever the number of pairs near the threshold.
 
 With 128 registers in 32 bands of 4, a pair at similarity 0.8 shares no
 bucket with probability 5e-8, and fails the comparison of signatures with at
 most 3e-5.  Rows with a null doc_id take part in no link and stay; rows that
-repeat a doc_id are one node of the graph.
+repeat a doc_id are one node of the graph.  Equal similarities need no order:
+groups depend on links alone.  An empty table gives no rows; columns other
+than doc_id and text are not read (``deduplicate`` keeps them).  The sets of
+long texts are sketched in parts of PART elements, whose registers are joined
+by minimum: 40 bytes for each word of the longest text, besides some 60 MB.
 """
 
 from __future__ import annotations
@@ -34,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskweave.llm.common import components, distinct_per_text, mix, shingles, trimmed, word_slices
+from maskweave.llm.common import bucketed, components, distinct_per_text, mix, shingles, trimmed, word_slices
 from maskweave.session import discard, materialize
 
 REGISTERS, BANDS = 128, 32
@@ -42,6 +52,10 @@ REGISTERS, BANDS = 128, 32
 LONG = 512
 #: Members of a bucket that are compared with each other at a time.
 MEMBERS = 1000
+#: Rounds of pivots, and elements of the sets of a block.
+PIVOTS, BLOCK_ELEMENTS = 2, 1 << 20
+#: Elements sketched at a time.
+PART = 50_000
 EMPTY = np.int32(np.iinfo(np.int32).max)
 
 
@@ -71,6 +85,25 @@ def superminhash(elements: np.ndarray, counts: np.ndarray, m: int = REGISTERS) -
     return out
 
 
+def signatures(elements: np.ndarray, counts: np.ndarray, m: int = REGISTERS):
+    """Yields (lo, hi, signatures) of texts lo..hi, PART elements at a time.  A
+    larger set is sketched part by part: a register is the minimum over them."""
+    ends = np.cumsum(counts)
+    lo = 0
+    while lo < len(counts):
+        base = ends[lo] - counts[lo]
+        hi = max(lo + 1, int(np.searchsorted(ends, base + PART, "right")))
+        if counts[lo] > PART:
+            out = np.full((1, m), EMPTY, np.int32)
+            for a in range(base, ends[lo], PART):
+                part = elements[a:min(a + PART, ends[lo])]
+                np.minimum(out, superminhash(part, np.array([len(part)]), m), out=out)
+        else:
+            out = superminhash(elements[base:ends[hi - 1]], counts[lo:hi], m)
+        yield lo, hi, out
+        lo = hi
+
+
 def band_keys(signatures: np.ndarray, bands: int) -> np.ndarray:
     """One 64-bit key per text and band."""
     n, m = signatures.shape
@@ -88,24 +121,17 @@ def _sketch(size: int, bands: int):
             ids = b.column(0)
             for lo, hi, h, counts in word_slices(b.column(1)):
                 e, n = distinct_per_text(*shingles(h, counts, size))
-                ends = np.cumsum(n)
-                # step by step, so that the permutations stay small
-                step = 0
-                while step < len(n):
-                    base = ends[step] - n[step]
-                    to = max(step + 1, int(np.searchsorted(ends, base + 100_000, "right")))
-                    part = e[base:ends[to - 1]]
-                    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(part))])
-                    also = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(part ^ np.uint64(0x5BD1E995)))])
-                    cut = np.concatenate([[0], ends[step:to] - base])
-                    keys = band_keys(superminhash(part, n[step:to]), bands)
+                cut = np.append(0, np.cumsum(n))
+                sums = np.append(np.uint64(0), np.cumsum(mix(e.copy())))
+                also = np.append(np.uint64(0), np.cumsum(mix(e ^ np.uint64(0x5BD1E995))))
+                for a, z, signature in signatures(e, n):
+                    keys = band_keys(signature, bands)
                     yield pa.RecordBatch.from_arrays([
-                        ids.slice(lo + step, to - step).cast(pa.int64()), pa.array(n[step:to].astype(np.int64)),
-                        pa.array((sums[cut[1:]] - sums[cut[:-1]]).view(np.int64)),
-                        pa.array((also[cut[1:]] - also[cut[:-1]]).view(np.int64)),
+                        ids.slice(lo + a, z - a).cast(pa.int64()), pa.array(n[a:z].astype(np.int64)),
+                        pa.array((sums[cut[a + 1:z + 1]] - sums[cut[a:z]]).view(np.int64)),
+                        pa.array((also[cut[a + 1:z + 1]] - also[cut[a:z]]).view(np.int64)),
                         pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), bands).cast(pa.list_(pa.int64()))],
                         ["doc_id", "n_shingles", "s1", "s2", "keys"])
-                    step = to
     return run
 
 
@@ -123,21 +149,22 @@ def _sets(size: int):
 
 
 def _compare(percent: int):
-    """Pairs of two blocks of a bucket that may hold.  A pair that shares
-    several buckets is given by the one of its first shared band only."""
+    """Members of two blocks of a bucket that may have a link to a member of
+    another group.  A pair that shares several buckets counts in the one of
+    its first shared band only."""
     share = percent / 100
     least = LONG * share - 4 * (LONG * share * (1 - share)) ** 0.5
 
     def run(batches):
         for b in batches:
-            for band, i, j, members in zip(*(b.column(k).to_pylist() for k in range(3)), b.column(3)):
+            for key, band, i, j, members in zip(*(b.column(k).to_pylist() for k in range(4)), b.column(4)):
                 x = members.values.field("x")
                 own = members.values.field("own").to_numpy()
                 rep, comp, n = (x.field(k).to_numpy() for k in ("rep", "comp", "n"))
                 keys = x.field("keys").flatten().to_numpy().reshape(len(rep), -1)
                 sig = np.frombuffer(b"".join(x.field("signature").to_pylist()), np.uint8).reshape(len(rep), -1)
                 left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-                us, vs = [], []
+                named = np.zeros(len(rep), bool)
                 for k in range(0, len(left), 16):
                     q = left[k:k + 16]
                     near = (sig[q][:, None] == sig[right][None]).sum(axis=2) >= least
@@ -145,30 +172,77 @@ def _compare(percent: int):
                     near &= 100 * np.minimum(n[q][:, None], n[right]) >= percent * np.maximum(n[q][:, None], n[right])
                     f, g = np.nonzero(near)
                     first = (keys[q[f]] == keys[right[g]]).argmax(axis=1) == band
-                    f, g = f[first], g[first]
-                    us.append(rep[q[f]]), vs.append(rep[right[g]])
-                u, v = np.concatenate(us or [rep[:0]]), np.concatenate(vs or [rep[:0]])
-                if len(u):
-                    both = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)]), axis=1)
-                    yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["u", "v"])
+                    named[q[f[first]]] = named[right[g[first]]] = True
+                if named.any():
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(named.sum(), key)), pa.array(rep[named])], ["key", "rep"])
+    return run
+
+
+def common_elements(query: np.ndarray, elements: np.ndarray, owner: np.ndarray, owners: int) -> np.ndarray:
+    """Elements that the set ``query`` shares with each of ``owners`` sets,
+    given as sorted ``elements`` with their owners."""
+    lo, hi = np.searchsorted(elements, query, "left"), np.searchsorted(elements, query, "right")
+    n = hi - lo
+    at = np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)
+    return np.bincount(owner[at], minlength=owners)
+
+
+def forest(sets: list[np.ndarray], group: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int):
+    """Links (i, j), i of ``left`` and j of ``right``, that join groups: a
+    spanning forest of all links between members of different groups."""
+    group = group.copy()
+    size = np.array([len(x) for x in sets])
+    names, first, counts = np.unique(group[left], return_index=True, return_counts=True)
+    large = names[counts.argmax()]
+    for mine in (True, False):  # the largest group needs only what lies outside it
+        rows = left[(group[left] == large) == mine] if mine else rest
+        if mine:
+            rest = np.setdiff1d(left, rows)
+        against = right[group[right] != large] if mine else right
+        if not len(rows) or not len(against):
+            continue
+        elements = np.concatenate([sets[j] for j in against])
+        owner = np.repeat(np.arange(len(against)), size[against])
+        order = np.argsort(elements, kind="stable")
+        elements, owner = elements[order], owner[order]
+        for i in rows:
+            if (group[against] == group[i]).all():
+                continue
+            both = common_elements(sets[i], elements, owner, len(against))
+            held = (100 * both >= percent * (size[i] + size[against] - both)) & (group[against] != group[i])
+            for j in against[held]:
+                if group[j] != group[i]:
+                    yield i, j
+                    group[group == group[j]] = group[i]
+
+
+def _confirm(percent: int):
+    """Forests of the links between two blocks of members with full sets."""
+    def run(batches):
+        for b in batches:
+            for i, j, members in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+                own, rep, comp = (members.values.field(k).to_numpy() for k in ("own", "rep", "comp"))
+                lists = members.values.field("elements")
+                off, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+                sets = [flat[a:z] for a, z in zip(off[:-1], off[1:])]
+                pairs = list(forest(sets, comp, np.flatnonzero(own == i), np.flatnonzero(own == j), percent))
+                if pairs:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(rep[[p[0] for p in pairs]]), pa.array(rep[[p[1] for p in pairs]])], ["u", "v"])
     return run
 
 
 def _long_signatures(batches):
-    """(rep, signature) of sets; steps keep the permutations small."""
+    """(rep, signature) of sets."""
     for b in batches:
         off = b.column(1).offsets.to_numpy().astype(np.int64)
         e = b.column(1).flatten().to_numpy().view(np.uint64)
-        off -= off[0]
-        at = 0
-        while at < b.num_rows:
-            to = min(b.num_rows, max(at + 1, int(np.searchsorted(off, off[at] + 50_000, "right")) - 1))
-            got = superminhash(e[off[at]:off[to]], np.diff(off[at:to + 1]), LONG)
+        for lo, hi, got in signatures(e, np.diff(off), LONG):
             raw = pa.py_buffer(got.astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).slice(at, to - at),
-                 pa.Array.from_buffers(pa.binary(LONG), to - at, [None, raw]).cast(pa.binary())], ["rep", "signature"])
-            at = to
+                [b.column(0).slice(lo, hi - lo),
+                 pa.Array.from_buffers(pa.binary(LONG), hi - lo, [None, raw]).cast(pa.binary())], ["rep", "signature"])
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -180,6 +254,38 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .select("u", "v"))
 
 
+def _mixed(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """The members of buckets that hold several groups, with their group
+    ``comp`` and the smallest group of their bucket, ``low``."""
+    placed = materialize(members.select("key", "band", "rep", "n")
+                         .join(groups.withColumnRenamed("node", "rep"), "rep", "left")
+                         .withColumn("comp", F.coalesce("comp", "rep")), "placed")
+    several = (placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+               .where("low != high").select("key", "low"))
+    out = materialize(placed.join(several, "key"), "mixed")
+    discard(placed)
+    return out
+
+
+def _joined(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """The groups that further links make of ``groups``."""
+    links = materialize(links, "links")
+    if links.isEmpty():
+        return groups
+    out = components(groups.select(F.col("node").alias("u"), F.col("comp").alias("v")).union(links), "groups")
+    discard(groups, links)
+    return out
+
+
+def _blocks(rows: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``rows`` with their block of their bucket (``own``), once for each
+    pair of blocks i <= j that it is in."""
+    return (rows.join(blocks, "key").withColumn("own", F.expr("cast(pmod(xxhash64(rep), blocks) as int)"))
+            .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+            .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+            .drop("blocks", "other"))
+
+
 def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = BANDS) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id (the smallest
     doc_id that links reach, itself included) and ``kept``."""
@@ -200,36 +306,36 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, bands: int =
     fits = f"100 * least(n, un) >= {percent} * greatest(n, un)"
     stars = materialize(members.where("rep != u").where(fits).select("u", F.col("rep").alias("v")).distinct(), "stars")
     ids = members.select(F.col("rep").alias("id")).distinct()
-    sets = materialize(texts.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi")
-                       .mapInArrow(trimmed(_sets(size)), "id long, elements array<long>"), "sets")
+    sets = bucketed(texts.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi")
+                    .mapInArrow(trimmed(_sets(size)), "id long, elements array<long>"), "sets", "id", dealt=True)
     links = materialize(_verify(stars, sets, percent), "links")
 
-    groups = components(links.union(copies), "groups-1")
-    placed = (members.select("key", "band", "rep", "n")
-              .join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-              .withColumn("comp", F.coalesce("comp", "rep")))
-    placed = materialize(placed, "placed")
-    mixed = (placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("size"))
-             .where("x != y").select("key", F.ceil(F.col("size") / MEMBERS).cast("int").alias("blocks")))
-    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    mixed = materialize(placed.join(mixed, "key"), "mixed")
-    discard(members, placed)
-    placed = mixed
-    signed = (sets.join(placed.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
+    groups = components(links.union(copies), "groups")
+    mixed = _mixed(members, groups)
+    discard(members, stars, links)
+    for _ in range(1, PIVOTS):
+        pivots = (mixed.where("comp != low").groupBy("key").agg(F.min(F.struct("rep", "n", "comp")).alias("p"))
+                  .select("key", F.col("p.rep").alias("u"), F.col("p.n").alias("un"), F.col("p.comp").alias("uc")))
+        stars = (mixed.join(pivots, "key").where("comp != uc").where(fits)
+                 .select("u", F.col("rep").alias("v")).distinct())
+        groups = _joined(groups, _verify(stars, sets, percent))
+        mixed, old = _mixed(mixed, groups), mixed
+        discard(old)
+    signed = (sets.join(mixed.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
               .mapInArrow(trimmed(_long_signatures), "rep long, signature binary"))
-    rows = (placed.join(signed, "rep").join(reps.select("rep", "keys"), "rep")
-            .select("key", "band", own.alias("own"), other.alias("other"),
-                    F.struct("rep", "comp", "n", "signature", "keys").alias("x"))
-            .groupBy("key", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-            .agg(F.collect_list(F.struct("own", "x")).alias("members"))
-            .select("band", "i", "j", "members"))
-    rest = (rows.mapInArrow(trimmed(_compare(percent)), "u long, v long").distinct().join(stars, ["u", "v"], "left_anti"))
-    rest = materialize(rest, "rest")
-    more = materialize(_verify(rest, sets, percent), "more-links")
-    discard(mixed, rest, stars, sets)
-    groups = components(links.union(copies).union(more), "groups-2")
-    discard(links, more, reps)
+    sized = mixed.groupBy("key").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("blocks"))
+    rows = (_blocks(mixed.join(signed, "rep").join(reps.select("rep", "keys"), "rep"), sized)
+            .select("key", "band", "i", "j", "own", F.struct("rep", "comp", "n", "signature", "keys").alias("x"))
+            .groupBy("key", "band", "i", "j").agg(F.collect_list(F.struct("own", "x")).alias("members")))
+    named = materialize(rows.mapInArrow(trimmed(_compare(percent)), "key long, rep long").distinct(), "named")
+    met = mixed.join(named, ["key", "rep"], "left_semi")
+    sized = met.groupBy("key").agg(F.ceil(F.greatest(F.count("*") / MEMBERS, F.sum("n") / BLOCK_ELEMENTS))
+                                   .cast("int").alias("blocks"))
+    rows = (_blocks(met.join(sets.select(F.col("id").alias("rep"), "elements"), "rep"), sized)
+            .groupBy("key", "i", "j").agg(F.collect_list(F.struct("own", "rep", "comp", "elements")).alias("members"))
+            .select("i", "j", "members"))
+    groups = _joined(groups, rows.mapInArrow(trimmed(_confirm(percent)), "u long, v long").distinct())
+    discard(mixed, named, sets, reps)
     return (sketch.select("doc_id", "n_shingles")
             .join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("comp", "doc_id").alias("component_id"),

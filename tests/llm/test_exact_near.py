@@ -161,3 +161,82 @@ def test_word_slices_cut_long_texts_alike():
         out[most] = h
         assert n == want
     assert out[16] == out[1 << 20]
+
+
+def family(n, seed, words=24, changed=1):
+    """Texts of one base, each with ``changed`` words changed: pairs around the threshold."""
+    rng = random.Random(seed)
+    base = [f"w{seed}x{k}" for k in range(words)]
+    out = []
+    for k in range(n):
+        w = list(base)
+        for _ in range(changed):
+            w[rng.randrange(words)] = f"n{seed}x{k}x{rng.randrange(10 ** 6)}"
+        out.append(" ".join(w))
+    return out
+
+
+@pytest.mark.parametrize("size,words,changed", [(5, 24, 1), (4, 24, 1), (5, 40, 1), (4, 60, 2), (5, 18, 1)])
+def test_families_around_the_threshold(spark, monkeypatch, size, words, changed):
+    """Links between members none of which need be the pivot; blocks of ten."""
+    monkeypatch.setattr(near_dedup, "MEMBERS", 10)
+    texts = [t for s in range(3) for t in family(40, s, words, changed)]
+    docs = [(k, t) for k, t in enumerate(texts)]
+    random.Random(7).shuffle(docs)
+    got = near_dedup.near_groups(spark.createDataFrame(docs, "doc_id long, text string"), size, 80).collect()
+    want = brute_groups(docs, size, 80)
+    assert {r.doc_id: r.component_id for r in got} == {k: v[1] for k, v in want.items()}
+
+
+def test_tasks_give_a_forest():
+    """What leaves a comparing task grows with the members, not their pairs."""
+    for n in (200, 400, 800):
+        sets = []
+        for t in family(n, 1):
+            w = t.split()
+            sets.append(np.unique([hash(tuple(w[k:k + 5])) for k in range(20)]))
+        at = np.arange(n)
+        loose = list(near_dedup.forest(sets, at, at, at, 55))
+        assert len(loose) <= n - 1
+        group = list(range(n))
+        for i, j in loose:
+            group = [group[i] if g == group[j] else g for g in group]
+        low = list(range(n))
+        for i in range(n):
+            for j in range(i):
+                both = len(np.intersect1d(sets[i], sets[j]))
+                if 100 * both >= 55 * (len(sets[i]) + len(sets[j]) - both) and low[i] != low[j]:
+                    low = [low[i] if g == low[j] else g for g in low]
+            if n > 200:
+                break
+        if n == 200:
+            assert len(set(low)) == len(set(group))
+
+
+def test_pairs_that_join_sets_grow_in_proportion(spark, monkeypatch):
+    """Families just below the threshold: rows joined to sets are a few a member."""
+    seen = []
+    plain = near_dedup._verify
+
+    def counted(pairs, sets, percent):
+        seen[-1] += pairs.count()
+        return plain(pairs, sets, percent)
+
+    monkeypatch.setattr(near_dedup, "_verify", counted)
+    for n in (200, 400, 800):
+        seen.append(0)
+        docs = spark.createDataFrame(list(enumerate(family(n, 5))), "doc_id long, text string")
+        near_dedup.near_groups(docs, 5, 80).count()
+    print(seen)
+    assert seen[1] <= 2.5 * seen[0] and seen[2] <= 2.5 * seen[1]
+
+
+def test_large_sets_are_sketched_in_parts(monkeypatch):
+    rng = np.random.default_rng(0)
+    counts = np.array([3, 5000, 0, 40, 2500])
+    elements = rng.integers(0, 1 << 62, counts.sum()).astype(np.uint64)
+    for m in (near_dedup.REGISTERS, near_dedup.LONG):
+        want = near_dedup.superminhash(elements, counts, m)
+        monkeypatch.setattr(near_dedup, "PART", 1000)
+        got = np.concatenate([x for _, _, x in near_dedup.signatures(elements, counts, m)])
+        assert (got == want).all()
