@@ -82,15 +82,23 @@ def wordpiece_chain(spark, sf):
     return vocab.select("id", "piece", "role")
 
 
-MIN_N = 3000
+SHARE = 40  # a merge must occur once in so many words of the corpus
+ROUNDS = 60  # of the SQL; learning ends long before
 
+_STOP_COUNTS = Q.counts(Q.wp_words())
+_STOP = f"(select greatest(2, sum(n) // {SHARE}) from {_STOP_COUNTS})"
 
-@q("min_frequency_stop", Q.merge_rounds_sql(Q.counts(Q.wp_words()), "wordpiece", 40, MIN_N) + "\nselect * from ("
-   + " union all ".join(f"select {k} as rank, l as \"left\", r as \"right\", merged, n from m{k}" for k in range(1, 41)) + ")")
+
+@q("min_frequency_stop", Q.merge_rounds_sql(_STOP_COUNTS, "wordpiece", ROUNDS, _STOP) + "\nselect * from ("
+   + " union all ".join(f"select {k} as rank, l as \"left\", r as \"right\", merged, n from m{k}"
+                        for k in range(1, ROUNDS + 1)) + ")")
 def min_frequency_stop(spark, sf):
-    """Learning stops when the best pair is rarer than the minimum."""
-    model = M.learn_merges(WD.wordpiece_words(docs(spark, sf)), "wordpiece", vocab_size=None, max_merges=40,
-                           min_pair_n=MIN_N).release()
+    """Learning stops when the best pair is rarer than the minimum, which
+    is a share of the corpus; nothing else ends it."""
+    counts = WD.wordpiece_words(docs(spark, sf)).cache()
+    least = max(2, counts.agg(F.sum("n")).first()[0] // SHARE)
+    model = M.learn_merges(counts, "wordpiece", vocab_size=None, min_pair_n=least).release()
+    counts.unpersist()
     return model.merges.select("rank", "left", "right", "merged", "n")
 
 

@@ -150,9 +150,10 @@ def byte_doc_words(src: str = "documents", key: str = "doc_id") -> str:
     return f"(select {key}, unnest({lst}) as word, generate_subscripts({lst}, 1) as i, 1 as k from {src})"
 
 
-def vocab_with_merges_sql(counts_sql: str, kind: str, rounds: int) -> str:
-    """CTE text: merge rounds, then base/learned/vocab (id, piece, role)."""
-    ctes = merge_rounds_sql(counts_sql, kind, rounds)
+def vocab_with_merges_sql(counts_sql: str, kind: str, rounds: int, word_table: str | None = None) -> str:
+    """CTE text: merge rounds, then base/learned/vocab (id, piece, role).  The
+    rounds run over ``word_table``, the alphabet is that of ``counts_sql``."""
+    ctes = merge_rounds_sql(word_table or counts_sql, kind, rounds)
     union = "\nunion all ".join(f"select {k} as rank, merged from m{k}" for k in range(1, rounds + 1))
     return f"""{ctes},
 base as (select * from {base_vocab_sql(counts_sql, kind)}),
@@ -166,9 +167,12 @@ vocab as (select id, piece, role from base
 
 def bpe_encode_sql(counts_sql: str, doc_words_sql: str, kind: str, rounds: int, key: str = "doc_id") -> str:
     """Encode with merges applied in rank order: the last word table of the
-    merge chain holds each word type's final symbols."""
+    merge chain holds each word type's final symbols.  Words that the training
+    rows do not have go through the chain too, with a count of 0."""
     syms = symbols_sql("sy")
-    return f"""{vocab_with_merges_sql(counts_sql, kind, rounds)},
+    all_words = f"""(select word, max(n) as n from (
+      select word, n from {counts_sql} union all select word, 0 from {doc_words_sql}) group by word)"""
+    return f"""{vocab_with_merges_sql(counts_sql, kind, rounds, all_words)},
 dw as {doc_words_sql},
 wtok as (select word, unnest({syms}) as s, generate_subscripts({syms}, 1) as j from w{rounds}),
 dtok as (select d.{key}, d.i, d.k, t.j, coalesce(v.id, 0) as id

@@ -1,22 +1,21 @@
 """Pair-merge vocabulary learning.
 
-The word-type table W (one row per distinct word: delimited symbol string
-``sy`` and count ``n``) stays distributed and cached.  Each round counts
-adjacent symbol pairs with one hash aggregate over W (partial aggregation
-before the shuffle), brings only the top K+1 pairs to the driver, and
-applies the chosen merges with nested literal ``replace`` calls (left to
-right, non-overlapping, codegen'd).  Words left with one symbol are
-dropped when lineage is cut.  (Incremental pair-count maintenance was
-measured too: three aggregates and a write per round made it slower than
-one aggregate over the cached W at every size we could run.)
-
-Several merges per round give exactly the one-at-a-time result: walking
-down the ranked pairs, stop at the first pair that can stand next to a taken
-one (its left symbol is a taken right one, or its right a taken left one), is
-a self-pair, would make a symbol that exists or was made this round, exceeds
-the budget, or is the K+1-th.  With ``s`` the count of that pair, keep taken
-pairs with n > s (always the first).  Taken pairs never overlap in a word, so
-none changes another's count.  A merge of (l, r) makes new pairs (x, lr) and
+The word-type table (one row per distinct word: packed symbol ids and count)
+and the table of pair counts stay distributed.  A round takes the most
+frequent pairs, sums the stretches of words that consist of them, makes
+merges one at a time on these few rows, puts the results back into the words
+and corrects the pair counts by what that changed (``merge_rounds``).  Words
+left with one symbol are dropped as they occur; every round's tables are
+written to the shared checkpoint folder.
+
+Where so many pairs tie that their stretches are too many for one place, a
+round takes pairs by the rule of ``choose_round``: walking down the ranked
+pairs, stop at the first pair that can stand next to a taken one (its left
+symbol is a taken right one, or its right a taken left one), is a self-pair,
+would make a symbol that exists or was made this round, exceeds the budget,
+or is the K+1-th.  With ``s`` the count of that pair, keep taken pairs with
+n > s (always the first).  Taken pairs never overlap in a word, so none
+changes another's count.  A merge of (l, r) makes new pairs (x, lr) and
 (lr, y), which occur at most as often as (x, l) and (r, y) did; those can
 stand next to a taken pair, so they were not taken and have n <= s, as has
 every other pair.
@@ -29,14 +28,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maskweave.functions import text as TX
+from maskweave.operators import merge_rounds as R
 from maskweave.operators import vocab as V
 from maskweave.operators import words as WD
-from maskweave.session import materialize
 
 KINDS = ("wordpiece", "bpe", "byte")
 
@@ -46,11 +46,11 @@ class MergeModel:
     kind: str
     merges: DataFrame   # rank, left, right, merged, n
     vocab: DataFrame    # id, piece, score, role
-    words: DataFrame    # sy, n after all merges
+    words: R.Words      # words that still have pairs, and the pair counts, after all merges
 
     def release(self) -> "MergeModel":
-        """Frees the cached word table; merges and vocabulary stay."""
-        self.words.unpersist()
+        """Deletes the word and pair tables; merges and vocabulary stay."""
+        self.words.release()
         return self
 
 
@@ -85,19 +85,6 @@ def pair_counts(w: DataFrame) -> DataFrame:
                                         F.expr(f"substring(right, {o + 1})").alias("right"), "n")
 
 
-def top_pairs(p: DataFrame, k: int) -> list:
-    """The best ``k`` pairs of a marked pair table (per-partition top-k,
-    then a merge of k rows per partition on the driver)."""
-    o = len(TX.SYM_OPEN)
-    got = p.orderBy(F.desc("n"), "left", "right").limit(k).collect()
-    return [{"left": r["left"][o:], "right": r["right"][o:], "n": r["n"]} for r in got]
-
-
-def multi_symbol(w: DataFrame) -> DataFrame:
-    """Words with one symbol left can never form a pair again."""
-    return w.filter(F.size(F.split(F.col("sy"), TX.SYM_CLOSE)) > 2)
-
-
 def choose_round(ranked: list, k: int, kind: str, known: set, budget: int | None,
                  min_pair_n: int) -> list:
     """The exact multi-merge rule; returns [(left, right, merged, n, is_new)]."""
@@ -128,14 +115,6 @@ def choose_round(ranked: list, k: int, kind: str, known: set, budget: int | None
     return [t for i, t in enumerate(taken) if i == 0 or t[3] > stop_n]
 
 
-def apply_merges(w: DataFrame, chosen: list) -> DataFrame:
-    o, c = TX.SYM_OPEN, TX.SYM_CLOSE
-    sy = F.col("sy")
-    for l, r, m, _, _ in chosen:
-        sy = F.replace(sy, F.lit(f"{o}{l}{c}{o}{r}{c}"), F.lit(f"{o}{m}{c}"))
-    return w.withColumn("sy", sy)
-
-
 def alphabet_pieces(w: DataFrame, kind: str) -> list[str]:
     """D3 from the cached symbol table: every character in code-point
     order, then continuation forms (WordPiece); byte-level: 256 bytes.
@@ -156,55 +135,47 @@ def _cp(p: str) -> tuple:
 
 
 def learn_merges(word_counts: DataFrame, kind: str = "wordpiece", vocab_size: int | None = 32768,
-                 max_merges: int | None = None, min_pair_n: int = 2, per_round: int = 64,
-                 checkpoint_every: int = 8) -> MergeModel:
+                 max_merges: int | None = None, min_pair_n: int = 2, per_round: int = R.FIRST_PAIRS) -> MergeModel:
     """D6 (wordpiece), D7 (bpe over SentencePiece pieces), D9 (byte).
 
     ``word_counts``: (word, n).  Stops when the vocabulary reaches
     ``vocab_size`` (D12), after ``max_merges`` merges, or when the best
-    pair occurs fewer than ``min_pair_n`` times (D2).  The vocabulary is
-    assembled on the driver: it is bounded by ``vocab_size``.
+    pair occurs fewer than ``min_pair_n`` times (D2).  ``per_round`` is the
+    number of pairs that the first round looks at; later rounds look at more
+    as long as their stretches of words are few.  The vocabulary is assembled
+    on the driver: it is bounded by ``vocab_size``.
     """
     if kind not in KINDS:
         raise ValueError(kind)
     spark = word_counts.sparkSession
     base = word_table(word_counts, kind).persist(StorageLevel.MEMORY_AND_DISK)
     alphabet = alphabet_pieces(base, kind)
-    w = base
-    held = [base]   # persisted word tables; the newest is materialised by the next count
     specials = V.reserved_pieces("sentencepiece" if kind == "bpe" else "wordpiece")
     pieces = [q for q, _ in specials]
     pieces += [q for q in alphabet if q not in set(pieces)]
     known = set(pieces)
+    symbols = list(alphabet)
+    o, c = TX.SYM_OPEN, TX.SYM_CLOSE
+    ids = spark.sparkContext.broadcast({s: i for i, s in enumerate(symbols)})
+    w = R.Words(base.mapInArrow(lambda batches: R.pack(ids.value, o, c)(batches), "word binary, n long"))
+    base.unpersist()
     merges = []
-    rounds = 0
+    k = per_round
     while True:
         budget = None if vocab_size is None else vocab_size - len(pieces)
         left = None if max_merges is None else max_merges - len(merges)
         if (budget is not None and budget <= 0) or (left is not None and left <= 0):
             break
-        k = per_round if left is None else min(per_round, left)
-        ranked = top_pairs(marked_pair_counts(w), k + 1)
-        for x in held[:-1]:  # the newest table is cached now; its parents can go
-            x.unpersist()
-        held = held[-1:]
-        chosen = choose_round(ranked, k, kind, known, budget, min_pair_n)
-        if not chosen:
+        done, few = _round(w, symbols, kind, k, min_pair_n, left, budget, known)
+        if not done:
             break
-        rounds += 1
-        nxt = apply_merges(w, chosen)
-        if rounds % checkpoint_every == 0:  # cut lineage; drop finished words
-            nxt = materialize(multi_symbol(nxt), "merge-words")
-        w = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-        held.append(w)
-        for l, r, m, n, is_new in chosen:
+        if few:
+            k = min(2 * k, R.MAX_PAIRS)
+        for l, r, m, n, is_new in done:
             merges.append((len(merges) + 1, l, r, m, int(n)))
             if is_new:
                 known.add(m)
                 pieces.append(m)
-    for x in held:
-        if x is not w:
-            x.unpersist()
     mdf = spark.createDataFrame(merges, "rank int, left string, right string, merged string, n bigint")
     roles = dict(specials)
     n_base = len(specials) + len([q for q in alphabet if q not in roles])
@@ -213,6 +184,38 @@ def learn_merges(word_counts: DataFrame, kind: str = "wordpiece", vocab_size: in
     return MergeModel(kind, mdf, spark.createDataFrame(rows, V.VOCAB_SCHEMA), w)
 
 
+def _round(w: R.Words, symbols: list[str], kind: str, k: int, min_pair_n: int, left: int | None,
+           budget: int | None, known: set):
+    """One round: its merges, and whether it looked at few enough stretches
+    for the next to look at more pairs.  Puts the merges into ``w``."""
+    top = w.top(k + 1)
+    if not top or top[0][0] < min_pair_n:
+        return [], False
+    floor = max(min_pair_n, top[k][0] + 1 if len(top) > k else 1)
+    hot = [x for x in top if x[0] >= floor] or w.at_least(top[0][0], R.MAX_PAIRS)
+    while hot:
+        codes = np.sort(np.array([code for _, code in hot], np.int64))
+        found = w.runs(codes)
+        if found is not None:
+            floor = min(n for n, _ in hot)
+            named = lambda l, r: merged_name(l, r, kind)
+            done, new = R.merge_runs(found, floor, symbols, named, left, budget, known)
+            w.put_back(codes, new)
+            return done, 2 * len(found) < R.MAX_RUNS
+        cut = hot[len(hot) // 4][0]  # fewer pairs; those that tie stay together
+        hot = [x for x in hot if x[0] > cut]
+    ranked = w.ranked(top[0][0], symbols, k + 1)
+    done = choose_round(ranked, k, kind, known | set(symbols), budget, min_pair_n)
+    done = [(l, r, m, n, m not in known) for l, r, m, n, _ in done[:left]]
+    ids = {s: i for i, s in enumerate(symbols)}
+    for l, r, m, _, _ in done:
+        if m not in ids:
+            ids[m] = len(symbols)
+            symbols.append(m)
+    w.put_pairs([(ids[l], ids[r], ids[m]) for l, r, m, _, _ in done])
+    return done, False
+
+
 def word_vocab(word_counts: DataFrame, top: int = 500) -> DataFrame:
     """A vocabulary with an exact SQL form: specials, the WordPiece
     alphabet, then the ``top`` most frequent whole words (n desc, word)
