@@ -9,6 +9,7 @@ encoded once per task.
 
 from __future__ import annotations
 
+import heapq
 import math
 from dataclasses import dataclass, field
 
@@ -20,6 +21,7 @@ from maskweave.functions import text as TX
 MAX_BROADCAST_PIECES = 1_000_000   # pieces, and merges, beyond this are refused
 WORDPIECE_MAX_CHARS = 100          # default of a model's max_word_chars
 CACHE_WORDS = 200_000              # per-task word cache size
+LONG_WORD = 64                     # symbols beyond which a word's pairs are kept in a heap
 SLICE_CHARS = 4 << 20              # characters a task encodes at a time
 
 
@@ -74,6 +76,8 @@ def _bpe(m: TokenModel, w: str) -> list[int]:
     """Repeatedly merge the adjacent pair of lowest rank (all its
     occurrences, left to right) until no ranked pair remains."""
     syms = _symbols(m, w)
+    if len(syms) > LONG_WORD:
+        return [m.ids.get(s, m.unk_id) for s in _merge_long(syms, m.ranks)]
     while len(syms) > 1:
         best, best_rank = None, None
         for a, b in zip(syms, syms[1:]):
@@ -94,6 +98,39 @@ def _bpe(m: TokenModel, w: str) -> list[int]:
     return [m.ids.get(s, m.unk_id) for s in syms]
 
 
+def _merge_long(syms: list, ranks: dict) -> list:
+    """The same merges in n log n steps: a linked list of symbols and a heap
+    of pairs by (rank, place).  A pair that a merge of rank r makes waits for
+    the occurrences of r, even if its own rank is lower: it goes into the
+    heap when the last of them is merged."""
+    n = len(syms)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(ranks[p], i) for i, p in enumerate(zip(syms, syms[1:])) if p in ranks]
+    heapq.heapify(heap)
+    made: list = []
+    while heap or made:
+        if made:
+            for x in made:
+                heapq.heappush(heap, x)
+            made = []
+        rank = heap[0][0]
+        while heap and heap[0][0] == rank:
+            _, i = heapq.heappop(heap)
+            j = after[i] if syms[i] is not None else n
+            if j >= n or ranks.get((syms[i], syms[j])) != rank:
+                continue  # one of the two went into another merge
+            syms[i], syms[j] = syms[i] + syms[j], None
+            after[i] = after[j]
+            if after[j] < n:
+                before[after[j]] = i
+            for k in (before[i], i):
+                if k >= 0 and after[k] < n:
+                    r = ranks.get((syms[k], syms[after[k]]))
+                    if r is not None:
+                        made.append((r, k))
+    return [s for s in syms if s is not None]
+
+
 UNK_PENALTY = 10.0
 
 

@@ -2,17 +2,22 @@
 
 1. Seed: every substring of up to ``max_piece`` characters of each word
    type, frequency = sum of word counts, score = frequency x length; the
-   best ``seed_size`` plus every single character.
-2. E-step: forward-backward per word type in ``mapInPandas`` over the
-   word table (the vocabulary is broadcast; it is bounded by
-   ``seed_size``).  Each task emits partial expected counts per piece.
-3. M-step: ``groupBy(piece).sum``; pieces under ``min_count`` dropped
-   (characters kept); log probabilities renormalised.
+   best ``seed_size`` plus every single character.  Suffixes are sorted, one
+   for each character of the word types; a substring is an interval of them.
+2. E-step: forward-backward per word type in the tasks, over a broadcast
+   model.  Each task emits partial expected counts per piece, which are summed
+   into a table.
+3. M-step: pieces under ``min_count`` dropped (characters kept); log
+   probabilities renormalised by the sum, the only number that comes back.
 4. Prune: the cost of removing a piece = its expected count times the
-   log-probability it loses when its string is re-segmented without it
-   (computed in ``mapInPandas`` over the vocabulary).  Keep the best
-   ``shrink`` share per round down to ``overshoot`` x target, then cut to
-   the target by log probability.
+   log-probability it loses when its string is re-segmented without it,
+   computed in tasks over the table of pieces.  Keep the best ``shrink`` share
+   per round down to ``overshoot`` x target, then cut to the target by log
+   probability.  Ranks come from a distributed sort.
+
+Pieces, counts and costs are tables.  What passes the driver is the model on
+its way to the broadcast, packed as two Arrow arrays (checked against
+MAX_BROADCAST_PIECES), and scalars.
 
 The native SentencePiece trainer cannot be reproduced bit for bit; this
 is our contract.  Plain maximum likelihood (no digamma smoothing).
@@ -23,12 +28,15 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from maskweave.operators import vocab as V
+from maskweave.operators.encode import MAX_BROADCAST_PIECES
+from maskweave.operators.position import with_position
 from maskweave.session import discard, materialize
 
 NEG = -math.inf
@@ -43,9 +51,41 @@ def _lse(a: float, b: float) -> float:
     return m + math.log(math.exp(a - m) + math.exp(b - m))
 
 
+#: Words of up to so many characters are summed as probabilities, not as logs.
+SHORT = 30
+
+
+def _short_sums(w: str, lp: dict, max_piece: int):
+    """``forward_backward`` of a word whose probabilities do not underflow."""
+    n, get, edges = len(w), lp.get, []
+    for s in range(n):
+        for e in range(s + 1, min(n, s + max_piece) + 1):
+            v = get(w[s:e])
+            if v is not None:
+                edges.append((s, e, math.exp(v)))
+    alpha, beta = [1.0] + [0.0] * n, [0.0] * n + [1.0]
+    for s, e, x in edges:  # by start: all edges into s came before
+        alpha[e] += alpha[s] * x
+    if not alpha[n]:
+        return None
+    for s, e, x in reversed(edges):
+        beta[s] += x * beta[e]
+    z, out = alpha[n], {}
+    for s, e, x in edges:
+        c = alpha[s] * x * beta[e] / z
+        if c:
+            p = w[s:e]
+            out[p] = out.get(p, 0.0) + c
+    return out, math.log(z)
+
+
 def forward_backward(w: str, lp: dict, max_piece: int):
     """Expected piece counts of one word and its log-likelihood."""
     n = len(w)
+    if n <= SHORT:
+        got = _short_sums(w, lp, max_piece)
+        if got is not None:
+            return got
     alpha = [NEG] * (n + 1)
     alpha[0] = 0.0
     for e in range(1, n + 1):
@@ -103,17 +143,47 @@ def best_segmentation(w: str, lp: dict, max_piece: int, exclude: str | None = No
     return best[n]
 
 
+def _substrings(max_piece: int):
+    """(piece, freq, ends) of sorted suffixes: every substring with the sum
+    over its interval.  ``ends`` marks intervals that reach the first or the
+    last row of the batch and may go on in a neighbour."""
+    def run(batches):
+        for b in batches:
+            texts, n = b.column(0).to_pylist(), b.column(1).to_numpy()
+            if not texts:
+                continue
+            size = np.array([len(t) for t in texts])
+            points = np.frombuffer("".join(t.ljust(max_piece, "\0") for t in texts).encode("utf-32-le"), np.uint32)
+            points = points.reshape(len(texts), max_piece)
+            same = (points[1:] == points[:-1]) & (np.arange(max_piece) < np.minimum(size[1:], size[:-1])[:, None])
+            shared = np.append(-1, np.logical_and.accumulate(same, axis=1).sum(axis=1))
+            for d in range(1, max_piece + 1):
+                rows = np.flatnonzero(size >= d)
+                if not len(rows):
+                    break
+                begins = np.flatnonzero(shared[rows] < d)
+                freq = np.add.reduceat(n[rows], begins)
+                first, last = rows[begins], rows[np.append(begins[1:], len(rows)) - 1]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([texts[i][:d] for i in first.tolist()], pa.string()), pa.array(freq),
+                     pa.array((first == 0) | (last == len(texts) - 1))], ["piece", "freq", "ends"])
+    return run
+
+
 def seed_pieces(word_counts: DataFrame, max_piece: int = 16) -> DataFrame:
     """(piece, freq, score): frequencies of the substrings of up to
-    ``max_piece`` characters of all words; distributed explode and a
-    partial + final hash aggregate."""
-    starts = word_counts.filter(F.length("word") > 0).select("word", "n", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("st"))
-    subs = starts.select(
-        "n", F.explode(F.transform(
-            F.sequence(F.lit(1), F.least(F.lit(max_piece), F.length("word") - F.col("st"))),
-            lambda ln: F.substring(F.col("word"), F.col("st") + 1, ln))).alias("piece"))
-    agg = subs.groupBy("piece").agg(F.sum("n").cast("bigint").alias("freq"))
-    return agg.withColumn("score", (F.col("freq") * F.length("piece")).cast("bigint"))
+    ``max_piece`` characters of all words.  One suffix for each character is
+    shuffled, not its substrings."""
+    starts = word_counts.filter(F.length("word") > 0).select(
+        "word", "n", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("st"))
+    suffixes = (starts.select(F.substring("word", F.col("st") + 1, F.lit(max_piece)).alias("suffix"), "n")
+                .groupBy("suffix").agg(F.sum("n").cast("bigint").alias("n")))
+    found = (suffixes.repartitionByRange("suffix").sortWithinPartitions("suffix")
+             .mapInArrow(_substrings(max_piece), "piece string, freq bigint, ends boolean"))
+    found = materialize(found, "substrings")
+    agg = found.where("not ends").select("piece", "freq").union(
+        found.where("ends").groupBy("piece").agg(F.sum("freq").cast("bigint").alias("freq")))
+    return agg.withColumn("score", (F.col("freq") * F.char_length("piece")).cast("bigint"))
 
 
 @dataclass
@@ -122,56 +192,109 @@ class UnigramModel:
     loglik: list              # objective after each EM step
 
 
-def _estep(words: DataFrame, lp: dict, max_piece: int) -> dict:
-    spark = words.sparkSession
-    bc = spark.sparkContext.broadcast(lp)
+_models: dict = {}  # of the broadcast that a Python worker met last
+
+
+def _model_of(bc) -> dict:
+    """The broadcast arrays as a dictionary, once per Python worker."""
+    pieces, lp = bc.value
+    if _models.get("of") is not pieces:
+        _models.update(of=pieces, table=dict(zip(pieces.to_pylist(), lp.to_pylist())))
+    return _models["table"]
+
+
+def _broadcast(model: DataFrame):
+    n = model.count()
+    if n > MAX_BROADCAST_PIECES + 200_000:  # the seeds, and single characters
+        raise ValueError(f"a model of {n} pieces is too large to broadcast")
+    t = model.select("piece", "lp").toArrow()
+    return model.sparkSession.sparkContext.broadcast((t["piece"].combine_chunks(), t["lp"].combine_chunks()))
+
+
+def expected_counts(words: DataFrame, model: DataFrame, max_piece: int = 16) -> tuple[DataFrame, float]:
+    """E-step: (piece, c) over ``words`` (word, n) under ``model`` (piece,
+    lp), and the log likelihood."""
+    bc = _broadcast(model)
 
     def run(batches):
-        table = bc.value
+        table = _model_of(bc)
         acc: dict = {}
         ll = 0.0
-        for pdf in batches:
-            for w, n in zip(pdf["word"], pdf["n"]):
+        for b in batches:
+            for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 cnt, z = forward_backward(w, table, max_piece)
                 if z == NEG:
                     raise ValueError(f"no segmentation of a word of {len(w)} characters: {w[:50]!r}")
                 ll += n * z
                 for p, c in cnt.items():
                     acc[p] = acc.get(p, 0.0) + n * c
-        rows = list(acc.items()) + [(None, ll)]
-        yield pd.DataFrame({"piece": [r[0] for r in rows], "c": [r[1] for r in rows]})
+        yield pa.RecordBatch.from_arrays([pa.array([*acc, None], pa.string()), pa.array([*acc.values(), ll], pa.float64())],
+                                         ["piece", "c"])
 
-    got = words.mapInPandas(run, "piece string, c double").groupBy("piece").agg(F.sum("c").alias("c"))
-    res = {r["piece"]: r["c"] for r in got.collect()}  # bounded by the vocabulary size
+    got = materialize(words.select("word", "n").mapInArrow(run, "piece string, c double")
+                      .groupBy("piece").agg(F.sum("c").alias("c")), "unigram-counts")
     bc.unpersist()
-    return res
+    ll = got.where("piece is null").agg(F.sum("c")).first()[0] or 0.0
+    out = got.where("piece is not null")
+    out._maskweave_path = got._maskweave_path
+    return out, ll
+
+
+def _log_share(counts: DataFrame, name: str) -> DataFrame:
+    """(piece, c, lp): log of each count's share of their sum."""
+    total = counts.agg(F.sum("c")).first()[0]
+    return materialize(counts.select("piece", "c", F.log(F.col("c") / F.lit(total)).alias("lp")), name)
+
 
+def _m_step(counts: DataFrame, chars: DataFrame, min_count: float) -> DataFrame:
+    one = F.char_length("piece") == 1
+    kept = counts.where(~one & (F.col("c") >= min_count)).select("piece", "c")
+    single = chars.join(counts, "piece", "left").select("piece", F.coalesce("c", F.lit(float(min_count))).alias("c"))
+    return _log_share(kept.union(single), "unigram-model")
 
-def _normalise(counts: dict, keep: set, min_count: float) -> dict:
-    kept = {p: c for p, c in counts.items() if p is not None and (c >= min_count or p in keep)}
-    for p in keep:
-        kept.setdefault(p, min_count)
-    total = sum(kept.values())
-    return {p: math.log(c / total) for p, c in kept.items()}
 
+def _first(rows: DataFrame, by: str, n: int) -> DataFrame:
+    """The ``n`` rows with the greatest ``by``, ties by piece."""
+    ranked = with_position(rows.withColumn("_down", -F.col(by)), ("_down", "piece"), name="unigram-rank")
+    return ranked.where(F.col("pos") < n).drop("_down", "pos")
 
-def _prune_costs(spark, lp: dict, counts: dict, chars: set, max_piece: int) -> dict:
-    bc = spark.sparkContext.broadcast(lp)
-    pieces = spark.createDataFrame([(p, float(counts.get(p, 0.0))) for p in lp if p not in chars],
-                                   "piece string, c double")
+
+def _costs(model: DataFrame, max_piece: int) -> DataFrame:
+    """(piece, cost) of all pieces but single characters."""
+    bc = _broadcast(model)
 
     def run(batches):
-        table = bc.value
-        for pdf in batches:
-            cost = []
-            for p, c in zip(pdf["piece"], pdf["c"]):
+        table = _model_of(bc)
+        for b in batches:
+            pieces, cost = b.column(0).to_pylist(), []
+            for p, c in zip(pieces, b.column(1).to_pylist()):
                 alt = best_segmentation(p, table, max_piece, exclude=p)
                 cost.append(math.inf if alt == NEG else c * (table[p] - alt))
-            yield pd.DataFrame({"piece": pdf["piece"], "cost": cost})
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cost, pa.float64())], ["piece", "cost"])
 
-    res = {r["piece"]: r["cost"] for r in pieces.mapInPandas(run, "piece string, cost double").collect()}
-    bc.unpersist()
-    return res
+    return model.where(F.char_length("piece") > 1).select("piece", "c").mapInArrow(run, "piece string, cost double")
+
+
+def initial_model(words: DataFrame, seed_size: int = 1_000_000, max_piece: int = 16) -> DataFrame:
+    """(piece, c, lp): the best seeds and all characters, by frequency."""
+    seed = materialize(seed_pieces(words, max_piece), "unigram-seed")
+    one = F.char_length("piece") == 1
+    best = _first(seed.where(~one), "score", seed_size).union(seed.where(one))
+    out = _log_share(best.select("piece", F.col("freq").cast("double").alias("c")), "unigram-model")
+    discard(seed)
+    return out
+
+
+def to_vocab(model: DataFrame) -> DataFrame:
+    """(id, piece, score, role): the control ids, then the pieces by log
+    probability."""
+    ranked = with_position(model.select("piece", "lp", (-F.col("lp")).alias("_down")), ("_down", "piece"),
+                           name="unigram-vocab")
+    control = model.sparkSession.createDataFrame(
+        [(i, piece, 0.0, role) for role, i, piece in V.CONTROL_IDS], V.VOCAB_SCHEMA)
+    first = len(V.CONTROL_IDS)
+    return control.union(ranked.select((F.col("pos") + first).cast(control.schema["id"].dataType), "piece",
+                                       F.col("lp").alias("score"), F.lit(None).cast("string").alias("role")))
 
 
 def train_unigram(word_counts: DataFrame, vocab_size: int = 32768, seed_size: int = 1_000_000,
@@ -179,45 +302,38 @@ def train_unigram(word_counts: DataFrame, vocab_size: int = 32768, seed_size: in
                   overshoot: float = 1.1, min_count: float = 0.5, max_rounds: int = 64) -> UnigramModel:
     """Learn a unigram vocabulary of ``vocab_size`` pieces including
     the four control ids."""
-    spark = word_counts.sparkSession
     words = word_counts.filter(F.length("word") > 0).select("word", "n").persist(StorageLevel.MEMORY_AND_DISK)
-    seed = materialize(seed_pieces(words, max_piece), "unigram-seed")
-    single = seed.filter(F.length("piece") == 1).collect()
-    chars = {r["piece"] for r in single}
-    top = seed.filter(F.length("piece") > 1).orderBy(F.desc("score"), "piece").limit(seed_size)
-    freq = {r["piece"]: float(r["freq"]) for r in top.collect()}
-    freq.update((r["piece"], float(r["freq"])) for r in single)
-    discard(seed)
-    total = sum(freq.values())
-    lp = {p: math.log(c / total) for p, c in freq.items()}
+    model = initial_model(words, seed_size, max_piece)
+    chars = materialize(model.where(F.char_length("piece") == 1).select("piece"), "unigram-chars")
+    n_chars, size = chars.count(), model.count()
     target = vocab_size - len(V.CONTROL_IDS)
-    history = []
-    counts: dict = {}
-    for _ in range(max_rounds):
+    history: list = []
+
+    def em(model):
+        counts, ll = expected_counts(words, model, max_piece)
+        history.append(ll)
+        out = _m_step(counts, chars, min_count)
+        discard(counts, model)
+        return out
+
+    for _ in range(max_rounds if size else 0):
         for _ in range(em_steps):
-            counts = _estep(words, lp, max_piece)
-            history.append(counts.get(None, 0.0))
-            lp = _normalise(counts, chars, min_count)
-        if len(lp) <= max(target, int(overshoot * target)):
+            model = em(model)
+        size = model.count()
+        if size <= max(target, int(overshoot * target)):
             break
-        cost = _prune_costs(spark, lp, counts, chars, max_piece)
-        goal = max(int(overshoot * target), int(len(lp) * shrink))
-        ranked = sorted(cost, key=lambda p: (-cost[p], p))
-        keep = set(ranked[:max(0, goal - len(chars))]) | chars
-        lp = {p: v for p, v in lp.items() if p in keep}
+        goal = max(int(overshoot * target), int(size * shrink))
+        kept = _first(_costs(model, max_piece), "cost", max(0, goal - n_chars)).select("piece").union(chars)
+        old, model = model, materialize(model.join(kept, "piece", "left_semi"), "unigram-model")
+        discard(old)
     else:
-        raise RuntimeError(f"unigram training: {len(lp)} pieces left after {max_rounds} rounds, {target} wanted")
-    counts = _estep(words, lp, max_piece)
-    history.append(counts.get(None, 0.0))
-    lp = _normalise(counts, chars, min_count)
-    if len(lp) > target:
-        rest = sorted((p for p in lp if p not in chars), key=lambda p: (-lp[p], p))
-        keep = set(rest[:max(0, target - len(chars))]) | chars
-        lp = {p: v for p, v in lp.items() if p in keep}
-        tot = sum(math.exp(v) for v in lp.values())
-        lp = {p: v - math.log(tot) for p, v in lp.items()}
+        if size:
+            raise RuntimeError(f"unigram training: {size} pieces left after {max_rounds} rounds, {target} wanted")
+    if size:
+        model = em(model)
+        if model.count() > target:
+            long = _first(model.where(F.char_length("piece") > 1), "lp", max(0, target - n_chars))
+            left = long.union(model.where(F.char_length("piece") == 1)).withColumn("c", F.exp("lp"))
+            model = _log_share(left.select("piece", "c"), "unigram-model")
     words.unpersist()
-    rows = [(i, piece, 0.0, role) for role, i, piece in V.CONTROL_IDS]
-    for piece in sorted(lp, key=lambda p: (-lp[p], p)):
-        rows.append((len(rows), piece, lp[piece], None))
-    return UnigramModel(spark.createDataFrame(rows, V.VOCAB_SCHEMA), history)
+    return UnigramModel(to_vocab(model), history)

@@ -1,8 +1,12 @@
 """Unigram trainer and Viterbi encoder against brute force."""
 
 import math
+import random
+from collections import Counter
 from itertools import combinations
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -42,6 +46,19 @@ def test_forward_backward_matches_enumeration():
             assert abs(got[p] - want[p]) < 1e-9
 
 
+def test_long_words_sum_logs():
+    for w in ["ab" * 14, "abacab" * 4, "c" * 29]:
+        want, z = U._short_sums(w, LP, 3)
+        short, U.SHORT = U.SHORT, 0
+        try:
+            got, gz = U.forward_backward(w, LP, 3)
+        finally:
+            U.SHORT = short
+        assert abs(gz - z) < 1e-9 and got.keys() == want.keys()
+        assert all(abs(got[p] - want[p]) < 1e-9 for p in want)
+    assert U.forward_backward("xyz", LP, 3) == ({}, U.NEG)
+
+
 def test_viterbi_matches_enumeration():
     ids = {p: i for i, p in enumerate(sorted(LP))}
     m = EN.TokenModel(kind="unigram", ids=ids, scores=LP, max_piece=3)
@@ -70,3 +87,83 @@ def test_vocab_size_and_characters_kept(spark):
     assert chars <= pieces
     enc = EN.encode(docs(spark, SF_SMALL), v, "unigram")
     assert enc.filter(F.array_contains("input_ids", 0)).count() == 0  # no [UNK] on training text
+
+
+def plain_seeds(words, max_piece):
+    freq = Counter()
+    for w, n in words:
+        for i in range(len(w)):
+            for j in range(i + 1, min(len(w), i + max_piece) + 1):
+                freq[w[i:j]] += n
+    return freq
+
+
+def plain_train(words, vocab_size, seed_size, max_piece=16, em_steps=2, shrink=0.75, overshoot=1.1, min_count=0.5):
+    """The trainer's contract with plain dictionaries: piece -> log probability."""
+    freq = plain_seeds(words, max_piece)
+    chars = {p for p in freq if len(p) == 1}
+    top = sorted((p for p in freq if len(p) > 1), key=lambda p: (-freq[p] * len(p), p))[:seed_size]
+    c = {p: freq[p] for p in [*top, *chars]}
+    norm = lambda c: {p: math.log(x / sum(c.values())) for p, x in c.items()}
+    lp, history, target = norm(c), [], vocab_size - 4
+
+    def em(lp):
+        c, ll = Counter(), 0.0
+        for w, n in words:
+            got, z = U.forward_backward(w, lp, max_piece)
+            ll += n * z
+            for p, x in got.items():
+                c[p] += n * x
+        history.append(ll)
+        kept = {p: x for p, x in c.items() if len(p) > 1 and x >= min_count}
+        return c, norm(kept | {p: c.get(p, min_count) for p in chars})
+
+    while True:
+        for _ in range(em_steps):
+            c, lp = em(lp)
+        if len(lp) <= max(target, int(overshoot * target)):
+            break
+        goal = max(int(overshoot * target), int(len(lp) * shrink))
+        cost = {p: c[p] * (lp[p] - U.best_segmentation(p, lp, max_piece, exclude=p)) for p in lp if len(p) > 1}
+        keep = set(sorted(cost, key=lambda p: (-cost[p], p))[:max(0, goal - len(chars))]) | chars
+        lp = {p: v for p, v in lp.items() if p in keep}
+    _, lp = em(lp)
+    if len(lp) > target:
+        rest = sorted((p for p in lp if len(p) > 1), key=lambda p: (-lp[p], p))[:max(0, target - len(chars))]
+        lp = norm({p: math.exp(lp[p]) for p in [*rest, *chars]})
+    return lp, history
+
+
+def test_training_equals_plain_dictionaries(spark):
+    rng = random.Random(2)
+    words = {"".join(rng.choice("abcdeé\U0001f600") for _ in range(rng.randint(1, 12))): rng.randint(1, 40)
+             for _ in range(150)}
+    df = spark.createDataFrame(list(words.items()) + [("", 3)], "word string, n bigint")
+    want, history = plain_train(sorted(words.items()), 150, 700)
+    model = U.train_unigram(df, vocab_size=150, seed_size=700)
+    rows = model.vocab.orderBy("id").collect()
+    got = {r.piece: r.score for r in rows if r.role is None}
+    assert [r.id for r in rows] == list(range(len(rows))) and len(rows) == 150
+    assert got.keys() == want.keys() and all(abs(got[p] - want[p]) < 1e-9 for p in want)
+    assert [r.score for r in rows[4:]] == sorted((r.score for r in rows[4:]), reverse=True)
+    assert all(abs(a - b) < 1e-6 * abs(b) for a, b in zip(model.loglik, history))
+
+
+@pytest.mark.parametrize("max_piece", [1, 4, 16])
+def test_seeds_equal_all_substrings(spark, max_piece):
+    rng = random.Random(4)
+    words = {"".join(rng.choice("abé\U0001f600\0") for _ in range(rng.randint(1, 25))): rng.randint(1, 9) for _ in range(300)}
+    words |= {"a" * 60: 2, "ab" * 40: 3}
+    df = spark.createDataFrame(list(words.items()) + [("", 5)], "word string, n bigint").repartition(3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")  # intervals over many batches
+    try:
+        got = {r.piece: (r.freq, r.score) for r in U.seed_pieces(df, max_piece).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = plain_seeds(words.items(), max_piece)
+    assert got == {p: (n, n * len(p)) for p, n in want.items()}
+
+
+def test_no_words(spark):
+    none = spark.createDataFrame([], "word string, n bigint")
+    assert [r.role for r in U.train_unigram(none).vocab.orderBy("id").collect()] == ["unk", "bos", "eos", "pad"]
