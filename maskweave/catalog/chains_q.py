@@ -43,7 +43,7 @@ def _learned(spark, counts, kind):
     S.write_vocab(model.vocab, out, merges=model.merges, special_tokens=V.special_map())
     vocab, loaded = S.load_vocab(spark, out, None)
     assert loaded
-    return vocab, spark.read.parquet(f"{out}/merges")
+    return vocab, S.read_merges(spark, out)
 
 
 def _encoded(enc):
@@ -102,6 +102,36 @@ def min_frequency_stop(spark, sf):
     return model.merges.select("rank", "left", "right", "merged", "n")
 
 
+def _whole(spark, sf, words, kind):
+    """D12 at the default size: 32,768 pieces (fewer where no pair is left
+    that occurs twice), saved, loaded, the whole corpus encoded."""
+    d = docs(spark, sf)
+    model = M.learn_merges(words(d), kind).release()
+    out = scratch_path(spark, f"{kind}-vocab")
+    S.write_vocab(model.vocab, out, merges=model.merges, special_tokens=V.special_map())
+    vocab, loaded = S.load_vocab(spark, out, None)
+    assert loaded
+    return _encoded(EN.encode(d, vocab, kind, merges=S.read_merges(spark, out)))
+
+
+@q("wordpiece_full")
+def wordpiece_full(spark, sf):
+    """D6, A8, A10, E2 with a vocabulary of the default size."""
+    return _whole(spark, sf, WD.wordpiece_words, "wordpiece")
+
+
+@q("sp_bpe_full")
+def sp_bpe_full(spark, sf):
+    """D7, A7, A10, E4 with a vocabulary of the default size."""
+    return _whole(spark, sf, WD.sp_words, "bpe")
+
+
+@q("byte_bpe_full")
+def byte_bpe_full(spark, sf):
+    """D9, A8, A10, E4 with a vocabulary of the default size."""
+    return _whole(spark, sf, WD.byte_word_counts, "byte")
+
+
 @q("byte_roundtrip", "select doc_id, text from documents where text is not null")
 def byte_roundtrip(spark, sf):
     """Every document's text again from its byte-level ids."""

@@ -132,6 +132,18 @@ def buffer_shuffle(spark, sf):
     return sh.filter(F.col("split") == "train").select("epoch", "phase", "doc_id", "seq")
 
 
+@q("global_shuffle", f"""with {PLAN}
+select epoch, phase, split, doc_id, case when split = 'train' then row_number() over (partition by epoch, phase, split
+         order by cast('0x' || substr(md5('{CFG.seed}:shuffle:' || phase || ':' || doc_id), 1, 8) as bigint), doc_id) - 1
+       else phase_rank end as seq
+  from sl""")
+def global_shuffle(spark, sf):
+    """F5 across a whole phase, eval rows in slice order."""
+    pos, n = positioned(spark, sf)
+    sh = CU.with_epochs(CU.shuffled(CU.slices(pos, CFG, n), CFG, mode="global"), CFG)
+    return sh.select("epoch", "phase", "split", "doc_id", "seq")
+
+
 @q("micro_batches", f"with {PLAN} select epoch, phase, split, doc_id, micro_step, is_boundary from mb")
 def micro_batches(spark, sf):
     mb, _ = batches(spark, sf)

@@ -87,6 +87,12 @@ def skip_take(spark, sf):
     return P.skip_take(P.with_position(t), 100, 250)
 
 
+@q("select_between", f"select doc_id from {_KEY_POS_SQL} where pos >= 100 and pos < 350")
+def select_between(spark, sf):
+    """B6 by selection: two keys are found, no position is made."""
+    return P.rows_between(C.resolve_text(edge_rows(spark, sf), "key"), 100, 250).select("doc_id")
+
+
 @q("fixed_batches", f"""select pos // 64 as batch_id, count(*) as n_rows, min(doc_id) as first_doc,
        max(doc_id) as last_doc, cast(sum(length(text)) as bigint) as n_chars
   from (select doc_id, text, row_number() over (order by doc_id) - 1 as pos

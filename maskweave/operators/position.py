@@ -48,12 +48,61 @@ def limit_positions(df: DataFrame, n: int | None, pos_col: str = "pos") -> DataF
     return df.filter(F.col(pos_col) < F.lit(n))
 
 
+#: Bins that a pass of ``nth_key`` counts.
+BINS = 4096
+
+
+def nth_key(df: DataFrame, n: int, key: str = "doc_id"):
+    """The ``n``-th smallest value (from 1) of a unique integer ``key``, or
+    None when there are fewer.  Each pass counts the keys of a range in BINS
+    equal bins and goes on with the bin that holds the n-th: six passes over
+    the key column at most, whose bounds reach the scan; nothing is sorted or
+    written, and BINS counts come back."""
+    k = F.col(key)
+    lo, hi, rows = df.agg(F.min(k), F.max(k), F.count(k)).first()
+    if rows < n:
+        return None
+    while lo < hi:
+        width = -(-(hi - lo + 1) // BINS)
+        place = F.expr(f"(cast(`{key}` as decimal(20, 0)) - cast('{lo}' as decimal(20, 0))) div {width}")
+        bins = df.where((k >= F.lit(lo)) & (k <= F.lit(hi))).groupBy(place.alias("bin")).count().collect()
+        for r in sorted(bins, key=lambda r: r["bin"]):
+            if n <= r["count"]:
+                lo, hi = lo + r["bin"] * width, min(hi, lo + (r["bin"] + 1) * width - 1)
+                break
+            n -= r["count"]
+    return lo
+
+
 def first_rows(df: DataFrame, n: int, key: str = "doc_id") -> DataFrame:
-    """The first ``n`` rows by a unique ``key``.  Only the keys are
-    positioned; the rows are then cut by ``key <= cut``, which reaches the
-    Parquet scan, so no other column is sorted or written."""
-    last = with_position(df.select(key), (key,), name="keys").where(F.col("pos") == n - 1).first()
-    return df if last is None else df.filter(F.col(key) <= F.lit(last[key]))
+    """The first ``n`` rows by a unique ``key``.  An integer key is
+    cut by selection, any other by position; in both cases only the keys are
+    looked at, and ``key <= cut`` reaches the Parquet scan."""
+    return rows_between(df, 0, n, key)
+
+
+def rows_between(df: DataFrame, skip: int, take: int | None, key: str = "doc_id") -> DataFrame:
+    """B6 without positions: rows ``skip`` to ``skip + take`` by a unique key."""
+    if df.schema[key].dataType.typeName() in ("byte", "short", "integer", "long"):
+        def at(n):
+            return nth_key(df, n, key)
+    else:
+        pos = with_position(df.select(key), (key,), name="keys")
+
+        def at(n):
+            row = pos.where(F.col("pos") == n - 1).first()
+            return row and row[key]
+    if skip:
+        low = at(skip)
+        if low is None:
+            return df.limit(0)
+        out = df.filter(F.col(key) > F.lit(low))
+    else:
+        out = df
+    high = None if take is None else at(skip + take) if take > 0 else None
+    if take == 0:
+        return df.limit(0)
+    return out if high is None else out.filter(F.col(key) <= F.lit(high))
 
 
 def rounded_limit(n: int, batch_size: int) -> int:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from maskweave.functions.draws import bits_from_hex, hash_key
-from maskweave.operators.position import running_sum
+from maskweave.operators.position import running_sum, with_position
 from maskweave.plans.config import Curriculum, numbers
 
 SPLITS = ("train", "eval")
@@ -72,14 +72,33 @@ def shuffle_draw(cfg: Curriculum, key: str = "doc_id") -> Column:
     return bits_from_hex(hash_key(cfg.seed, "shuffle", F.col("phase"), F.col(key)))
 
 
-def shuffled(sl: DataFrame, cfg: Curriculum, key: str = "doc_id") -> DataFrame:
+MODES = ("block", "global")
+
+
+def shuffled(sl: DataFrame, cfg: Curriculum, key: str = "doc_id", mode: str = "block") -> DataFrame:
     """seeded shuffle of train slices; eval keeps slice order.
 
-    Rows are ordered by draw inside consecutive blocks of
+    Mode ``block``: rows are ordered by draw inside consecutive blocks of
     ``block`` rows: every window holds at most one buffer, and
-    blocks run in parallel.  (A whole-phase shuffle would put a fifth of
-    the corpus into one task, so it is not offered.)"""
+    blocks run in parallel.
+
+    Mode ``global``: rows are ordered by draw in the whole phase.  They are
+    range-partitioned by (phase, draw, key), so a phase takes as many tasks
+    as its share of the rows; a row's place follows from the sizes of the
+    partitions and of the phases before it.  No window covers a phase."""
+    if mode not in MODES:
+        raise ValueError(f"unknown shuffle mode {mode!r}; expected one of {MODES}")
     buf = cfg.block
+    if mode == "global":
+        train = sl.where(F.col("split") == "train").withColumn("_draw", shuffle_draw(cfg, key))
+        placed = with_position(train, ("phase", "_draw", key), "_at", name="phase-order")
+        sizes = train.groupBy("phase").agg(F.count(F.lit(1)).alias("_rows"))
+        before = Window.orderBy("phase").rowsBetween(Window.unboundedPreceding, -1)  # a row per phase
+        firsts = sizes.select("phase", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_first"))
+        placed = placed.join(F.broadcast(firsts), "phase").withColumn("seq", (F.col("_at") - F.col("_first")).cast("bigint"))
+        rest = sl.where(F.col("split") != "train").withColumn("seq", F.col("phase_rank").cast("bigint"))
+        out = placed.select(*sl.columns, "seq").union(rest.select(*sl.columns, "seq"))
+        return out.withColumn("block", F.floor(F.col("seq") / buf).cast("bigint"))
     block = F.floor(F.col("phase_rank") / buf).cast("bigint")
     s = sl.withColumn("block", block).withColumn("_draw", shuffle_draw(cfg, key))
     w = Window.partitionBy("phase", "split", "block").orderBy("_draw", key)

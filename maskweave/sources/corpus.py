@@ -78,5 +78,8 @@ def training_corpus(df: DataFrame, limit: int | None = None, batch_size: int = 1
     Returns (batch_id, text array) in stream order."""
     from maskweave.operators import position as P
 
-    pos = P.with_position(resolve_text(df, "key", keys=(key,)), order=(key,))
-    return P.batch_lists(P.limit_positions(pos, limit), batch_size, "text")
+    rows = resolve_text(df, "key", keys=(key,))
+    if limit:
+        rows = P.first_rows(rows, limit, key)
+    pos = P.with_position(rows.select(key), order=(key,), name="keys")  # the text is not sorted
+    return P.batch_lists(rows.join(pos, key), batch_size, "text")

@@ -41,27 +41,64 @@ def prepare_output_dir(spark: SparkSession, path: str, overwrite: bool = False)
     fs.mkdirs(p)
 
 
+_MANIFEST = "manifest-"
+
+
+def _versions(spark: SparkSession, out_dir: str) -> list[int]:
+    p, fs = _fs(spark, out_dir)
+    if not fs.exists(p):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(p)]
+    return sorted(int(n[len(_MANIFEST):]) for n in names if n.startswith(_MANIFEST) and n[len(_MANIFEST):].isdigit())
+
+
+def vocab_dir(spark: SparkSession, out_dir: str) -> str:
+    """The folder of the last committed version in ``out_dir``; ``out_dir``
+    itself where none has been committed."""
+    got = _versions(spark, out_dir)
+    return f"{out_dir}/version-{got[-1]}" if got else out_dir
+
+
 def write_vocab(vocab: DataFrame, out_dir: str, merges: DataFrame | None = None,
-                special_tokens: dict[str, str] | None = None) -> None:
+                special_tokens: dict[str, str] | None = None) -> str:
     """The vocabulary as Parquet plus a two-column text file
     (piece TAB score, in id order), the merges as Parquet, and the
     special-token map as one JSON row.  V is bounded by the vocabulary
-    size, so the single text file is small."""
+    size, so the single text file is small.
+
+    All of it goes into a folder of its own, which a manifest names once
+    everything is written; the manifest appears by a rename.  A write that
+    stops before leaves the version before it to be read.  Returns the folder."""
     spark = vocab.sparkSession
-    vocab.write.mode("overwrite").parquet(f"{out_dir}/vocab")
+    n = max(_versions(spark, out_dir), default=0) + 1
+    path = f"{out_dir}/version-{n}"
+    vocab.write.mode("overwrite").parquet(f"{path}/vocab")
     (vocab.orderBy("id")
           .select(F.concat_ws("\t", "piece", F.coalesce(F.col("score").cast("string"), F.lit("0")))
                   .alias("value"))
-          .coalesce(1).write.mode("overwrite").text(f"{out_dir}/vocab_text"))
+          .coalesce(1).write.mode("overwrite").text(f"{path}/vocab_text"))
     if merges is not None:
-        merges.write.mode("overwrite").parquet(f"{out_dir}/merges")
+        merges.write.mode("overwrite").parquet(f"{path}/merges")
     if special_tokens:
         spark.createDataFrame([special_tokens]).coalesce(1).write.mode("overwrite").json(
-            f"{out_dir}/special_tokens")
+            f"{path}/special_tokens")
+    _commit(spark, out_dir, n)
+    return path
+
+
+def _commit(spark: SparkSession, out_dir: str, n: int) -> None:
+    held, fs = _fs(spark, f"{out_dir}/_{_MANIFEST}{n}")
+    fs.create(held, True).close()
+    if not fs.rename(held, _fs(spark, f"{out_dir}/{_MANIFEST}{n}")[0]):
+        raise FileExistsError(f"version {n} of {out_dir} was committed by another writer")
 
 
 def read_vocab(spark: SparkSession, out_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{out_dir}/vocab")
+    return spark.read.parquet(f"{vocab_dir(spark, out_dir)}/vocab")
+
+
+def read_merges(spark: SparkSession, out_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{vocab_dir(spark, out_dir)}/merges")
 
 
 def read_corpus_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -73,13 +110,13 @@ def read_corpus_lines(spark: SparkSession, path: str) -> DataFrame:
 def read_vocab_text(spark: SparkSession, out_dir: str) -> DataFrame:
     """(piece, score) from the text form."""
     parts = F.split(F.col("line"), "\t")
-    return read_corpus_lines(spark, f"{out_dir}/vocab_text").select(
+    return read_corpus_lines(spark, f"{vocab_dir(spark, out_dir)}/vocab_text").select(
         parts[0].alias("piece"), parts[1].cast("double").alias("score"))
 
 
 def read_special_tokens(spark: SparkSession, out_dir: str) -> dict[str, str]:
     """The special-token map from its JSON form."""
-    return json.loads(spark.read.text(f"{out_dir}/special_tokens").first()[0])
+    return json.loads(spark.read.text(f"{vocab_dir(spark, out_dir)}/special_tokens").first()[0])
 
 
 def load_vocab(spark: SparkSession, path: str | None, default: DataFrame) -> tuple[DataFrame, bool]:
@@ -100,6 +137,14 @@ def load_vocab(spark: SparkSession, path: str | None, default: DataFrame) -> tup
 
 
 def log_metrics(metrics: DataFrame, path: str) -> None:
-    """Append (run, step, name, value) rows."""
-    metrics.select("run", F.col("step").cast("bigint"), "name", F.col("value").cast("double")) \
-        .write.mode("append").parquet(path)
+    """Append (run, step, name, value) rows.  A run logs a name once a
+    step: rows that are there already, and repeats, add nothing, so a log
+    that is replayed after a failure stays as it was."""
+    rows = metrics.select("run", F.col("step").cast("bigint").alias("step"), "name",
+                          F.col("value").cast("double").alias("value"))
+    rows = rows.groupBy("run", "step", "name").agg(F.min("value").alias("value"))
+    spark = metrics.sparkSession
+    p, fs = _fs(spark, path)
+    if fs.exists(p):
+        rows = rows.join(spark.read.parquet(path), ["run", "step", "name"], "left_anti")
+    rows.write.mode("append").parquet(path)
