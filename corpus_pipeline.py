@@ -8,7 +8,8 @@ executor never reaches behind the stage that runs.  All stages but the last
 return the columns of ``documents``.
 
 * ``language_id`` drops texts that have no letter, are null, or whose language
-  is ambiguous; it learns from the rows that have a language.
+  is ambiguous; it learns from the rows that have a language.  Where no row has
+  one, nothing is learned and every text with a letter stays.
 * ``exact_dedup`` keeps of equal texts the row with the largest doc_id.
 * ``near_dedup`` keeps the smallest doc_id of each group of texts that are
   linked at 80 % of their 5-word shingles; empty texts are in no group.
@@ -23,7 +24,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from maskweave.llm import bpe, decontaminate, exact_dedup, language_id, near_dedup
-from maskweave.session import materialize, prepare
+from maskweave.session import discard, materialize, prepare
 
 #: The language model and the aligner are no SQL; tests/llm compares the
 #: pipeline with brute force instead.
@@ -32,6 +33,8 @@ ORACLE_SQL = None
 
 def identify_language(spark, docs, sf_dir):
     prepare(spark)
+    if docs.where("lang is not null and text is not null").isEmpty():
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     # columns of documents that are named like the prediction's keep their values
     aside = {c: f"_mw_{c}" for c in ("lang_pred", "score", "ambiguous") if c in docs.columns}
     found = language_id.predict(docs.withColumnsRenamed(aside), language_id.fit(docs))
@@ -71,5 +74,6 @@ def run(spark, sf_dir):
     prepare(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        discard(before)  # what the stage has read; the table itself is not touched
     return docs

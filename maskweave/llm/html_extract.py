@@ -9,9 +9,13 @@
    container at that path uses the container that is best in itself.
 
 The text of a container leaves out menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles, markup and reader comments; a form or an
-element that is only named so is kept where it wraps the page's main or nearly
-all of its text (``Page._wrapper``).  Character
+adverts, forms, scripts, styles, markup and reader comments.  Names decide as
+little as they can: none drops an inline element, a whole name such as
+"notice" drops a paragraph, no name but those of comments and the like a
+heading, and a box whose name only mentions such a word ("related-work") goes
+by its links and text (``Mark.prose``).  A form or an element that is only
+named so is kept where it wraps the page's main or nearly all of its text
+(``Page._wrapper``).  Character
 references are decoded, white space in a block becomes one space, blocks are
 trimmed and joined by two line feeds.  Nothing else is dropped, whole pages
 are read.  A null page or one without text gives an empty string; a null URL
@@ -55,6 +59,16 @@ NOT_TEXT = frozenset("ad ads advert adverts advertisement advertising adsense ba
                      "login form widget widgets toolbar pager pagination skip hidden complementary contentinfo "
                      "search dialog".split())
 
+# Words that tell the place or kind of a box and not what it is about: they
+# are passed over at the end of a name, as in "sidebar-left" and "related-posts".
+LAYOUT = frozenset("area articles bar block body bottom box buttons card cell col column container content entries field "
+                   "group holder icons image inner item items left link links list main message module news outer "
+                   "pages panel posts primary region right row secondary section slot stories text top unit videos "
+                   "wrap wrapper zone".split())
+# Elements of running text: dropped by a whole name only, as in class="notice".
+TEXT_LEVEL = frozenset("p blockquote pre li dt dd td th tr figcaption caption address".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
 # Names below which other texts than the article are long.
 OTHERS = frozenset("comment comments reply replies disqus respond related recommended recommendations cookie cookies "
                    "consent gdpr hidden".split())
@@ -71,16 +85,28 @@ _WORD = re.compile(r"[A-Za-z]+")
 _STATE = re.compile(r"(?:^|(?<=[-_]))(?:has|no|with|without|not|is)-.*")
 
 
+def _head(words: list[str]) -> str | None:
+    """The last word of a name that is not one of LAYOUT."""
+    return next((w for w in reversed(words) if w not in LAYOUT), None)
+
+
 class Mark:
     """An element dropped by its name: where it begins, the marked element
-    around it, if it is a form or the word only describes its name, if it is of
-    OTHERS, and what it holds outside of marked elements in it."""
+    around it, if it is a form or the word only describes its name (``weak``),
+    also where words of LAYOUT are passed over (``aside``), if it is of OTHERS,
+    and what it holds outside of marked elements in it: ``size`` characters,
+    ``text`` less those of links twice."""
 
-    __slots__ = ("at", "outer", "weak", "others", "text", "main", "article")
+    __slots__ = ("at", "outer", "weak", "aside", "others", "text", "size", "main", "article")
 
-    def __init__(self, at, outer, weak, others):
-        self.at, self.outer, self.weak, self.others = at, outer, weak, others
-        self.text, self.main, self.article = 0, False, False
+    def __init__(self, at, outer, weak, aside, others):
+        self.at, self.outer, self.weak, self.aside, self.others = at, outer, weak, aside, others
+        self.text, self.size, self.main, self.article = 0, 0, False, False
+
+    def prose(self) -> bool:
+        """Running text below a name that is about something else, as in
+        "related-work" and "ad-free"."""
+        return self.aside and self.size > 0 and self.text >= (1 if self.others else 0.6) * self.size
 
 
 class Page:
@@ -90,15 +116,19 @@ class Page:
     def __init__(self, source: str):
         spared: set[int] = set()
         while True:
-            self.root = ["", 0.0, [], None, False]
+            self.root = ["", 0.0, [], None, False, 0.0, 0]
             self.containers = [self.root]
-            self.whole = Mark(0, None, False, False)  # what is kept
-            mark = self._wrapper(self._parse(source, spared))
-            if mark is None:
+            self.whole = Mark(0, None, False, False, False)  # what is kept
+            marks = self._parse(source, spared)
+            more = [m for m in marks if m.outer is None and m.prose()]
+            if not more:
+                more = [m for m in [self._wrapper(marks)] if m is not None]
+            if not more:
                 break
-            while mark is not None:
-                spared.add(mark.at)
-                mark = mark.outer
+            for mark in more:
+                while mark is not None:
+                    spared.add(mark.at)
+                    mark = mark.outer
 
     def _wrapper(self, marks):
         """The marked element with the most text that is no part of the page
@@ -127,6 +157,9 @@ class Page:
                 box[1] += weight
                 if box[3] is not None:
                     box[3][1] += weight / 2
+                while box is not None:
+                    box[5] += weight
+                    box = box[3]
             words.clear()
             linked = 0
 
@@ -142,6 +175,7 @@ class Page:
             if text is not None:
                 holder = stack[-1][2] or self.whole
                 if holder is not True:
+                    holder.size += len(text.strip())
                     holder.text += -len(text.strip()) if stack[-1][3] else len(text.strip())
                 if not stack[-1][2]:
                     text = html.unescape(text) if "&" in text else text
@@ -186,22 +220,33 @@ class Page:
                     parts = [_WORD.findall(_STATE.sub("", x)) for x in named]
                     if name == "form":
                         parts = [[w for w in x if w != "form"] for x in parts]
+                    if name in INLINE and name not in ("td", "th"):
+                        parts = []  # within a block nothing goes by its name
+                    elif name in TEXT_LEVEL or name in HEADINGS:
+                        parts = [x for x in parts if len(x) == 1]
+                    if name in HEADINGS:
+                        parts = [x for x in parts if x[0] in OTHERS]
                     words_in = {w for x in parts for w in x}
                     if "hidden" in got:
                         dropped = True
                     elif begin not in spared and (name == "form" or not NOT_TEXT.isdisjoint(words_in)):
                         weak = not any(x and x[-1] in NOT_TEXT for x in parts)
-                        dropped = Mark(begin, dropped or None, weak, not OTHERS.isdisjoint(words_in))
+                        aside = name != "form" and not any(_head(x) in NOT_TEXT for x in parts)
+                        dropped = Mark(begin, dropped or None, weak, aside, not OTHERS.isdisjoint(words_in))
                         marks.append(dropped)
             if dropped and not stack[-1][2] and name not in INLINE:
                 flush()
             box = stack[-1][1]
             if name in CONTAINERS and not dropped:
                 step = ".".join([name, *sorted(set(re.sub(r"\d+", "N", own).lower().split()))])
-                box = [f"{box[0]}/{step}", 0.0, [], box, False]
+                box = [f"{box[0]}/{step}", 0.0, [], box, False, 0.0, 0]
                 self.containers.append(box)
                 # a container's place among the blocks of the one around it
                 box[3][2].append(box)
+            if name in HEADINGS and not dropped:
+                around = box
+                while around is not None:
+                    around[6], around = around[6] + 1, around[3]
             if name == "h1" and not dropped:
                 around = box
                 while around is not None and not around[4]:
@@ -237,16 +282,28 @@ class Page:
         """The container with the highest score; article and main count
         double, the first of equals wins.  One without the title gives way to
         the next around it that has an h1, below body, so that the parts of an
-        article stay together."""
+        article stay together.  On a page without an h1 it gives way, below
+        body, to a container around it that adds text: a tenth of its own, or
+        any with a heading."""
+        def tag(box):
+            return box[0].rpartition("/")[2].split(".")[0]
+
         def score(box):
-            step = box[0].rpartition("/")[2].split(".")[0]
-            return box[1] * (2 if step in ("article", "main") and box[1] > 0 else 1)
+            return box[1] * (2 if tag(box) in ("article", "main") and box[1] > 0 else 1)
 
         top = max(self.containers, key=score)
-        whole = top
-        while whole is not None and not whole[4]:
-            whole = whole[3]
-        return top if whole is None or whole[0].rpartition("/")[2].split(".")[0] in ("", "body") else whole
+        if self.root[4]:
+            whole = top
+            while whole is not None and not whole[4]:
+                whole = whole[3]
+            return top if whole is None or tag(whole) in ("", "body") else whole
+        around = top
+        while tag(around) not in ("", "body", "article", "main"):
+            more = around[5] - top[5]
+            if more > 0 and (more >= 0.1 * top[5] or around[6] > top[6]):
+                top = around
+            around = around[3]
+        return top
 
     def text(self, path: str | None) -> str:
         """The text at ``path``, or of the best container if there is none."""

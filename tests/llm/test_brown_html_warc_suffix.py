@@ -234,3 +234,32 @@ def test_columns_are_sorted_suffixes_with_their_common_prefixes():
             a, b = suffixes[i - 1], suffixes[i]
             same = next((k for k in range(len(a)) if a[k] != b[k]), len(a))
             assert prefix[i] == min(same, 5)
+
+
+LONG = "Long text of the article that goes on for a while and says something. " * 4
+
+
+@pytest.mark.parametrize("source,want", [
+    ('<article><h1 class="header-title">Title</h1><p>Text.</p></article>', "Title\n\nText."),
+    ('<article><h1>T</h1><p>It costs <span class="share-price">12 dollars</span> today.</p></article>',
+     "T\n\nIt costs 12 dollars today."),
+    (f'<article><h1>T</h1><p>{LONG}</p><section class="related-work"><h2>Related work</h2><p>Others did so.</p>'
+     '</section></article>', f"T\n\n{LONG.strip()}\n\nRelated work\n\nOthers did so."),
+    ('<article><h1>T</h1><p class="ad-free">Free of adverts.</p></article>', "T\n\nFree of adverts."),
+    ('<article><h1>T</h1><blockquote class="legal-notice">Quoted law.</blockquote></article>', "T\n\nQuoted law."),
+    (f'<body><div class=page><div>{LONG}</div><div>Second part of the same, not as long but text.</div></div></body>',
+     f"{LONG.strip()}\n\nSecond part of the same, not as long but text."),
+    (f'<body><div class=post><h2>Title</h2><div class=lead>Lead.</div><div class=entry><p>{LONG}</p></div></div></body>',
+     f"Title\n\nLead.\n\n{LONG.strip()}"),
+    # what is not the article goes as before
+    (f'<body><div class=post><h1>T</h1><p>{LONG}</p></div><div class="sidebar-left"><p>{LONG[:90]}</p></div></body>',
+     f"T\n\n{LONG.strip()}"),
+    (f'<article><h1>T</h1><p>{LONG}</p><p class="notice">We use cookies.</p><div class="related-posts"><p>See others.</p>'
+     '</div><ul class="share-links"><li>Tell</li></ul><div class="comment-list"><p>First!</p></div></article>',
+     f"T\n\n{LONG.strip()}"),
+    ('<article><h1>T</h1><p>Text.</p><section class="related-work"><a href=x>One</a> <a href=y>Two</a></section></article>',
+     "T\n\nText."),
+    ('<article><h1>T</h1><p>Text.</p><h2 class="comments">Comments</h2></article>', "T\n\nText."),
+])
+def test_names_drop_no_article_text(source, want):
+    assert html_extract.Page(source).text(None) == want

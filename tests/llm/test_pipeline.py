@@ -69,3 +69,10 @@ def test_stages_leave_columns_with_their_names_alone(spark):
         assert out.columns == extra.columns, name
         assert out.where("score != doc_id * 2 or lang_pred != 'x' or not ambiguous or kept or keep_id != 1").count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, extra, SF_SMALL).count() == 30
+
+
+def test_texts_stay_where_no_language_is_known(spark):
+    docs = spark.createDataFrame([(1, "abc def", None, "s", 7), (2, "12 !", None, "s", 4), (3, None, None, "s", 0)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.STAGES[0][1](spark, docs, SF_SMALL)
+    assert [r.doc_id for r in kept.collect()] == [1]
