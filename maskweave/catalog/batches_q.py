@@ -142,6 +142,19 @@ def shape_check(spark, sf):
                                  F.sum("ok").cast("bigint").alias("n_squeezed_ok")))
 
 
+@q("shape_nested", f"""{MASK_SQL}
+select epoch, phase, split, micro_step, count(*) as n_rows, max(n_tokens)::bigint as width,
+       (count(*) * max(n_tokens))::bigint as n_ids
+  from rows_ group by epoch, phase, split, micro_step""")
+def shape_nested(spark, sf):
+    """G4, G5 at rank 3: a batch of shape [1, b, n] becomes [b, n]."""
+    rows = data(spark, sf).padded.groupBy(*KEYS).agg(F.collect_list("input_ids").alias("ids"))  # a batch each
+    batch = rows.select(*KEYS, CO.squeeze_leading(F.array("ids")).alias("ids"))
+    return batch.select(*KEYS, F.size("ids").cast("bigint").alias("n_rows"),
+                        F.size(F.element_at("ids", 1)).cast("bigint").alias("width"),
+                        F.size(F.flatten("ids")).cast("bigint").alias("n_ids"))
+
+
 @q("batch_scores", f"""{MASK_SQL}
 select epoch, phase, split, micro_step, n_rows, n_masked, round(loss, 6) as loss, error from scores""")
 def batch_scores(spark, sf):

@@ -132,6 +132,20 @@ def buffer_shuffle(spark, sf):
     return sh.filter(F.col("split") == "train").select("epoch", "phase", "doc_id", "seq")
 
 
+@q("phase_slices", f"with {PLAN} select distinct phase, split, doc_id, phase_rank from sl")
+def phase_slices(spark, sf):
+    """F3/F4 phase by phase from a table in order of position."""
+    pos, n = positioned(spark, sf)
+    table = CU.clustered(pos.select("doc_id", "pos"))
+    parts = [CU.phase_slice(table, CFG, n, k, split).select(
+        F.lit(k).alias("phase"), F.lit(split).alias("split"), "doc_id", "phase_rank")
+        for k in range(len(CFG.shares)) for split in CU.SPLITS]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out
+
+
 @q("global_shuffle", f"""with {PLAN}
 select epoch, phase, split, doc_id, case when split = 'train' then row_number() over (partition by epoch, phase, split
          order by cast('0x' || substr(md5('{CFG.seed}:shuffle:' || phase || ':' || doc_id), 1, 8) as bigint), doc_id) - 1

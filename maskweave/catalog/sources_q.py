@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from maskweave.catalog.common import EDGE_SQL, docs, edge_rows
 from maskweave.operators import position as P
+from maskweave.session import scratch_path
 from maskweave.sources import corpus as C
 from maskweave.sources import sinks as S
 
@@ -134,3 +135,22 @@ def training_corpus_batches(spark, sf):
     b = C.training_corpus(edge_rows(spark, sf), limit=500, batch_size=64)
     return b.select("batch_id", F.size("text").cast("bigint").alias("n_rows"),
                     F.aggregate("text", F.lit(0).cast("bigint"), lambda a, t: a + F.length(t)).alias("n_chars"))
+
+
+@q("output_dir_rules", """select * from (values ('new', 'ok'), ('empty', 'ok'), ('not empty', 'FileExistsError'),
+  ('overwrite', 'ok')) as t(folder, outcome), (select count(*) as n_lines from documents)""")
+def output_dir_rules(spark, sf):
+    """A9 before A6: what becomes of a folder that is there."""
+    t, rows = C.resolve_text(docs(spark, sf), "schema"), []
+    out = scratch_path(spark, "output")
+    for folder, overwrite in (("new", False), ("empty", False), ("not empty", False), ("overwrite", True)):
+        if folder == "empty":
+            S.prepare_output_dir(spark, out, overwrite=True)
+        try:
+            S.prepare_output_dir(spark, out, overwrite=overwrite)
+            outcome = "ok"
+            S.write_corpus_lines(t, f"{out}/lines")
+        except FileExistsError as exc:
+            outcome = type(exc).__name__
+        rows.append((folder, outcome, S.read_corpus_lines(spark, f"{out}/lines").count()))
+    return spark.createDataFrame(rows, "folder string, outcome string, n_lines bigint")

@@ -36,3 +36,19 @@ def stream_encode(spark, sf):
 def stream_word_counts(spark, sf):
     src = ST.stream_table(spark, sf, "documents")
     return ST.read_word_counts(spark, ST.stream_word_counts(src))
+
+
+@q("stream_limit", "select doc_id from (select * from documents where text is not null and text <> '' "
+   "order by doc_id limit 120)")
+def stream_limit(spark, sf):
+    """K1, B2: a stream that ends after so many non-empty rows."""
+    src = ST.stream_table(spark, sf, "documents")
+    return spark.read.parquet(ST.stream_encode(src, test_vocab(spark, sf), limit=120)).select("doc_id")
+
+
+@q("stream_counts_merged", f"select word, n from {Q.counts(Q.wp_words())}")
+def stream_counts_merged(spark, sf):
+    """K2: word counts after the epochs' folders were merged."""
+    sink = ST.stream_word_counts(ST.stream_table(spark, sf, "documents"))
+    ST.compact_word_counts(spark, sink)
+    return ST.read_word_counts(spark, sink)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from maskweave.functions.draws import bits_from_hex, hash_key
 from maskweave.operators.position import running_sum, with_position
 from maskweave.plans.config import Curriculum, numbers
+from maskweave.session import scratch_path
 
 SPLITS = ("train", "eval")
 
@@ -58,6 +59,28 @@ def slices(positioned: DataFrame, cfg: Curriculum, n_rows: int, pos: str = "pos"
                 .drop("lo", "hi"))
 
 
+def clustered(positioned: DataFrame, pos: str = "pos", name: str = "clustered", block_bytes: int | None = None) -> DataFrame:
+    """``positioned`` written in order of position: range-partitioned and
+    sorted, so that files and row groups hold ranges of positions."""
+    path = scratch_path(positioned.sparkSession, name)
+    w = positioned.repartitionByRange(pos).sortWithinPartitions(pos).write.option("compression", "zstd")
+    if block_bytes:
+        w = w.option("parquet.block.size", block_bytes)
+    w.parquet(path)
+    return positioned.sparkSession.read.parquet(path)
+
+
+def phase_slice(positioned: DataFrame, cfg: Curriculum, n_rows: int, phase: int, split: str, pos: str = "pos") -> DataFrame:
+    """F3/F4 of one phase: its range of positions as a filter, which on a
+    ``clustered`` table leaves out the files and row groups of other phases."""
+    c, e = numbers(cfg, n_rows).chunk, cfg.eval_rows
+    if split not in SPLITS or not 0 <= phase < len(cfg.shares):
+        raise ValueError(f"no {split!r} slice of phase {phase}")
+    lo = phase * c + (e if split == "train" else 0)
+    hi = phase * c + e if split == "eval" else lo + c if cfg.overlap else (phase + 1) * c
+    return positioned.where((F.col(pos) >= lo) & (F.col(pos) < hi)).withColumn("phase_rank", F.col(pos) - lo)
+
+
 def with_epochs(df: DataFrame, cfg: Curriculum) -> DataFrame:
     """Every row once per epoch, with ``epoch`` and ``run_index``.  Epochs
     share slices and order (Q5), so they are added after the shuffle."""

@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from maskweave.operators import encode as EN
 from maskweave.operators import words as WD
+from maskweave.operators.position import first_rows
 from maskweave.session import scratch_path
 from maskweave.sources import corpus as C
+from maskweave.sources import sinks as S
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str = "documents",
@@ -40,9 +42,15 @@ def _run(writer, until_done: bool = True):
 
 def stream_encode(stream: DataFrame, vocab: DataFrame, kind: str = "wordpiece", text_mode: str = "key",
                   sink: str | None = None, checkpoint: str | None = None, merges: DataFrame | None = None,
-                  key: str = "doc_id") -> str:
+                  key: str = "doc_id", limit: int | None = None) -> str:
     """K1: stream -> text choice -> encode -> Parquet.  Returns the sink.
 
+    With ``limit`` the stream ends after so many rows: how many came before a
+    micro-batch is counted in the sink, so a query that starts again in the
+    middle, or replays a batch, ends with the same rows.  The batch that
+    reaches the limit gives its first rows by ``key``; those after it are not
+    read.
+
     Each micro-batch is encoded as a batch DataFrame and written with an
     idempotent overwrite into ``batch_id=<n>``: a replayed batch after a
     failure replaces its own output, so the sink stays exactly-once."""
@@ -54,6 +62,11 @@ def stream_encode(stream: DataFrame, vocab: DataFrame, kind: str = "wordpiece",
     text = C.resolve_text(stream, text_mode, keys=(key,))
 
     def publish(batch: DataFrame, batch_id: int) -> None:
+        if limit:
+            left = limit - _rows_before(spark, sink, batch_id)
+            if left <= 0:
+                return
+            batch = first_rows(batch, left, key)
         words = batch.select(key, F.col("text").alias("_text"))
         enc = EN.with_masks(EN.encode_words(words, "_text", model, [key]), specials)
         enc.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
@@ -62,6 +75,21 @@ def stream_encode(stream: DataFrame, vocab: DataFrame, kind: str = "wordpiece",
     return sink
 
 
+def _folders(spark: SparkSession, sink: str, name: str) -> dict[int, str]:
+    """The folders ``name=<n>`` of a sink that were written whole."""
+    p, fs = S._fs(spark, sink)
+    if not fs.exists(p):
+        return {}
+    paths = [f.getPath().toString() for f in fs.listStatus(p)]
+    found = {int(x.rsplit("=", 1)[1]): x for x in paths if x.rsplit("/", 1)[1].startswith(f"{name}=")}
+    return {n: x for n, x in found.items() if fs.exists(S._fs(spark, f"{x}/_SUCCESS")[0])}
+
+
+def _rows_before(spark: SparkSession, sink: str, batch_id: int) -> int:
+    paths = [x for n, x in _folders(spark, sink, "batch_id").items() if n < batch_id]
+    return spark.read.parquet(*paths).count() if paths else 0
+
+
 def stream_word_counts(stream: DataFrame, text_mode: str = "key", sink: str | None = None,
                        checkpoint: str | None = None) -> str:
     """K2: running word counts (state in the distributed state store).  Each
@@ -81,6 +109,33 @@ def stream_word_counts(stream: DataFrame, text_mode: str = "key", sink: str | No
     return sink
 
 
+def compact_word_counts(spark: SparkSession, sink: str) -> int:
+    """K2: merges the epochs so far into one folder beside the sink and
+    deletes them; returns the last of them.  Readers take the last folder that
+    was written whole and the epochs after it, so a merge that stops half-way
+    changes nothing, and a second merge of the same epochs neither."""
+    epochs, whole = _folders(spark, sink, "epoch"), _folders(spark, f"{sink}-merged", "upto")
+    last = max([*epochs, *whole], default=-1)
+    if last >= 0 and last not in whole:
+        read_word_counts(spark, sink).withColumn("epoch", F.lit(last).cast("bigint")) \
+            .write.mode("overwrite").parquet(f"{sink}-merged/upto={last}")
+    for n, path in [*epochs.items(), *whole.items()]:
+        if n < last or path in epochs.values():
+            p, fs = S._fs(spark, path)
+            fs.delete(p, True)
+    return last
+
+
 def read_word_counts(spark: SparkSession, sink: str) -> DataFrame:
     """K2 read: the latest count of every word."""
-    return spark.read.parquet(sink).groupBy("word").agg(F.max_by("n", "epoch").alias("n"))
+    whole = _folders(spark, f"{sink}-merged", "upto")
+    upto = max(whole, default=-1)
+    parts = [spark.read.parquet(whole[upto]).select("word", "n", "epoch")] if whole else []
+    later = {n: x for n, x in _folders(spark, sink, "epoch").items() if n > upto}
+    parts += [spark.read.parquet(x).select("word", "n", F.lit(n).cast("bigint").alias("epoch")) for n, x in later.items()]
+    if not parts:
+        return spark.createDataFrame([], "word string, n bigint")
+    rows = parts[0]
+    for more in parts[1:]:
+        rows = rows.union(more)
+    return rows.groupBy("word").agg(F.max_by("n", "epoch").alias("n"))

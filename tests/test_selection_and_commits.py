@@ -96,3 +96,25 @@ def test_a_long_word_of_wordpieces():
     m = EN.TokenModel(kind="wordpiece", ids={"[UNK]": 0, "ab": 1, "##cd": 2, "##abc": 3, "##d": 4}, max_piece=5,
                       max_word_chars=None)
     assert m.encode_word("ab" + "cdabcd" * 200_000) == [1] + [2, 3, 4] * 200_000
+
+
+def test_a_phase_reads_its_row_groups_only(spark):
+    cfg = CFG._replace(eval_rows=10) if hasattr(CFG, "eval_rows") else CFG
+    rows = spark.range(40_000).select(F.col("id").alias("doc_id"), F.col("id").alias("pos"),
+                                      F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    table = CU.clustered(rows, block_bytes=64 << 10)
+    whole = 0
+    for split in CU.SPLITS:
+        part = CU.phase_slice(table, cfg, 40_000, 1, split)
+        got = {r.pos for r in part.collect()}
+        sl = CU.slices(rows.select("doc_id", "pos"), cfg, 40_000)
+        want = {r.pos for r in sl.where((F.col("phase") == 1) & (F.col("split") == split)).collect()}
+        assert got == want and got
+        execution = part._jdf.queryExecution()
+        execution.executedPlan().executeCollect()
+        scan = execution.executedPlan().collectLeaves().head()
+        read = scan.metrics().apply("numOutputRows").value()
+        whole += read
+        assert read < 40_000
+    with pytest.raises(ValueError):
+        CU.phase_slice(table, cfg, 40_000, 99, "train")
