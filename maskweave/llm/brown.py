@@ -9,10 +9,12 @@ so that words, and not tokens, are shuffled.
 2. The CORE most frequent words are clustered into CLASSES classes on the
    driver: exchange sweeps over their bigram counts (at most CORE squared
    numbers, whatever the corpus) move a word to the class that raises the
-   likelihood of the class bigrams most, until a sweep moves nothing.
-3. Every other word is exchanged once, on the cluster: its neighbours' classes
-   are summed over the whole corpus and it joins the class under which they
-   are most likely.
+   likelihood of the class bigrams most, until a sweep moves nothing or
+   SWEEPS are done.
+3. Every other word is assigned once, on the cluster: the classes of its
+   neighbours among the CORE words are summed over the whole corpus and it
+   joins the class under which they are most likely.  Neighbours outside the
+   CORE say nothing; words that have no others share one class.
 4. Class transitions are counted over all training tokens with the classes of
    all words.
 
@@ -25,7 +27,8 @@ over its tokens, perplexity is ``10 ** (-score / n_tokens)``.
 
 Null and empty texts are one end token.  A text longer than a block continues
 in further blocks and its parts are summed.  Repeated rows are scored each; an
-empty table gives no rows, and without training rows N and V are 0.
+empty table gives no rows, and without training rows N and V are 0.  Words of
+equal count are taken in the order of their hashes; other columns are not read.
 """
 
 from __future__ import annotations

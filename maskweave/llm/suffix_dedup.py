@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskweave.llm.common import attach_group, bucketed, mix, text_bytes
+from maskweave.llm.common import attach_group, bucketed, mix, text_bytes, trimmed
 from maskweave.session import materialize
 
 LENGTH, GRAM = 50, 16
@@ -349,23 +349,23 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     if copies.count() <= FEW_COPIES:
         copies = F.broadcast(copies)
     judged = rows.join(copies, (rows["digest"] == copies["d"]) & rows["doc_id"].eqNullSafe(copies["i"]), "left_anti")
-    blocks = bucketed(judged.select("doc_id", "text", "digest").mapInArrow(_blocks, _BLOCK_COLUMNS), "blocks", "block")
+    blocks = bucketed(judged.select("doc_id", "text", "digest").mapInArrow(trimmed(_blocks), _BLOCK_COLUMNS), "blocks", "block")
     total = blocks.agg(F.sum(F.length("body"))).first()[0] or 0
     buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET)
 
-    anchors = (blocks.mapInArrow(_anchor_rows(length, buckets), "bucket long, block long, once binary, often binary")
+    anchors = (blocks.mapInArrow(trimmed(_anchor_rows(length, buckets)), "bucket long, block long, once binary, often binary")
                .groupBy("bucket").agg(F.collect_list(F.struct("block", "once", "often")).alias("parts"))
-               .select("parts").mapInArrow(_shared, "block long, grams binary"))
+               .select("parts").mapInArrow(trimmed(_shared), "block long, grams binary"))
     grams = materialize(anchors.groupBy("block").agg(F.collect_list("grams").alias("grams")), "shared-grams")
     known = blocks.join(grams, "block", "left")
-    contexts = (known.mapInArrow(_context_rows(length, buckets),
+    contexts = (known.mapInArrow(trimmed(_context_rows(length, buckets)),
                                  "bucket long, block long, places binary, least binary, symbols binary")
                 .groupBy("bucket").agg(F.collect_list(F.struct("block", "places", "least", "symbols")).alias("parts"))
-                .select("parts").mapInArrow(_judge(length), "block long, places binary, bits binary"))
+                .select("parts").mapInArrow(trimmed(_judge(length)), "block long, places binary, bits binary"))
     found = materialize(contexts.groupBy("block").agg(
         F.collect_list(F.struct("places", "bits")).alias("judged")), "judged")
     return known.join(found, "block", "left").mapInArrow(
-        _remove(length), "digest binary, starts array<long>, ends array<long>, kept binary")
+        trimmed(_remove(length)), "digest binary, starts array<long>, ends array<long>, kept binary")
 
 
 def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
