@@ -136,15 +136,16 @@ def load_vocab(spark: SparkSession, path: str | None, default: DataFrame) -> tup
     return default, False
 
 
-def log_metrics(metrics: DataFrame, path: str) -> None:
-    """Append (run, step, name, value) rows.  A run logs a name once a
-    step: rows that are there already, and repeats, add nothing, so a log
-    that is replayed after a failure stays as it was."""
+def log_metrics(metrics: DataFrame, path: str, once: bool = False) -> None:
+    """Append (run, step, name, value) rows.  With ``once`` a run logs a
+    name once a step: rows that are there already, and repeats, add nothing,
+    so a log that is replayed after a failure stays as it was."""
     rows = metrics.select("run", F.col("step").cast("bigint").alias("step"), "name",
                           F.col("value").cast("double").alias("value"))
-    rows = rows.groupBy("run", "step", "name").agg(F.min("value").alias("value"))
-    spark = metrics.sparkSession
-    p, fs = _fs(spark, path)
-    if fs.exists(p):
-        rows = rows.join(spark.read.parquet(path), ["run", "step", "name"], "left_anti")
+    if once:
+        keys = ["run", "step", "name"]
+        rows = rows.groupBy(*keys).agg(F.min("value").alias("value"))
+        p, fs = _fs(metrics.sparkSession, path)
+        if fs.exists(p):
+            rows = rows.join(metrics.sparkSession.read.parquet(path), keys, "left_anti")
     rows.write.mode("append").parquet(path)
