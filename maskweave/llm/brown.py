@@ -6,16 +6,21 @@ tokens of some texts as numbers into the block's own list of distinct words,
 so that words, and not tokens, are shuffled.
 
 1. Counts of every training word (one row per block and word is shuffled).
-2. The CORE most frequent words are clustered into CLASSES classes on the
-   driver: exchange sweeps over their bigram counts (at most CORE squared
-   numbers, whatever the corpus) move a word to the class that raises the
-   likelihood of the class bigrams most, until a sweep moves nothing or
-   SWEEPS are done.
-3. Every other word is assigned once, on the cluster: the classes of its
-   neighbours among the CORE words are summed over the whole corpus and it
-   joins the class under which they are most likely.  Neighbours outside the
-   CORE say nothing; words that have no others share one class.
-4. Class transitions are counted over all training tokens with the classes of
+2. The most frequent words, the core (CORE for each class), are clustered on
+   the driver: exchange sweeps over their bigram counts move a word to the class
+   that raises the likelihood of the class bigrams most, until a sweep moves
+   nothing or SWEEPS are done.  The number of classes follows the vocabulary
+   (``class_number``).
+3. Every other word joins, on the cluster, the class under which its neighbours
+   among the core words are most likely; words without such a neighbour have no
+   class yet.
+4. ROUNDS times, all words are moved by all their neighbours over the whole
+   corpus: the core words by exchange sweeps in which the other words stand as
+   one fixed item for each class, then each other word to the class under which
+   the classes of its neighbours, whatever words they are, are most likely (the
+   exchange gain to first order, all words at once).  A word that still has no
+   neighbour with a class joins the last one.
+5. Class transitions are counted over all training tokens with the classes of
    all words.
 
 A token's probability mixes ``p(class | class before) * p(word | class)`` with
@@ -40,10 +45,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskweave.llm.common import bucketed, mix, text_bytes, word_slices
+from maskweave.llm.common import HOT_SHARE, bucketed, mix, text_bytes, word_slices
 from maskweave.session import discard, materialize
 
-CORE, CLASSES, SWEEPS = 1024, 64, 8
+#: Core words for each class, and the most sweeps of an exchange.
+CORE, SWEEPS = 16, 8
+#: Rounds over all words and all neighbours.
+ROUNDS = 2
+#: Classes at most: their table of transitions is held by every task.
+MOST_CLASSES = 256
 #: Tokens in a block.
 BLOCK = 1_000_000
 #: Weights of the class bigram beside the unigram to choose from.
@@ -55,6 +65,11 @@ _BLOCK = ("block long, task long, doc_ids array<long>, rows array<long>, train a
           "sizes array<int>, tokens binary, words array<long>, counts array<int>")
 
 
+def class_number(words: int) -> int:
+    """Classes for a vocabulary: 25 for 10,000 words, 79 for a million."""
+    return int(min(max(round(2.5 * words ** 0.25), 1), MOST_CLASSES))
+
+
 def _draw() -> int:
     return uuid.uuid4().int >> 65
 
@@ -147,15 +162,23 @@ def _core_index(core, words):
     return np.where(core[at] == words, at, len(core)) if len(core) else np.zeros(len(words), np.int64)
 
 
-def _core_bigrams(core):
+def _core_bigrams(core, classes):
+    """Bigram counts of items: core words, then the other words by class, then
+    the words that have none."""
     def run(batches):
-        n = len(core.value) + 1
-        seen: dict[int, int] = {}
+        n = len(core.value) + classes + 1
         total = np.zeros(n * n, np.int64)
         for b in batches:
             for k in range(b.num_rows):
                 sizes, tokens, train, more, begin, first = _open(b, k)
-                place = _core_index(core.value, b.column("words")[k].values.to_numpy().view(np.uint64))[tokens]
+                words = b.column("words")[k].values.to_numpy().view(np.uint64)
+                place = _core_index(core.value, words)
+                if "known" in b.schema.names:
+                    cls = _known(b, k)[1]
+                    place = np.where(place < len(core.value), place, len(core.value) + np.where(cls < 0, classes, cls))
+                else:
+                    place = np.where(place < len(core.value), place, n - 1)
+                place = place[tokens]
                 ok = np.repeat(train, sizes)[1:] & ~first[1:]
                 total += np.bincount(place[:-1][ok] * n + place[1:][ok], minlength=n * n)
         at = np.flatnonzero(total)
@@ -163,13 +186,18 @@ def _core_bigrams(core):
     return run
 
 
-def exchange(pairs: np.ndarray, counts: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.ndarray:
+def exchange(pairs: np.ndarray, counts: np.ndarray, classes: int, sweeps: int = SWEEPS,
+             start: np.ndarray | None = None) -> np.ndarray:
     """Classes 0.. of words by exchange clustering of their bigram counts
-    ``pairs`` (words x words); ``counts`` orders the words."""
+    ``pairs`` (words x words); ``counts`` orders the words.  ``start`` gives the
+    classes to begin with; items beyond ``counts`` keep theirs."""
     n = len(pairs)
     order = np.argsort(-counts, kind="stable")
-    cls = np.empty(n, np.int64)
-    cls[order] = np.arange(n) % classes
+    if start is None:
+        cls = np.empty(n, np.int64)
+        cls[order] = np.arange(n) % classes
+    else:
+        cls = start.copy()
 
     def f(x):
         return x * np.log(np.maximum(x, 1))
@@ -205,54 +233,88 @@ def exchange(pairs: np.ndarray, counts: np.ndarray, classes: int = CLASSES, swee
     return cls
 
 
-def _events(core, cls, classes):
-    """Per block and word outside the core: a code for each neighbour of the
-    core, two bytes each; 0..classes-1 follow the word, classes.. precede it."""
+def _events(core, cls, classes, least):
+    """Rows of words outside the core: a code for each neighbour that has a
+    class, two bytes each; 0..classes-1 follow the word, classes.. precede it.
+    A word of more than ``least`` training tokens (where counts are known) is
+    summed over the whole task and comes with its counts, eight bytes a code."""
+    kinds = 2 * classes
+
+    def out(words, codes, off, counts=None):
+        held = [None, pa.py_buffer((off * 8).astype(np.int32).tobytes()), pa.py_buffer(counts.astype("<i8").tobytes())] \
+            if counts is not None else [None, pa.py_buffer(np.zeros(len(off), np.int32).tobytes()), pa.py_buffer(b"")]
+        return pa.RecordBatch.from_arrays([
+            pa.array(words, pa.int64()),
+            pa.Array.from_buffers(pa.binary(), len(words), [
+                None, pa.py_buffer((off * 2).astype(np.int32).tobytes()), pa.py_buffer(codes.astype("<u2").tobytes())]),
+            pa.Array.from_buffers(pa.binary(), len(words), held)], ["word", "codes", "counts"])
+
     def run(batches):
         names = np.append(cls.value, -1)
+        hot: dict[int, np.ndarray] = {}
         for b in batches:
             for k in range(b.num_rows):
                 sizes, tokens, train, more, begin, first = _open(b, k)
                 words = b.column("words")[k].values.to_numpy()
                 place = _core_index(core.value, words.view(np.uint64))
-                kind = names[place][tokens]
+                count, kind = np.zeros(len(words), np.int64), names[place]
+                if "known" in b.schema.names:
+                    count, other = _known(b, k)
+                    kind = np.where(place < len(core.value), kind, other)
+                outside = (place == len(core.value))[tokens]
+                kind = kind[tokens]
                 ok = np.repeat(train, sizes)[1:] & ~first[1:]
                 a, z = tokens[:-1][ok].astype(np.int64), tokens[1:][ok].astype(np.int64)
-                ka, kz = kind[:-1][ok], kind[1:][ok]
-                after, before = (ka < 0) & (kz >= 0), (kz < 0) & (ka >= 0)
-                event = np.concatenate([a[after] * 2 * classes + kz[after],
-                                        z[before] * 2 * classes + classes + ka[before]])
+                ka, kz, oa, oz = kind[:-1][ok], kind[1:][ok], outside[:-1][ok], outside[1:][ok]
+                after, before = oa & (kz >= 0), oz & (ka >= 0)
+                event = np.concatenate([a[after] * kinds + kz[after], z[before] * kinds + classes + ka[before]])
                 event.sort()
-                word, start = np.unique(event // (2 * classes), return_index=True)
-                off = np.append(start, len(event)).astype(np.int32) * 2
-                codes = (event % (2 * classes)).astype("<u2").tobytes()
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(words[word]), pa.Array.from_buffers(
-                        pa.binary(), len(word), [None, pa.py_buffer(off.tobytes()), pa.py_buffer(codes)])],
-                    ["word", "codes"])
+                often = count[event // kinds] > least
+                for w, at in _runs(event[often] // kinds):
+                    got = np.bincount(event[often][at] % kinds, minlength=kinds)
+                    hot[words[w]] = hot.get(words[w], 0) + got
+                event = event[~often]
+                word, start = np.unique(event // kinds, return_index=True)
+                yield out(words[word], event % kinds, np.append(start, len(event)))
+        if hot:
+            codes = [np.flatnonzero(v) for v in hot.values()]
+            yield out(np.array(list(hot)), np.concatenate(codes), np.cumsum([0, *map(len, codes)]),
+                      np.concatenate([v[c] for v, c in zip(hot.values(), codes)]))
     return run
 
 
+def _runs(sorted_values):
+    """(value, slice) of the runs of equal values."""
+    if not len(sorted_values):
+        return
+    cut = np.flatnonzero(sorted_values[1:] != sorted_values[:-1]) + 1
+    for lo, hi in zip(np.append(0, cut), np.append(cut, len(sorted_values))):
+        yield int(sorted_values[lo]), slice(lo, hi)
+
+
 def _assign(log_p):
     """Rows sorted by word: the class of each word, by all its events."""
     def run(batches):
         table = log_p.value  # codes x classes
+        kinds = len(table)
         word, total = None, None
         for b in batches:
             if not b.num_rows:
                 continue
             off, codes = text_bytes(b.column(1))
-            codes, off = codes[off[0]:off[-1]].view("<u2"), (off - off[0]) // 2
+            codes, off = codes[off[0]:off[-1]].view("<u2").astype(np.int64), (off - off[0]) // 2
+            count_off, counts = text_bytes(b.column(2))
+            # a code counts once, or as often as its row says
+            often = np.repeat(np.diff(count_off) > 0, np.diff(off))
+            n = np.ones(len(codes), np.int64)
+            n[often] = counts[count_off[0]:count_off[-1]].view("<i8")
             # codes may be many: count them per row, then weigh the counts
-            at = np.repeat(np.arange(b.num_rows), np.diff(off))
-            kinds = len(table)
-            found, n = np.unique(at * kinds + codes, return_counts=True)
-            rows = found // kinds
-            values = table[found % kinds] * n[:, None]
-            off = np.searchsorted(rows, np.arange(b.num_rows))
+            at = np.repeat(np.arange(b.num_rows), np.diff(off)) * kinds + codes
+            found, back = np.unique(at, return_inverse=True)
+            values = table[found % kinds] * np.bincount(back, n, len(found))[:, None]
             words = b.column(0).to_numpy()
             new = np.flatnonzero(np.append(True, words[1:] != words[:-1]))
-            sums = np.add.reduceat(values, off[new])
+            sums = np.add.reduceat(values, np.searchsorted(found // kinds, new))
             names = words[new]
             if word is not None:
                 if names[0] == word:
@@ -275,9 +337,10 @@ def _known(b, k):
     """c and class by the block's word numbers (0 and -1 for unseen words)."""
     n = b.column("n_words")[k].as_py()
     c, cls = np.zeros(n, np.int64), np.full(n, -1, np.int64)
-    at = b.column("place")[k].values.to_numpy()
-    known = b.column("known")[k].values.to_numpy()
-    c[at], cls[at] = known >> 15, known & 0x7FFF
+    if b.column("known")[k].is_valid:
+        at = b.column("place")[k].values.to_numpy()
+        known = b.column("known")[k].values.to_numpy()
+        c[at], cls[at] = known >> 15, (known & 0x7FFF) - 1
     return c, cls
 
 
@@ -367,54 +430,82 @@ def _sum_pairs(df: DataFrame, n: int) -> np.ndarray:
     return out
 
 
-def train_and_score(docs: DataFrame, train, core_words: int = CORE, classes: int = CLASSES,
-                    mixed: float | None = None) -> DataFrame:
+def _log_p(pairs: np.ndarray, cls: np.ndarray, classes: int) -> np.ndarray:
+    """Log probability of each code (row) for a word of each class (column),
+    from bigram counts of items in classes ``cls``."""
+    member = np.zeros((len(cls), classes))
+    member[np.arange(len(cls)), cls] = 1
+    big = member.T @ pairs @ member + 0.01
+    return np.log(np.vstack([(big / big.sum(axis=1, keepdims=True)).T, big / big.sum(axis=0)]))
+
+
+def _with_classes(blocks: DataFrame, by_word: DataFrame, words: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Blocks with c and class of their words (two lists: numbers of the words
+    in the block; c, and class + 1 in the lowest 15 bits), and the table to
+    discard.  Neither the blocks nor their word rows move."""
+    known = F.shiftleft("c", 15).bitwiseOR(F.col("class").cast("long") + 1)
+    placed = bucketed(by_word.join(words, "word").groupBy("block")
+                      .agg(F.collect_list(known).alias("known"), F.collect_list("place").alias("place")),
+                      "block-classes", "block")
+    return blocks.join(placed.hint("shuffle_hash"), "block", "left"), placed
+
+
+def train_and_score(docs: DataFrame, train, core_words: int | None = None, classes: int | None = None,
+                    mixed: float | None = None, rounds: int = ROUNDS) -> DataFrame:
     """Scores of all rows of ``docs`` by the model of the rows for which the
     column ``train`` is true: doc_id, held_out, n_tokens, n_known,
-    train_tokens, base_score, score.  ``mixed`` fixes the mixture's weight."""
+    train_tokens, base_score, score.  ``classes`` and ``core_words`` follow the
+    vocabulary unless given, ``mixed`` fixes the mixture's weight."""
     spark = docs.sparkSession
     share = spark.sparkContext.broadcast
     blocks = bucketed(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(train, F.lit(False)).alias("train"),
                     F.col("text").cast("string").alias("text")).mapInArrow(_block, _BLOCK), "token-blocks", "block")
-    by_word = blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "x")).select(
-        "block", "place", F.col("x.words").alias("word"), F.col("x.counts").alias("n"))
-    counts = materialize(by_word.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "word-counts")
+    by_word = bucketed(blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "x")).select(
+        "block", "place", F.col("x.words").alias("word"), F.col("x.counts").alias("n")), "block-words", "word", dealt=True)
+    counts = bucketed(by_word.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "word-counts", "word")
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    classes = classes or class_number(v)
 
-    top = sorted(counts.orderBy(F.desc("c"), "word").limit(core_words).collect(),
+    top = sorted(counts.orderBy(F.desc("c"), "word").limit(core_words or CORE * classes).collect(),
                  key=lambda r: np.int64(r[0]).view(np.uint64))
     core = np.array([r[0] for r in top], np.int64).view(np.uint64)
     core_counts = np.array([r[1] for r in top], np.int64)
-    size = len(core) + 1
-    pairs = _sum_pairs(blocks.mapInArrow(_core_bigrams(share(core)), "pair long, n long"), size * size)
-    pairs = pairs.reshape(size, size)[:-1, :-1]
-    cls = exchange(pairs, core_counts, classes)
-    member = np.zeros((len(core), classes))
-    member[np.arange(len(core)), cls] = 1
-    big = member.T @ pairs @ member + 0.01
-    p_next, p_before = big / big.sum(axis=1, keepdims=True), big / big.sum(axis=0)
-    # row: code, column: class of the word
-    log_p = np.log(np.vstack([p_next.T, p_before]))
-    others = (blocks.mapInArrow(_events(share(core), share(cls), classes),
-                                "word long, codes binary")
-              .repartition("word").sortWithinPartitions("word")
-              .mapInArrow(_assign(share(log_p)), "word long, class short"))
-    known_core = spark.createDataFrame(pa.table({
-        "word": pa.array(core.view(np.int64), pa.int64()), "class": pa.array(cls.astype(np.int16), pa.int16())}))
-    # words without an event stay with the rare words, in the last class
-    words = (counts.join(known_core.unionByName(others), "word", "left")
-             .select("word", "c", F.coalesce("class", F.lit(classes - 1)).cast("short").alias("class")))
-    words = materialize(words, "word-classes")
-    placed = (by_word.select("block", "place", "word").join(words, "word")
-              .groupBy("block")
-              .agg(F.collect_list(F.shiftleft("c", 15).bitwiseOR(F.col("class").cast("long"))).alias("known"),
-                   F.collect_list("place").alias("place")))
-    full = (blocks.withColumn("n_words", F.size("words")).drop("words", "counts").join(placed, "block", "left")
-            .withColumn("place", F.coalesce("place", F.array().cast("array<int>")))
-            .withColumn("known", F.coalesce("known", F.array().cast("array<long>"))))
-    full = materialize(full, "blocks-known")
-    discard(blocks, counts, words)
+    items = len(core) + classes  # the other words of a class are one item
+    shared = share(core)
+
+    def item_pairs(tokens):
+        found = _sum_pairs(tokens.mapInArrow(_core_bigrams(shared, classes), "pair long, n long"), (items + 1) ** 2)
+        return found.reshape(items + 1, items + 1)[:-1, :-1]
+
+    def assigned(tokens, cls, pairs, fixed):
+        """Classes of all words."""
+        log_p = _log_p(pairs, np.append(cls, fixed), classes)
+        others = (tokens.mapInArrow(_events(shared, share(cls), classes, n // HOT_SHARE),
+                                    "word long, codes binary, counts binary")
+                  .repartition("word").sortWithinPartitions("word")
+                  .mapInArrow(_assign(share(log_p)), "word long, class short"))
+        known_core = spark.createDataFrame(pa.table({
+            "word": pa.array(core.view(np.int64), pa.int64()), "class": pa.array(cls.astype(np.int16), pa.int16())}))
+        return bucketed(counts.join(known_core.unionByName(others), "word", "left")
+                        .select("word", "c", F.coalesce("class", F.lit(-1)).cast("short").alias("class")),
+                        "word-classes", "word")
+
+    plain = blocks.withColumn("n_words", F.size("words"))
+    fixed = np.arange(classes)
+    pairs = item_pairs(plain)
+    cls = exchange(pairs[:len(core), :len(core)], core_counts, classes)
+    words = assigned(plain, cls, pairs, fixed)
+    for _ in range(rounds):
+        full, placed = _with_classes(plain, by_word, words)
+        pairs = item_pairs(full)
+        cls = exchange(pairs, core_counts, classes, start=np.append(cls, fixed))[:len(core)]
+        before, words = words, assigned(full, cls, pairs, fixed)
+        discard(before, placed)
+    # words that no neighbour with a class stands beside
+    last = F.when(F.col("class") < 0, classes - 1).otherwise(F.col("class"))
+    full, placed = _with_classes(plain.drop("words", "counts"), by_word, words.withColumn("class", last))
+    discard(counts, words, by_word)
     seen = _sum_pairs(full.mapInArrow(_transitions(classes), "pair long, n long"), (classes + 2) * classes)
     seen = seen.reshape(classes + 2, classes)
     in_class = seen.sum(axis=0)
