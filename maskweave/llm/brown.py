@@ -51,7 +51,7 @@ from maskweave.session import discard, materialize
 #: Core words for each class, and the most sweeps of an exchange.
 CORE, SWEEPS = 16, 8
 #: Rounds over all words and all neighbours.
-ROUNDS = 2
+ROUNDS = 1
 #: Classes at most: their table of transitions is held by every task.
 MOST_CLASSES = 256
 #: Tokens in a block.
@@ -264,18 +264,21 @@ def _events(core, cls, classes, least):
                 outside = (place == len(core.value))[tokens]
                 kind = kind[tokens]
                 ok = np.repeat(train, sizes)[1:] & ~first[1:]
-                a, z = tokens[:-1][ok].astype(np.int64), tokens[1:][ok].astype(np.int64)
+                a, z = tokens[:-1][ok], tokens[1:][ok]  # times kinds they fit 32 bits: a block has few words
                 ka, kz, oa, oz = kind[:-1][ok], kind[1:][ok], outside[:-1][ok], outside[1:][ok]
                 after, before = oa & (kz >= 0), oz & (ka >= 0)
-                event = np.concatenate([a[after] * kinds + kz[after], z[before] * kinds + classes + ka[before]])
+                event = np.concatenate([a[after] * np.uint32(kinds) + kz[after].astype(np.uint32),
+                                        z[before] * np.uint32(kinds) + (ka[before] + classes).astype(np.uint32)])
                 event.sort()
-                often = count[event // kinds] > least
-                for w, at in _runs(event[often] // kinds):
-                    got = np.bincount(event[often][at] % kinds, minlength=kinds)
+                word = event // np.uint32(kinds)
+                often = count[word] > least
+                many = event[often]
+                for w, at in _runs(word[often]):
+                    got = np.bincount(many[at] % kinds, minlength=kinds)
                     hot[words[w]] = hot.get(words[w], 0) + got
-                event = event[~often]
-                word, start = np.unique(event // kinds, return_index=True)
-                yield out(words[word], event % kinds, np.append(start, len(event)))
+                event, word = event[~often], word[~often]
+                start = np.flatnonzero(np.append(True, word[1:] != word[:-1])) if len(word) else np.empty(0, np.int64)
+                yield out(words[word[start]], event % np.uint32(kinds), np.append(start, len(event)))
         if hot:
             codes = [np.flatnonzero(v) for v in hot.values()]
             yield out(np.array(list(hot)), np.concatenate(codes), np.cumsum([0, *map(len, codes)]),
@@ -308,14 +311,12 @@ def _assign(log_p):
             often = np.repeat(np.diff(count_off) > 0, np.diff(off))
             n = np.ones(len(codes), np.int64)
             n[often] = counts[count_off[0]:count_off[-1]].view("<i8")
-            # codes may be many: count them per row, then weigh the counts
-            at = np.repeat(np.arange(b.num_rows), np.diff(off)) * kinds + codes
-            found, back = np.unique(at, return_inverse=True)
-            values = table[found % kinds] * np.bincount(back, n, len(found))[:, None]
             words = b.column(0).to_numpy()
-            new = np.flatnonzero(np.append(True, words[1:] != words[:-1]))
-            sums = np.add.reduceat(values, np.searchsorted(found // kinds, new))
-            names = words[new]
+            first = np.append(True, words[1:] != words[:-1])
+            names = words[first]
+            # how often each word has each code, times what a code says
+            at = np.repeat(np.cumsum(first) - 1, np.diff(off)) * kinds + codes
+            sums = np.bincount(at, n, len(names) * kinds).reshape(-1, kinds) @ table
             if word is not None:
                 if names[0] == word:
                     sums[0] += total

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from maskweave.llm import brown, html_extract, suffix_dedup, warc
+from maskweave.llm.common import word_slices
 from maskweave.session import scratch_path
 
 
@@ -57,6 +58,81 @@ def test_brown_edges_and_texts_longer_than_a_block(spark, monkeypatch):
     assert {r.train_tokens for r in none} == {0} and {r.n_known for r in none} == {0}
 
 
+def plain_scores(docs, train, core_n, classes, mixed, rounds):
+    """The class model on plain dictionaries; words go by their hashes."""
+    import pyarrow as pa
+
+    def hashed(t):
+        return [int(h) for _, _, hs, _ in word_slices(pa.array([t or ""])) for h in hs] + [int(brown.END)]
+
+    texts = [(k, hashed(t)) for k, t in docs]
+    c = collections.Counter(w for k, t in texts if train(k) for w in t)
+    n, v = sum(c.values()), len(c)
+    pairs = collections.Counter(p for k, t in texts if train(k) for p in zip(t, t[1:]))
+    signed = lambda w: w - (1 << 64) if w >> 63 else w
+    core = sorted(sorted(c, key=lambda w: (-c[w], signed(w)))[:core_n])
+    place = {w: i for i, w in enumerate(core)}
+    cls = {}
+
+    def table(item):
+        out = np.zeros((len(core) + classes, len(core) + classes))
+        for (a, b), m in pairs.items():
+            if item(a) is not None and item(b) is not None:
+                out[item(a), item(b)] += m
+        return out
+
+    def item(w):
+        return place.get(w, len(core) + cls[w] if w in cls else None)
+
+    def others(by_item, core_cls):
+        seen = np.full((classes, classes), 0.01)
+        of = [*core_cls, *range(classes)]
+        for i, j in zip(*np.nonzero(by_item)):
+            seen[of[i], of[j]] += by_item[i, j]
+        after, before = np.log(seen / seen.sum(axis=1, keepdims=True)), np.log(seen / seen.sum(axis=0))
+        now = {**cls, **{w: core_cls[i] for w, i in place.items()}}
+        gain = {}
+        for (a, b), m in pairs.items():
+            if a not in place and b in now:
+                gain[a] = gain.get(a, 0) + m * after[:, now[b]]
+            if b not in place and a in now:
+                gain[b] = gain.get(b, 0) + m * before[now[a]]
+        return {w: int(np.argmax(g)) for w, g in gain.items()}
+
+    by_item, counts = table(item), np.array([c[w] for w in core])
+    core_cls = brown.exchange(by_item[:len(core), :len(core)], counts, classes)
+    cls = others(by_item, core_cls)
+    for _ in range(rounds):
+        by_item = table(item)
+        core_cls = brown.exchange(by_item, counts, classes, start=np.append(core_cls, range(classes)))[:len(core)]
+        cls = others(by_item, core_cls)
+    cls = {**{w: classes - 1 for w in c}, **cls, **{w: core_cls[i] for w, i in place.items()}}
+    seen, size = np.zeros((classes + 2, classes)), np.zeros(classes)
+    for k, t in texts:
+        for a, b in zip([None, *t], t):
+            if train(k):
+                seen[classes if a is None else cls.get(a, classes + 1), cls[b]] += 1
+                size[cls[b]] += 1
+    prior = (size + 0.1) / (size.sum() + 0.1 * classes)
+    move = (seen + prior) / (seen.sum(axis=1, keepdims=True) + 1)
+    return [(k, sum(math.log10(
+        (1 - mixed) * (c[b] + 0.1) / (n + 0.1 * (v + 1))
+        + (mixed * move[classes if a is None else cls.get(a, classes + 1), cls[b]] * c[b] / size[cls[b]] if b in c else 0))
+        for a, b in zip([None, *t], t))) for k, t in texts]
+
+
+@pytest.mark.parametrize("share", [3, 10_000])  # words summed in tasks, and words sent as lists
+def test_brown_scores_by_brute_force(spark, monkeypatch, share):
+    monkeypatch.setattr(brown, "HOT_SHARE", share)
+    rng = np.random.default_rng(5)
+    docs = [(k, " ".join(f"w{int(x)}" for x in rng.zipf(1.4, 60) % 97)) for k in range(40)] + [(40, None), (41, "new w1")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for rounds in (0, 2):
+        got = brown.train_and_score(df, F.col("doc_id") % 7 != 6, core_words=12, classes=4, mixed=0.6, rounds=rounds)
+        want = dict(plain_scores(docs, lambda k: k % 7 != 6, 12, 4, 0.6, rounds))
+        assert {r.doc_id: round(r.score, 6) for r in got.collect()} == {k: round(x, 6) for k, x in want.items()}
+
+
 def test_exchange_finds_planted_classes():
     rng = np.random.default_rng(0)
     kind = rng.integers(0, 3, 60)
