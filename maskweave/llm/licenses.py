@@ -61,10 +61,18 @@ SENTENCES = {
     "mpl-copy": r"if a copy of the mpl was not distributed with this file you can obtain one at.*",
     "unlicense": r"this is free and unencumbered software released into the public domain",
     "public-domain": r"(?:this|the) .* (?:is|are) (?:hereby )?(?:placed |released |dedicated )?(?:in|into|to) the public domain",
+    "title-mit": r"(?:the )?mit license(?: mit)?",
+    "title": r"(?:the )?(?P<name>isc|zlib|apache|eclipse public|mozilla public) license(?: version)?(?: ?v)? ?(v)?(?: \w+ \d{4})?",
+    "field": r"(?:the )?license (?:is )?(?P<name>mit|isc|zlib|apache|epl|mpl|agpl|lgpl|gpl|bsd|unlicense)(?: license)?(?: version)?(?: ?v)? ?(v)?",
+    "name-uses": r"(?:.* )?uses? the (?P<name>mit|isc|zlib|apache|eclipse public|mozilla public) license(?: version)?(?: ?v)? ?(v)?",
 }
+# What titles, fields and plain statements call a licence.
+CALLED = {"mit": "MIT", "isc": "ISC", "zlib": "Zlib", "apache": "Apache", "epl": "EPL", "eclipse public": "EPL",
+          "mpl": "MPL", "mozilla public": "MPL", "agpl": "AGPL", "lgpl": "LGPL", "gpl": "GPL", "bsd": "BSD",
+          "unlicense": "Unlicense"}
 # Ordered rules: licence, the identifiers in their order ("?" at the end: may be missing).
 RULES = [
-    ("MIT", ["mit-grant", "mit-notice", "as-is?", "no-liability?"]),
+    ("MIT", ["title-mit?", "mit-grant", "mit-notice", "as-is?", "no-liability?"]),
     ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names", "as-is?", "no-liability?"]),
     ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "as-is?", "no-liability?"]),
     ("ISC", ["isc-grant", "as-is?", "no-liability?"]),
@@ -74,6 +82,7 @@ RULES = [
     ("Unlicense", ["unlicense"]),
     ("MIT", ["name-mit"]), ("Apache", ["name-apache"]), ("AGPL", ["name-agpl"]), ("LGPL", ["name-lgpl"]),
     ("GPL", ["name-gpl"]), ("MPL", ["name-mpl"]), ("BSD", ["name-bsd"]), ("CC", ["name-cc"]),
+    ("MIT", ["title-mit"]), ("called", ["title"]), ("called", ["field"]), ("called", ["name-uses"]),
     ("SPDX", ["spdx"]), ("public domain", ["public-domain"]),
 ]
 # A text without any of these words has no known sentence: each way through a
@@ -147,6 +156,8 @@ def _named(license_: str, found) -> str:
     got = m.groupdict()
     if license_ == "SPDX":
         return got["name"]
+    if license_ == "called":
+        return CALLED[got["name"]]
     if license_ == "CC":
         short = {"0": "0", "zero": "0", "attribution": "BY", "noncommercial": "NC", "sharealike": "SA",
                  "noderivatives": "ND"}

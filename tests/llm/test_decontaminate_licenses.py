@@ -148,6 +148,8 @@ def test_license_edges(spark):
 
 
 SAMPLES = {
+    "title-mit": "The MIT License (MIT)", "title": "Apache License Version 2.0, January 2004",
+    "field": "License: Apache 2.0", "name-uses": "This project uses the MIT license",
     "spdx": "SPDX-License-Identifier: MIT", "name-mit": "Released under the MIT License",
     "name-apache": "Provided under the Apache License v2.0", "name-gpl": "Released under the GPL v3",
     "name-lgpl": "Distributed under the GNU LGPL version 2.1 or later", "name-agpl": "Available under AGPLv3",
@@ -187,6 +189,17 @@ def test_every_license_sentence_is_found_by_the_scan(spark):
     assert {r.doc_id: r.sentences for r in licenses.scan(df).collect()} == {i: [n] for i, n in enumerate(SAMPLES)}
 
 
+def test_license_titles_fields_and_statements():
+    def names(t):
+        return [(f[0], f[1]) for f in licenses.findings(t)]
+
+    assert names("MIT License") == names("License: MIT") == names("This project uses the MIT license.") == [("MIT", None)]
+    assert names("# The MIT License\n\nCopyright (c) A\n\n" + MIT) == [("MIT", None)]
+    assert names("Eclipse Public License v2.0") == [("EPL", "2.0")] and names("license: GPLv3") == [("GPL", "3")]
+    assert names("It uses the ISC license and text is released under CC BY 4.0.") == [("ISC", None), ("CC-BY", "4.0")]
+    assert names("The license of a driver expired.") == names("He uses the license plate.") == []
+
+
 def test_license_names_inside_sentences():
     def names(t):
         return [(f[0], f[1]) for f in licenses.findings(t)]
