@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 from conftest import SF_SMALL
 
 import __spark_entry__ as E
@@ -65,6 +66,54 @@ def test_matches_brute_force(spark):
     assert planted <= got.keys() and got.items() <= want.items() and len(want) - len(got) < 6
 
 
+def test_edited_copies_at_several_rates(spark):
+    """Every ``every``-th word of a copy is replaced, dropped or follows a new
+    one; what plain alignment finds must be found."""
+    rnd = random.Random(9)
+    base = [r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").orderBy("doc_id").limit(100).collect()]
+    items = [(r.item_id, words(r.text)) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
+    vocabulary = [w for t in base for w in words(t)]
+    docs, planted = [], []
+    for every in (3, 4, 6, 10):
+        for item, w in items:
+            copy = []
+            for k, x in enumerate(w):
+                edit = rnd.randrange(3) if rnd.randrange(every) == 0 else None
+                copy += [x] if edit is None else [[rnd.choice(vocabulary)], [], [x, rnd.choice(vocabulary)]][edit]
+            planted.append((len(docs), item, every, smith_waterman(w, copy) / (2 * len(w)) >= 0.5))
+            docs.append((len(docs), " ".join(rnd.choices(vocabulary, k=40) + copy + rnd.choices(vocabulary, k=40))))
+    docs += [(1000 + k, t) for k, t in enumerate(base)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    i = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.matches(d, i).collect()}
+    for every in (3, 4, 6, 10):
+        due = [(doc, item) for doc, item, e, aligns in planted if e == every and aligns]
+        assert len(due) > 10 and sum(x in got for x in due) >= 0.98 * len(due)
+
+
+def test_seeds_do_not_depend_on_the_size_of_the_corpus(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    items = docs.where("doc_id % 9 = 0").selectExpr("doc_id as item_id", "text")
+    many = docs
+    for _ in range(3):
+        many = many.union(many)
+    (one,), (eight,) = ([b.value for b in decontaminate.blocks(d, items)] for d in (docs, many))
+    assert len(one.seed) > 1000 and (one.seed == eight.seed).all() and (one.pos == eight.pos).all()
+
+
+def test_dense_seeds_are_handled_in_parts(monkeypatch):
+    rnd = random.Random(3)
+    names = [f"n{k}" for k in range(30)]
+    block = decontaminate.Block(list(range(60)), [" ".join(rnd.choices(names, k=12)) for _ in range(60)], [1] * 60)
+    block.choose(np.ones(len(block.vocabulary), np.int64), 10**9, decontaminate.RATE)
+    column = pa.array([" ".join(rnd.choices(names, k=400)), None, " ".join(rnd.choices(names, k=90)), ""])
+    whole = sorted(decontaminate._best(decontaminate._find(block, column, 0.4)).items())
+    monkeypatch.setattr(decontaminate, "HELD_HITS", 500)
+    key, _, _ = block.seeded(*next(decontaminate.word_slices(column))[2:])
+    assert len(list(block.hits(key))) > 5
+    assert sorted(decontaminate._best(decontaminate._find(block, column, 0.4)).items()) == whole != []
+
+
 def test_decontaminate_edges(spark):
     items = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta"), (2, None), (3, ""), (4, "a b"),
                                    (1, "alpha beta gamma delta epsilon zeta")], "item_id long, text string")
