@@ -1,6 +1,7 @@
 """Text functions, text-choice modes and sources/sinks."""
 
 import math
+import unicodedata
 import uuid
 
 import pytest
@@ -84,3 +85,14 @@ def test_python_pretokenizer_equals_spark(spark, kind, spark_words):
     split = TX.python_pretokenizer(kind)
     for r in d.select("doc_id", "text").collect():
         assert split(r["text"]) == got[r["doc_id"]], r["doc_id"]
+
+
+def test_normalize_and_collapse_in_one_pass_for_every_character(spark):
+    odd = [chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
+    odd = [c for c in odd if c.isspace() or not c.isprintable() and ord(c) < 0x10000 and unicodedata.category(c) != "Co"]
+    rows = [(k, f" {c}a{c}B{c}{c} \n9{c}") for k, c in enumerate(odd)] + [(-1, None), (-2, ""), (-3, " \t ")]
+    df = spark.createDataFrame(rows, "k int, t string")
+    both = df.select("t", TX.sp_normalize("t").alias("one"), TX.collapse_whitespace(TX.nfkc_casefold("t")).alias("two"))
+    assert [r for r in both.collect() if r.one != r.two] == []
+    plain = {r.t: r.one for r in both.collect()}
+    assert plain[None] is None and plain[""] == "" and plain[" \t "] == ""
