@@ -1,9 +1,9 @@
 """Text normalisation and pre-tokenisation as Spark column expressions.
 
 All of these run JVM-side inside whole-stage codegen except C2, which needs
-Unicode NFKC (no Spark built-in) and so is one pass in an Arrow UDF.  On sf0.1
-it takes a fifth of the time that the JVM's regular expressions need for its
-removals alone, so nothing of it is left to them.
+Unicode NFKC (no Spark built-in) and so is one pass in an Arrow UDF.  It
+takes as long as the JVM's regular expressions for its removals alone, so
+nothing of it is left to them.
 """
 
 from __future__ import annotations
