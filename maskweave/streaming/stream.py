@@ -23,12 +23,16 @@ from maskweave.sources import sinks as S
 def stream_table(spark: SparkSession, sf_dir: str, name: str = "documents",
                  max_files_per_trigger: int | None = None) -> DataFrame:
     """A1 streaming form: a Parquet stream over the table's files.  The
-    source needs a directory, so the table is picked with a glob filter."""
+    source needs a directory: a table of many files is one, a table that is a
+    single file is picked from its directory with a glob filter."""
     schema = C.read_table(spark, sf_dir, name).schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(sf_dir)
+    path, fs = S._fs(spark, C.table_path(sf_dir, name))
+    if fs.exists(path) and fs.getFileStatus(path).isDirectory():
+        return r.parquet(C.table_path(sf_dir, name))
+    return r.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
 def _run(writer, until_done: bool = True):

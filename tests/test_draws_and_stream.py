@@ -124,3 +124,20 @@ def test_merged_counts_equal_all_epochs(spark, tmp_path):
     ST.compact_word_counts(spark, sink)
     assert dict(tuple(r) for r in ST.read_word_counts(spark, sink).collect()) == after
     assert ST.read_word_counts(spark, str(tmp_path / "none")).count() == 0
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_stream_queries_read_a_table_of_many_files(spark, tmp_path, files):
+    import __spark_entry__ as E
+
+    rows = docs(spark, SF_SMALL).select("doc_id", "text").repartition(files)
+    rows.write.parquet(str(tmp_path / "documents.parquet"))
+    assert len(list((tmp_path / "documents.parquet").glob("part-*"))) == files
+    got = E.queries()["stream_encode"](spark, str(tmp_path))
+    want = E.queries()["wordpiece_encode"](spark, str(tmp_path))
+    assert want.count() > 50 and got.count() == want.count() and got.exceptAll(want).count() == 0
+    assert E.queries()["stream_limit"](spark, str(tmp_path)).count() == 120
+    counts = E.queries()["word_counts"](spark, str(tmp_path))
+    for name in ("stream_word_counts", "stream_counts_merged"):
+        found = E.queries()[name](spark, str(tmp_path)).select(*counts.columns)
+        assert found.count() == counts.count() and found.exceptAll(counts).count() == 0
