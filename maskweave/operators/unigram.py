@@ -4,8 +4,8 @@
    type, frequency = sum of word counts, score = frequency x length; the
    best ``seed_size`` plus every single character.  Suffixes are sorted, one
    for each character of the word types; a substring is an interval of them.
-2. E-step: forward-backward per word type in the tasks, over a broadcast
-   model.  Each task emits partial expected counts per piece, which are summed
+2. E-step: forward-backward in the tasks, over a broadcast model, in numpy
+   for many word types of one length at a time.  Each task emits partial expected counts per piece, which are summed
    into a table.
 3. M-step: pieces under ``min_count`` dropped (characters kept); log
    probabilities renormalised by the sum, the only number that comes back.
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from maskweave.operators import vocab as V
 from maskweave.operators.encode import MAX_BROADCAST_PIECES
-from maskweave.operators.position import with_position
+from maskweave.operators.position import nth_key, with_position
 from maskweave.session import discard, materialize
 
 NEG = -math.inf
@@ -53,6 +53,8 @@ def _lse(a: float, b: float) -> float:
 
 #: Words of up to so many characters are summed as probabilities, not as logs.
 SHORT = 30
+#: Words of one length that are summed together.
+GROUP = 2048
 
 
 def _short_sums(w: str, lp: dict, max_piece: int):
@@ -195,12 +197,42 @@ class UnigramModel:
 _models: dict = {}  # of the broadcast that a Python worker met last
 
 
-def _model_of(bc) -> dict:
-    """The broadcast arrays as a dictionary, once per Python worker."""
+def _model_of(bc, what: str = "lp") -> dict:
+    """The broadcast arrays as a dictionary from piece to ``lp`` or to its
+    ``place``, once per Python worker."""
     pieces, lp = bc.value
     if _models.get("of") is not pieces:
-        _models.update(of=pieces, table=dict(zip(pieces.to_pylist(), lp.to_pylist())))
-    return _models["table"]
+        _models.clear()
+        _models["of"] = pieces
+    if what not in _models:
+        names = pieces.to_pylist()
+        _models[what] = dict(zip(names, lp.to_pylist() if what == "lp" else range(len(names))))
+    return _models[what]
+
+
+def _sums_of_equal_length(words: list, n: np.ndarray, place: dict, probs: np.ndarray, max_piece: int, acc: np.ndarray):
+    """Adds the expected counts of words of one length (SHORT at most), each
+    ``n`` times, to ``acc`` by place; ``probs`` ends with the 0 of no piece.
+    Returns each word's log likelihood, -inf where its sums underflow or it
+    has no segmentation: that word is left out."""
+    size = len(words[0])
+    spans = [(s, e) for s in range(size) for e in range(s + 1, min(size, s + max_piece) + 1)]
+    cuts, get, none = [slice(s, e) for s, e in spans], place.get, len(probs) - 1
+    at = np.array([get(w[c], none) for w in words for c in cuts], np.int64).reshape(len(words), -1).T
+    x = probs[at]
+    alpha, beta = np.zeros((size + 1, len(words))), np.zeros((size + 1, len(words)))
+    alpha[0] = beta[size] = 1.0
+    for k, (s, e) in enumerate(spans):  # by start: all edges into s came before
+        alpha[e] += alpha[s] * x[k]
+    for k in range(len(spans) - 1, -1, -1):
+        s, e = spans[k]
+        beta[s] += x[k] * beta[e]
+    z = alpha[size]
+    good = z > 0
+    share = np.divide(n, z, out=np.zeros(len(words)), where=good)
+    starts, ends = np.array(spans).T
+    np.add.at(acc, at, alpha[starts] * x * beta[ends] * share)
+    return np.log(z, out=np.full(len(words), NEG), where=good)
 
 
 def _broadcast(model: DataFrame):
@@ -217,19 +249,33 @@ def expected_counts(words: DataFrame, model: DataFrame, max_piece: int = 16) ->
     bc = _broadcast(model)
 
     def run(batches):
-        table = _model_of(bc)
-        acc: dict = {}
-        ll = 0.0
+        place, (pieces, lp) = _model_of(bc, "place"), bc.value
+        probs = np.append(np.exp(lp.to_numpy(zero_copy_only=False)), 0.0)
+        acc, ll = np.zeros(len(probs)), 0.0
+
+        def alone(w, n):
+            cnt, z = forward_backward(w, _model_of(bc), max_piece)
+            if z == NEG:
+                raise ValueError(f"no segmentation of a word of {len(w)} characters: {w[:50]!r}")
+            for p, c in cnt.items():
+                acc[place[p]] += n * c
+            return n * z
+
         for b in batches:
-            for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                cnt, z = forward_backward(w, table, max_piece)
-                if z == NEG:
-                    raise ValueError(f"no segmentation of a word of {len(w)} characters: {w[:50]!r}")
-                ll += n * z
-                for p, c in cnt.items():
-                    acc[p] = acc.get(p, 0.0) + n * c
-        yield pa.RecordBatch.from_arrays([pa.array([*acc, None], pa.string()), pa.array([*acc.values(), ll], pa.float64())],
-                                         ["piece", "c"])
+            words, n = b.column(0).to_pylist(), b.column(1).to_numpy()
+            size = np.fromiter(map(len, words), np.int64, len(words))
+            ll += sum(alone(words[i], int(n[i])) for i in np.flatnonzero(size > SHORT).tolist())
+            for d in np.unique(size[size <= SHORT]).tolist():
+                of = np.flatnonzero(size == d)
+                for lo in range(0, len(of), GROUP):
+                    some = of[lo:lo + GROUP]
+                    z = _sums_of_equal_length([words[i] for i in some.tolist()], n[some], place, probs, max_piece, acc)
+                    good = z > NEG
+                    ll += float((n[some] * z)[good].sum())
+                    ll += sum(alone(words[i], int(n[i])) for i in some[~good].tolist())
+        there = np.flatnonzero(acc[:-1])
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.string()), pa.array([ll], pa.float64())], ["piece", "c"])
+        yield pa.RecordBatch.from_arrays([pieces.take(pa.array(there)).cast(pa.string()), pa.array(acc[there])], ["piece", "c"])
 
     got = materialize(words.select("word", "n").mapInArrow(run, "piece string, c double")
                       .groupBy("piece").agg(F.sum("c").alias("c")), "unigram-counts")
@@ -279,7 +325,10 @@ def initial_model(words: DataFrame, seed_size: int = 1_000_000, max_piece: int =
     """(piece, c, lp): the best seeds and all characters, by frequency."""
     seed = materialize(seed_pieces(words, max_piece), "unigram-seed")
     one = F.char_length("piece") == 1
-    best = _first(seed.where(~one), "score", seed_size).union(seed.where(one))
+    long = seed.where(~one).withColumn("_down", -F.col("score"))
+    cut = nth_key(long, seed_size, "_down") if seed_size > 0 else None  # only the best and their ties are sorted
+    best = long.where(F.col("_down") <= F.lit(cut)) if cut is not None else long
+    best = _first(best.drop("_down"), "score", seed_size).union(seed.where(one))
     out = _log_share(best.select("piece", F.col("freq").cast("double").alias("c")), "unigram-model")
     discard(seed)
     return out

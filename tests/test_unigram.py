@@ -167,3 +167,41 @@ def test_seeds_equal_all_substrings(spark, max_piece):
 def test_no_words(spark):
     none = spark.createDataFrame([], "word string, n bigint")
     assert [r.role for r in U.train_unigram(none).vocab.orderBy("id").collect()] == ["unk", "bos", "eos", "pad"]
+
+
+def test_words_of_one_length_are_summed_together(spark, monkeypatch):
+    """The plain sums are those of forward_backward; tasks take short words
+    in groups, the long one and one that underflows alone."""
+    words = ["abab", "caba", "abcb", "aaaa", "ab" * 20, "c" * 29]
+    lp = {**LP, "c": -40.0}
+    rows = [(w, k + 1) for k, w in enumerate(words)]
+    want, ll = {}, 0.0
+    for w, n in rows:
+        got, z = U.forward_backward(w, lp, 3)
+        ll += n * z
+        for p, x in got.items():
+            want[p] = want.get(p, 0.0) + n * x
+    model = spark.createDataFrame(list(lp.items()), "piece string, lp double")
+    counts, z = U.expected_counts(spark.createDataFrame(rows, "word string, n bigint").coalesce(1), model, 3)
+    got = {r.piece: r.c for r in counts.collect()}
+    assert abs(z - ll) < 1e-9 * abs(ll) and got.keys() == want.keys()
+    assert all(abs(got[p] - want[p]) < 1e-9 for p in want)
+    seen = []
+    plain = U.forward_backward
+    monkeypatch.setattr(U, "forward_backward", lambda w, *rest: seen.append(w) or plain(w, *rest))
+    import numpy as np
+
+    place, probs = {p: k for k, p in enumerate(lp)}, np.append(np.exp(list(lp.values())), 0.0)
+    acc = np.zeros(len(probs))
+    z = U._sums_of_equal_length(words[:4], np.array([1, 2, 3, 4]), place, probs, 3, acc)
+    assert not seen and all(abs(a - plain(w, lp, 3)[1]) < 1e-9 for a, w in zip(z, words))
+    assert U._sums_of_equal_length(["x"], np.array([1]), place, probs, 3, acc)[0] == U.NEG
+
+
+@pytest.mark.parametrize("size", [0, 1, 5, 9, 10_000])
+def test_the_best_seeds_with_ties(spark, size):
+    words = {"abc": 2, "abd": 2, "xyz": 5, "q": 1}
+    df = spark.createDataFrame(list(words.items()), "word string, n bigint")
+    freq = plain_seeds(words.items(), 16)
+    top = sorted((p for p in freq if len(p) > 1), key=lambda p: (-freq[p] * len(p), p))[:size]
+    assert {r.piece for r in U.initial_model(df, size).collect()} == {*top, *(p for p in freq if len(p) == 1)}
