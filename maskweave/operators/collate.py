@@ -1,17 +1,25 @@
-"""Collation and masking as array expressions.
+"""Collation and masking.
 
-Masking runs inside ``transform`` over each row's ids: one md5 per row seeds
-the three draws of every token (select, action, random id), which are integer
-arithmetic on its position, so there is no explode and no shuffle.  Padding needs the batch's longest row: a window over the
+Masking is an Arrow UDF over the rows' id lists: one md5 per row seeds the
+three draws of every token (select, action, random id), which are integer
+arithmetic on its position, in numpy over slices of many rows; so there is no
+explode and no shuffle, and the rows keep their partitions.  Padding needs the batch's longest row: a window over the
 batch key, which rides on the shuffle's partitioning when batches never
 straddle shuffle blocks (buffer a multiple of the batch size).
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from maskweave.operators.encode import flat_ids, id_slices
+
 IGNORE = -100
 MASK_SHARE = 0.8     # selected tokens replaced by [MASK]
 RANDOM_CUT = 0.9    # draws in [0.8, 0.9) take a random id; the rest stay
@@ -34,12 +42,6 @@ def cut(share):
     return F.ceil(share * F.lit(float(PRIME))).cast("bigint")
 
 
-def _scaled(draw: Column, n: int) -> Column:
-    """0..n-1 from a draw, in whole numbers."""
-    product = draw * n
-    return ((product - product % PRIME) / PRIME).cast("bigint")
-
-
 def draw_prefix(seed: int, keys: list[str]) -> Column:
     return F.concat_ws(":", F.lit(str(seed)), F.lit("mlm"), *[F.col(k).cast("string") for k in keys])
 
@@ -51,41 +53,52 @@ def mlm_mask(df: DataFrame, specials: list[int], mask_id: int, vocab_size: int,
     a random id in [0, |V|), 10 % stay.  ``labels`` keep the original id
     where selected, else -100.  The special-token mask is recomputed from
     the vocabulary roles (G1)."""
-    sp = F.array(*[F.lit(i).cast("bigint") for i in specials])
     h = F.md5(draw_prefix(seed, list(keys)))
-    rows = df.withColumn("_cut", cut(F.col(p)))
-    for k in range(3):  # 28 bits each
-        rows = rows.withColumn(f"_s{k}", F.conv(F.substring(h, 1 + 7 * k, 7), 16, 10).cast("bigint") * 8)
-    mask_cut, rand_cut = cut(F.lit(MASK_SHARE)), cut(F.lit(RANDOM_CUT))
-    # the draw that selects, kept as its own column so both passes below read it
-    drawn = rows.withColumn("_z", F.transform(
-        "input_ids", lambda t, i: turn((F.col("_s0") + (i.cast("bigint") + 1) * STEP) % PRIME)))
-
-    def sel(t, z):
-        return (z < F.col("_cut")) & ~F.array_contains(sp, t)
-
-    def new_id(t, z):
-        act = turn((z + F.col("_s1")) % PRIME)
-        return (F.when(~sel(t, z), t)
-                 .when(act < mask_cut, F.lit(mask_id).cast("bigint"))
-                 .when(act < rand_cut, _scaled(turn((act + F.col("_s2")) % PRIME), vocab_size))
-                 .otherwise(t))
-
-    def label(t, z):
-        return F.when(sel(t, z), t).otherwise(F.lit(IGNORE).cast("bigint"))
-
-    return (drawn.withColumn("labels", F.zip_with("input_ids", "_z", label))
-                 .withColumn("input_ids", F.zip_with("input_ids", "_z", new_id))
-                 .withColumn("attention_mask", F.array_repeat(F.lit(1).cast("bigint"), F.size("input_ids")))
-                 .drop("_z", "_cut", "_s0", "_s1", "_s2"))
+    seeds = [F.conv(F.substring(h, 1 + 7 * k, 7), 16, 10).cast("bigint") * 8 for k in range(3)]  # 28 bits each
+    draw = _masker(specials, mask_id, vocab_size)
+    out = df.withColumn("_masked", draw("input_ids", cut(F.col(p)), *seeds))
+    return (out.withColumn("labels", F.col("_masked.labels"))
+               .withColumn("input_ids", F.col("_masked.input_ids"))
+               .withColumn("attention_mask", F.array_repeat(F.lit(1).cast("bigint"), F.size("input_ids")))
+               .drop("_masked"))
+
+
+def _masker(specials: list[int], mask_id: int, vocab_size: int):
+    act_cuts = [math.ceil(share * float(PRIME)) for share in (MASK_SHARE, RANDOM_CUT)]
+
+    @F.arrow_udf("input_ids array<bigint>, labels array<bigint>")
+    def draw(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for ids, *rest in id_slices(batches, lambda b: b[0]):
+            below, s0, s1, s2 = (x.to_numpy(zero_copy_only=False) for x in rest)
+            at, old = flat_ids(ids)
+            row = np.repeat(np.arange(len(ids)), np.diff(at))
+            place = np.arange(1, len(old) + 1) - at[:-1][row]
+            z = turn((s0[row] + place * STEP) % PRIME)
+            hit = np.flatnonzero(z < below[row])
+            hit = hit[~np.isin(old[hit], specials)]
+            row, z, t = row[hit], z[hit], old[hit]
+            labels = np.full(len(old), IGNORE, np.int64)
+            labels[hit] = t
+            act = turn((z + s1[row]) % PRIME)
+            other = turn((act + s2[row]) % PRIME) * vocab_size // PRIME
+            new = old.copy()
+            new[hit] = np.where(act < act_cuts[0], mask_id, np.where(act < act_cuts[1], other, t))
+            lists = [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(x), mask=ids.is_null()) for x in (new, labels)]
+            yield pa.StructArray.from_arrays(lists, ["input_ids", "labels"])
+
+    return draw
+
+
+def with_longest(df: DataFrame, batch_keys: list[str]) -> DataFrame:
+    """Adds ``_max``, the ids of the longest row of the batch: masking does
+    not change it, so it may be taken where the rows lie by batch."""
+    return df.withColumn("_max", F.max(F.size("input_ids")).over(Window.partitionBy(*batch_keys)))
 
 
 def pad_batches(df: DataFrame, pad_id: int, batch_keys: list[str]) -> DataFrame:
     """Pad ids with [PAD], the attention mask and token types with 0 and
     labels with -100 up to the longest row of the batch."""
-    w = Window.partitionBy(*batch_keys)
-    longest = F.max(F.size("input_ids")).over(w)
-    b = df.withColumn("_len", F.size("input_ids")).withColumn("_max", longest)
+    b = (df if "_max" in df.columns else with_longest(df, batch_keys)).withColumn("_len", F.size("input_ids"))
     gap = (F.col("_max") - F.col("_len")).cast("int")
 
     def pad(c, v):

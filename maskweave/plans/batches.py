@@ -4,7 +4,8 @@
 Shuffles: the position sort (keys only), the join of ids and positions, the
 shuffle window (carries the ids once); the text is not shuffled.  Encoding, slicing and masking are narrow; the
 padding window reuses the shuffle partitioning when the buffer is a
-multiple of the batch size.
+multiple of the batch size; it is taken before the masking, whose Arrow UDF
+does not tell how its rows lie.
 """
 
 from __future__ import annotations
@@ -52,12 +53,13 @@ def training_data(corpus: DataFrame, vocab: DataFrame, cfg: Curriculum, kind: st
     # frequencies, scores) read it instead of encoding again
     pos = materialize(P.with_position(t.select(key), order=(key,)), "positions")
     n = pos.count()
-    enc = materialize(EN.encode(t, vocab, kind, keys=(key,), merges=merges).join(pos, key), "encoded")
-    mb = CU.with_epochs(CU.micro_batches(CU.shuffled(CU.slices(enc, cfg, n), cfg, key), cfg), cfg)
+    ids = EN.encode(t, vocab, kind, keys=(key,), merges=merges).select(key, "input_ids").join(pos, key)
     specials = EN.special_ids(vocab)
-    masked = CO.mlm_mask(mb.select(*[c for c in mb.columns if c != "special_tokens_mask"]),
-                         specials, roles["mask"], n_vocab, cfg.seed,
-                         keys=("epoch", "phase", "split", key))
+    enc = EN.with_masks(materialize(ids, "encoded"), specials)  # masks follow from the ids
+    mb = CU.with_epochs(CU.micro_batches(CU.shuffled(CU.slices(enc, cfg, n), cfg, key), cfg), cfg)
     keys = batch_keys(cfg)
+    rows = CO.with_longest(mb.drop("special_tokens_mask"), keys)
+    masked = CO.mlm_mask(rows, specials, roles["mask"], n_vocab, cfg.seed, keys=("epoch", "phase", "split", key))
     padded = CO.pad_batches(masked, roles["pad"], keys)
+    masked = masked.drop("_max")
     return TrainingData(n, enc, mb, masked, padded, keys)

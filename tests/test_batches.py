@@ -114,3 +114,48 @@ def test_scores_take_many_batches_a_call_and_keep_failures_apart(spark):
         rows = {r.micro_step: (r.loss, r.error) for r in EV.score_with(df, mean, per_call=per_call).collect()}
         assert len(rows) == 10 and rows[0] == (0.5, None) and rows[9] == (18.5, None)
         assert rows[3] == (None, "RuntimeError: no") and rows[4][0] is None and rows[4][1]
+
+
+def test_masks_equal_the_formula_one_token_at_a_time(spark):
+    """Rows over several slices, empty and null id lists."""
+    import hashlib
+    import math
+
+    n, specials, rows = 50, [0, 3], [(k, [(k * 7 + j) % 50 for j in range(k % 40)]) for k in range(200)]
+    df = spark.createDataFrame([(0, 1, "train", k, 0.3, ids) for k, ids in [*rows, (900, None)]],
+                               "epoch int, phase int, split string, doc_id bigint, p double, input_ids array<bigint>")
+    many, EN.SLICE_IDS = EN.SLICE_IDS, 64
+    try:
+        got = {r.doc_id: r for r in CO.mlm_mask(df.coalesce(1), specials, 4, n).collect()}
+    finally:
+        EN.SLICE_IDS = many
+    assert (got.pop(900).labels, len(got)) == (None, 200)
+    share = lambda p: math.ceil(p * float(CO.PRIME))
+    for k, ids in rows:
+        h = hashlib.md5(f"42:mlm:0:1:train:{k}".encode()).hexdigest()
+        s0, s1, s2 = (int(h[7 * i:7 * i + 7], 16) * 8 for i in range(3))
+        new, labels = [], []
+        for j, t in enumerate(ids):
+            z = CO.turn((s0 + (j + 1) * CO.STEP) % CO.PRIME)
+            hit = z < share(0.3) and t not in specials
+            act = CO.turn((z + s1) % CO.PRIME)
+            other = CO.turn((act + s2) % CO.PRIME) * n // CO.PRIME
+            new.append(t if not hit or act >= share(0.9) else 4 if act < share(0.8) else other)
+            labels.append(t if hit else CO.IGNORE)
+        assert (got[k].input_ids, got[k].labels, got[k].attention_mask) == (new, labels, [1] * len(ids))
+
+
+def test_masking_is_no_expression_for_each_token(spark):
+    import __spark_entry__ as E
+
+    for name in ("mlm_mask", "flagship_batches"):
+        plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "ArrowEvalPython" in plan and "zip_with" not in plan and "transform(" not in plan
+
+
+def test_ids_as_a_string_and_bytes_as_text(spark):
+    df = spark.createDataFrame([(0, [1, 20, 300]), (1, []), (2, None), (3, [7])], "k int, input_ids array<bigint>")
+    assert [r[0] for r in df.orderBy("k").select(EN.ids_string("input_ids")).collect()] == ["1 20 300", "", None, "7"]
+    vocab = spark.createDataFrame([(0, "[UNK]", 0.0, "unk"), (1, "61", 0.0, None), (20, "C3A9", 0.0, None), (7, "62", 0.0, None)],
+                                  "id int, piece string, score double, role string")
+    assert [r.text for r in EN.decode_bytes(df, vocab).orderBy("k").collect()] == ["aé", "", None, "b"]

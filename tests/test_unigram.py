@@ -205,3 +205,16 @@ def test_the_best_seeds_with_ties(spark, size):
     freq = plain_seeds(words.items(), 16)
     top = sorted((p for p in freq if len(p) > 1), key=lambda p: (-freq[p] * len(p), p))[:size]
     assert {r.piece for r in U.initial_model(df, size).collect()} == {*top, *(p for p in freq if len(p) == 1)}
+
+
+def test_words_of_one_length_are_segmented_together():
+    rng = random.Random(5)
+    pieces = ["a", "b", "ab", "ba", "aba", "bab", "abab", "bb"]
+    for _ in range(20):
+        lp = {p: -rng.randint(1, 6) / 2 for p in pieces if p != "b" or rng.random() < 0.5}  # ties are frequent
+        m = EN.TokenModel("unigram", ids={p: k + 4 for k, p in enumerate(lp)}, unk_id=0, scores=lp, max_piece=4)
+        words = sorted({"".join(rng.choice("abx") for _ in range(rng.randint(0, 9))) for _ in range(200)} | {"ab" * 20})
+        for w, got in zip(words, EN.encode_many(m, words)):
+            assert memoryview(got).cast("q").tolist() == m.encode_word(w), w
+    none = EN.TokenModel("unigram", unk_id=7)
+    assert EN.encode_many(none, ["ab"]) == [b"".join(x.to_bytes(8, "little") for x in none.encode_word("ab"))]
