@@ -210,11 +210,11 @@ def _model_of(bc, what: str = "lp") -> dict:
     return _models[what]
 
 
-def _sums_of_equal_length(words: list, n: np.ndarray, place: dict, probs: np.ndarray, max_piece: int, acc: np.ndarray):
-    """Adds the expected counts of words of one length (SHORT at most), each
-    ``n`` times, to ``acc`` by place; ``probs`` ends with the 0 of no piece.
-    Returns each word's log likelihood, -inf where its sums underflow or it
-    has no segmentation: that word is left out."""
+def _sums_of_equal_length(words: list, place: dict, probs: np.ndarray, max_piece: int):
+    """(word, place, c, z) of words of one length (SHORT at most): the
+    expected counts of their edges, and each word's log likelihood, -inf
+    where its sums underflow or it has no segmentation: it has no edges.
+    ``probs`` ends with the 0 of no piece."""
     size = len(words[0])
     spans = [(s, e) for s in range(size) for e in range(s + 1, min(size, s + max_piece) + 1)]
     cuts, get, none = [slice(s, e) for s, e in spans], place.get, len(probs) - 1
@@ -229,10 +229,20 @@ def _sums_of_equal_length(words: list, n: np.ndarray, place: dict, probs: np.nda
         beta[s] += x[k] * beta[e]
     z = alpha[size]
     good = z > 0
-    share = np.divide(n, z, out=np.zeros(len(words)), where=good)
     starts, ends = np.array(spans).T
-    np.add.at(acc, at, alpha[starts] * x * beta[ends] * share)
-    return np.log(z, out=np.full(len(words), NEG), where=good)
+    c = np.divide(alpha[starts] * x * beta[ends], z, out=np.zeros(x.shape), where=good)
+    k, word = np.nonzero(c)  # a word's edges stay in their order
+    return word, at[k, word], c[k, word], np.log(z, out=np.full(len(words), NEG), where=good)
+
+
+def _add_by_word(acc: np.ndarray, edges: list, n: np.ndarray) -> None:
+    """Adds counts, word after word, so that a piece's sum has the same digits
+    however the words were grouped."""
+    word, at, c = (np.concatenate([e[k] for e in edges]) for k in range(3))
+    keys, of = np.unique(word * len(acc) + at, return_inverse=True)
+    sums = np.zeros(len(keys))
+    np.add.at(sums, of, c)
+    np.add.at(acc, keys % len(acc), sums * n[keys // len(acc)])
 
 
 def _broadcast(model: DataFrame):
@@ -250,29 +260,33 @@ def expected_counts(words: DataFrame, model: DataFrame, max_piece: int = 16) ->
 
     def run(batches):
         place, (pieces, lp) = _model_of(bc, "place"), bc.value
-        probs = np.append(np.exp(lp.to_numpy(zero_copy_only=False)), 0.0)
+        probs = np.array([*map(math.exp, lp.to_pylist()), 0.0])  # the same digits as in forward_backward
         acc, ll = np.zeros(len(probs)), 0.0
 
-        def alone(w, n):
+        def alone(i, w):
             cnt, z = forward_backward(w, _model_of(bc), max_piece)
             if z == NEG:
                 raise ValueError(f"no segmentation of a word of {len(w)} characters: {w[:50]!r}")
-            for p, c in cnt.items():
-                acc[place[p]] += n * c
-            return n * z
+            return np.full(len(cnt), i), np.array([place[p] for p in cnt], np.int64), np.array([*cnt.values()]), z
 
         for b in batches:
             words, n = b.column(0).to_pylist(), b.column(1).to_numpy()
             size = np.fromiter(map(len, words), np.int64, len(words))
-            ll += sum(alone(words[i], int(n[i])) for i in np.flatnonzero(size > SHORT).tolist())
+            rest, edges = np.flatnonzero(size > SHORT).tolist(), []
             for d in np.unique(size[size <= SHORT]).tolist():
                 of = np.flatnonzero(size == d)
                 for lo in range(0, len(of), GROUP):
                     some = of[lo:lo + GROUP]
-                    z = _sums_of_equal_length([words[i] for i in some.tolist()], n[some], place, probs, max_piece, acc)
-                    good = z > NEG
-                    ll += float((n[some] * z)[good].sum())
-                    ll += sum(alone(words[i], int(n[i])) for i in some[~good].tolist())
+                    word, at, c, z = _sums_of_equal_length([words[i] for i in some.tolist()], place, probs, max_piece)
+                    edges.append((some[word], at, c))
+                    ll += float((n[some] * z)[z > NEG].sum())
+                    rest += some[z == NEG].tolist()
+            for i in rest:
+                *got, z = alone(i, words[i])
+                edges.append(got)
+                ll += float(n[i] * z)
+            if edges:
+                _add_by_word(acc, edges, n)
         there = np.flatnonzero(acc[:-1])
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.string()), pa.array([ll], pa.float64())], ["piece", "c"])
         yield pa.RecordBatch.from_arrays([pieces.take(pa.array(there)).cast(pa.string()), pa.array(acc[there])], ["piece", "c"])

@@ -192,10 +192,23 @@ def test_words_of_one_length_are_summed_together(spark, monkeypatch):
     import numpy as np
 
     place, probs = {p: k for k, p in enumerate(lp)}, np.append(np.exp(list(lp.values())), 0.0)
-    acc = np.zeros(len(probs))
-    z = U._sums_of_equal_length(words[:4], np.array([1, 2, 3, 4]), place, probs, 3, acc)
+    word, at, c, z = U._sums_of_equal_length(words[:4], place, probs, 3)
     assert not seen and all(abs(a - plain(w, lp, 3)[1]) < 1e-9 for a, w in zip(z, words))
-    assert U._sums_of_equal_length(["x"], np.array([1]), place, probs, 3, acc)[0] == U.NEG
+    assert {(word[i], at[i]) for i in range(len(c))} == {(k, place[p]) for k, w in enumerate(words[:4]) for p in plain(w, lp, 3)[0]}
+    *none, z = U._sums_of_equal_length(["x"], place, probs, 3)
+    assert [len(x) for x in none] == [0, 0, 0] and z[0] == U.NEG
+
+
+def test_sums_have_the_digits_of_one_word_after_another(spark):
+    rng = random.Random(8)
+    rows = [("".join(rng.choice("abc") for _ in range(rng.randint(1, 14))), rng.randint(1, 50)) for _ in range(500)] + [("ab" * 25, 3)]
+    want = {}
+    for w, n in rows:
+        for p, x in U.forward_backward(w, LP, 4)[0].items():
+            want[p] = want.get(p, 0.0) + n * x
+    model = spark.createDataFrame(list(LP.items()), "piece string, lp double")
+    counts, _ = U.expected_counts(spark.createDataFrame(rows, "word string, n bigint").coalesce(1), model, 4)
+    assert {r.piece: r.c for r in counts.collect()} == want
 
 
 @pytest.mark.parametrize("size", [0, 1, 5, 9, 10_000])
