@@ -86,7 +86,7 @@ select epoch, phase, split, doc_id, n_selected, ids, labels from rows_""")
 def mlm_mask(spark, sf):
     m = data(spark, sf).masked
     return m.select("epoch", "phase", "split", "doc_id",
-                    F.size(F.filter("labels", lambda x: x != CO.IGNORE)).cast("bigint").alias("n_selected"),
+                    F.size(F.array_remove("labels", CO.IGNORE)).cast("bigint").alias("n_selected"),
                     EN.ids_string("input_ids").alias("ids"), EN.ids_string("labels").alias("labels"))
 
 
@@ -96,7 +96,7 @@ def two_epoch_masks(spark, sf):
     """Draws differ between epochs."""
     m = data(spark, sf, TWO).masked
     return m.select("epoch", "phase", "split", "doc_id",
-                    F.size(F.filter("labels", lambda x: x != CO.IGNORE)).cast("bigint").alias("n_selected"),
+                    F.size(F.array_remove("labels", CO.IGNORE)).cast("bigint").alias("n_selected"),
                     EN.ids_string("labels").alias("labels"))
 
 
@@ -107,7 +107,7 @@ select phase, p, cast(sum(n_tokens) as bigint) as n_tokens, cast(sum(n_selected)
 def mask_rate_by_phase(spark, sf):
     m = data(spark, sf).masked
     per = m.select("phase", "p", F.size("labels").alias("t"),
-                   F.size(F.filter("labels", lambda x: x != CO.IGNORE)).alias("s"))
+                   F.size(F.array_remove("labels", CO.IGNORE)).alias("s"))
     return per.groupBy("phase", "p").agg(
         F.sum("t").cast("bigint").alias("n_tokens"), F.sum("s").cast("bigint").alias("n_selected"),
         F.round(F.sum("s") / F.sum("t"), 6).alias("rate"))
@@ -122,7 +122,7 @@ select epoch, phase, split, micro_step, cast(count(*) as bigint) as n_rows, max(
 def pad_batches(spark, sf):
     td = data(spark, sf)
     p = td.padded.select(*KEYS, F.size("input_ids").alias("L"),
-                         F.size(F.filter("attention_mask", lambda x: x == 0)).alias("pads"))
+                         (F.size("attention_mask") - F.size(F.array_remove("attention_mask", 0))).alias("pads"))
     return p.groupBy(*KEYS).agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"),
                                 F.max("L").cast("bigint").alias("max_len"),
                                 F.sum("pads").cast("bigint").alias("n_pad"))

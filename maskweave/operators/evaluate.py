@@ -37,7 +37,7 @@ def score_batches(masked: DataFrame, nll: DataFrame, keys: list[str] = BATCH_KEY
     an error text; callers skip those (H2)."""
     # one pass: a sentinel element per row counts rows; the rest are the
     # masked labels (partial aggregation before the shuffle on the keys)
-    marked = F.concat(F.array(F.lit(ROW_MARK).cast("bigint")), F.filter("labels", lambda x: x != IGNORE))
+    marked = F.concat(F.array(F.lit(ROW_MARK).cast("bigint")), F.array_remove("labels", IGNORE))
     toks = (masked.select(*keys, F.explode(marked).alias("id"))
                   .join(F.broadcast(nll), "id", "left")
                   .groupBy(*keys).agg(F.count_if(F.col("id") == ROW_MARK).alias("n_rows"),
