@@ -26,6 +26,7 @@ RANDOM_CUT = 0.9    # draws in [0.8, 0.9) take a random id; the rest stay
 
 
 STEP = 1630279
+CHUNK = 1 << 17      # tokens that are drawn at a time
 PRIME = 2147483647   # draws are whole numbers below it
 
 
@@ -63,6 +64,16 @@ def mlm_mask(df: DataFrame, specials: list[int], mask_id: int, vocab_size: int,
                .drop("_masked"))
 
 
+def _places(at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row, place in the flat ids), CHUNK places at a time: a long row is no
+    larger step than many short ones."""
+    for lo in range(int(at[0]), int(at[-1]), CHUNK):
+        hi = min(lo + CHUNK, int(at[-1]))
+        first, last = np.searchsorted(at, lo, "right") - 1, np.searchsorted(at, hi, "left")
+        sizes = np.diff(np.clip(at[first:last + 1], lo, hi))
+        yield np.repeat(np.arange(first, last), sizes), np.arange(lo, hi)
+
+
 def _masker(specials: list[int], mask_id: int, vocab_size: int):
     act_cuts = [math.ceil(share * float(PRIME)) for share in (MASK_SHARE, RANDOM_CUT)]
 
@@ -71,28 +82,30 @@ def _masker(specials: list[int], mask_id: int, vocab_size: int):
         for ids, *rest in id_slices(batches, lambda b: b[0]):
             below, s0, s1, s2 = (x.to_numpy(zero_copy_only=False) for x in rest)
             at, old = flat_ids(ids)
-            row = np.repeat(np.arange(len(ids)), np.diff(at))
-            place = np.arange(1, len(old) + 1) - at[:-1][row]
-            z = turn((s0[row] + place * STEP) % PRIME)
-            hit = np.flatnonzero(z < below[row])
-            hit = hit[~np.isin(old[hit], specials)]
-            row, z, t = row[hit], z[hit], old[hit]
-            labels = np.full(len(old), IGNORE, np.int64)
-            labels[hit] = t
-            act = turn((z + s1[row]) % PRIME)
-            other = turn((act + s2[row]) % PRIME) * vocab_size // PRIME
-            new = old.copy()
-            new[hit] = np.where(act < act_cuts[0], mask_id, np.where(act < act_cuts[1], other, t))
+            new, labels = old.copy(), np.full(len(old), IGNORE, np.int64)
+            for row, place in _places(at):
+                z = turn((s0[row] + (place - at[row] + 1) * STEP) % PRIME)
+                hit = np.flatnonzero(z < below[row])
+                t = old[place[hit]]
+                kept = ~np.isin(t, specials)
+                hit, t = hit[kept], t[kept]
+                row, place, z = row[hit], place[hit], z[hit]
+                act = turn((z + s1[row]) % PRIME)
+                other = turn((act + s2[row]) % PRIME) * vocab_size // PRIME
+                labels[place] = t
+                new[place] = np.where(act < act_cuts[0], mask_id, np.where(act < act_cuts[1], other, t))
             lists = [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(x), mask=ids.is_null()) for x in (new, labels)]
             yield pa.StructArray.from_arrays(lists, ["input_ids", "labels"])
 
     return draw
 
 
-def with_longest(df: DataFrame, batch_keys: list[str]) -> DataFrame:
+def with_longest(df: DataFrame, batch_keys: list[str], length: Column | None = None) -> DataFrame:
     """Adds ``_max``, the ids of the longest row of the batch: masking does
-    not change it, so it may be taken where the rows lie by batch."""
-    return df.withColumn("_max", F.max(F.size("input_ids")).over(Window.partitionBy(*batch_keys)))
+    not change it, so it may be taken where the rows lie by batch.  Rows
+    without their ids bring their ``length``."""
+    length = F.size("input_ids") if length is None else length
+    return df.withColumn("_max", F.max(length).over(Window.partitionBy(*batch_keys)))
 
 
 def pad_batches(df: DataFrame, pad_id: int, batch_keys: list[str]) -> DataFrame:

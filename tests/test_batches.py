@@ -159,3 +159,15 @@ def test_ids_as_a_string_and_bytes_as_text(spark):
     vocab = spark.createDataFrame([(0, "[UNK]", 0.0, "unk"), (1, "61", 0.0, None), (20, "C3A9", 0.0, None), (7, "62", 0.0, None)],
                                   "id int, piece string, score double, role string")
     assert [r.text for r in EN.decode_bytes(df, vocab).orderBy("k").collect()] == ["aé", "", None, "b"]
+
+
+def test_a_long_row_is_drawn_in_parts(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(CO, "CHUNK", 64)
+    at = np.array([0, 0, 5, 5, 300, 301, 301])
+    parts = list(CO._places(at))
+    assert max(len(row) for row, _ in parts) == 64
+    assert np.concatenate([row for row, _ in parts]).tolist() == np.repeat(np.arange(6), np.diff(at)).tolist()
+    assert np.concatenate([place for _, place in parts]).tolist() == list(range(301))
+    assert not list(CO._places(np.array([0, 0])))

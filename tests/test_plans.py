@@ -66,3 +66,24 @@ def test_word_counts_aggregate_partially_without_python(spark):
     p = plan(WD.wordpiece_words(docs(spark, SF_SMALL)))
     assert "partial_count" in p
     assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p
+
+
+def test_batches_are_ordered_without_their_ids(spark):
+    p = plan(training_data(docs(spark, SF_SMALL), build_vocab(spark, SF_SMALL), CFG).padded)
+    read = re.findall(r"ReadSchema: struct<([^\n]*)>", p)
+    assert any("input_ids" in r for r in read) and any("pos:" in r for r in read)
+    assert not any("input_ids" in r and "pos:" in r for r in read)
+    assert "ShuffledHashJoin" in p
+
+
+def test_id_lists_go_to_python_in_small_batches(spark):
+    from maskweave.session import _BATCH_SETTING, BATCH_BYTES, small_batches
+
+    training_data(docs(spark, SF_SMALL), build_vocab(spark, SF_SMALL), CFG)
+    try:
+        assert spark.conf.get(_BATCH_SETTING) == f"{BATCH_BYTES}b"
+        spark.conf.set(_BATCH_SETTING, "64k")
+        small_batches(spark)
+        assert spark.conf.get(_BATCH_SETTING) == "64k"
+    finally:
+        spark.conf.set(_BATCH_SETTING, f"{BATCH_BYTES}b")
