@@ -5,8 +5,10 @@
    best ``seed_size`` plus every single character.  Suffixes are sorted, one
    for each character of the word types; a substring is an interval of them.
 2. E-step: forward-backward in the tasks, over a broadcast model, in numpy
-   for many word types of one length at a time.  Each task emits partial expected counts per piece, which are summed
-   into a table.
+   for many word types of one length at a time.  Which seeds stand where in
+   the words is found once (``lattice``); a step looks up probabilities only.
+   Each task emits partial expected counts per piece, which are summed into a
+   table.
 3. M-step: pieces under ``min_count`` dropped (characters kept); log
    probabilities renormalised by the sum, the only number that comes back.
 4. Prune: the cost of removing a piece = its expected count times the
@@ -30,12 +32,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from maskweave.operators import vocab as V
 from maskweave.operators.encode import MAX_BROADCAST_PIECES
+from maskweave.operators.pieces import PieceTable, points_of, spans_of
 from maskweave.operators.position import nth_key, with_position
 from maskweave.session import discard, materialize
 
@@ -55,6 +59,8 @@ def _lse(a: float, b: float) -> float:
 SHORT = 30
 #: Words of one length that are summed together.
 GROUP = 2048
+#: Words whose pieces are kept in one row.
+BLOCK = 4096
 
 
 def _short_sums(w: str, lp: dict, max_piece: int):
@@ -194,33 +200,49 @@ class UnigramModel:
     loglik: list              # objective after each EM step
 
 
-_models: dict = {}  # of the broadcast that a Python worker met last
+_models: dict = {}  # of the broadcasts that a Python worker met last
 
 
-def _model_of(bc, what: str = "lp") -> dict:
-    """The broadcast arrays as a dictionary from piece to ``lp`` or to its
-    ``place``, once per Python worker."""
-    pieces, lp = bc.value
-    if _models.get("of") is not pieces:
-        _models.clear()
-        _models["of"] = pieces
-    if what not in _models:
-        names = pieces.to_pylist()
-        _models[what] = dict(zip(names, lp.to_pylist() if what == "lp" else range(len(names))))
-    return _models[what]
+def _once(bc, what: str, make):
+    """``make`` of a broadcast's value, once per Python worker."""
+    value = bc.value
+    if _models.get(what, (None,))[0] is not value:
+        _models[what] = value, make(value)
+    return _models[what][1]
+
+
+def _model_of(bc) -> dict:
+    """Piece to ``lp`` of the broadcast arrays."""
+    return _once(bc, "lp", lambda v: dict(zip(v[0].to_pylist(), v[1].to_pylist())))
+
+
+def _places_of(known) -> dict:
+    return _once(known, "places", lambda pieces: {p: k for k, p in enumerate(pieces.to_pylist())})
+
+
+def _table_of(known) -> PieceTable:
+    return _once(known, "table", lambda pieces: PieceTable(pieces.to_pylist()))
 
 
 def _sums_of_equal_length(words: list, place: dict, probs: np.ndarray, max_piece: int):
-    """(word, place, c, z) of words of one length (SHORT at most): the
-    expected counts of their edges, and each word's log likelihood, -inf
-    where its sums underflow or it has no segmentation: it has no edges.
-    ``probs`` ends with the 0 of no piece."""
-    size = len(words[0])
-    spans = [(s, e) for s in range(size) for e in range(s + 1, min(size, s + max_piece) + 1)]
-    cuts, get, none = [slice(s, e) for s, e in spans], place.get, len(probs) - 1
-    at = np.array([get(w[c], none) for w in words for c in cuts], np.int64).reshape(len(words), -1).T
+    """(word, place, c, z) of words of one length: ``_sums_at`` of the places
+    of their spans, without the counts of 0."""
+    size, none = len(words[0]), len(probs) - 1
+    at = np.array([place.get(w[s:e], none) for w in words for s, e in spans_of(size, max_piece)], np.int64)
+    at = at.reshape(len(words), -1).T
+    c, z = _sums_at(size, at, probs, max_piece)
+    k, word = np.nonzero(c)  # a word's edges stay in their order
+    return word, at[k, word], c[k, word], z
+
+
+def _sums_at(size: int, at: np.ndarray, probs: np.ndarray, max_piece: int):
+    """(c, z) of words of one length (SHORT at most): the expected counts of
+    their edges, and each word's log likelihood, -inf where its sums underflow
+    or it has no segmentation: its counts are 0.  ``at`` has the places of
+    their spans, ``probs`` ends with the 0 of no piece."""
+    spans, words = spans_of(size, max_piece), at.shape[1]
     x = probs[at]
-    alpha, beta = np.zeros((size + 1, len(words))), np.zeros((size + 1, len(words)))
+    alpha, beta = np.zeros((size + 1, words)), np.zeros((size + 1, words))
     alpha[0] = beta[size] = 1.0
     for k, (s, e) in enumerate(spans):  # by start: all edges into s came before
         alpha[e] += alpha[s] * x[k]
@@ -231,69 +253,156 @@ def _sums_of_equal_length(words: list, place: dict, probs: np.ndarray, max_piece
     good = z > 0
     starts, ends = np.array(spans).T
     c = np.divide(alpha[starts] * x * beta[ends], z, out=np.zeros(x.shape), where=good)
-    k, word = np.nonzero(c)  # a word's edges stay in their order
-    return word, at[k, word], c[k, word], np.log(z, out=np.full(len(words), NEG), where=good)
+    return c, np.log(z, out=np.full(words, NEG), where=good)
 
 
-def _add_by_word(acc: np.ndarray, edges: list, n: np.ndarray) -> None:
-    """Adds counts, word after word, so that a piece's sum has the same digits
-    however the words were grouped."""
-    word, at, c = (np.concatenate([e[k] for e in edges]) for k in range(3))
-    keys, of = np.unique(word * len(acc) + at, return_inverse=True)
-    sums = np.zeros(len(keys))
-    np.add.at(sums, of, c)
-    np.add.at(acc, keys % len(acc), sums * n[keys // len(acc)])
+def _repeats(at: np.ndarray, none: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges whose piece stands further left in the word as well, and the
+    first edges with it, both in the flat order of ``at``."""
+    flat = np.flatnonzero(at.ravel() < none)
+    key = flat % at.shape[1] * (none + 1) + at.ravel()[flat]
+    order = np.argsort(key, kind="stable")
+    key, flat = key[order], flat[order]
+    new = np.append(True, key[1:] != key[:-1])[:len(key)]
+    first = flat[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))] if len(key) else flat
+    again, first = flat[~new], first[~new]
+    order = np.argsort(again, kind="stable")  # a piece's edges stay in their order
+    return again[order], first[order]
 
 
-def _broadcast(model: DataFrame):
+def _groups(size: np.ndarray):
+    """(length, words) of the words of a block that are summed together."""
+    for d in np.unique(size[size <= SHORT]).tolist():
+        of = np.flatnonzero(size == d)
+        for lo in range(0, len(of), GROUP):
+            yield d, of[lo:lo + GROUP]
+
+
+_BLOCK = "words binary, size binary, n binary, there binary, places binary, sums binary, repeats binary, firsts binary"
+
+
+@dataclass
+class Lattice:
+    """The pieces of a model in all words, found once for all E-steps of
+    models that have no others: a row for each BLOCK words."""
+    table: DataFrame
+    pieces: pa.Array
+    known: object             # broadcast of ``pieces``
+    max_piece: int
+
+
+def lattice(words: DataFrame, model: DataFrame, max_piece: int = 16) -> Lattice:
+    pieces = _model_arrays(model)[0]
+    known = model.sparkSession.sparkContext.broadcast(pieces)
+
+    def run(batches):
+        table, none = _table_of(known), len(known.value)
+        for b in batches:
+            for lo in range(0, b.num_rows, BLOCK):
+                part = b.slice(lo, BLOCK)
+                words, n = part.column(0).to_pylist(), part.column(1).to_numpy()
+                size = np.fromiter(map(len, words), np.int64, len(words))
+                found: list = [[], [], [], [], []]
+                for _, some in _groups(size):
+                    at = table.edges(points_of([words[i] for i in some.tolist()]), max_piece)
+                    there = at < none
+                    again, first = _repeats(at, none)
+                    for out, x in zip(found, (np.packbits(there), at[there], np.array([there.sum(), len(again)]), again, first)):
+                        out.append(x)
+                kinds = (np.uint8, np.int32, np.int64, np.int32, np.int32)
+                blobs = [np.concatenate([np.zeros(0, kind), *x]).astype(kind).tobytes() for kind, x in zip(kinds, found)]
+                blobs = ["".join(words).encode(), size.tobytes(), n.astype(np.int64).tobytes(), *blobs]
+                yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in blobs],
+                                                 ["words", "size", "n", "there", "places", "sums", "repeats", "firsts"])
+
+    return Lattice(words.select("word", "n").mapInArrow(run, _BLOCK), pieces, known, max_piece)
+
+
+def _edges_of(block: list, none: int, max_piece: int):
+    """(words, places of their spans, repeats, their firsts) of each group."""
+    size, there, places, sums, repeats, firsts = block
+    bit = hit = again = 0
+    for k, (d, some) in enumerate(_groups(size)):
+        shape = len(spans_of(d, max_piece)), len(some)
+        room, (hits, twice) = shape[0] * shape[1], sums[2 * k:2 * k + 2].tolist()
+        at = np.full(room, none, np.int32)
+        bits = np.unpackbits(there[bit:bit + -(-room // 8)], count=room)
+        at[bits.view(bool)] = places[hit:hit + hits]
+        yield d, some, at.reshape(shape), repeats[again:again + twice], firsts[again:again + twice]
+        bit, hit, again = bit + -(-room // 8), hit + hits, again + twice
+
+
+def _model_arrays(model: DataFrame) -> tuple[pa.Array, pa.Array]:
     n = model.count()
     if n > MAX_BROADCAST_PIECES + 200_000:  # the seeds, and single characters
         raise ValueError(f"a model of {n} pieces is too large to broadcast")
     t = model.select("piece", "lp").toArrow()
-    return model.sparkSession.sparkContext.broadcast((t["piece"].combine_chunks(), t["lp"].combine_chunks()))
+    return t["piece"].combine_chunks(), t["lp"].combine_chunks()
 
 
-def expected_counts(words: DataFrame, model: DataFrame, max_piece: int = 16) -> tuple[DataFrame, float]:
-    """E-step: (piece, c) over ``words`` (word, n) under ``model`` (piece,
-    lp), and the log likelihood."""
-    bc = _broadcast(model)
+def _broadcast(model: DataFrame):
+    return model.sparkSession.sparkContext.broadcast(_model_arrays(model))
+
+
+def expected_counts(words: DataFrame | Lattice, model: DataFrame, max_piece: int = 16) -> tuple[DataFrame, float]:
+    """E-step: (piece, c) over ``words`` (word, n), or their lattice, under
+    ``model`` (piece, lp), and the log likelihood.  A task sums over all its
+    blocks; there are no more tasks than cores, as each gives a row for every
+    piece."""
+    lat = words if isinstance(words, Lattice) else lattice(words, model, max_piece)
+    known, max_piece, spark = lat.known, lat.max_piece, model.sparkSession
+    pieces, lp = _model_arrays(model)
+    place = pc.index_in(pieces.cast(lat.pieces.type), lat.pieces)
+    if place.null_count:
+        raise ValueError("the model has pieces that its lattice lacks")
+    probs = np.zeros(len(lat.pieces) + 1)
+    probs[place.to_numpy()] = [*map(math.exp, lp.to_pylist())]  # the same digits as in forward_backward
+    bc, now = spark.sparkContext.broadcast((pieces, lp)), spark.sparkContext.broadcast(probs)
 
     def run(batches):
-        place, (pieces, lp) = _model_of(bc, "place"), bc.value
-        probs = np.array([*map(math.exp, lp.to_pylist()), 0.0])  # the same digits as in forward_backward
-        acc, ll = np.zeros(len(probs)), 0.0
+        probs, none = now.value, len(known.value)
+        acc, ll = np.zeros(none + 1), 0.0
 
         def alone(i, w):
             cnt, z = forward_backward(w, _model_of(bc), max_piece)
             if z == NEG:
                 raise ValueError(f"no segmentation of a word of {len(w)} characters: {w[:50]!r}")
+            place = _places_of(known)
             return np.full(len(cnt), i), np.array([place[p] for p in cnt], np.int64), np.array([*cnt.values()]), z
 
-        for b in batches:
-            words, n = b.column(0).to_pylist(), b.column(1).to_numpy()
-            size = np.fromiter(map(len, words), np.int64, len(words))
+        for row in (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns))):
+            size, n, there, places, sums, repeats, firsts = (
+                np.frombuffer(x, kind) for x, kind in zip(row[1:], (np.int64, np.int64, np.uint8, np.int32, np.int64, np.int32, np.int32)))
             rest, edges = np.flatnonzero(size > SHORT).tolist(), []
-            for d in np.unique(size[size <= SHORT]).tolist():
-                of = np.flatnonzero(size == d)
-                for lo in range(0, len(of), GROUP):
-                    some = of[lo:lo + GROUP]
-                    word, at, c, z = _sums_of_equal_length([words[i] for i in some.tolist()], place, probs, max_piece)
-                    edges.append((some[word], at, c))
-                    ll += float((n[some] * z)[z > NEG].sum())
-                    rest += some[z == NEG].tolist()
-            for i in rest:
-                *got, z = alone(i, words[i])
-                edges.append(got)
-                ll += float(n[i] * z)
-            if edges:
-                _add_by_word(acc, edges, n)
+            for d, some, at, again, first in _edges_of((size, there, places, sums, repeats, firsts), none, max_piece):
+                c, z = _sums_at(d, at, probs, max_piece)
+                flat = c.ravel()
+                np.add.at(flat, first, flat[again])  # a piece's counts in a word first
+                flat[again] = 0.0
+                k, word = np.nonzero(c)
+                edges.append((some[word], at[k, word], c[k, word]))
+                ll += float((n[some] * z)[z > NEG].sum())
+                rest += some[z == NEG].tolist()
+            if rest:
+                whole, ends = row[0].decode(), np.cumsum(size)
+                for i in rest:
+                    *got, z = alone(i, whole[ends[i] - size[i]:ends[i]])
+                    edges.append(got)
+                    ll += float(n[i] * z)
+            if edges:  # word after word, so that a piece's sum has the same digits however the words were grouped
+                word, at, c = (np.concatenate([e[k] for e in edges]) for k in range(3))
+                order = np.argsort(word.astype(np.uint16), kind="stable")
+                word = word[order]
+                np.add.at(acc, at[order], c[order] * n[word])
         there = np.flatnonzero(acc[:-1])
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.string()), pa.array([ll], pa.float64())], ["piece", "c"])
-        yield pa.RecordBatch.from_arrays([pieces.take(pa.array(there)).cast(pa.string()), pa.array(acc[there])], ["piece", "c"])
+        yield pa.RecordBatch.from_arrays([known.value.take(pa.array(there)).cast(pa.string()), pa.array(acc[there])], ["piece", "c"])
 
-    got = materialize(words.select("word", "n").mapInArrow(run, "piece string, c double")
+    table = lat.table.coalesce(max(1, spark.sparkContext.defaultParallelism))
+    got = materialize(table.mapInArrow(run, "piece string, c double")
                       .groupBy("piece").agg(F.sum("c").alias("c")), "unigram-counts")
     bc.unpersist()
+    now.unpersist()
     ll = got.where("piece is null").agg(F.sum("c")).first()[0] or 0.0
     out = got.where("piece is not null")
     out._maskweave_path = got._maskweave_path
@@ -371,9 +480,12 @@ def train_unigram(word_counts: DataFrame, vocab_size: int = 32768, seed_size: in
     n_chars, size = chars.count(), model.count()
     target = vocab_size - len(V.CONTROL_IDS)
     history: list = []
+    if size:  # blocks are cached row by row; Parquet's reader would hold thousands of them at once
+        lat = lattice(words, model, max_piece)
+        lat.table = lat.table.persist(StorageLevel.DISK_ONLY)
 
     def em(model):
-        counts, ll = expected_counts(words, model, max_piece)
+        counts, ll = expected_counts(lat, model, max_piece)
         history.append(ll)
         out = _m_step(counts, chars, min_count)
         discard(counts, model)
@@ -398,5 +510,6 @@ def train_unigram(word_counts: DataFrame, vocab_size: int = 32768, seed_size: in
             long = _first(model.where(F.char_length("piece") > 1), "lp", max(0, target - n_chars))
             left = long.union(model.where(F.char_length("piece") == 1)).withColumn("c", F.exp("lp"))
             model = _log_share(left.select("piece", "c"), "unigram-model")
+        lat.table.unpersist()
     words.unpersist()
     return UnigramModel(to_vocab(model), history)
