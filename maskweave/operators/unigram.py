@@ -61,6 +61,8 @@ SHORT = 30
 GROUP = 2048
 #: Words whose pieces are kept in one row.
 BLOCK = 4096
+#: Tasks of an E-step, if there are not more cores.
+SUM_TASKS = 32
 
 
 def _short_sums(w: str, lp: dict, max_piece: int):
@@ -347,8 +349,8 @@ def _broadcast(model: DataFrame):
 def expected_counts(words: DataFrame | Lattice, model: DataFrame, max_piece: int = 16) -> tuple[DataFrame, float]:
     """E-step: (piece, c) over ``words`` (word, n), or their lattice, under
     ``model`` (piece, lp), and the log likelihood.  A task sums over all its
-    blocks; there are no more tasks than cores, as each gives a row for every
-    piece."""
+    blocks; their number is bounded (SUM_TASKS, or the cores), as each gives a
+    row for every piece."""
     lat = words if isinstance(words, Lattice) else lattice(words, model, max_piece)
     known, max_piece, spark = lat.known, lat.max_piece, model.sparkSession
     pieces, lp = _model_arrays(model)
@@ -398,7 +400,7 @@ def expected_counts(words: DataFrame | Lattice, model: DataFrame, max_piece: int
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.string()), pa.array([ll], pa.float64())], ["piece", "c"])
         yield pa.RecordBatch.from_arrays([known.value.take(pa.array(there)).cast(pa.string()), pa.array(acc[there])], ["piece", "c"])
 
-    table = lat.table.coalesce(max(1, spark.sparkContext.defaultParallelism))
+    table = lat.table.coalesce(max(SUM_TASKS, spark.sparkContext.defaultParallelism))
     got = materialize(table.mapInArrow(run, "piece string, c double")
                       .groupBy("piece").agg(F.sum("c").alias("c")), "unigram-counts")
     bc.unpersist()

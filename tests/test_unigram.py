@@ -231,3 +231,52 @@ def test_words_of_one_length_are_segmented_together():
             assert memoryview(got).cast("q").tolist() == m.encode_word(w), w
     none = EN.TokenModel("unigram", unk_id=7)
     assert EN.encode_many(none, ["ab"]) == [b"".join(x.to_bytes(8, "little") for x in none.encode_word("ab"))]
+
+
+def test_pieces_are_found_by_their_hashes():
+    from maskweave.operators.pieces import PieceTable, points_of, spans_of
+
+    rng = random.Random(3)
+    pieces = sorted({"".join(rng.choice("abc\u2581\U0001F600") for _ in range(rng.randint(1, 5))) for _ in range(300)})
+    place, table = {p: k for k, p in enumerate(pieces)}, PieceTable(pieces)
+    for size in (1, 4, 9):
+        words = ["".join(rng.choice("abcx\u2581\U0001F600") for _ in range(size)) for _ in range(50)]
+        at = table.edges(points_of(words), 5)
+        want = [[place.get(w[s:e], len(pieces)) for w in words] for s, e in spans_of(size, 5)]
+        assert at.tolist() == want
+    assert PieceTable([]).edges(points_of(["ab"]), 2).tolist() == [[0], [0], [0]]
+
+
+def test_a_lattice_serves_models_with_fewer_pieces(spark, monkeypatch):
+    """Repeated pieces, long words and several blocks; the sums are those of
+    one word after another."""
+    rng = random.Random(4)
+    rows = [("".join(rng.choice("ab") for _ in range(rng.randint(1, 12))), rng.randint(1, 50)) for _ in range(300)] + [("ab" * 25, 3)]
+    words = spark.createDataFrame(rows, "word string, n bigint").coalesce(1)
+    lp = {"a": -1.0, "b": -1.5, "ab": -2.0, "ba": -2.5, "aba": -3.0, "bbb": -3.5}
+    monkeypatch.setattr(U, "BLOCK", 64)
+    lat = U.lattice(words, spark.createDataFrame(list(lp.items()), "piece string, lp double"), 4)
+    assert lat.table.count() >= 1 and "word" not in lat.table.columns
+    for left in (lp, {p: v + 0.1 for p, v in lp.items() if p != "ab"}):
+        want = {}
+        for w, n in rows:
+            for p, x in U.forward_backward(w, left, 4)[0].items():
+                want[p] = want.get(p, 0.0) + n * x
+        counts, _ = U.expected_counts(lat, spark.createDataFrame(list(left.items()), "piece string, lp double"))
+        assert {r.piece: r.c for r in counts.collect()} == want
+    with pytest.raises(ValueError, match="lacks"):
+        U.expected_counts(lat, spark.createDataFrame([("zz", -1.0)], "piece string, lp double"))
+
+
+def test_partial_sums_do_not_grow_with_the_partitions(spark):
+    words = spark.createDataFrame([("ab" * (1 + k % 5), 1) for k in range(400)], "word string, n bigint").repartition(200)
+    model = spark.createDataFrame([("a", -1.0), ("b", -1.0)], "piece string, lp double")
+    seen = []
+    plain = U.materialize
+    try:
+        U.materialize = lambda df, name: seen.append(df._jdf.queryExecution().executedPlan().toString()) or plain(df, name)
+        counts, _ = U.expected_counts(words, model, 4)
+    finally:
+        U.materialize = plain
+    assert {r.piece: r.c for r in counts.collect()} == {"a": 1200.0, "b": 1200.0}
+    assert f"Coalesce {max(U.SUM_TASKS, spark.sparkContext.defaultParallelism)}" in seen[0]
